@@ -1,0 +1,52 @@
+"""End-to-end jobs of the reference, as DataFrame plans.
+
+* :func:`train`   grades → deficit weights (70) → cosine (optionally boosted by
+  frequent itemsets or by explicit pairs)
+* :func:`predict` preview grades → deficit weights (65) → item-CF scores
+* :func:`mine_rules` grade pairs → baskets → FP-Growth → itemsets and rules
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from affinity.operators import baskets as B
+from affinity.operators import prep, recommend, similarity
+
+
+def train(train_rows: DataFrame, cut: float = prep.TRAIN_CUT, itemsets: DataFrame | None = None,
+          boost_weight: float = 32.0, pairs: DataFrame | None = None, method: str = "cosine",
+          user: str = "sno", item: str = "cno", score: str = "score") -> DataFrame:
+    """Item-item similarity from training grades (``score < cut`` rows)."""
+    if method == "cosine":
+        w = prep.with_deficit(train_rows.select(user, item, score), cut, score=score)
+        sim = similarity.cosine(w, user=user, item=item, weight="weight")
+    elif method == "cooccurrence":
+        sim = similarity.cooccurrence(train_rows, user=user, item=item)
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    if itemsets is not None:
+        sim = similarity.boost_by_itemsets(sim, itemsets, weight=boost_weight)
+    if pairs is not None:
+        sim = similarity.boost_by_pairs(sim, pairs)
+    return sim
+
+
+def predict(preview_rows: DataFrame, sim: DataFrame, cut: float = prep.PREVIEW_CUT,
+            n: int = recommend.TOP_N, threshold: float | None = recommend.THRESHOLD,
+            exclude_seen: bool = False, user: str = "sno", item: str = "cno",
+            score: str = "score", **kw) -> DataFrame:
+    """Scores ``(user, item, pre_score)`` for the preview grades."""
+    perf = prep.with_deficit(preview_rows.select(user, item, score), cut, score=score)
+    pred = recommend.predict(sim, perf, n=n, threshold=threshold, user=user, item=item, **kw)
+    if exclude_seen:
+        pred = recommend.exclude_items(pred, preview_rows, per_user=True, user=user, item=item)
+    return pred
+
+
+def mine_rules(pairs: DataFrame, min_support: float, min_confidence: float, basket: str = "sno",
+               item: str = "cno", num_partitions: int | None = None):
+    """``(itemsets, rules, model)`` from (basket, item) pairs."""
+    bk = B.to_baskets(pairs, basket=basket, item=item)
+    model = B.mine(bk, min_support, min_confidence, num_partitions=num_partitions)
+    return B.frequent_itemsets(model), B.association_rules(model), model
