@@ -77,6 +77,9 @@ def cluster_sizes(assigned: DataFrame, label: str = "label") -> DataFrame:
 
 # ------------------------------------------------------------- 1-D Lloyd
 
+HIST_ROWS_PER_PART = 500_000
+LAST_ITERATIONS = 0  # iterations of the most recent lloyd_1d call (diagnostics)
+
 def histogram(points: DataFrame, value: str, group_cols: list[str] | tuple = (),
               weight: str | None = None) -> DataFrame:
     """``(group.., v, n)``: distinct values with their multiplicity."""
@@ -103,8 +106,17 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
     hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rng = (hist.groupBy(*group_cols)
-               .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.max(k_col).alias("_k"))
+               .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.max(k_col).alias("_k"),
+                    F.count(F.lit(1)).alias("_m"))
                .collect())
+        # Iterations re-scan the histogram: keep about HIST_ROWS_PER_PART rows per
+        # partition (the histogram size grows with distinct values, not rows).
+        m = sum(int(r["_m"]) for r in rng)
+        parts = max(1, -(-m // HIST_ROWS_PER_PART))
+        if parts < hist.rdd.getNumPartitions():
+            small = hist.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+            hist.unpersist()
+            hist = small
         state = {}
         for r in rng:
             key = tuple(r[c] for c in group_cols)
@@ -143,6 +155,8 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
                 state[key] = new_state[key]
                 if not moved[key]:
                     active.discard(key)
+        global LAST_ITERATIONS
+        LAST_ITERATIONS = it
         rows = [(*key, cs) for key, cs in state.items()]
         return spark.createDataFrame(rows, cschema).withColumnRenamed("_c", "centres")
     finally:

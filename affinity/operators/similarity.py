@@ -3,7 +3,8 @@
 Plan (for ``cosine``; ``cooccurrence`` is the same with counts as weights):
 
 1. pre-aggregate ``a[u, i] = Σ weight`` per (user, item) — partial aggregation
-   map-side, shuffle on (user, item), so a heavy user is spread by item;
+   map-side, shuffle on (user, item), so a heavy user is spread by item — and
+   checkpoint it (it feeds every later branch; the source runs once);
 2. norms ``n[i] = Σ_u a[u, i]²`` straight from ``a`` (no pair table needed);
 3. dot products ``d[i, j] = Σ_u a[u, i]·a[u, j]`` for ``i < j`` only (half of
    the matrix, no diagonal) through a self-join on the user;
@@ -15,7 +16,10 @@ Heavy users: a user with ``D`` items emits ``D²/2`` pairs. Users above
 ``heavy_items`` distinct items have their rows split into ``blocks`` item
 blocks and the self-join runs on ``(user, block_x, block_y)``, so their pairs
 are produced by ``blocks²`` tasks instead of one. Light users keep one block
-(no replication). AQE skew-join splitting remains on as a second line.
+(no replication). The heavy-user list is counted first: none → plain
+self-join; at most ``HEAVY_BROADCAST_LIMIT`` → broadcast; more → shuffle
+join. Salting changes only the task layout, never the result. AQE skew-join
+splitting remains on as a second line.
 
 Duplicates of a (user, item) grade add up (retakes): with pre-aggregation the
 result equals the reference's self-join over raw rows, because
@@ -29,21 +33,31 @@ from pyspark.sql import functions as F
 
 from affinity.functions import cosine as cosine_expr
 from affinity.functions import unordered_pairs
+from affinity.session import checkpoint_dir
 
 HEAVY_ITEMS = 2000
 BLOCKS = 8
+HEAVY_BROADCAST_LIMIT = 200_000  # heavy users broadcast only below this checked count
 
 
 def _pair_dots(a: DataFrame, user: str, blocks: int, heavy_items: int) -> DataFrame:
     """``(item1 < item2, dot)`` from ``a(user, item, v)``, one row per (user, item)."""
-    if blocks <= 1:
+    heavy = None
+    if blocks > 1:
+        heavy = (a.groupBy(user).agg(F.count(F.lit(1)).alias("_deg"))
+                 .where(F.col("_deg") > heavy_items).select(user, F.lit(blocks).alias("_nb")))
+        n_heavy = heavy.count()  # bounded by |a| / heavy_items; checked before any broadcast
+        if n_heavy == 0:
+            heavy = None
+        elif n_heavy <= HEAVY_BROADCAST_LIMIT:
+            heavy = F.broadcast(heavy)
+    if heavy is None:
         x = a.select(F.col(user), F.col("item").alias("item1"), F.col("v").alias("v1"))
         y = a.select(F.col(user), F.col("item").alias("item2"), F.col("v").alias("v2"))
         pairs = x.join(y, user).where(F.col("item1") < F.col("item2"))
     else:
-        deg = a.groupBy(user).agg(F.count(F.lit(1)).alias("_deg"))
-        a2 = a.join(deg, user)
-        nb = F.when(F.col("_deg") > heavy_items, F.lit(blocks)).otherwise(F.lit(1))
+        a2 = a.join(heavy, user, "left")
+        nb = F.coalesce(F.col("_nb"), F.lit(1))
         blk = F.pmod(F.xxhash64("item"), nb.cast("long")).cast("int")
         fan = F.explode(F.sequence(F.lit(0), nb - 1))
         x = a2.select(F.col(user), F.col("item").alias("item1"), F.col("v").alias("v1"),
@@ -55,6 +69,10 @@ def _pair_dots(a: DataFrame, user: str, blocks: int, heavy_items: int) -> DataFr
 
 
 def _normalised(a: DataFrame, user: str, blocks: int, heavy_items: int) -> DataFrame:
+    # ``a`` feeds four branches (norms twice, both join sides, degrees); write
+    # it once to the shared checkpoint folder so the source is computed once.
+    checkpoint_dir(a.sparkSession)
+    a = a.checkpoint(eager=True)
     norms = a.groupBy("item").agg(F.sum(F.col("v") * F.col("v")).alias("n"))
     dots = _pair_dots(a, user, blocks, heavy_items)
     n1 = norms.select(F.col("item").alias("item1"), F.col("n").alias("n1"))
