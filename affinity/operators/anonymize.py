@@ -77,8 +77,9 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     # Histogram of all cells: (attr, band, q, n), partial-aggregated.
     hist_all = c.groupBy("attr", "band", "q").agg(F.count(F.lit(1)).alias("n"))
     eligible = (F.col("band") < len(BAND_CUTS)) | (F.col("q") < top)
-    has = Window.partitionBy("attr", "band")
-    hist = (hist_all.withColumn("_has", F.max(eligible.cast("int")).over(has))
+    # Does the band hold any training value? One row per (attr, band).
+    has = hist_all.groupBy("attr", "band").agg(F.max(eligible.cast("int")).alias("_has"))
+    hist = (hist_all.join(F.broadcast(has), ["attr", "band"])
             .where(eligible | (F.col("_has") == 0))
             .select("attr", "band", F.col("q").cast("double").alias("v"), "n")
             .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(kmax)))))

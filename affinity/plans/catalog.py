@@ -244,6 +244,13 @@ def q_microaggregate(spark, sf_dir):
     return m.select("id", "attr", F.round("center", 3).alias("value"))
 
 
+def q_microaggregate_wide(spark, sf_dir):
+    """The anonymised sheet: one row per id, one column per attribute."""
+    m = _micro(spark, sf_dir).select("id", "attr", F.round("center", 3).alias("value"))
+    attrs = sorted(r.attr for r in m.select("attr").distinct().collect())  # attribute names (schema)
+    return anonymize.to_wide(m, "id", attrs)
+
+
 def q_microaggregate_detail(spark, sf_dir):
     m = _micro(spark, sf_dir)
     return m.select("id", "attr", "value", "band", "k", "cluster", _r6("center"), "cluster_size")
@@ -287,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "lloyd_tiers": q_lloyd_tiers,
     "forecast_tier": q_forecast_tier,
     "microaggregate": q_microaggregate,
+    "microaggregate_wide": q_microaggregate_wide,
     "microaggregate_detail": q_microaggregate_detail,
     "read_write_roundtrip": q_read_write_roundtrip,
 }

@@ -392,6 +392,12 @@ def _microaggregate() -> str:
     SELECT id, attr, round(center, 3) AS value FROM centred"""
 
 
+def _microaggregate_wide() -> str:
+    return f"""WITH RECURSIVE {_micro_common().strip()},
+    long AS (SELECT id, attr, round(center, 3) AS value FROM centred)
+    PIVOT long ON attr USING first(value) GROUP BY id"""
+
+
 # ----------------------------------------------------------------- catalogue
 
 def oracle_sql() -> dict[str, str]:
@@ -422,6 +428,7 @@ def oracle_sql() -> dict[str, str]:
         "lloyd_tiers": _lloyd_tiers(),
         "forecast_tier": _forecast_tier(),
         "microaggregate": _microaggregate(),
+        "microaggregate_wide": _microaggregate_wide(),
         "microaggregate_detail": _microaggregate_detail(),
         "read_write_roundtrip": _train("brand"),
     }
