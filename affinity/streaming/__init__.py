@@ -1,0 +1,55 @@
+"""Structured Streaming adapter for the scorer.
+
+The reference has no streaming. The one streaming form its batch job admits
+is grades arriving over time while the similarity table stays fixed. A
+user's scores depend on all of that user's grades (top-N over the user's
+rows), so each micro-batch
+
+1. appends its rows to a history table in the shared folder,
+2. re-runs :func:`affinity.plans.pipeline.predict` for the users the batch
+   touched, reading their full history (a left-semi join on the user),
+3. appends the new scores tagged with the batch id.
+
+:func:`latest_predictions` keeps, per user, the rows of that user's last
+batch. The result therefore equals the batch job over all grades seen so far;
+there is no new semantics and no state beyond the history table. The
+checkpoint location makes restarts exactly-once per batch id.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from affinity.plans import pipeline
+
+
+def _batch_writer(sim: DataFrame, history_path: str, out_path: str, user: str, predict_kw: dict):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("append").parquet(history_path)
+        touched = batch.select(user).distinct()
+        rows = spark.read.parquet(history_path).join(touched, user, "left_semi")
+        pred = pipeline.predict(rows, sim, user=user, **predict_kw)
+        pred.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
+
+    return run
+
+
+def start_scoring(grades: DataFrame, sim: DataFrame, history_path: str, out_path: str,
+                  checkpoint_location: str, user: str = "sno", available_now: bool = True,
+                  **predict_kw) -> StreamingQuery:
+    """Score a stream of preview grades ``(user, item, score)`` against ``sim``."""
+    writer = (grades.writeStream
+              .foreachBatch(_batch_writer(sim, history_path, out_path, user, predict_kw))
+              .option("checkpointLocation", checkpoint_location))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
+
+
+def latest_predictions(spark: SparkSession, out_path: str, user: str = "sno") -> DataFrame:
+    """Scores of every user from that user's most recent batch."""
+    allp = spark.read.parquet(out_path)
+    last = allp.groupBy(user).agg(F.max("batch_id").alias("batch_id"))
+    return allp.join(last, [user, "batch_id"], "left_semi").drop("batch_id")
