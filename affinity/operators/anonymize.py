@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.functions import nearest_index
+from affinity.functions import fixed, nearest_index
 from affinity.operators.clustering import lloyd_1d
 from affinity.session import checkpoint_dir
 
@@ -49,6 +49,14 @@ def to_wide(cells: DataFrame, id_col: str = "id", attrs: list[str] | None = None
     return p.agg(F.first(value))
 
 
+def format_sheet(wide: DataFrame, attrs: list[str], id_col: str = "id", digits: int = DECIMALS) -> DataFrame:
+    """Text lines of the anonymised sheet: fixed-point values, tab separated,
+    with a trailing tab (the reference's print format); the id is kept as a
+    separate column."""
+    cells = [F.coalesce(fixed(F.col(f"`{a}`"), digits), F.lit("")) for a in attrs]
+    return wide.select(id_col, F.concat(F.concat_ws("\t", *cells), F.lit("\t")).alias("value"))
+
+
 def band(q, scale: int) -> F.Column:
     b = F.lit(len(BAND_CUTS))
     for i in reversed(range(len(BAND_CUTS))):

@@ -9,11 +9,13 @@ report is deterministic.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions import joined, slot
+from affinity.session import checkpoint_dir
 
 
 def to_baskets(pairs: DataFrame, basket: str = "sno", item: str = "cno", items: str = "items") -> DataFrame:
@@ -27,11 +29,29 @@ def to_baskets(pairs: DataFrame, basket: str = "sno", item: str = "cno", items:
 
 def mine(baskets: DataFrame, min_support: float, min_confidence: float = 0.0, items: str = "items",
          num_partitions: int | None = None) -> FPGrowthModel:
-    """Fit FP-Growth; ``num_partitions`` defaults to the input's partitions."""
+    """Fit FP-Growth.
+
+    The baskets are checkpointed first: the fit, the lazily mined itemsets and
+    the rules each read them, and the source join must not run three times.
+    The model's itemsets (bounded by the support threshold) are persisted so
+    rules and reports reuse one mining pass; :func:`release` frees them.
+    ``num_partitions`` (FP-tree groups) defaults to the input's partitions,
+    which AQE sizes from the data volume; more groups duplicate conditional
+    transactions, which on dense baskets costs more than it parallelises.
+    """
+    checkpoint_dir(baskets.sparkSession)
+    data = baskets.select(items).checkpoint(eager=True)
     fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    return fp.fit(baskets.select(items))
+    model = fp.fit(data)
+    model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
+    return model
+
+
+def release(model: FPGrowthModel) -> None:
+    """Drop the cached itemsets of a model returned by :func:`mine`."""
+    model.freqItemsets.unpersist()
 
 
 def frequent_itemsets(model: FPGrowthModel) -> DataFrame:

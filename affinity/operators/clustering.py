@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinity.functions import nearest_index
+from affinity.session import checkpoint_dir
 
 # Fixed tier names from the reference (lowest average first).
 TIER_NAMES = {
@@ -52,6 +53,18 @@ def fit_kmeans(df: DataFrame, features: list[str], k: int = 4, max_iter: int = 3
     return best
 
 
+def kmeans_labels(df: DataFrame, key: str, features: list[str], k: int = 4, max_iter: int = 30,
+                  seed: int = 7, n_init: int = 1, label: str = "label") -> DataFrame:
+    """Fit k-means and label every row: ``(key, label)``.
+
+    The input is checkpointed once (fit and assignment both read it).
+    """
+    checkpoint_dir(df.sparkSession)
+    data = df.select(key, *features).checkpoint(eager=True)
+    model = fit_kmeans(data, features, k=k, max_iter=max_iter, seed=seed, n_init=n_init)
+    return assign(model, data, key, features, label)
+
+
 def assign(model: KMeansModel, df: DataFrame, key: str, features: list[str],
            label: str = "label") -> DataFrame:
     """``(key, label)`` with the cluster index as a string label."""
@@ -209,8 +222,15 @@ def tier_labels(centres: DataFrame, group_cols: list[str] | tuple = (), descendi
 
 def forecast_tier(train_points: DataFrame, new_points: DataFrame, value: str = "avg", key: str = "cno",
                   k: int = 3, epsilon: float = 0.001, init: list[float] | None = None) -> DataFrame:
-    """Tier of new items: Lloyd on ``train_points[value]``, then nearest centre."""
+    """Tier of items: Lloyd on ``train_points[value]``, then the nearest centre
+    for every row of ``new_points`` (pass the same DataFrame to label the
+    training items themselves)."""
+    checkpoint_dir(train_points.sparkSession)
+    same = new_points is train_points
+    train_points = train_points.select(key, value).checkpoint(eager=True)
+    new_points = train_points if same else new_points
     cent = lloyd_1d(histogram(train_points, value), k, epsilon=epsilon, init=init)
     tiers = tier_labels(cent)
     asg = assign_nearest(new_points.select(key, value), value, cent)
+    # one row per tier (k rows)
     return asg.join(F.broadcast(tiers.select("cluster", "tier_rank", "tier")), "cluster")

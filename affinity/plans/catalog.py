@@ -200,8 +200,7 @@ FEATURES = ["avg", "pass", "good", "great"]
 
 def _kmeans(spark, sf_dir):
     p = _profile(spark, sf_dir)
-    model = clustering.fit_kmeans(p, FEATURES, k=KMEANS_K, max_iter=KMEANS_ITER, seed=SEED)
-    return clustering.assign(model, p, "cno", FEATURES)
+    return clustering.kmeans_labels(p, "cno", FEATURES, k=KMEANS_K, max_iter=KMEANS_ITER, seed=SEED)
 
 
 def q_kmeans_assign(spark, sf_dir):
@@ -213,10 +212,7 @@ def q_cluster_sizes(spark, sf_dir):
 
 
 def _tiers(train_points, new_points):
-    cent = clustering.lloyd_1d(clustering.histogram(train_points, "avg"), LLOYD_K, epsilon=EPSILON)
-    tiers = clustering.tier_labels(cent)
-    asg = clustering.assign_nearest(new_points.select("cno", "avg"), "avg", cent)
-    return asg.join(F.broadcast(tiers.select("cluster", "tier_rank", "tier")), "cluster")
+    return clustering.forecast_tier(train_points, new_points, "avg", "cno", k=LLOYD_K, epsilon=EPSILON)
 
 
 def q_lloyd_tiers(spark, sf_dir):

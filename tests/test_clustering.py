@@ -98,3 +98,9 @@ def test_wide_long_roundtrip(spark):
     assert long.count() == 3
     back = anonymize.to_wide(long, attrs=["m1", "m2"]).orderBy("id").collect()
     assert back[1].m1 is None and back[1].m2 == 70.0
+
+
+def test_format_sheet(spark):
+    wide = spark.createDataFrame([("1", 53.0, 71.5)], "id string, m1 double, `m#2` double")
+    line = anonymize.format_sheet(wide, ["m1", "m#2"]).first().value
+    assert line == "53.000\t71.500\t"
