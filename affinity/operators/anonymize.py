@@ -82,8 +82,9 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     # Cells are read twice (histogram, then replacement): materialise them
     # once in the shared checkpoint folder instead of recomputing the source.
     c = c.checkpoint(eager=True)
-    # Histogram of all cells: (attr, band, q, n), partial-aggregated.
-    hist_all = c.groupBy("attr", "band", "q").agg(F.count(F.lit(1)).alias("n"))
+    # Histogram of all cells: (attr, band, q, n), partial-aggregated; it feeds
+    # training, sizes and selection, so it is materialised once as well.
+    hist_all = c.groupBy("attr", "band", "q").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     eligible = (F.col("band") < len(BAND_CUTS)) | (F.col("q") < top)
     # Does the band hold any training value? One row per (attr, band).
     has = hist_all.groupBy("attr", "band").agg(F.max(eligible.cast("int")).alias("_has"))
@@ -102,11 +103,14 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     pick = Window.partitionBy("attr", "band").orderBy(ok.cast("int").desc(), F.col("k").desc())
     # Chosen centres: one row per (attr, band), i.e. at most attributes × 5 rows.
     chosen = (sized.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") == 1)
-              .join(cent, ["attr", "band", "k"]).select("attr", "band", "k", "centres"))
+              .join(cent, ["attr", "band", "k"]).select("attr", "band", "k", "centres")
+              .checkpoint(eager=True))
     cluster = nearest_index(F.col("q").cast("double"), "centres")
+    # Cluster sizes over all cells: at most attributes × 5 × kmax rows.
     sizes = (hist_all.join(F.broadcast(chosen), ["attr", "band"])
              .groupBy("attr", "band", cluster.alias("cluster"))
-             .agg(F.sum("n").alias("cluster_size")))
+             .agg(F.sum("n").alias("cluster_size"))
+             .checkpoint(eager=True))
     out = (c.join(F.broadcast(chosen), ["attr", "band"])
            .withColumn("cluster", cluster)
            .withColumn("center", F.get(F.col("centres"), F.col("cluster")) / F.lit(float(scale)))

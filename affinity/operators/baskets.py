@@ -113,7 +113,9 @@ def recommend_from_rules(rules: DataFrame, pairs: DataFrame, basket: str = "sno"
     with an equi-join on the item and a count per (basket, antecedent); no
     basket array is ever compared against every rule.
     """
-    p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct()
+    # The distinct pairs are read twice (rule matching, ownership test).
+    checkpoint_dir(pairs.sparkSession)
+    p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct().checkpoint(eager=True)
     keyed = rules.select(joined("antecedent", "\u0001").alias("_ak"), "antecedent", "consequent")
     ante = (keyed.select("_ak", F.size("antecedent").alias("_n"), "antecedent").distinct()
             .select("_ak", "_n", F.explode("antecedent").alias("_i")))

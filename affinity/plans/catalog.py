@@ -46,12 +46,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ------------------------------------------------------------------ inputs
 
+def _train_view(spark, sf_dir, item="brand"):
+    return scores_view(spark, sf_dir, item, score_lt=TRAIN_CUT, cohort_not=HOLDOUT)
+
+
 def _train(spark, sf_dir, item="brand"):
-    return prep.train_scores(scores_view(spark, sf_dir, item), HOLDOUT, TRAIN_CUT)
+    return prep.train_scores(_train_view(spark, sf_dir, item), HOLDOUT, TRAIN_CUT)
 
 
 def _preview(spark, sf_dir, item="brand"):
-    return prep.preview_scores(scores_view(spark, sf_dir, item), HOLDOUT, PREVIEW_CUT)
+    view = scores_view(spark, sf_dir, item, score_lt=PREVIEW_CUT, cohort=HOLDOUT)
+    return prep.preview_scores(view, HOLDOUT, PREVIEW_CUT)
 
 
 def _brand_cosine(spark, sf_dir):
@@ -59,7 +64,7 @@ def _brand_cosine(spark, sf_dir):
 
 
 def _itemsets(spark, sf_dir, support):
-    pairs = prep.basket_pairs(scores_view(spark, sf_dir, "brand"), HOLDOUT, TRAIN_CUT)
+    pairs = prep.basket_pairs(_train_view(spark, sf_dir), HOLDOUT, TRAIN_CUT)
     return pipeline.mine_rules(pairs, support, MIN_CONFIDENCE)
 
 
@@ -78,7 +83,7 @@ def q_preview_scores(spark, sf_dir):
 
 
 def q_basket_pairs(spark, sf_dir):
-    return prep.basket_pairs(scores_view(spark, sf_dir, "brand"), HOLDOUT, TRAIN_CUT)
+    return prep.basket_pairs(_train_view(spark, sf_dir), HOLDOUT, TRAIN_CUT)
 
 
 def q_cooccurrence(spark, sf_dir):
@@ -103,8 +108,9 @@ def q_recommend_scores(spark, sf_dir):
 
 
 def q_recommend_unseen(spark, sf_dir):
-    pred = q_recommend_scores(spark, sf_dir)
-    return recommend.exclude_items(pred, _preview(spark, sf_dir), per_user=True)
+    pred = pipeline.predict(_preview(spark, sf_dir), _brand_cosine(spark, sf_dir), PREVIEW_CUT, n=TOP_N,
+                            threshold=None, exclude_seen=True)
+    return pred.select("sno", "cno", _r6("pre_score"))
 
 
 def q_seen_items(spark, sf_dir):
@@ -139,7 +145,7 @@ def q_rules_wide(spark, sf_dir):
 
 def q_recommend_from_rules(spark, sf_dir):
     _, rules, _ = _itemsets(spark, sf_dir, MIN_SUPPORT)
-    pairs = prep.basket_pairs(scores_view(spark, sf_dir, "brand"), HOLDOUT, TRAIN_CUT)
+    pairs = prep.basket_pairs(_train_view(spark, sf_dir), HOLDOUT, TRAIN_CUT)
     return baskets.recommend_from_rules(rules, pairs)
 
 

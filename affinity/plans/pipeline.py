@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 from affinity.operators import baskets as B
 from affinity.operators import prep, recommend, similarity
+from affinity.session import checkpoint_dir
 
 
 def train(train_rows: DataFrame, cut: float = prep.TRAIN_CUT, itemsets: DataFrame | None = None,
@@ -37,6 +38,10 @@ def predict(preview_rows: DataFrame, sim: DataFrame, cut: float = prep.PREVIEW_C
             exclude_seen: bool = False, user: str = "sno", item: str = "cno",
             score: str = "score", **kw) -> DataFrame:
     """Scores ``(user, item, pre_score)`` for the preview grades."""
+    if exclude_seen:
+        # read twice (scores and exclusion): materialise once
+        checkpoint_dir(preview_rows.sparkSession)
+        preview_rows = preview_rows.select(user, item, score).checkpoint(eager=True)
     perf = prep.with_deficit(preview_rows.select(user, item, score), cut, score=score)
     pred = recommend.predict(sim, perf, n=n, threshold=threshold, user=user, item=item, **kw)
     if exclude_seen:

@@ -24,10 +24,23 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def scores_view(spark: SparkSession, sf_dir: str, item: str = "brand") -> DataFrame:
-    """``(sno, cno, score, term, cohort)`` over the whole line-item table."""
+def scores_view(spark: SparkSession, sf_dir: str, item: str = "brand", score_lt: float | None = None,
+                cohort: str | None = None, cohort_not: str | None = None) -> DataFrame:
+    """``(sno, cno, score, term, cohort)`` over the whole line-item table.
+
+    ``score_lt`` / ``cohort`` / ``cohort_not`` restrict the view with
+    predicates on the raw columns (``l_quantity < score_lt - 50`` and an order
+    date range), which reach the parquet scans as pushed filters; callers
+    still apply their own filters on the derived columns.
+    """
     li = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if score_lt is not None:
+        li = li.where(F.col("l_quantity") < F.lit(float(score_lt) - 50.0))
+    if cohort is not None:
+        od = od.where(_year_range(cohort))
+    if cohort_not is not None:
+        od = od.where(~_year_range(cohort_not))
     df = li.join(od, li.l_orderkey == od.o_orderkey)
     if item == "brand":
         pt = load_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -45,3 +58,10 @@ def scores_view(spark: SparkSession, sf_dir: str, item: str = "brand") -> DataFr
         F.concat(year.cast("string"), F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("term"),
         year.cast("string").alias("cohort"),
     )
+
+
+def _year_range(year: str):
+    y = int(year)
+    lo = F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{y + 1:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    return (F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)
