@@ -91,6 +91,7 @@ def cluster_sizes(assigned: DataFrame, label: str = "label") -> DataFrame:
 # ------------------------------------------------------------- 1-D Lloyd
 
 HIST_ROWS_PER_PART = 500_000
+MAX_GROUPS = 100_000  # bound on groups whose centres the loop holds (k numbers each)
 LAST_ITERATIONS = 0  # iterations of the most recent lloyd_1d call (diagnostics)
 
 def histogram(points: DataFrame, value: str, group_cols: list[str] | tuple = (),
@@ -130,6 +131,9 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
             small = hist.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
             hist.unpersist()
             hist = small
+        if len(rng) > MAX_GROUPS:
+            raise ValueError(f"lloyd_1d keeps k centres per group on the driver; {len(rng)} groups "
+                             f"exceed MAX_GROUPS={MAX_GROUPS}")
         state = {}
         for r in rng:
             key = tuple(r[c] for c in group_cols)

@@ -47,3 +47,24 @@ def test_nan_never_passes(spark):
 def test_seen_items(grades):
     pv = prep.preview_scores(grades, HOLDOUT)
     assert sorted(r.cno for r in recommend.seen_items(pv).collect()) == ["a", "b", "c"]
+
+
+def test_divisor_squash_and_order(grades, sim):
+    pv = prep.preview_scores(grades, HOLDOUT)
+    base = _scores(pipeline.predict(pv, sim, threshold=None))
+    fixed = _scores(pipeline.predict(pv, sim, threshold=None, divisor=10.0))
+    # p1 kept 2 rows: the fixed divisor rescales by 2/10
+    assert fixed[("p1", "b")] == pytest.approx(base[("p1", "b")] * 2 / 10)
+    import math
+
+    sq = _scores(pipeline.predict(pv, sim, threshold=None, squash="atan"))
+    assert sq[("p2", "a")] == pytest.approx(math.atan(base[("p2", "a")]))
+    rows = pipeline.predict(pv, sim, threshold=None, order=True).collect()
+    keys = [(r.sno, r.pre_score) for r in rows]
+    assert keys == sorted(keys)
+
+
+def test_exclude_globally_known(grades, sim):
+    pv = prep.preview_scores(grades, HOLDOUT)
+    pred = pipeline.predict(pv, sim, threshold=None)
+    assert recommend.exclude_items(pred, pv, per_user=False).count() == 0  # a, b, c all seen

@@ -90,3 +90,18 @@ def test_cosine_matches_brute_force(spark, rows):
         assert got[k] == pytest.approx(v, rel=1e-9)
         assert got[k] == pytest.approx(got[(k[1], k[0])])
         assert -1e-12 <= got[k] <= 1 + 1e-12
+
+
+def test_heavy_user_paths_agree(spark, monkeypatch):
+    # one user holds a third of the rows and most items; light users elsewhere
+    rows = [("hot", f"i{j}", float(1 + j % 5)) for j in range(60)]
+    rows += [(f"u{k}", f"i{(k * 7 + j) % 60}", float(1 + (k + j) % 4)) for k in range(40) for j in range(3)]
+    df = spark.createDataFrame(rows, "sno string, cno string, weight double")
+    plain = as_dict(similarity.cosine(df, blocks=1))
+    broadcast_heavy = as_dict(similarity.cosine(df, blocks=4, heavy_items=30))
+    monkeypatch.setattr(similarity, "HEAVY_BROADCAST_LIMIT", 0)  # force the shuffle-join path
+    shuffled_heavy = as_dict(similarity.cosine(df, blocks=4, heavy_items=30))
+    assert plain.keys() == broadcast_heavy.keys() == shuffled_heavy.keys()
+    for k, v in plain.items():
+        assert broadcast_heavy[k] == pytest.approx(v, rel=1e-12)
+        assert shuffled_heavy[k] == pytest.approx(v, rel=1e-12)
