@@ -45,11 +45,12 @@ def unordered_pairs(arr) -> Column:
 def nearest_index(value, centres) -> Column:
     """Index of the centre closest to ``value``; ties go to the later centre.
 
-    ``centres`` is an array column (one entry per cluster, NULL = absent).
+    ``centres`` is an array column (one entry per cluster, NULL = absent);
+    the result is NULL when no centre is present.
     """
     v = col(value)
     c = col(centres)
-    return F.aggregate(
+    idx = F.aggregate(
         F.sequence(F.lit(0), F.size(c) - 1),
         F.lit(-1),
         lambda acc, i: F.when(F.get(c, i).isNull(), acc)
@@ -57,6 +58,7 @@ def nearest_index(value, centres) -> Column:
         .when(F.abs(v - F.get(c, i)) <= F.abs(v - F.get(c, acc)), i)
         .otherwise(acc),
     )
+    return F.when(idx >= 0, idx)  # NULL when there is no centre
 
 
 def fixed(x, digits: int = 3) -> Column:

@@ -125,7 +125,7 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
                .collect())
         # Iterations re-scan the histogram: keep about HIST_ROWS_PER_PART rows per
         # partition (the histogram size grows with distinct values, not rows).
-        m = sum(int(r["_m"]) for r in rng)
+        m = sum(int(r["_m"] or 0) for r in rng)
         parts = max(1, -(-m // HIST_ROWS_PER_PART))
         if parts < hist.rdd.getNumPartitions():
             small = hist.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
@@ -136,6 +136,8 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
                              f"exceed MAX_GROUPS={MAX_GROUPS}")
         state = {}
         for r in rng:
+            if not r["_m"]:
+                continue  # a global aggregate over no values still returns one row
             key = tuple(r[c] for c in group_cols)
             kk = int(r["_k"])
             if init is not None:
@@ -196,7 +198,8 @@ def assign_nearest(df: DataFrame, value: str, centres: DataFrame, group_cols: li
         j = df.join(F.broadcast(centres), group_cols)
     else:
         # One group: k numbers, inlined as a literal array (no join at all).
-        only = centres.select("centres").first()["centres"]
+        row = centres.select("centres").first()
+        only = row["centres"] if row is not None else [None]
         j = df.withColumn("centres", _literal_array(only))
     idx = nearest_index(F.col(value).cast("double"), "centres")
     return (j.withColumn(out_index, idx)

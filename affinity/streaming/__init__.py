@@ -5,7 +5,8 @@ is grades arriving over time while the similarity table stays fixed. A
 user's scores depend on all of that user's grades (top-N over the user's
 rows), so each micro-batch
 
-1. appends its rows to a history table in the shared folder,
+1. appends its rows to a history table in the shared folder, partitioned by
+   a hash bucket of the user,
 2. re-runs :func:`affinity.plans.pipeline.predict` for the users the batch
    touched, reading their full history (a left-semi join on the user),
 3. appends the new scores tagged with the batch id.
@@ -25,12 +26,25 @@ from pyspark.sql.streaming import StreamingQuery
 from affinity.plans import pipeline
 
 
+HISTORY_BUCKETS = 256
+
+
+def _bucket(user: str):
+    return F.pmod(F.xxhash64(F.col(user)), F.lit(HISTORY_BUCKETS)).cast("int").alias("_bucket")
+
+
 def _batch_writer(sim: DataFrame, history_path: str, out_path: str, user: str, predict_kw: dict):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("append").parquet(history_path)
-        touched = batch.select(user).distinct()
-        rows = spark.read.parquet(history_path).join(touched, user, "left_semi")
+        if batch.isEmpty():
+            return
+        # History is partitioned by a hash bucket of the user: a batch reads
+        # only the buckets of the users it touched (dynamic partition pruning).
+        keyed = batch.select("*", _bucket(user))
+        keyed.write.mode("append").partitionBy("_bucket").parquet(history_path)
+        touched = batch.select(user, _bucket(user)).distinct()
+        rows = (spark.read.schema(keyed.schema).parquet(history_path)
+                .join(touched, [user, "_bucket"], "left_semi").drop("_bucket"))
         pred = pipeline.predict(rows, sim, user=user, **predict_kw)
         pred.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
 

@@ -104,3 +104,12 @@ def test_format_sheet(spark):
     wide = spark.createDataFrame([("1", 53.0, 71.5)], "id string, m1 double, `m#2` double")
     line = anonymize.format_sheet(wide, ["m1", "m#2"]).first().value
     assert line == "53.000\t71.500\t"
+
+
+def test_empty_training_gives_null_clusters(spark):
+    empty = spark.createDataFrame([], "cno string, avg double")
+    pts = spark.createDataFrame([("x", 1.0)], "cno string, avg double")
+    cent = clustering.lloyd_1d(clustering.histogram(empty, "avg"), 3)
+    assert cent.count() == 0
+    row = clustering.assign_nearest(pts, "avg", cent).first()
+    assert row.cluster is None and row.center is None

@@ -27,6 +27,13 @@ def test_train_and_preview_selection(grades):
     assert sorted((r.sno, r.cno) for r in pv.collect()) == [("p1", "a"), ("p2", "b"), ("p2", "c")]
 
 
+def test_term_filter(spark):
+    rows = [("u", "a", 50.0, "2016秋", "2015级"), ("u", "b", 50.0, "2017春", "2015级")]
+    df = spark.createDataFrame(rows, "sno string, cno string, score double, term string, cohort string")
+    got = prep.train_scores(df, HOLDOUT, term="2016秋").collect()
+    assert [(r.sno, r.cno) for r in got] == [("u", "a")]
+
+
 def test_cosine_train(grades):
     # FIXTURES.md §2.3
     sim = pipeline.train(prep.train_scores(grades, HOLDOUT))
