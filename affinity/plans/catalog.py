@@ -37,7 +37,7 @@ from affinity.plans.params import (
     TOP_N,
     TRAIN_CUT,
 )
-from affinity.session import scratch_path
+from affinity.session import checkpoint_dir, scratch_path
 from affinity.sources import load_table, read_ratings, scores_view
 from affinity.sinks import write_files
 
@@ -63,9 +63,16 @@ def _brand_cosine(spark, sf_dir):
     return pipeline.train(_train(spark, sf_dir), TRAIN_CUT)
 
 
-def _itemsets(spark, sf_dir, support):
-    pairs = prep.basket_pairs(_train_view(spark, sf_dir), HOLDOUT, TRAIN_CUT)
-    return pipeline.mine_rules(pairs, support, MIN_CONFIDENCE)
+def _train_once(spark, sf_dir):
+    """Training grades materialised once, for queries that both mine baskets
+    and compute similarities (or match rules) from them."""
+    checkpoint_dir(spark)
+    return _train(spark, sf_dir).checkpoint(eager=True)
+
+
+def _itemsets(spark, sf_dir, support, rows=None):
+    rows = rows if rows is not None else _train(spark, sf_dir)
+    return pipeline.mine_rules(rows.select("sno", "cno"), support, MIN_CONFIDENCE)
 
 
 def _r6(c):
@@ -144,9 +151,9 @@ def q_rules_wide(spark, sf_dir):
 
 
 def q_recommend_from_rules(spark, sf_dir):
-    _, rules, _ = _itemsets(spark, sf_dir, MIN_SUPPORT)
-    pairs = prep.basket_pairs(_train_view(spark, sf_dir), HOLDOUT, TRAIN_CUT)
-    return baskets.recommend_from_rules(rules, pairs)
+    rows = _train_once(spark, sf_dir)
+    _, rules, _ = _itemsets(spark, sf_dir, MIN_SUPPORT, rows)
+    return baskets.recommend_from_rules(rules, rows.select("sno", "cno"))
 
 
 def _order_pairs(spark, sf_dir):
@@ -170,8 +177,9 @@ def q_order_rules(spark, sf_dir):
 
 
 def _boosted(spark, sf_dir):
-    fi, _, _ = _itemsets(spark, sf_dir, BOOST_SUPPORT)
-    return pipeline.train(_train(spark, sf_dir), TRAIN_CUT, itemsets=fi, boost_weight=BOOST_WEIGHT)
+    rows = _train_once(spark, sf_dir)
+    fi, _, _ = _itemsets(spark, sf_dir, BOOST_SUPPORT, rows)
+    return pipeline.train(rows, TRAIN_CUT, itemsets=fi, boost_weight=BOOST_WEIGHT)
 
 
 def q_cosine_boosted(spark, sf_dir):
@@ -183,10 +191,11 @@ def q_recommend_boosted_scores(spark, sf_dir):
 
 
 def q_pair_boost(spark, sf_dir):
-    fi, _, _ = _itemsets(spark, sf_dir, MIN_SUPPORT)
+    rows = _train_once(spark, sf_dir)
+    fi, _, _ = _itemsets(spark, sf_dir, MIN_SUPPORT, rows)
     pairs = fi.where(F.col("size") == 2).select(F.get("items", 0).alias("a"), F.get("items", 1).alias("b"),
                                                F.col("freq").cast("double").alias("value"))
-    return pipeline.train(_train(spark, sf_dir), TRAIN_CUT, pairs=pairs)
+    return pipeline.train(rows, TRAIN_CUT, pairs=pairs)
 
 
 def _profile(spark, sf_dir, cohort_cond=None):

@@ -113,3 +113,21 @@ def test_empty_training_gives_null_clusters(spark):
     assert cent.count() == 0
     row = clustering.assign_nearest(pts, "avg", cent).first()
     assert row.cluster is None and row.center is None
+
+
+def test_kmeans_centres_are_member_means(spark):
+    import random
+
+    rnd = random.Random(11)
+    pts = [(f"c{i}", float(rnd.choice([10, 50, 90]) + rnd.random()), float(rnd.random()))
+           for i in range(60)]
+    df = spark.createDataFrame(pts, "cno string, avg double, pass double")
+    feats = ["avg", "pass"]
+    model = clustering.fit_kmeans(df, feats, k=3, max_iter=50, seed=2)
+    lab = {r.cno: int(r.label) for r in clustering.assign(model, df, "cno", feats).collect()}
+    centres = model.clusterCenters()
+    for c in range(3):
+        members = [p for p in pts if lab[p[0]] == c]
+        assert members
+        for d in range(2):
+            assert centres[c][d] == pytest.approx(sum(m[d + 1] for m in members) / len(members), abs=1e-6)
