@@ -55,3 +55,44 @@ def mine_rules(pairs: DataFrame, min_support: float, min_confidence: float, bask
     bk = B.to_baskets(pairs, basket=basket, item=item)
     model = B.mine(bk, min_support, min_confidence, num_partitions=num_partitions)
     return B.frequent_itemsets(model), B.association_rules(model), model
+
+
+def rules_job(pairs: DataFrame, min_support: float, min_confidence: float, out_path: str | None = None,
+              basket: str = "sno", item: str = "cno", text: bool = True) -> DataFrame:
+    """Rule-mining job: baskets → FP-Growth → wide rules
+    ``(antecedent1..4, consequent, confidence)``; optionally written as one
+    tab-separated text file (rule sets are small) or as parquet."""
+    from affinity.sinks import write_files
+
+    _, rules, _ = mine_rules(pairs, min_support, min_confidence, basket=basket, item=item)
+    wide = B.rules_wide(rules)
+    if out_path is not None:
+        if text:
+            write_files(wide, out_path, fmt="text", single_file=True)
+        else:
+            write_files(wide, out_path)
+    return wide
+
+
+def itemsets_job(pairs: DataFrame, min_support: float, basket: str = "sno", item: str = "cno",
+                 wide: bool = False) -> DataFrame:
+    """Itemset job: ``(items, freq as double)`` or the wide ``item1..item4`` shape."""
+    from pyspark.sql import functions as F
+
+    fi, _, _ = mine_rules(pairs, min_support, 0.0, basket=basket, item=item)
+    if wide:
+        return B.itemsets_wide(fi, keep_freq=False)
+    return fi.select("items", F.col("freq").cast("double").alias("freq"))
+
+
+def kmeans_job(features: DataFrame, key: str = "cno", cols: list[str] | None = None, k: int = 4,
+               max_iter: int = 30, seed: int = 7, n_init: int = 1, out_path: str | None = None) -> DataFrame:
+    """Cluster-labelling job: ``(key, label)`` for every row, optionally written."""
+    from affinity.operators import clustering
+    from affinity.sinks import write_labels
+
+    cols = cols or [c for c in features.columns if c != key]
+    labels = clustering.kmeans_labels(features, key, cols, k=k, max_iter=max_iter, seed=seed, n_init=n_init)
+    if out_path is not None:
+        write_labels(labels.withColumnRenamed(key, "cno"), out_path, mode="overwrite")
+    return labels

@@ -84,3 +84,17 @@ def test_rule_text(mined):
     _, rules, _ = mined
     txt = {r.value for r in baskets.rule_text(rules.where("consequent = 'a'")).collect()}
     assert "[b]-->[a],1.0" in txt
+
+
+def test_rules_and_itemsets_jobs(spark, grades):
+    from affinity.session import scratch_path
+
+    pairs = prep.basket_pairs(grades, HOLDOUT)
+    out = scratch_path(spark, "rules")
+    wide = pipeline.rules_job(pairs, 0.5, 0.65, out_path=out)
+    assert wide.count() == 4
+    lines = {r.value for r in spark.read.text(out).collect()}
+    assert "b\t\t\t\ta\t1.0" in lines
+    got = {tuple(r["items"]): r.freq for r in pipeline.itemsets_job(pairs, 0.5).collect()}
+    assert got[("a", "b")] == 2.0
+    assert pipeline.itemsets_job(pairs, 0.5, wide=True).columns == ["item1", "item2", "item3", "item4"]

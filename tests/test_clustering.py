@@ -131,3 +131,13 @@ def test_kmeans_centres_are_member_means(spark):
         assert members
         for d in range(2):
             assert centres[c][d] == pytest.approx(sum(m[d + 1] for m in members) / len(members), abs=1e-6)
+
+
+def test_kmeans_job_writes_labels(spark, prof):
+    from affinity.plans import pipeline
+    from affinity.session import scratch_path
+
+    out = scratch_path(spark, "labels")
+    lab = pipeline.kmeans_job(prof.select("cno", "avg", "pass", "good", "great"), k=2, out_path=out)
+    assert lab.count() == 5
+    assert spark.read.parquet(out).columns == ["cno", "label"]
