@@ -111,7 +111,7 @@ def _itemsets(bi_sql: str, support: float, levels: int = MAX_LEVEL) -> str:
     parts = [f"SELECT {k} AS k, {sel}, array_to_string(items, ',') AS key, freq FROM f{k}"
              for k in range(1, levels + 1)]
     ctes.append("fi AS (" + " UNION ALL ".join(parts) + ")")
-    return ",\n".join(ctes), None
+    return ",\n".join(ctes)
 
 
 def _rules(levels: int = MAX_LEVEL) -> str:
@@ -132,23 +132,23 @@ def _rules(levels: int = MAX_LEVEL) -> str:
 
 
 def _frequent_itemsets(support: float) -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), support)
+    ctes = _itemsets(_baskets_items(_train()), support)
     return f"WITH {ctes}\nSELECT key AS items, k AS size, freq FROM fi"
 
 
 def _itemsets_wide(support: float) -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), support)
+    ctes = _itemsets(_baskets_items(_train()), support)
     return f"WITH {ctes}\nSELECT i1 AS item1, i2 AS item2, i3 AS item3, i4 AS item4, freq FROM fi"
 
 
 def _itemset_summary(support: float) -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), support)
+    ctes = _itemsets(_baskets_items(_train()), support)
     return (f"WITH {ctes}\nSELECT k AS size, count(*) AS n_itemsets, CAST(sum(freq) AS BIGINT) AS total_freq "
             f"FROM fi GROUP BY k")
 
 
 def _association_rules(support: float, confidence: float) -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), support)
+    ctes = _itemsets(_baskets_items(_train()), support)
     return f"""WITH {ctes},
     {_rules()}
     SELECT ante_key AS antecedent, consequent,
@@ -159,7 +159,7 @@ def _association_rules(support: float, confidence: float) -> str:
 
 
 def _rules_wide(support: float, confidence: float) -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), support)
+    ctes = _itemsets(_baskets_items(_train()), support)
     return f"""WITH {ctes},
     {_rules()}
     SELECT a1 AS antecedent1, a2 AS antecedent2, a3 AS antecedent3, a4 AS antecedent4,
@@ -168,7 +168,7 @@ def _rules_wide(support: float, confidence: float) -> str:
 
 
 def _recommend_from_rules(support: float, confidence: float) -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), support)
+    ctes = _itemsets(_baskets_items(_train()), support)
     return f"""WITH {ctes},
     {_rules()},
     fired AS (SELECT * FROM ru WHERE CAST(fu AS DOUBLE) / fa >= {confidence}),
@@ -182,7 +182,7 @@ def _recommend_from_rules(support: float, confidence: float) -> str:
 
 
 def _boosted_sim() -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), BOOST_SUPPORT)
+    ctes = _itemsets(_baskets_items(_train()), BOOST_SUPPORT)
     # Reference formulation: every (pair, itemset) combination tested for
     # containment of both items, then cnt / total added with weight.
     return f"""WITH {ctes},
@@ -198,7 +198,7 @@ def _boosted_sim() -> str:
 
 
 def _pair_boost() -> str:
-    ctes, _ = _itemsets(_baskets_items(_train()), MIN_SUPPORT)
+    ctes = _itemsets(_baskets_items(_train()), MIN_SUPPORT)
     return f"""WITH {ctes},
     pairs AS (SELECT i1 AS a, i2 AS b, CAST(freq AS DOUBLE) AS v FROM fi WHERE k = 2),
     sim AS ({_train_cosine()})
@@ -211,7 +211,7 @@ def _pair_boost() -> str:
 def _order_itemsets() -> str:
     bi = ("SELECT DISTINCT CAST(l.l_orderkey AS VARCHAR) AS basket, p.p_type AS item "
           "FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey")
-    ctes, _ = _itemsets(bi, ORDER_MIN_SUPPORT)
+    ctes = _itemsets(bi, ORDER_MIN_SUPPORT)
     return f"WITH {ctes}\nSELECT key AS items, k AS size, freq FROM fi"
 
 
@@ -223,7 +223,7 @@ def _recommend_boosted_scores() -> str:
 def _order_rules() -> str:
     bi = ("SELECT DISTINCT CAST(l.l_orderkey AS VARCHAR) AS basket, p.p_type AS item "
           "FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey")
-    ctes, _ = _itemsets(bi, ORDER_MIN_SUPPORT)
+    ctes = _itemsets(bi, ORDER_MIN_SUPPORT)
     return f"""WITH {ctes},
     {_rules()}
     SELECT ante_key AS antecedent, consequent,
