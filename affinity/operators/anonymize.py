@@ -10,8 +10,9 @@ Fixed values (from the reference): bands ``<60, [60,70), [70,80), [80,90),
 is assigned there (when a top band has no training value its own values
 train it); ``min_size`` 2; output precision 3 decimals.
 
-Plan: values are quantised to integer units of ``10^-decimals`` so centres are
-exact ratios of integer sums. One histogram ``(attr, band, q, n)`` is built
+Plan: bands are taken from the raw values; for clustering the values are
+quantised to integer units of ``10^-decimals`` so centres are exact ratios of
+integer sums. One histogram ``(attr, band, q, n)`` is built
 with a partial aggregation; Lloyd runs for all (attr, band, k) groups at once
 (:func:`affinity.operators.clustering.lloyd_1d`); the chosen centres — at most
 ``attrs × 5`` rows of 3 numbers — are broadcast back to the cells. No group
@@ -57,10 +58,11 @@ def format_sheet(wide: DataFrame, attrs: list[str], id_col: str = "id", digits:
     return wide.select(id_col, F.concat(F.concat_ws("\t", *cells), F.lit("\t")).alias("value"))
 
 
-def band(q, scale: int) -> F.Column:
+def band(v) -> F.Column:
+    """Grade band of a raw value: 0 for < 60, ... 4 for >= 90."""
     b = F.lit(len(BAND_CUTS))
     for i in reversed(range(len(BAND_CUTS))):
-        b = F.when(q < F.lit(int(BAND_CUTS[i] * scale)), F.lit(i)).otherwise(b)
+        b = F.when(v < F.lit(BAND_CUTS[i]), F.lit(i)).otherwise(b)
     return b
 
 
@@ -73,19 +75,22 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     NULL instead of releasing them.
     """
     scale = 10 ** decimals
-    top = int(TOP * scale)
     checkpoint_dir(cells.sparkSession)
+    raw = F.col(value).cast("double")
+    # Bands and the training range use the raw value; clustering uses the
+    # value quantised to integer units of 10^-decimals (exact centre sums).
     c = (cells.select(F.col(id_col).alias("id"), F.col(attr).alias("attr"),
-                      F.round(F.col(value).cast("double") * scale).cast("long").alias("q"))
+                      F.round(raw * scale).cast("long").alias("q"), band(raw).alias("band"),
+                      (raw < TOP).alias("_in_range"))
          .where(F.col("q").isNotNull()))
-    c = c.withColumn("band", band(F.col("q"), scale))
     # Cells are read twice (histogram, then replacement): materialise them
     # once in the shared checkpoint folder instead of recomputing the source.
     c = c.checkpoint(eager=True)
     # Histogram of all cells: (attr, band, q, n), partial-aggregated; it feeds
     # training, sizes and selection, so it is materialised once as well.
-    hist_all = c.groupBy("attr", "band", "q").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    eligible = (F.col("band") < len(BAND_CUTS)) | (F.col("q") < top)
+    hist_all = (c.groupBy("attr", "band", "q", "_in_range").agg(F.count(F.lit(1)).alias("n"))
+                .checkpoint(eager=True))
+    eligible = (F.col("band") < len(BAND_CUTS)) | F.col("_in_range")
     # Does the band hold any training value? One row per (attr, band).
     has = hist_all.groupBy("attr", "band").agg(F.max(eligible.cast("int")).alias("_has"))
     hist = (hist_all.join(F.broadcast(has), ["attr", "band"])

@@ -26,7 +26,8 @@ from affinity.plans.params import (  # noqa: F401
     KMAX_MICRO,
 )
 
-MAX_LEVEL = 6  # itemset sizes enumerated by the SQL (the data has none above 3)
+MAX_LEVEL = 6  # itemset sizes enumerated by the SQL (the data has none above 4)
+TOP_VALUE = 100.0  # microaggregation: the top band trains on values below this
 
 
 def _scores(item: str = "brand") -> str:
@@ -334,26 +335,24 @@ def _forecast_tier() -> str:
 
 def _micro_common() -> str:
     scale = 10 ** MICRO_DECIMALS
-    top = 100 * scale
     kmax = KMAX_MICRO
     cuts = [60, 70, 80, 90]
-    band = "CASE " + " ".join(f"WHEN q < {c * scale} THEN {i}" for i, c in enumerate(cuts)) + " ELSE 4 END"
+    band = "CASE " + " ".join(f"WHEN v < {c} THEN {i}" for i, c in enumerate(cuts)) + " ELSE 4 END"
     hist = f"""
       SELECT t.attr, t.band, ks.k, CAST(t.q AS DOUBLE) AS v, t.n FROM (
         SELECT c.attr, c.band, c.q, count(*) AS n FROM cells c
         JOIN trainable tr ON tr.attr = c.attr AND tr.band = c.band
-        WHERE c.band < 4 OR c.q < {top} OR NOT tr.has_train
+        WHERE c.band < 4 OR c.in_range OR NOT tr.has_train
         GROUP BY c.attr, c.band, c.q) t,
       (SELECT unnest(range(1, {kmax + 1})) AS k) ks"""
     ctes = _lloyd_sql(hist, "k", kmax, ["attr", "band", "k"], 0.0)
     fc = ", ".join(f"f.c{i}" for i in range(kmax))
     return f"""
     cells AS (
-      SELECT id, attr, q, {band} AS band FROM (
-        SELECT sno AS id, cno AS attr,
-               CAST(round(sum(score) / count(*) * {scale}) AS BIGINT) AS q
-        FROM ({_scores('brand')}) s GROUP BY sno, cno) c0),
-    trainable AS (SELECT attr, band, bool_or(band < 4 OR q < {top}) AS has_train
+      SELECT id, attr, CAST(round(v * {scale}) AS BIGINT) AS q, {band} AS band, v < {TOP_VALUE} AS in_range
+      FROM (SELECT sno AS id, cno AS attr, sum(score) / count(*) AS v
+            FROM ({_scores('brand')}) s GROUP BY sno, cno) c0),
+    trainable AS (SELECT attr, band, bool_or(band < 4 OR in_range) AS has_train
                   FROM cells GROUP BY attr, band),
     {ctes.strip()},
     sized AS (

@@ -141,3 +141,9 @@ def test_kmeans_job_writes_labels(spark, prof):
     lab = pipeline.kmeans_job(prof.select("cno", "avg", "pass", "good", "great"), k=2, out_path=out)
     assert lab.count() == 5
     assert spark.read.parquet(out).columns == ["cno", "label"]
+
+
+def test_band_uses_raw_value(spark):
+    cells = spark.createDataFrame([("1", "x", 59.9996), ("2", "x", 60.0004)], "id string, attr string, value double")
+    got = {r.id: r.band for r in anonymize.microaggregate(cells).collect()}
+    assert got == {"1": 0, "2": 1}
