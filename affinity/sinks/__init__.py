@@ -54,6 +54,14 @@ def write_labels(df: DataFrame, path: str | None = None, **kw) -> None:
            kw.pop("mode", "append"), kw.pop("fmt", "parquet"), kw.pop("batch_size", 10_000))
 
 
+def write_scores(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("cohort",),
+                 mode: str = "overwrite") -> None:
+    """Grade table as parquet partitioned by cohort: the held-out / preview
+    cohort filters then prune whole directories (``PartitionFilters``)."""
+    cols = [c for c in df.columns if c not in partition_by] + list(partition_by)
+    df.select(*cols).write.mode(mode).partitionBy(*partition_by).parquet(path)
+
+
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", sep: str = "\t", single_file: bool = False,
                 mode: str = "overwrite", header: bool = False) -> None:
     """Plain files: parquet by default, or tab-separated text / csv.

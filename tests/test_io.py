@@ -47,3 +47,17 @@ def test_writers_roundtrip(spark):
     assert spark.read.parquet(f"{base}/pred").first().pre_score == 1.5
     write_files(df, f"{base}/txt", fmt="text", single_file=True)
     assert spark.read.text(f"{base}/txt").first().value == "u\ta\t1.5"
+
+
+def test_cohort_partitioned_scores_prune(spark, grades):
+    from affinity.operators import prep
+    from affinity.sinks import write_scores
+    from tests.conftest import HOLDOUT
+
+    path = scratch_path(spark, "scores")
+    write_scores(grades, path)
+    back = read_scores(spark, path)
+    pv = prep.preview_scores(back, HOLDOUT)
+    plan = pv._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cohort" in plan and "2016级" in plan
+    assert sorted((r.sno, r.cno) for r in pv.collect()) == [("p1", "a"), ("p2", "b"), ("p2", "c")]
