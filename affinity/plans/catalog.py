@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions import joined
 from affinity.operators import anonymize, baskets, clustering, prep, profile, recommend, similarity
-from affinity.plans import pipeline
+from affinity.plans import jobs
 from affinity.plans.params import (
     BOOST_SUPPORT,
     BOOST_WEIGHT,
@@ -60,7 +60,7 @@ def _preview(spark, sf_dir, item="brand"):
 
 
 def _brand_cosine(spark, sf_dir):
-    return pipeline.train(_train(spark, sf_dir), TRAIN_CUT)
+    return jobs.train(_train(spark, sf_dir), TRAIN_CUT)
 
 
 def _train_once(spark, sf_dir):
@@ -72,7 +72,7 @@ def _train_once(spark, sf_dir):
 
 def _itemsets(spark, sf_dir, support, rows=None):
     rows = rows if rows is not None else _train(spark, sf_dir)
-    return pipeline.mine_rules(rows.select("sno", "cno"), support, MIN_CONFIDENCE)
+    return jobs.mine_rules(rows.select("sno", "cno"), support, MIN_CONFIDENCE)
 
 
 def _r6(c):
@@ -98,11 +98,11 @@ def q_cooccurrence(spark, sf_dir):
 
 
 def q_cosine(spark, sf_dir):
-    return pipeline.train(_train(spark, sf_dir, "part"), TRAIN_CUT)
+    return jobs.train(_train(spark, sf_dir, "part"), TRAIN_CUT)
 
 
 def _scores(spark, sf_dir, sim, threshold):
-    pred = pipeline.predict(_preview(spark, sf_dir), sim, PREVIEW_CUT, n=TOP_N, threshold=threshold)
+    pred = jobs.predict(_preview(spark, sf_dir), sim, PREVIEW_CUT, n=TOP_N, threshold=threshold)
     return pred.select("sno", "cno", _r6("pre_score"))
 
 
@@ -115,7 +115,7 @@ def q_recommend_scores(spark, sf_dir):
 
 
 def q_recommend_unseen(spark, sf_dir):
-    pred = pipeline.predict(_preview(spark, sf_dir), _brand_cosine(spark, sf_dir), PREVIEW_CUT, n=TOP_N,
+    pred = jobs.predict(_preview(spark, sf_dir), _brand_cosine(spark, sf_dir), PREVIEW_CUT, n=TOP_N,
                             threshold=None, exclude_seen=True)
     return pred.select("sno", "cno", _r6("pre_score"))
 
@@ -164,13 +164,13 @@ def _order_pairs(spark, sf_dir):
 
 
 def q_order_itemsets(spark, sf_dir):
-    fi, _, _ = pipeline.mine_rules(_order_pairs(spark, sf_dir), ORDER_MIN_SUPPORT, ORDER_MIN_CONFIDENCE,
+    fi, _, _ = jobs.mine_rules(_order_pairs(spark, sf_dir), ORDER_MIN_SUPPORT, ORDER_MIN_CONFIDENCE,
                                    basket="basket", item="item")
     return fi.select(joined("items").alias("items"), "size", "freq")
 
 
 def q_order_rules(spark, sf_dir):
-    _, rules, _ = pipeline.mine_rules(_order_pairs(spark, sf_dir), ORDER_MIN_SUPPORT,
+    _, rules, _ = jobs.mine_rules(_order_pairs(spark, sf_dir), ORDER_MIN_SUPPORT,
                                       ORDER_MIN_CONFIDENCE, basket="basket", item="item")
     return rules.select(joined("antecedent").alias("antecedent"), "consequent",
                         _r6("confidence"), _r6("lift"), _r6("support"))
@@ -179,7 +179,7 @@ def q_order_rules(spark, sf_dir):
 def _boosted(spark, sf_dir):
     rows = _train_once(spark, sf_dir)
     fi, _, _ = _itemsets(spark, sf_dir, BOOST_SUPPORT, rows)
-    return pipeline.train(rows, TRAIN_CUT, itemsets=fi, boost_weight=BOOST_WEIGHT)
+    return jobs.train(rows, TRAIN_CUT, itemsets=fi, boost_weight=BOOST_WEIGHT)
 
 
 def q_cosine_boosted(spark, sf_dir):
@@ -195,7 +195,7 @@ def q_pair_boost(spark, sf_dir):
     fi, _, _ = _itemsets(spark, sf_dir, MIN_SUPPORT, rows)
     pairs = fi.where(F.col("size") == 2).select(F.get("items", 0).alias("a"), F.get("items", 1).alias("b"),
                                                F.col("freq").cast("double").alias("value"))
-    return pipeline.train(rows, TRAIN_CUT, pairs=pairs)
+    return jobs.train(rows, TRAIN_CUT, pairs=pairs)
 
 
 def _profile(spark, sf_dir, cohort_cond=None):

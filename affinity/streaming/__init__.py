@@ -7,7 +7,7 @@ rows), so each micro-batch
 
 1. appends its rows to a history table in the shared folder, partitioned by
    a hash bucket of the user,
-2. re-runs :func:`affinity.plans.pipeline.predict` for the users the batch
+2. re-runs :func:`affinity.plans.jobs.predict` for the users the batch
    touched, reading their full history (a left-semi join on the user),
 3. appends the new scores tagged with the batch id.
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from affinity.plans import pipeline
+from affinity.plans import jobs
 
 
 HISTORY_BUCKETS = 256
@@ -45,7 +45,7 @@ def _batch_writer(sim: DataFrame, history_path: str, out_path: str, user: str, p
         touched = batch.select(user, _bucket(user)).distinct()
         rows = (spark.read.schema(keyed.schema).parquet(history_path)
                 .join(touched, [user, "_bucket"], "left_semi").drop("_bucket"))
-        pred = pipeline.predict(rows, sim, user=user, **predict_kw)
+        pred = jobs.predict(rows, sim, user=user, **predict_kw)
         pred.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
 
     return run

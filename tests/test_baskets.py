@@ -1,14 +1,14 @@
 import pytest
 
 from affinity.operators import baskets, prep
-from affinity.plans import pipeline
+from affinity.plans import jobs
 from tests.conftest import HOLDOUT, as_dict
 
 
 @pytest.fixture(scope="module")
 def mined(grades):
     pairs = prep.basket_pairs(grades, HOLDOUT)
-    return pipeline.mine_rules(pairs, 0.5, 0.65)
+    return jobs.mine_rules(pairs, 0.5, 0.65)
 
 
 def test_itemsets(mined):
@@ -37,7 +37,7 @@ def test_wide_shapes(mined):
 
 def test_duplicate_items_removed_before_fit(spark):
     pairs = spark.createDataFrame([("x", "a"), ("x", "a"), ("x", "b"), ("y", "a")], "sno string, cno string")
-    fi, _, _ = pipeline.mine_rules(pairs, 0.5, 0.5)
+    fi, _, _ = jobs.mine_rules(pairs, 0.5, 0.5)
     got = {",".join(r["items"]): r["freq"] for r in fi.collect()}
     assert got == {"a": 2, "b": 1, "a,b": 1}
 
@@ -55,7 +55,7 @@ def test_support_is_anti_monotone(mined):
 def test_boosted_cosine(grades, mined):
     # FIXTURES.md §2.5: sim + 32 · cnt / 11
     fi, _, _ = mined
-    sim = pipeline.train(prep.train_scores(grades, HOLDOUT), itemsets=fi)
+    sim = jobs.train(prep.train_scores(grades, HOLDOUT), itemsets=fi)
     got = as_dict(sim)
     assert got[("a", "b")] == pytest.approx(6.337056, abs=1e-6)
     assert got[("a", "c")] == pytest.approx(6.661878, abs=1e-6)
@@ -64,9 +64,9 @@ def test_boosted_cosine(grades, mined):
 
 def test_boosted_predictions(grades, mined):
     fi, _, _ = mined
-    sim = pipeline.train(prep.train_scores(grades, HOLDOUT), itemsets=fi)
+    sim = jobs.train(prep.train_scores(grades, HOLDOUT), itemsets=fi)
     got = {(r.sno, r.cno): r.pre_score
-           for r in pipeline.predict(prep.preview_scores(grades, HOLDOUT), sim, threshold=None).collect()}
+           for r in jobs.predict(prep.preview_scores(grades, HOLDOUT), sim, threshold=None).collect()}
     assert got[("p1", "b")] == pytest.approx(63.370563, abs=1e-6)
     assert got[("p1", "c")] == pytest.approx(66.618777, abs=1e-6)
     assert got[("p2", "a")] == pytest.approx(59.875694, abs=1e-6)
@@ -91,10 +91,10 @@ def test_rules_and_itemsets_jobs(spark, grades):
 
     pairs = prep.basket_pairs(grades, HOLDOUT)
     out = scratch_path(spark, "rules")
-    wide = pipeline.rules_job(pairs, 0.5, 0.65, out_path=out)
+    wide = jobs.rules_job(pairs, 0.5, 0.65, out_path=out)
     assert wide.count() == 4
     lines = {r.value for r in spark.read.text(out).collect()}
     assert "b\t\t\t\ta\t1.0" in lines
-    got = {tuple(r["items"]): r.freq for r in pipeline.itemsets_job(pairs, 0.5).collect()}
+    got = {tuple(r["items"]): r.freq for r in jobs.itemsets_job(pairs, 0.5).collect()}
     assert got[("a", "b")] == 2.0
-    assert pipeline.itemsets_job(pairs, 0.5, wide=True).columns == ["item1", "item2", "item3", "item4"]
+    assert jobs.itemsets_job(pairs, 0.5, wide=True).columns == ["item1", "item2", "item3", "item4"]

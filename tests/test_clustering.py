@@ -134,11 +134,11 @@ def test_kmeans_centres_are_member_means(spark):
 
 
 def test_kmeans_job_writes_labels(spark, prof):
-    from affinity.plans import pipeline
+    from affinity.plans import jobs
     from affinity.session import scratch_path
 
     out = scratch_path(spark, "labels")
-    lab = pipeline.kmeans_job(prof.select("cno", "avg", "pass", "good", "great"), k=2, out_path=out)
+    lab = jobs.kmeans_job(prof.select("cno", "avg", "pass", "good", "great"), k=2, out_path=out)
     assert lab.count() == 5
     assert spark.read.parquet(out).columns == ["cno", "label"]
 

@@ -1,7 +1,7 @@
 import pytest
 
 from affinity.operators import prep, recommend
-from affinity.plans import pipeline
+from affinity.plans import jobs
 from tests.conftest import HOLDOUT
 
 
@@ -11,7 +11,7 @@ def _scores(df):
 
 @pytest.fixture(scope="module")
 def sim(grades):
-    return pipeline.train(prep.train_scores(grades, HOLDOUT)).cache()
+    return jobs.train(prep.train_scores(grades, HOLDOUT)).cache()
 
 
 @pytest.mark.parametrize("n,expect", [
@@ -21,20 +21,20 @@ def sim(grades):
 ])
 def test_predict_before_threshold(grades, sim, n, expect):
     # FIXTURES.md §2.6, cosine rows
-    got = _scores(pipeline.predict(prep.preview_scores(grades, HOLDOUT), sim, n=n, threshold=None))
+    got = _scores(jobs.predict(prep.preview_scores(grades, HOLDOUT), sim, n=n, threshold=None))
     assert got.keys() == expect.keys()
     for k, v in expect.items():
         assert got[k] == pytest.approx(v, abs=1e-6)
 
 
 def test_threshold_keeps_known_items(grades, sim):
-    got = _scores(pipeline.predict(prep.preview_scores(grades, HOLDOUT), sim))
+    got = _scores(jobs.predict(prep.preview_scores(grades, HOLDOUT), sim))
     assert {c for (u, c) in got if u == "p2"} == {"a", "b"}  # own item b stays in
 
 
 def test_exclude_own_items(grades, sim):
     pv = prep.preview_scores(grades, HOLDOUT)
-    got = _scores(pipeline.predict(pv, sim, exclude_seen=True))
+    got = _scores(jobs.predict(pv, sim, exclude_seen=True))
     assert {c for (u, c) in got if u == "p2"} == {"a"}
 
 
@@ -51,20 +51,20 @@ def test_seen_items(grades):
 
 def test_divisor_squash_and_order(grades, sim):
     pv = prep.preview_scores(grades, HOLDOUT)
-    base = _scores(pipeline.predict(pv, sim, threshold=None))
-    fixed = _scores(pipeline.predict(pv, sim, threshold=None, divisor=10.0))
+    base = _scores(jobs.predict(pv, sim, threshold=None))
+    fixed = _scores(jobs.predict(pv, sim, threshold=None, divisor=10.0))
     # p1 kept 2 rows: the fixed divisor rescales by 2/10
     assert fixed[("p1", "b")] == pytest.approx(base[("p1", "b")] * 2 / 10)
     import math
 
-    sq = _scores(pipeline.predict(pv, sim, threshold=None, squash="atan"))
+    sq = _scores(jobs.predict(pv, sim, threshold=None, squash="atan"))
     assert sq[("p2", "a")] == pytest.approx(math.atan(base[("p2", "a")]))
-    rows = pipeline.predict(pv, sim, threshold=None, order=True).collect()
+    rows = jobs.predict(pv, sim, threshold=None, order=True).collect()
     keys = [(r.sno, r.pre_score) for r in rows]
     assert keys == sorted(keys)
 
 
 def test_exclude_globally_known(grades, sim):
     pv = prep.preview_scores(grades, HOLDOUT)
-    pred = pipeline.predict(pv, sim, threshold=None)
+    pred = jobs.predict(pv, sim, threshold=None)
     assert recommend.exclude_items(pred, pv, per_user=False).count() == 0  # a, b, c all seen

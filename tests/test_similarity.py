@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from affinity.operators import prep, similarity
-from affinity.plans import pipeline
+from affinity.plans import jobs
 from tests.conftest import HOLDOUT, as_dict
 
 
@@ -36,7 +36,7 @@ def test_term_filter(spark):
 
 def test_cosine_train(grades):
     # FIXTURES.md §2.3
-    sim = pipeline.train(prep.train_scores(grades, HOLDOUT))
+    sim = jobs.train(prep.train_scores(grades, HOLDOUT))
     got = as_dict(sim)
     for (x, y), v in {("a", "b"): 0.518875, ("a", "c"): 0.843696, ("b", "c"): 0.309016}.items():
         assert got[(x, y)] == pytest.approx(v, abs=1e-6)

@@ -1,14 +1,14 @@
 import pytest
 
 from affinity.operators import prep
-from affinity.plans import pipeline
+from affinity.plans import jobs
 from affinity.session import scratch_path
 from affinity.streaming import latest_predictions, start_scoring
 from tests.conftest import HOLDOUT
 
 
 def test_stream_rescoring_equals_batch(spark, grades):
-    sim = pipeline.train(prep.train_scores(grades, HOLDOUT))
+    sim = jobs.train(prep.train_scores(grades, HOLDOUT))
     preview = prep.preview_scores(grades, HOLDOUT)
     base = scratch_path(spark, "stream")
     src = f"{base}/in"
@@ -19,7 +19,7 @@ def test_stream_rescoring_equals_batch(spark, grades):
     q = start_scoring(stream, sim, f"{base}/history", f"{base}/out", f"{base}/ckpt", threshold=None)
     q.awaitTermination(120)
     got = {(r.sno, r.cno): r.pre_score for r in latest_predictions(spark, f"{base}/out").collect()}
-    want = {(r.sno, r.cno): r.pre_score for r in pipeline.predict(preview, sim, threshold=None).collect()}
+    want = {(r.sno, r.cno): r.pre_score for r in jobs.predict(preview, sim, threshold=None).collect()}
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v)
