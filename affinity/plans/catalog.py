@@ -186,6 +186,10 @@ def q_cosine_boosted(spark, sf_dir):
     return _boosted(spark, sf_dir)
 
 
+def q_recommend_boosted(spark, sf_dir):
+    return _scores(spark, sf_dir, _boosted(spark, sf_dir), THRESHOLD)
+
+
 def q_recommend_boosted_scores(spark, sf_dir):
     return _scores(spark, sf_dir, _boosted(spark, sf_dir), None)
 
@@ -297,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "order_itemsets": q_order_itemsets,
     "order_rules": q_order_rules,
     "cosine_boosted": q_cosine_boosted,
+    "recommend_boosted": q_recommend_boosted,
     "recommend_boosted_scores": q_recommend_boosted_scores,
     "pair_boost": q_pair_boost,
     "course_profile": q_course_profile,

@@ -216,6 +216,11 @@ def _order_itemsets() -> str:
     return f"WITH {ctes}\nSELECT key AS items, k AS size, freq FROM fi"
 
 
+def _recommend_boosted() -> str:
+    """Boosted-similarity predictions with the reference threshold."""
+    return _recommend(f"SELECT * FROM ({_boosted_sim().strip()}) bs")
+
+
 def _recommend_boosted_scores() -> str:
     """Scores with the itemset-boosted similarity, before the threshold."""
     return _recommend(f"SELECT * FROM ({_boosted_sim().strip()}) bs", None)
@@ -421,6 +426,7 @@ def oracle_sql() -> dict[str, str]:
         "order_itemsets": _order_itemsets(),
         "order_rules": _order_rules(),
         "cosine_boosted": _boosted_sim(),
+        "recommend_boosted": _recommend_boosted(),
         "recommend_boosted_scores": _recommend_boosted_scores(),
         "pair_boost": _pair_boost(),
         "course_profile": _course_profile(),
