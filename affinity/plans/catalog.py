@@ -262,8 +262,12 @@ def q_microaggregate(spark, sf_dir):
 def q_microaggregate_wide(spark, sf_dir):
     """The anonymised sheet: one row per id, one column per attribute."""
     m = _micro(spark, sf_dir).select("id", "attr", F.round("center", 3).alias("value"))
-    attrs = sorted(r.attr for r in m.select("attr").distinct().collect())  # attribute names (schema)
-    return anonymize.to_wide(m, "id", attrs)
+    # Attribute names become columns: bounded like any pivot (spark.sql.pivotMaxValues).
+    limit = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+    names = m.select("attr").distinct().limit(limit + 1).collect()
+    if len(names) > limit:
+        raise ValueError(f"more than {limit} attributes for the wide sheet; use the long form")
+    return anonymize.to_wide(m, "id", sorted(r.attr for r in names))
 
 
 def q_microaggregate_detail(spark, sf_dir):
