@@ -119,10 +119,14 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
     k_col = F.lit(k) if isinstance(k, int) else F.col(k)
     hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # One row per group; the collect itself is bounded by MAX_GROUPS.
         rng = (hist.groupBy(*group_cols)
                .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.max(k_col).alias("_k"),
                     F.count(F.lit(1)).alias("_m"))
-               .collect())
+               .limit(MAX_GROUPS + 1).collect())
+        if len(rng) > MAX_GROUPS:
+            raise ValueError(f"lloyd_1d keeps k centres per group on the driver; more than "
+                             f"MAX_GROUPS={MAX_GROUPS} groups")
         # Iterations re-scan the histogram: keep about HIST_ROWS_PER_PART rows per
         # partition (the histogram size grows with distinct values, not rows).
         m = sum(int(r["_m"] or 0) for r in rng)
@@ -131,9 +135,6 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
             small = hist.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
             hist.unpersist()
             hist = small
-        if len(rng) > MAX_GROUPS:
-            raise ValueError(f"lloyd_1d keeps k centres per group on the driver; {len(rng)} groups "
-                             f"exceed MAX_GROUPS={MAX_GROUPS}")
         state = {}
         for r in rng:
             if not r["_m"]:

@@ -147,3 +147,10 @@ def test_band_uses_raw_value(spark):
     cells = spark.createDataFrame([("1", "x", 59.9996), ("2", "x", 60.0004)], "id string, attr string, value double")
     got = {r.id: r.band for r in anonymize.microaggregate(cells).collect()}
     assert got == {"1": 0, "2": 1}
+
+
+def test_lloyd_group_bound(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "MAX_GROUPS", 2)
+    pts = spark.createDataFrame([(g, float(v)) for g in "abc" for v in (1, 2)], "g string, avg double")
+    with pytest.raises(ValueError, match="MAX_GROUPS"):
+        clustering.lloyd_1d(clustering.histogram(pts, "avg", ["g"]), 2, group_cols=["g"])
