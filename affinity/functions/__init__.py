@@ -58,7 +58,27 @@ def nearest_index(value, centres) -> Column:
         .when(F.abs(v - F.get(c, i)) <= F.abs(v - F.get(c, acc)), i)
         .otherwise(acc),
     )
-    return F.when(idx >= 0, idx)  # NULL when there is no centre
+    return F.when(v.isNotNull() & (idx >= 0), idx)  # NULL without a value or a centre
+
+
+def nearest_index_k(value, centres, kmax: int) -> Column:
+    """:func:`nearest_index` for arrays of at most ``kmax`` centres, as a plain
+    CASE chain (whole-stage codegen, compiled once when the centres are a
+    column rather than literals). Same result: the last closest centre."""
+    v = col(value)
+    c = col(centres)
+    out = F.lit(None).cast("int")
+    for i in range(kmax):
+        ci = F.get(c, i)
+        cond = ci.isNotNull()
+        for j in range(kmax):
+            if j == i:
+                continue
+            cj = F.get(c, j)
+            closer = F.abs(v - ci) < F.abs(v - cj) if j > i else F.abs(v - ci) <= F.abs(v - cj)
+            cond = cond & (cj.isNull() | closer)
+        out = F.when(cond, F.lit(i)).otherwise(out)
+    return out
 
 
 def fixed(x, digits: int = 3) -> Column:

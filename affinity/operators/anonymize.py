@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.functions import fixed, nearest_index
+from affinity.functions import fixed, nearest_index_k
 from affinity.operators.clustering import lloyd_1d
 from affinity.session import checkpoint_dir
 
@@ -100,7 +100,7 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     cent = lloyd_1d(hist, "k", kmax=kmax, group_cols=["attr", "band", "k"], epsilon=0.0)
     # Cluster sizes of the training values under the final centres.
     sized = (hist.join(F.broadcast(cent), ["attr", "band", "k"])
-             .withColumn("_idx", nearest_index("v", "centres"))
+             .withColumn("_idx", nearest_index_k("v", "centres", kmax))
              .groupBy("attr", "band", "k", "_idx").agg(F.sum("n").alias("_cnt"))
              .groupBy("attr", "band", "k")
              .agg(F.min("_cnt").alias("_min"), F.count(F.lit(1)).alias("_used")))
@@ -110,7 +110,7 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     chosen = (sized.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") == 1)
               .join(cent, ["attr", "band", "k"]).select("attr", "band", "k", "centres")
               .checkpoint(eager=True))
-    cluster = nearest_index(F.col("q").cast("double"), "centres")
+    cluster = nearest_index_k(F.col("q").cast("double"), "centres", kmax)
     # Cluster sizes over all cells: at most attributes × 5 × kmax rows.
     sizes = (hist_all.join(F.broadcast(chosen), ["attr", "band"])
              .groupBy("attr", "band", cluster.alias("cluster"))

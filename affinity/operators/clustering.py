@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from affinity.functions import nearest_index
+from affinity.functions import nearest_index, nearest_index_k
 from affinity.session import checkpoint_dir
 
 # Fixed tier names from the reference (lowest average first).
@@ -158,7 +158,8 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
                 a = hist.join(F.broadcast(cur), group_cols)
             else:
                 a = hist.withColumn("_c", _literal_array(state[()]))
-            upd = (a.withColumn("_idx", nearest_index("v", "_c"))
+            idx = nearest_index_k("v", "_c", kmax) if group_cols else nearest_index("v", "_c")
+            upd = (a.withColumn("_idx", idx)
                    .groupBy(*group_cols, "_idx")
                    .agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("_new"))
                    .collect())

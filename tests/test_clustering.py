@@ -154,3 +154,13 @@ def test_lloyd_group_bound(spark, monkeypatch):
     pts = spark.createDataFrame([(g, float(v)) for g in "abc" for v in (1, 2)], "g string, avg double")
     with pytest.raises(ValueError, match="MAX_GROUPS"):
         clustering.lloyd_1d(clustering.histogram(pts, "avg", ["g"]), 2, group_cols=["g"])
+
+
+def test_nearest_index_forms_agree(spark):
+    from affinity.functions import nearest_index, nearest_index_k
+
+    rows = [(v, c) for v in (0.0, 1.0, 2.0, 2.5, 3.0, 5.0, None)
+            for c in ([1.0, 2.0, 3.0], [2.0, 2.0, None], [None, None, None], [3.0, 1.0, 2.0], [1.0, 4.0, None])]
+    df = spark.createDataFrame(rows, "v double, c array<double>")
+    got = df.select(nearest_index("v", "c").alias("a"), nearest_index_k("v", "c", 3).alias("b")).collect()
+    assert all(r.a == r.b for r in got)
