@@ -92,6 +92,7 @@ def cluster_sizes(assigned: DataFrame, label: str = "label") -> DataFrame:
 
 HIST_ROWS_PER_PART = 500_000
 MAX_GROUPS = 100_000  # bound on groups whose centres the loop holds (k numbers each)
+CASE_MIN_ROWS = 200_000  # single-group histograms above this use the compiled CASE chain
 LAST_ITERATIONS = 0  # iterations of the most recent lloyd_1d call (diagnostics)
 
 def histogram(points: DataFrame, value: str, group_cols: list[str] | tuple = (),
@@ -158,7 +159,10 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
                 a = hist.join(F.broadcast(cur), group_cols)
             else:
                 a = hist.withColumn("_c", _literal_array(state[()]))
-            idx = nearest_index_k("v", "_c", kmax) if group_cols else nearest_index("v", "_c")
+            # Compiled CASE chain when the centres are a column (grouped) or the
+            # histogram is large enough to repay a recompile of new literals.
+            use_case = bool(group_cols) or m > CASE_MIN_ROWS
+            idx = nearest_index_k("v", "_c", kmax) if use_case else nearest_index("v", "_c")
             upd = (a.withColumn("_idx", idx)
                    .groupBy(*group_cols, "_idx")
                    .agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("_new"))
