@@ -193,7 +193,7 @@ def _literal_array(values: list[float | None]):
 
 
 def assign_nearest(df: DataFrame, value: str, centres: DataFrame, group_cols: list[str] | tuple = (),
-                   out_index: str = "cluster", out_center: str = "center") -> DataFrame:
+                   out_index: str = "cluster", out_center: str = "center", kmax: int | None = None) -> DataFrame:
     """Attach the nearest centre (and its index) to every row.
 
     ``centres`` has one row per group, so it is broadcast (its size is bounded
@@ -207,7 +207,9 @@ def assign_nearest(df: DataFrame, value: str, centres: DataFrame, group_cols: li
         row = centres.select("centres").first()
         only = row["centres"] if row is not None else [None]
         j = df.withColumn("centres", _literal_array(only))
-    idx = nearest_index(F.col(value).cast("double"), "centres")
+        kmax = len(only)
+    v = F.col(value).cast("double")
+    idx = nearest_index_k(v, "centres", kmax) if kmax else nearest_index(v, "centres")
     return (j.withColumn(out_index, idx)
             .withColumn(out_center, F.get(F.col("centres"), F.col(out_index)))
             .drop("centres"))
