@@ -44,7 +44,7 @@ def predict(similarity: DataFrame, perf: DataFrame, n: int = TOP_N, threshold: f
     agg = kept.groupBy("_u", "item1").agg(F.sum(F.col("sim") * F.col("_w")).alias("_s"),
                                           F.max("_len").alias("_len"))
     div = F.lit(float(divisor)) if divisor is not None else F.col("_len").cast("double")
-    pred = squash_expr(F.col("_s") / div, squash)
+    pred = squash_expr(F.try_divide(F.col("_s"), div), squash)
     res = agg.select(F.col("_u").alias(user), F.col("item1").alias(item), pred.alias(out))
     if threshold is not None:
         res = res.where((F.col(out) > F.lit(float(threshold))) & ~F.isnan(out))

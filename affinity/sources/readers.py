@@ -64,7 +64,7 @@ def _typed_scores(df: DataFrame) -> DataFrame:
     pick = {c.lower(): c for c in cols}
     out = df.select(
         F.col(pick.get("sno", cols[0])).cast("string").alias("sno"),
-        F.trim(F.col(pick.get("cno", cols[1])).cast("string")).alias("cno"),
+        F.col(pick.get("cno", cols[1])).cast("string").alias("cno"),
         F.expr(f"try_cast(`{pick.get('score', cols[2])}` as double)").alias("score"),
         (F.col(pick["term"]).cast("string") if "term" in pick else F.lit(None).cast("string")).alias("term"),
         (F.col(pick["cohort"]).cast("string") if "cohort" in pick else F.lit(None).cast("string")).alias("cohort"),
