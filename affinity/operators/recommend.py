@@ -9,7 +9,9 @@
   kept rows of that user (or a fixed ``divisor``);
 * keep ``pred > threshold`` (NaN never passes).
 
-Plan: one shuffle-join, then the window on ``user`` with ``row_number() <= n``
+Plan: grade rows are first cut to the top ``n`` by weight per user (rank,
+ties kept; exact, see ``predict``), then one shuffle-join, then the window on
+``user`` with ``row_number() <= n``
 which Spark turns into a WindowGroupLimit (a partial top-n before the shuffle,
 so even a user with a third of all rows sends at most n rows per map task);
 the count window and the per-(user, item1) sum reuse that partitioning.
@@ -36,6 +38,14 @@ def predict(similarity: DataFrame, perf: DataFrame, n: int = TOP_N, threshold: f
     s = similarity.select("item1", "item2", "sim")
     p = perf.select(F.col(user).alias("_u"), F.col(item).alias("item2"),
                     F.col(weight).cast("double").alias("_w"))
+    # Exact pre-filter before the join: a grade row that ranks below n by
+    # weight (rank, ties kept) among the user's rows having any neighbour is
+    # preceded by >= n joined rows of strictly higher weight, so none of its
+    # joined rows can reach the top n. This bounds the join output of a heavy
+    # user; the rank filter is itself a partial WindowGroupLimit.
+    p = p.join(s.select("item2").distinct(), "item2", "left_semi")
+    by_w = Window.partitionBy("_u").orderBy(F.col("_w").desc())
+    p = p.withColumn("_rw", F.rank().over(by_w)).where(F.col("_rw") <= n).drop("_rw")
     j = p.join(s, "item2")
     rank = Window.partitionBy("_u").orderBy(F.col("_w").desc(), F.col("sim").desc(),
                                             F.col("item1"), F.col("item2"))
