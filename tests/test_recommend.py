@@ -68,3 +68,42 @@ def test_exclude_globally_known(grades, sim):
     pv = prep.preview_scores(grades, HOLDOUT)
     pred = jobs.predict(pv, sim, threshold=None)
     assert recommend.exclude_items(pred, pv, per_user=False).count() == 0  # a, b, c all seen
+
+
+def _brute_force(sims, perf, n):
+    """Reference rule in plain Python: join, top-n rows per user, sum / kept."""
+    out = {}
+    by_user = {}
+    for u, i2, w in perf:
+        for a, b, sv in sims:
+            if b == i2:
+                by_user.setdefault(u, []).append((w, sv, a, b))
+    for u, rows in by_user.items():
+        rows.sort(key=lambda r: (-r[0], -r[1], r[2], r[3]))
+        kept = rows[:n]
+        for w, sv, a, _ in kept:
+            out[(u, a)] = out.get((u, a), 0.0) + sv * w
+        for key in [k for k in out if k[0] == u]:
+            out[key] = out[key] / len(kept)
+    return out
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("uvw"), st.sampled_from("abcdef"), st.integers(1, 3)),
+                min_size=1, max_size=25),
+       st.integers(1, 4), st.randoms(use_true_random=False))
+def test_predict_matches_brute_force(spark, perf_rows, n, rnd):
+    items = "abcdef"
+    sims = [(a, b, round(rnd.random(), 3)) for a in items for b in items[:5] if a != b and rnd.random() < 0.6]
+    perf = [(u, i, float(w)) for u, i, w in perf_rows]
+    sdf = spark.createDataFrame(sims or [("a", "b", 0.5)], "item1 string, item2 string, sim double")
+    pdf = spark.createDataFrame(perf, "sno string, cno string, weight double")
+    got = {(r.sno, r.cno): r.pre_score for r in recommend.predict(sdf, pdf, n=n, threshold=None).collect()}
+    want = _brute_force(sims or [("a", "b", 0.5)], perf, n)
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-12)
