@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions import squash as squash_expr
+from affinity.session import checkpoint_dir
 
 # Fixed values of the reference scoring rule.
 TOP_N = 50
@@ -35,7 +36,10 @@ def predict(similarity: DataFrame, perf: DataFrame, n: int = TOP_N, threshold: f
             order: bool = False) -> DataFrame:
     """``(user, item, out)`` predictions from ``similarity(item1, item2, sim)``
     and ``perf(user, item, weight)`` (raw rows: repeats count)."""
-    s = similarity.select("item1", "item2", "sim")
+    # The similarity table is read twice (neighbour test and join): materialise
+    # it once rather than recomputing the pair table.
+    checkpoint_dir(similarity.sparkSession)
+    s = similarity.select("item1", "item2", "sim").checkpoint(eager=True)
     p = perf.select(F.col(user).alias("_u"), F.col(item).alias("item2"),
                     F.col(weight).cast("double").alias("_w"))
     # Exact pre-filter before the join: a grade row that ranks below n by
