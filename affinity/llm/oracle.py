@@ -60,5 +60,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged"""
 
 
+_LINE_DEDUP = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos, len(l) AS n_lines
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[{SP}]+|[{SP}]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+common AS (
+  SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT keyed.*, coalesce(doc_id < last_doc, false) AS dropped FROM keyed LEFT JOIN common USING (key))
+SELECT doc_id, max(n_lines)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _quality()}
+    return {"op1_quality_rules": _quality(), "op9_line_dedup": _LINE_DEDUP}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import linededup, quality
 from .common import table
 
 
@@ -12,7 +12,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op9_line_dedup": op9_line_dedup,
     }
