@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, quality
+from . import linededup, minhash, quality
 from .common import table
 
 
@@ -16,8 +16,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
         "op9_line_dedup": op9_line_dedup,
+        "op10_minhash": op10_minhash,
     }
