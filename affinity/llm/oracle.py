@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import mixing, quality
 
 SP = r"\x20\x09-\x0D"
 
@@ -76,5 +76,37 @@ SELECT doc_id, max(n_lines)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)
 FROM judged GROUP BY doc_id"""
 
 
+_MIXING = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(t, '[^{SP}]+'))::BIGINT AS size,
+         length(t) - length(regexp_replace(t, '\\p{{L}}+', '', 'g')) AS letters,
+         length(regexp_replace(t, '[{SP}]+', '', 'g')) AS chars,
+         (('0x' || substr(md5('{mixing.SEED}' || chr(31) || doc_id), 1, 13))::BIGINT::DOUBLE + 0.5) / {1 << 52} AS u
+  FROM d),
+keyed AS (
+  SELECT *, -ln(u) / CASE WHEN chars = 0 THEN 1.0::DOUBLE ELSE 0.1::DOUBLE + 0.9::DOUBLE * letters / chars END AS key FROM sized),
+src AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS n FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, [5, 2, 1][n % 3 + 1]::BIGINT AS w, 2 * source_size AS cap, 3 * sum(source_size) OVER () AS halves FROM src),
+filled AS (
+  SELECT *, coalesce(sum(cap) OVER before, 0) AS before, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS others FROM weighed
+  WINDOW before AS (ORDER BY cap / w, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+capped AS (SELECT *, (halves - 2 * before) * w >= 2 * cap * others AS is_full FROM filled),
+targets AS (
+  SELECT source, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE
+    (w * (halves - 2 * coalesce(sum(cap) FILTER (WHERE is_full) OVER (), 0)))::DOUBLE
+    / (2 * sum(w) FILTER (WHERE NOT is_full) OVER ())::DOUBLE END AS target FROM capped),
+rests AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size) END AS epochs FROM targets),
+ordered AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS through FROM keyed)
+SELECT doc_id, size, source_size, target,
+       (size * (epochs + CASE WHEN 2 * through - size <= 2 * (target - epochs * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ordered JOIN rests ON ordered.source IS NOT DISTINCT FROM rests.source"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _quality(), "op9_line_dedup": _LINE_DEDUP}
+    return {"op1_quality_rules": _quality(), "op5_mixing": _MIXING, "op9_line_dedup": _LINE_DEDUP}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, minhash, quality
+from . import linededup, minhash, mixing, quality
 from .common import table
 
 
@@ -20,9 +20,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op5_mixing": op5_mixing,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
     }
