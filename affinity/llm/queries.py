@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, minhash, mixing, quality
+from . import bpe, linededup, minhash, mixing, quality
 from .common import table
 
 
@@ -24,10 +24,17 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.code(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
         "op5_mixing": op5_mixing,
+        "op6_bpe": op6_bpe,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
     }
