@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, minhash, mixing, quality
+from . import bpe, langid, linededup, minhash, mixing, quality
 from .common import table
 
 
@@ -30,11 +30,16 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.code(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
         "op5_mixing": op5_mixing,
         "op6_bpe": op6_bpe,
+        "op7_language_id": op7_language_id,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
     }
