@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, linededup, minhash, mixing, quality
+from . import bpe, langid, linededup, minhash, mixing, quality, toxicity
 from .common import table
 
 
@@ -34,12 +34,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
         "op5_mixing": op5_mixing,
         "op6_bpe": op6_bpe,
         "op7_language_id": op7_language_id,
+        "op8_toxicity": op8_toxicity,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
     }
