@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, linededup, minhash, mixing, quality, toxicity
+from . import ann, bpe, langid, linededup, minhash, mixing, quality, toxicity
 from .common import table
 
 
@@ -39,9 +39,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                           table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, ann.usable(vectors, "vec_id", "embedding").filter("vec_id % 50 = 0"), k=5)
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_nearest_neighbours": op2_nearest_neighbours,
         "op5_mixing": op5_mixing,
         "op6_bpe": op6_bpe,
         "op7_language_id": op7_language_id,
