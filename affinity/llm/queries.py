@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, langid, linededup, minhash, mixing, quality, toxicity
+from . import ann, bpe, langid, linededup, lm, minhash, mixing, quality, toxicity
 from .common import table
 
 
@@ -44,10 +44,15 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, ann.usable(vectors, "vec_id", "embedding").filter("vec_id % 50 = 0"), k=5)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_nearest_neighbours": op2_nearest_neighbours,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_mixing": op5_mixing,
         "op6_bpe": op6_bpe,
         "op7_language_id": op7_language_id,
