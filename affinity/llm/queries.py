@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, langid, linededup, lm, minhash, mixing, quality, toxicity
+from . import ann, bpe, langid, license, linededup, lm, minhash, mixing, quality, toxicity
 from .common import table
 
 
@@ -48,10 +48,15 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_nearest_neighbours": op2_nearest_neighbours,
+        "op3_license_scan": op3_license_scan,
         "op4_lm_scoring": op4_lm_scoring,
         "op5_mixing": op5_mixing,
         "op6_bpe": op6_bpe,
