@@ -185,10 +185,11 @@ def score(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents the rules keep, with their own columns. The model is fitted
     on one pass; a second pass filters in place, so no text is shuffled."""
-    model = fit(base_numbers(docs))
+    model = fit(stored(base_numbers(docs, ()), "quality"))
     keep = tuple(docs.columns)
     if len(set(keep)) != len(keep):
         raise ValueError("column names must be distinct")
     own = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in keep]))
     judged = verdict(base_numbers(own, ("__row",)), model, threshold)
-    return judged.filter("kept").select("__row.*")
+    # explode() drops the others; a filter would be moved down and repeat all expressions
+    return judged.select("__row", F.explode(F.when(F.col("kept"), F.array(F.lit(1))))).select("__row.*")
