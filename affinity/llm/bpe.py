@@ -209,7 +209,7 @@ def _squeezed(docs: DataFrame) -> DataFrame:
 def _encoded(texts: DataFrame, path: str, finish: Callable, fields: str) -> DataFrame:
     """Encode every text's own pieces. Rows by kind: DONE has the finished columns,
     LITERAL and SHARED have ids, REFERENCE a chunk hash and its byte range."""
-    schema = f"kind int, version binary, seq int, hash binary, skip bigint, take bigint, ids binary, {fields}"
+    schema = f"kind int, version binary, seq int, hash binary, skip bigint, take bigint, packed binary, {fields}"
     n_fields = len(fields.split(","))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,9 +300,9 @@ def code(docs: DataFrame, path: str, finish: Callable = digest, fields: str = DI
     mine = squeezed.join(wanted, ["owner", "version"]).select("version", "z", "info")
     out = stored(_encoded(mine, path, finish, fields), "encoded")
     done = out.filter(F.col("kind") == DONE).select("version", *names)
-    defs = out.filter(F.col("kind") == SHARED).select("hash", "ids").dropDuplicates(["hash"])
-    refs = out.filter(F.col("kind") == REFERENCE).drop("ids").join(defs, "hash")
-    cols = ["version", "seq", "skip", "take", "ids"]
+    defs = out.filter(F.col("kind") == SHARED).select("hash", "packed").dropDuplicates(["hash"])
+    refs = out.filter(F.col("kind") == REFERENCE).drop("packed").join(defs, "hash")
+    cols = ["version", "seq", "skip", "take", "packed"]
     segments = out.filter(F.col("kind") == LITERAL).select(*cols).union(refs.select(*cols)).dropDuplicates(["version", "seq"])
     rest = _joined(segments.repartition("version").sortWithinPartitions("version", "seq"), path, finish, fields)
     by_text = stored(done.union(rest).dropDuplicates(["version"]), "coded")
