@@ -9,11 +9,10 @@ bucket's smallest member, never all pairs. Pairs are confirmed on full sets.
 
 Links that the stars miss are found afterwards: within every group connected
 by buckets, the classes outside the group's largest component are compared
-with the whole group, in blocks, on signature bytes; pairs that lie in
-different components and whose estimate is not below the similarity by more
-than five standard errors are confirmed on full sets. A first round takes the
-best few of each class, a last round all that are left, so no link between
-different components is skipped.
+with the whole group, in blocks: signature bytes rule out pairs whose estimate is
+below the similarity by more than five standard errors, full sets decide the
+rest, and one link per class and component is enough. So no link between
+different components is skipped, and no task emits a block's pairs.
 
 Bands of 6 rows x 40 miss a pair at similarity 0.8 with probability 6e-6, and
 a pair missed by the bands is still compared when its group is connected.
@@ -45,8 +44,7 @@ COORDINATES = ROWS * BANDS
 PLACES = 1 << 20
 SEED = 20
 CACHE_WORDS = 1 << 19
-QUERY_BLOCK, GROUP_BLOCK = 256, 4096
-BEST = 2
+QUERY_ITEMS, GROUP_ITEMS = 1 << 18, 1 << 19  # shingles in a block
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -161,57 +159,60 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
         100 * both >= similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def _open_pairs(reps: DataFrame, groups: DataFrame, comps: DataFrame, similarity: int, best: int | None) -> DataFrame:
-    """Pairs of one group in different components that may be similar enough.
+def _open_links(reps: DataFrame, sets: DataFrame, groups: DataFrame, comps: DataFrame, similarity: int) -> DataFrame:
+    """Links between different components of one group.
 
     Every class outside its group's largest component meets the whole group, in
-    blocks of bounded size; ``best`` keeps that many pairs of each class and block.
+    blocks of a bounded number of shingles. Within a block a class takes the
+    classes of each other component by falling estimate and stops at the first
+    that full sets confirm, so one link is made per class and component at most.
     """
     members = groups.select(F.col("node").alias("rep"), F.col("comp").alias("grp")).join(
         comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    members = stored(members, "group-members")
-    sizes = members.groupBy("grp", "comp").agg(F.count("*").alias("n")).groupBy("grp").agg(
+    members = stored(members.join(reps.select("rep", "n_shingles", "sig"), "rep"), "group-members")
+    sizes = members.groupBy("grp", "comp").agg(F.sum("n_shingles").alias("n")).groupBy("grp").agg(
         F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("total"), F.count("*").alias("kinds"))
     sizes = sizes.filter("kinds > 1").select(
         "grp", F.col("m.comp").alias("giant"),
-        F.ceil((F.col("total") - F.col("m.n")) / QUERY_BLOCK).alias("qs"), F.ceil(F.col("total") / GROUP_BLOCK).alias("gs"))
-    rows = members.join(sizes, "grp").join(reps.select("rep", "n_shingles", "sig"), "rep")
+        F.ceil((F.col("total") - F.col("m.n")) / QUERY_ITEMS).alias("qs"), F.ceil(F.col("total") / GROUP_ITEMS).alias("gs"))
+    rows = stored(members.join(sizes, "grp").join(sets, "rep"), "open-members")
     spot = F.xxhash64("rep")
     asks = rows.filter("comp <> giant").withColumn("qb", F.pmod(spot, "qs")).withColumn(
         "gb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("gs") - 1)))
     all_rows = rows.withColumn("gb", F.pmod(spot, "gs")).withColumn(
         "qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("qs") - 1)))
-    cols = ["grp", "qb", "gb", "rep", "comp", "n_shingles", "sig"]
+    cols = ["grp", "qb", "gb", "rep", "comp", "sig", "items"]
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
     both = asks.select(*cols, F.lit(True).alias("ask")).union(all_rows.select(*cols, F.lit(False).alias("ask"))).withColumn(
         "part", F.pmod(F.xxhash64("grp", "qb", "gb"), F.lit(parts)))
     j = similarity / 100
     least = j - 5 * (j * (1 - j) / COORDINATES) ** 0.5
 
-    def estimate(part: pd.DataFrame) -> pd.DataFrame:
-        out_a, out_b = [], []
+    def confirm(part: pd.DataFrame) -> pd.DataFrame:
+        found = []
         for _, block in part.groupby(["grp", "qb", "gb"], sort=False):
             rest, asking = block[~block["ask"]], block[block["ask"]]
             if rest.empty or asking.empty:
                 continue
             sigs = np.frombuffer(b"".join(rest["sig"]), np.uint8).reshape(-1, COORDINATES)
-            ids, comp, n = (rest[c].to_numpy() for c in ("rep", "comp", "n_shingles"))
-            for rep, own, size, sig in zip(asking["rep"], asking["comp"], asking["n_shingles"], asking["sig"], strict=True):
+            ids, comp, items = rest["rep"].to_numpy(), rest["comp"].to_numpy(), rest["items"].to_list()
+            n = np.array([len(x) for x in items])
+            for rep, own, sig, mine in zip(asking["rep"], asking["comp"], asking["sig"], asking["items"], strict=True):
+                size = len(mine)
                 at = np.flatnonzero((comp != own) & (100 * np.minimum(n, size) >= similarity * np.maximum(n, size)))
-                if not len(at):
-                    continue
                 equal = np.count_nonzero(sigs[at] == np.frombuffer(sig, np.uint8), axis=1) / COORDINATES
-                est = (equal - 1 / 256) * 256 / 255
-                chosen = np.flatnonzero(est >= least)
-                if best is not None and len(chosen) > best:
-                    chosen = chosen[np.argsort(-est[chosen], kind="stable")[:best]]
-                near = ids[at[chosen]]
-                out_a.append(np.minimum(near, rep))
-                out_b.append(np.maximum(near, rep))
-        empty = np.empty(0, np.int64)
-        return pd.DataFrame({"a": np.concatenate(out_a or [empty]), "b": np.concatenate(out_b or [empty])})
+                estimate = (equal - 1 / 256) * 256 / 255
+                order = np.argsort(-estimate, kind="stable")
+                linked: set[int] = set()
+                for i in at[order[estimate[order] >= least]].tolist():
+                    if comp[i] not in linked:
+                        shared = np.intersect1d(mine, items[i], assume_unique=True).size
+                        if 100 * shared >= similarity * (size + n[i] - shared):
+                            linked.add(comp[i])
+                            found.append((min(rep, ids[i]), max(rep, ids[i])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return both.groupBy("part").applyInPandas(estimate, "a bigint, b bigint").distinct()
+    return both.groupBy("part").applyInPandas(confirm, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = SIMILARITY) -> DataFrame:
@@ -232,11 +233,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = SIMILAR
     first = stars.groupBy("b").agg(F.max_by("a", F.struct("bands", -F.col("a"))).alias("a")).select("a", "b")
     links = stored(_confirmed(first, sets, similarity), "links")
     comps = components(links)
-    for best in (BEST, None):
-        more = stored(_confirmed(_open_pairs(reps, groups, comps, similarity, best), sets, similarity), "links")
-        if not more.isEmpty():
-            links = links.union(more)
-            comps = components(links)
+    more = stored(_open_links(reps, sets, groups, comps, similarity), "links")
+    comps = components(links.union(more))
     by_content = reps.select("content", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "content", F.coalesce("comp", "rep").alias("comp"))
     by_content = stored(by_content, "class-components")
