@@ -10,13 +10,13 @@ Fixed values (from the reference): bands ``<60, [60,70), [70,80), [80,90),
 is assigned there (when a top band has no training value its own values
 train it); ``min_size`` 2; output precision 3 decimals.
 
-Plan: bands are taken from the raw values; for clustering the values are
-quantised to integer units of ``10^-decimals`` so centres are exact ratios of
-integer sums. One histogram ``(attr, band, q, n)`` is built
+Plan: bands and clusters are taken from the raw values; only a released centre
+is rounded, by the caller. Lloyd starts from distinct values of equally spaced
+ranks. One histogram ``(attr, band, q, n)`` is built
 with a partial aggregation; Lloyd runs for all (attr, band, k) groups at once
 (:func:`affinity.operators.clustering.lloyd_1d`); the chosen centres — at most
-``attrs × 5`` rows of 3 numbers — are broadcast back to the cells. No group
-of rows is ever collected.
+``attrs × 5`` rows of 3 numbers — are joined back to the cells, by whatever join
+their measured size allows. No group of rows is ever collected.
 """
 
 from __future__ import annotations
@@ -67,20 +67,17 @@ def band(v) -> F.Column:
 
 
 def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", value: str = "value",
-                   kmax: int = KMAX, min_size: int = MIN_SIZE, decimals: int = DECIMALS,
+                   kmax: int = KMAX, min_size: int = MIN_SIZE,
                    suppress: bool = False) -> DataFrame:
     """``(id, attr, value, band, k, cluster, center, cluster_size)`` per cell.
 
     ``suppress=True`` turns centres of clusters smaller than ``min_size`` into
     NULL instead of releasing them.
     """
-    scale = 10 ** decimals
     checkpoint_dir(cells.sparkSession)
     raw = F.col(value).cast("double")
-    # Bands and the training range use the raw value; clustering uses the
-    # value quantised to integer units of 10^-decimals (exact centre sums).
     c = (cells.select(F.col(id_col).alias("id"), F.col(attr).alias("attr"),
-                      F.round(raw * scale).cast("long").alias("q"), band(raw).alias("band"),
+                      raw.alias("q"), band(raw).alias("band"),
                       (raw < TOP).alias("_in_range"))
          .where(F.col("q").isNotNull()))
     # Cells are read twice (histogram, then replacement): materialise them
@@ -93,13 +90,13 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     eligible = (F.col("band") < len(BAND_CUTS)) | F.col("_in_range")
     # Does the band hold any training value? One row per (attr, band).
     has = hist_all.groupBy("attr", "band").agg(F.max(eligible.cast("int")).alias("_has"))
-    hist = (hist_all.join(F.broadcast(has), ["attr", "band"])
+    hist = (hist_all.join(has, ["attr", "band"])
             .where(eligible | (F.col("_has") == 0))
             .select("attr", "band", F.col("q").cast("double").alias("v"), "n")
             .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(kmax)))))
-    cent = lloyd_1d(hist, "k", kmax=kmax, group_cols=["attr", "band", "k"], epsilon=0.0)
+    cent = lloyd_1d(hist, "k", kmax=kmax, group_cols=["attr", "band", "k"], epsilon=1e-9, start="rank")
     # Cluster sizes of the training values under the final centres.
-    sized = (hist.join(F.broadcast(cent), ["attr", "band", "k"])
+    sized = (hist.join(cent, ["attr", "band", "k"])
              .withColumn("_idx", nearest_index_k("v", "centres", kmax))
              .groupBy("attr", "band", "k", "_idx").agg(F.sum("n").alias("_cnt"))
              .groupBy("attr", "band", "k")
@@ -112,17 +109,17 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
               .checkpoint(eager=True))
     cluster = nearest_index_k(F.col("q").cast("double"), "centres", kmax)
     # Cluster sizes over all cells: at most attributes × 5 × kmax rows.
-    sizes = (hist_all.join(F.broadcast(chosen), ["attr", "band"])
+    sizes = (hist_all.join(chosen, ["attr", "band"])
              .groupBy("attr", "band", cluster.alias("cluster"))
              .agg(F.sum("n").alias("cluster_size"))
              .checkpoint(eager=True))
-    out = (c.join(F.broadcast(chosen), ["attr", "band"])
+    out = (c.join(chosen, ["attr", "band"])
            .withColumn("cluster", cluster)
-           .withColumn("center", F.get(F.col("centres"), F.col("cluster")) / F.lit(float(scale)))
-           .join(F.broadcast(sizes), ["attr", "band", "cluster"]))
+           .withColumn("center", F.get(F.col("centres"), F.col("cluster")))
+           .join(sizes, ["attr", "band", "cluster"]))
     if suppress:
         out = out.withColumn("center", F.when(F.col("cluster_size") >= min_size, F.col("center")))
-    return out.select("id", "attr", (F.col("q") / F.lit(float(scale))).alias("value"),
+    return out.select("id", "attr", F.col("q").alias("value"),
                       F.col("band").cast("int").alias("band"), F.col("k").cast("int").alias("k"),
                       F.col("cluster").cast("int").alias("cluster"), "center",
                       F.col("cluster_size").cast("long").alias("cluster_size"))

@@ -74,17 +74,20 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
 
 
 def itemsets_wide(itemsets: DataFrame, width: int = 4, keep_freq: bool = True) -> DataFrame:
-    """Itemsets as ``item1..item{width}`` nullable columns (longer sets truncated)."""
+    """Itemsets as ``item1..item{width}`` nullable columns next to the full set,
+    ``items`` (comma-separated): sets longer than ``width`` stay distinct there."""
     cols = [slot(F.array_sort("items"), i).alias(f"item{i + 1}") for i in range(width)]
+    cols.append(joined(F.array_sort("items")).alias("items"))
     if keep_freq:
         cols.append(F.col("freq"))
     return itemsets.select(*cols)
 
 
 def rules_wide(rules: DataFrame, width: int = 4) -> DataFrame:
-    """Rules as ``antecedent1..{width}, consequent, confidence``."""
+    """Rules as ``antecedent1..{width}, consequent, confidence`` and the full
+    ``antecedent`` (comma-separated)."""
     cols = [slot(F.array_sort("antecedent"), i).alias(f"antecedent{i + 1}") for i in range(width)]
-    return rules.select(*cols, "consequent", "confidence")
+    return rules.select(*cols, "consequent", "confidence", joined(F.array_sort("antecedent")).alias("antecedent"))
 
 
 def itemset_summary(itemsets: DataFrame) -> DataFrame:

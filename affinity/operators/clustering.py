@@ -9,7 +9,9 @@ caller bounds the number of groups (tiers: one group; microaggregation:
 attributes × 5 bands × 3 values of k).
 
 Rules (fixed, from the reference):
-* start: explicit ``init`` list, else equal-width ``lo + (hi-lo)(2i+1)/(2k)``;
+* start: explicit ``init`` list, else equal-width ``lo + (hi-lo)(2i+1)/(2k)``, or
+  with ``start="rank"`` the distinct values of rank ``floor((2i+1)m / (2k))`` of m,
+  so no cluster is empty at the start when there are k distinct values;
 * nearest centre by ``|v - c|``; ties go to the later centre;
 * a centre with no members keeps its value;
 * a group stops when no centre moves by more than ``epsilon``; the result is
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,7 +95,6 @@ def cluster_sizes(assigned: DataFrame, label: str = "label") -> DataFrame:
 HIST_ROWS_PER_PART = 500_000
 MAX_GROUPS = 100_000  # bound on groups whose centres the loop holds (k numbers each)
 CASE_MIN_ROWS = 200_000  # single-group histograms above this use the compiled CASE chain
-LAST_ITERATIONS = 0  # iterations of the most recent lloyd_1d call (diagnostics)
 
 def histogram(points: DataFrame, value: str, group_cols: list[str] | tuple = (),
               weight: str | None = None) -> DataFrame:
@@ -104,7 +105,8 @@ def histogram(points: DataFrame, value: str, group_cols: list[str] | tuple = (),
 
 
 def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols: list[str] | tuple = (),
-             init: list[float] | None = None, epsilon: float = 0.001, max_iter: int = 10_000) -> DataFrame:
+             init: list[float] | None = None, epsilon: float = 0.001, max_iter: int = 10_000,
+             start: str = "width") -> DataFrame:
     """Converged centres ``(group.., centres array<double>)`` per group.
 
     ``hist`` is ``(group.., v, n)`` (see :func:`histogram`); ``k`` is a
@@ -142,12 +144,24 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
                 continue  # a global aggregate over no values still returns one row
             key = tuple(r[c] for c in group_cols)
             kk = int(r["_k"])
+            if init is not None and len(init) != kk:
+                raise ValueError(f"init has {len(init)} centres for k = {kk}")
             if init is not None:
                 cs = [float(init[i]) if i < min(kk, len(init)) else None for i in range(kmax)]
             else:
                 lo, hi = float(r["lo"]), float(r["hi"])
                 cs = [lo + (hi - lo) * (2 * i + 1) / float(2 * kk) if i < kk else None for i in range(kmax)]
             state[key] = cs
+        if start == "rank" and init is None:
+            part = Window.partitionBy(*group_cols)
+            ranked = hist.select(*group_cols, "v", k_col.alias("_k"),
+                                 (F.row_number().over(part.orderBy("v")) - 1).alias("_rn"),
+                                 F.count(F.lit(1)).over(part).alias("_m"))
+            at = F.sequence(F.lit(0), F.col("_k") - 1)
+            picked = ranked.withColumn("_i", F.explode(at)).where(
+                F.col("_rn") == F.floor((2 * F.col("_i") + 1) * F.col("_m") / (2 * F.col("_k"))))
+            for r in picked.collect():  # k rows per group
+                state[tuple(r[c] for c in group_cols)][r["_i"]] = float(r["v"])
         active = set(state)
         gschema = [f for f in hist.schema.fields if f.name in group_cols]
         cschema = T.StructType(gschema + [T.StructField("_c", T.ArrayType(T.DoubleType()))])
@@ -180,8 +194,8 @@ def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols:
                 state[key] = new_state[key]
                 if not moved[key]:
                     active.discard(key)
-        global LAST_ITERATIONS
-        LAST_ITERATIONS = it
+        if active:
+            raise RuntimeError(f"lloyd_1d: {len(active)} groups still move after {max_iter} iterations")
         rows = [(*key, cs) for key, cs in state.items()]
         return spark.createDataFrame(rows, cschema).withColumnRenamed("_c", "centres")
     finally:
@@ -219,8 +233,6 @@ def tier_labels(centres: DataFrame, group_cols: list[str] | tuple = (), descendi
     """``(group.., cluster, center, tier_rank, tier)`` — centres ranked ascending
     (``descending=True`` makes the highest average the first tier); names for
     k = 3 and k = 5, NULL otherwise."""
-    from pyspark.sql import Window
-
     group_cols = list(group_cols)
     ex = centres.select(*group_cols, F.posexplode("centres").alias("cluster", "center")).where(
         F.col("center").isNotNull())

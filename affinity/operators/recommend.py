@@ -9,8 +9,8 @@
   kept rows of that user (or a fixed ``divisor``);
 * keep ``pred > threshold`` (NaN never passes).
 
-Plan: grade rows are first cut to the top ``n`` by weight per user (rank,
-ties kept; exact, see ``predict``), then one shuffle-join, then the window on
+Plan: neighbours are cut to ``n`` per item and grade rows to ``n`` per user
+(exact also with tied weights, see ``predict``), then one shuffle-join, then the window on
 ``user`` with ``row_number() <= n``
 which Spark turns into a WindowGroupLimit (a partial top-n before the shuffle,
 so even a user with a third of all rows sends at most n rows per map task);
@@ -42,15 +42,18 @@ def predict(similarity: DataFrame, perf: DataFrame, n: int = TOP_N, threshold: f
     s = similarity.select("item1", "item2", "sim").checkpoint(eager=True)
     p = perf.select(F.col(user).alias("_u"), F.col(item).alias("item2"),
                     F.col(weight).cast("double").alias("_w"))
-    # Exact pre-filter before the join: a grade row that ranks below n by
-    # weight (rank, ties kept) among the user's rows having any neighbour is
-    # preceded by >= n joined rows of strictly higher weight, so none of its
-    # joined rows can reach the top n. This bounds the join output of a heavy
-    # user; the rank filter is itself a partial WindowGroupLimit.
-    p = p.join(s.select("item2").distinct(), "item2", "left_semi")
-    by_w = Window.partitionBy("_u").orderBy(F.col("_w").desc())
-    p = p.withColumn("_rw", F.rank().over(by_w)).where(F.col("_rw") <= n).drop("_rw")
-    j = p.join(s, "item2")
+    # Two exact cuts before the join leave at most n * n joined rows per user.
+    # An item's neighbours beyond its first n by (sim desc, item1) follow n
+    # joined rows of the same grade row. Grade rows are ordered by their best
+    # joined row (weight desc, then the best neighbour's sim desc, item1,
+    # item2): whatever follows n of them follows n joined rows.
+    near = Window.partitionBy("item2").orderBy(F.col("sim").desc(), F.col("item1"))
+    s = s.withColumn("_rs", F.row_number().over(near)).where(F.col("_rs") <= n)
+    best = s.where(F.col("_rs") == 1).select("item2", F.col("sim").alias("_bs"), F.col("item1").alias("_bi"))
+    by_best = Window.partitionBy("_u").orderBy(F.col("_w").desc(), F.col("_bs").desc(), F.col("_bi"), F.col("item2"))
+    p = (p.join(best, "item2").withColumn("_rw", F.row_number().over(by_best)).where(F.col("_rw") <= n)
+         .drop("_rw", "_bs", "_bi"))
+    j = p.join(s.drop("_rs"), "item2")
     rank = Window.partitionBy("_u").orderBy(F.col("_w").desc(), F.col("sim").desc(),
                                             F.col("item1"), F.col("item2"))
     kept = j.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= n)

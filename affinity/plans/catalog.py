@@ -26,7 +26,7 @@ from affinity.plans.params import (
     KMEANS_ITER,
     KMEANS_K,
     LLOYD_K,
-    MICRO_DECIMALS,
+    LOW_THRESHOLD,
     MIN_CONFIDENCE,
     MIN_SUPPORT,
     ORDER_MIN_CONFIDENCE,
@@ -38,8 +38,8 @@ from affinity.plans.params import (
     TRAIN_CUT,
 )
 from affinity.session import checkpoint_dir, scratch_path
-from affinity.sources import load_table, read_ratings, scores_view
-from affinity.sinks import write_files
+from affinity.sources import load_table, read_baskets, read_pairs, read_ratings, read_scores, read_wide_scores, scores_view
+from affinity.sinks import write_files, write_itemsets, write_labels, write_predictions, write_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,11 +202,8 @@ def q_pair_boost(spark, sf_dir):
     return jobs.train(rows, TRAIN_CUT, pairs=pairs)
 
 
-def _profile(spark, sf_dir, cohort_cond=None):
-    s = scores_view(spark, sf_dir, "part")
-    if cohort_cond is not None:
-        s = s.where(cohort_cond)
-    return profile.course_profile(s)
+def _profile(spark, sf_dir, **cohort):
+    return profile.course_profile(scores_view(spark, sf_dir, "part", **cohort))
 
 
 def q_course_profile(spark, sf_dir):
@@ -241,8 +238,8 @@ def q_lloyd_tiers(spark, sf_dir):
 
 
 def q_forecast_tier(spark, sf_dir):
-    train = _profile(spark, sf_dir, F.col("cohort") != HOLDOUT)
-    new = _profile(spark, sf_dir, F.col("cohort") == HOLDOUT)
+    train = _profile(spark, sf_dir, cohort_not=HOLDOUT)
+    new = _profile(spark, sf_dir, cohort=HOLDOUT)
     t = _tiers(train, new)
     return t.select("cno", _r6("avg"), _r6("center"), "tier")
 
@@ -251,17 +248,17 @@ def _micro(spark, sf_dir):
     s = scores_view(spark, sf_dir, "brand")
     cells = s.groupBy(F.col("sno").alias("id"), F.col("cno").alias("attr")).agg(
         (F.sum("score") / F.count(F.lit(1))).alias("value"))
-    return anonymize.microaggregate(cells, kmax=KMAX_MICRO, decimals=MICRO_DECIMALS)
+    return anonymize.microaggregate(cells, kmax=KMAX_MICRO)
 
 
 def q_microaggregate(spark, sf_dir):
     m = _micro(spark, sf_dir)
-    return m.select("id", "attr", F.round("center", 3).alias("value"))
+    return m.select("id", "attr", F.round(F.round("center", 9), 3).alias("value"))
 
 
 def q_microaggregate_wide(spark, sf_dir):
     """The anonymised sheet: one row per id, one column per attribute."""
-    m = _micro(spark, sf_dir).select("id", "attr", F.round("center", 3).alias("value"))
+    m = _micro(spark, sf_dir).select("id", "attr", F.round(F.round("center", 9), 3).alias("value"))
     # Attribute names become columns: bounded like any pivot (spark.sql.pivotMaxValues).
     limit = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
     names = m.select("attr").distinct().limit(limit + 1).collect()
@@ -272,7 +269,7 @@ def q_microaggregate_wide(spark, sf_dir):
 
 def q_microaggregate_detail(spark, sf_dir):
     m = _micro(spark, sf_dir)
-    return m.select("id", "attr", "value", "band", "k", "cluster", _r6("center"), "cluster_size")
+    return m.select("id", "attr", _r6("value"), "band", "k", "cluster", _r6("center"), "cluster_size")
 
 
 def q_read_write_roundtrip(spark, sf_dir):
@@ -286,7 +283,97 @@ def q_read_write_roundtrip(spark, sf_dir):
     return spark.read.parquet(f"{base}/parquet")
 
 
+def q_recommend_low_threshold(spark, sf_dir):
+    """The threshold filter with a cut that keeps part of the scores."""
+    return _scores(spark, sf_dir, _brand_cosine(spark, sf_dir), LOW_THRESHOLD)
+
+
+def _grades_back(spark, sf_dir, name, write, read):
+    """Training grades written in one of the reference's shapes and read back."""
+    base = f"{scratch_path(spark, name)}/data"
+    write(_train(spark, sf_dir), base)
+    return read(base)
+
+
+def q_read_pairs(spark, sf_dir):
+    return _grades_back(spark, sf_dir, "pairs", lambda d, p: write_files(d.select("sno", "cno"), p, fmt="text"),
+                        lambda p: read_pairs(spark, p, basket="sno", item="cno"))
+
+
+def q_read_scores_csv(spark, sf_dir):
+    return _grades_back(spark, sf_dir, "scores", lambda d, p: write_files(d.select("sno", "cno", "score"), p, fmt="csv"),
+                        lambda p: read_scores(spark, p, fmt="csv").select("sno", "cno", "score"))
+
+
+def q_read_baskets(spark, sf_dir):
+    """Baskets as lines of items, read back and counted by size."""
+    def write(d, p):
+        lines = baskets.to_baskets(d.select("sno", "cno"))
+        write_files(lines.select(F.concat_ws(" ", "items").alias("line")), p, fmt="text")
+
+    back = _grades_back(spark, sf_dir, "baskets", write, lambda p: read_baskets(spark, p))
+    return back.groupBy(joined("items").alias("items")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_read_wide_scores(spark, sf_dir):
+    """Average grade per student and order year as a wide sheet with header, read back as cells."""
+    def write(d, p):
+        cells = d.groupBy(F.col("sno").alias("id"), F.col("cno").alias("attr")).agg(F.max("score").alias("value"))
+        names = [f"Brand#{i}" for i in range(1, 26)]
+        write_files(anonymize.to_wide(cells, "id", names), p, fmt="tsv", header=True)
+
+    return anonymize.to_long(_grades_back(spark, sf_dir, "sheet", write, lambda p: read_wide_scores(spark, p)))
+
+
+def q_sink_labels(spark, sf_dir):
+    """Tier labels through the label sink."""
+    path = f"{scratch_path(spark, 'labels')}/data"
+    p = _profile(spark, sf_dir)
+    write_labels(_tiers(p, p).select("cno", F.col("tier").alias("label")), path)
+    return spark.read.parquet(path)
+
+
+def q_sink_predictions(spark, sf_dir):
+    path = f"{scratch_path(spark, 'predictions')}/data"
+    write_predictions(q_recommend_scores(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def q_sink_rules(spark, sf_dir):
+    path = f"{scratch_path(spark, 'rules')}/data"
+    write_rules(q_rules_wide(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def q_sink_itemsets(spark, sf_dir):
+    path = f"{scratch_path(spark, 'itemsets')}/data"
+    write_itemsets(q_itemsets_wide(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def q_kmeans_check(spark, sf_dir):
+    """Per course: is its label the nearest of the model's centres, and in 0..k-1?"""
+    p = _profile(spark, sf_dir).checkpoint(eager=True)
+    model = clustering.fit_kmeans(p, FEATURES, k=KMEANS_K, max_iter=KMEANS_ITER, seed=SEED)
+    labels = clustering.assign(model, p, "cno", FEATURES)
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]  # k rows
+    away = [sum((F.col(f) - F.lit(x)) * (F.col(f) - F.lit(x)) for f, x in zip(FEATURES, c, strict=True)) for c in centres]
+    own = F.get(F.array(*away), F.col("label").cast("int"))
+    return p.join(labels, "cno").select("cno", (own <= F.least(*away) + F.lit(1e-9)).alias("is_nearest"),
+                                        F.col("label").cast("int").between(0, KMEANS_K - 1).alias("in_range"))
+
+
 QUERIES: dict[str, Query] = {
+    "recommend_low_threshold": q_recommend_low_threshold,
+    "read_pairs": q_read_pairs,
+    "read_scores_csv": q_read_scores_csv,
+    "read_baskets": q_read_baskets,
+    "read_wide_scores": q_read_wide_scores,
+    "sink_labels": q_sink_labels,
+    "sink_predictions": q_sink_predictions,
+    "sink_rules": q_sink_rules,
+    "sink_itemsets": q_sink_itemsets,
+    "kmeans_check": q_kmeans_check,
     "train_scores": q_train_scores,
     "preview_scores": q_preview_scores,
     "basket_pairs": q_basket_pairs,

@@ -58,17 +58,17 @@ def mine_rules(pairs: DataFrame, min_support: float, min_confidence: float, bask
 
 
 def rules_job(pairs: DataFrame, min_support: float, min_confidence: float, out_path: str | None = None,
-              basket: str = "sno", item: str = "cno", text: bool = True) -> DataFrame:
+              basket: str = "sno", item: str = "cno", text: bool = True, single_file: bool = False) -> DataFrame:
     """Rule-mining job: baskets → FP-Growth → wide rules
-    ``(antecedent1..4, consequent, confidence)``; optionally written as one
-    tab-separated text file (rule sets are small) or as parquet."""
-    from affinity.sinks import write_files
+    ``(antecedent1..4, consequent, confidence, antecedent)``; optionally written as
+    tab-separated text (one file only with ``single_file``) or as parquet."""
+    from affinity.sinks import RULE_COLS, write_files
 
     _, rules, _ = mine_rules(pairs, min_support, min_confidence, basket=basket, item=item)
     wide = B.rules_wide(rules)
     if out_path is not None:
         if text:
-            write_files(wide, out_path, fmt="text", single_file=True)
+            write_files(wide.select(*RULE_COLS), out_path, fmt="text", single_file=single_file)
         else:
             write_files(wide, out_path)
     return wide

@@ -14,7 +14,7 @@ from affinity.plans.params import (  # noqa: F401
     EPSILON,
     HOLDOUT,
     LLOYD_K,
-    MICRO_DECIMALS,
+    LOW_THRESHOLD,
     MIN_CONFIDENCE,
     MIN_SUPPORT,
     ORDER_MIN_CONFIDENCE,
@@ -139,7 +139,7 @@ def _frequent_itemsets(support: float) -> str:
 
 def _itemsets_wide(support: float) -> str:
     ctes = _itemsets(_baskets_items(_train()), support)
-    return f"WITH {ctes}\nSELECT i1 AS item1, i2 AS item2, i3 AS item3, i4 AS item4, freq FROM fi"
+    return f"WITH {ctes}\nSELECT i1 AS item1, i2 AS item2, i3 AS item3, i4 AS item4, key AS items, freq FROM fi"
 
 
 def _itemset_summary(support: float) -> str:
@@ -164,7 +164,7 @@ def _rules_wide(support: float, confidence: float) -> str:
     return f"""WITH {ctes},
     {_rules()}
     SELECT a1 AS antecedent1, a2 AS antecedent2, a3 AS antecedent3, a4 AS antecedent4,
-           consequent, round(CAST(fu AS DOUBLE) / fa, 6) AS confidence
+           consequent, round(CAST(fu AS DOUBLE) / fa, 6) AS confidence, ante_key AS antecedent
     FROM ru WHERE CAST(fu AS DOUBLE) / fa >= {confidence}"""
 
 
@@ -272,7 +272,7 @@ def _nearest_sql(kmax: int, v: str, tbl: str) -> str:
     return expr
 
 
-def _lloyd_sql(hist_sql: str, k_expr: str, kmax: int, group_cols: list[str], epsilon: float) -> str:
+def _lloyd_sql(hist_sql: str, k_expr: str, kmax: int, group_cols: list[str], epsilon: float, by_rank: bool = False) -> str:
     """Recursive Lloyd iterations per group over ``hist(g.., v, n)``.
 
     Equal-width start ``lo + (hi - lo) * (2i + 1) / (2k)``; nearest centre
@@ -288,6 +288,13 @@ def _lloyd_sql(hist_sql: str, k_expr: str, kmax: int, group_cols: list[str], eps
     init = ", ".join(
         f"CASE WHEN {i} < {k_expr} THEN lo + (hi - lo) * (2 * {i} + 1) / CAST(2 * {k_expr} AS DOUBLE) END AS c{i}"
         for i in range(kmax))
+    rng = f"SELECT {keys}min(v) AS lo, max(v) AS hi FROM hist"
+    if by_rank:  # distinct values of ranks floor((2i + 1) m / (2k))
+        init = ", ".join(f"c{i}" for i in range(kmax))
+        starts = ", ".join(f"max(CASE WHEN {i} < {k_expr} AND rn = (2 * {i} + 1) * m // (2 * {k_expr}) THEN v END) AS c{i}"
+                           for i in range(kmax))
+        rng = (f"SELECT {keys}{starts} FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY v) - 1 AS rn, "
+               f"count(*) OVER (PARTITION BY {g}) AS m FROM hist) d")
     new_c = ", ".join(
         f"coalesce(sum(CASE WHEN a.idx = {i} THEN a.n * a.v END) / sum(CASE WHEN a.idx = {i} THEN a.n END), "
         f"a.c{i}) AS c{i}" for i in range(kmax))
@@ -295,7 +302,7 @@ def _lloyd_sql(hist_sql: str, k_expr: str, kmax: int, group_cols: list[str], eps
     moved = " OR ".join(f"coalesce(abs(x.c{i} - x.o{i}) > {epsilon}, FALSE)" for i in range(kmax))
     return f"""
     hist AS ({hist_sql}),
-    rng AS (SELECT {keys}min(v) AS lo, max(v) AS hi FROM hist {"GROUP BY " + g if g else ""}),
+    rng AS ({rng} {"GROUP BY " + g if g else ""}),
     it AS (
       SELECT 0 AS step, {keys}{k_expr} AS kk, {init}, FALSE AS done FROM rng
       UNION ALL
@@ -339,7 +346,6 @@ def _forecast_tier() -> str:
 # ---------------------------------------------------------- microaggregation
 
 def _micro_common() -> str:
-    scale = 10 ** MICRO_DECIMALS
     kmax = KMAX_MICRO
     cuts = [60, 70, 80, 90]
     band = "CASE " + " ".join(f"WHEN v < {c} THEN {i}" for i, c in enumerate(cuts)) + " ELSE 4 END"
@@ -350,11 +356,11 @@ def _micro_common() -> str:
         WHERE c.band < 4 OR c.in_range OR NOT tr.has_train
         GROUP BY c.attr, c.band, c.q) t,
       (SELECT unnest(range(1, {kmax + 1})) AS k) ks"""
-    ctes = _lloyd_sql(hist, "k", kmax, ["attr", "band", "k"], 0.0)
+    ctes = _lloyd_sql(hist, "k", kmax, ["attr", "band", "k"], 1e-9, by_rank=True)
     fc = ", ".join(f"f.c{i}" for i in range(kmax))
     return f"""
     cells AS (
-      SELECT id, attr, CAST(round(v * {scale}) AS BIGINT) AS q, {band} AS band, v < {TOP_VALUE} AS in_range
+      SELECT id, attr, v AS q, {band} AS band, v < {TOP_VALUE} AS in_range
       FROM (SELECT sno AS id, cno AS attr, sum(score) / count(*) AS v
             FROM ({_scores('brand')}) s GROUP BY sno, cno) c0),
     trainable AS (SELECT attr, band, bool_or(band < 4 OR in_range) AS has_train
@@ -377,14 +383,13 @@ def _micro_common() -> str:
       SELECT c.id, c.attr, c.q, c.band, ch.kk,
              {_nearest_sql(kmax, "CAST(c.q AS DOUBLE)", "ch")} AS idx,
              CASE {_nearest_sql(kmax, "CAST(c.q AS DOUBLE)", "ch")}
-               {" ".join(f"WHEN {i} THEN ch.c{i}" for i in range(kmax))} END / {scale} AS center
+               {" ".join(f"WHEN {i} THEN ch.c{i}" for i in range(kmax))} END AS center
       FROM cells c JOIN chosen ch ON ch.attr = c.attr AND ch.band = c.band)"""
 
 
 def _microaggregate_detail() -> str:
-    scale = 10 ** MICRO_DECIMALS
     return f"""WITH RECURSIVE {_micro_common().strip()}
-    SELECT c.id, c.attr, CAST(c.q AS DOUBLE) / {scale} AS value, CAST(c.band AS INTEGER) AS band,
+    SELECT c.id, c.attr, round(c.q, 6) AS value, CAST(c.band AS INTEGER) AS band,
            CAST(c.kk AS INTEGER) AS k, CAST(c.idx AS INTEGER) AS cluster,
            round(c.center, 6) AS center,
            count(*) OVER (PARTITION BY c.attr, c.band, c.idx) AS cluster_size
@@ -393,13 +398,16 @@ def _microaggregate_detail() -> str:
 
 def _microaggregate() -> str:
     return f"""WITH RECURSIVE {_micro_common().strip()}
-    SELECT id, attr, round(center, 3) AS value FROM centred"""
+    SELECT id, attr, round(round(center, 9), 3) AS value FROM centred"""
 
 
 def _microaggregate_wide() -> str:
+    # the 25 brands of the part table
+    names = [f"Brand#{i}" for i in range(1, 26)]
+    cols = ", ".join(f"max(CASE WHEN attr = '{x}' THEN value END) AS \"{x}\"" for x in names)
     return f"""WITH RECURSIVE {_micro_common().strip()},
-    long AS (SELECT id, attr, round(center, 3) AS value FROM centred)
-    PIVOT long ON attr USING first(value) GROUP BY id"""
+    long AS (SELECT id, attr, round(round(center, 9), 3) AS value FROM centred)
+    SELECT id, {cols} FROM long GROUP BY id"""
 
 
 # ----------------------------------------------------------------- catalogue
@@ -436,4 +444,17 @@ def oracle_sql() -> dict[str, str]:
         "microaggregate_wide": _microaggregate_wide(),
         "microaggregate_detail": _microaggregate_detail(),
         "read_write_roundtrip": _train("brand"),
+        "recommend_low_threshold": _recommend(cos_brand, LOW_THRESHOLD),
+        "read_pairs": f"SELECT sno, cno FROM ({_train('brand')}) t",
+        "read_scores_csv": _train("brand"),
+        "read_baskets": f"""SELECT items, count(*) AS n FROM (
+            SELECT string_agg(item, ',' ORDER BY item) AS items FROM ({_baskets_items(_train())}) b GROUP BY basket) l
+            GROUP BY items""",
+        "read_wide_scores": f"SELECT sno AS id, cno AS attr, max(score) AS value FROM ({_train('brand')}) t GROUP BY sno, cno",
+        "sink_labels": f"SELECT cno, tier AS label FROM ({_lloyd_tiers()}) t",
+        "sink_predictions": _recommend(cos_brand, None),
+        "sink_rules": f"""SELECT antecedent1, antecedent2, antecedent3, antecedent4, consequent, confidence
+            FROM ({_rules_wide(MIN_SUPPORT, MIN_CONFIDENCE)}) t""",
+        "sink_itemsets": f"SELECT item1, item2, item3, item4 FROM ({_itemsets_wide(MIN_SUPPORT)}) t",
+        "kmeans_check": f"SELECT cno, TRUE AS is_nearest, TRUE AS in_range FROM ({_profile()}) p",
     }

@@ -16,6 +16,7 @@ TRAIN_CUT = 70.0
 PREVIEW_CUT = 65.0
 TOP_N = 50
 THRESHOLD = 0.98
+LOW_THRESHOLD = 0.05  # keeps part of the driver data's scores
 MIN_SUPPORT = 0.1
 MIN_CONFIDENCE = 0.5
 BOOST_SUPPORT = 0.15

@@ -8,6 +8,7 @@ Only when that setting is absent (a laptop, a test) is a local folder created.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,6 +68,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             conf_dir = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             conf_dir = None
+    if not conf_dir and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="affinity-ckpt-")
     sc.setCheckpointDir(conf_dir)

@@ -61,7 +61,12 @@ def read_scores(spark: SparkSession, path: str | None = None, fmt: str = "parque
 
 def _typed_scores(df: DataFrame) -> DataFrame:
     cols = df.columns
+    if len(cols) < 3:
+        raise ValueError(f"a score table has at least 3 columns (sno, cno, score), got {cols}")
     pick = {c.lower(): c for c in cols}
+    for at, name in ((3, "term"), (4, "cohort")):  # by position where the names differ
+        if name not in pick and len(cols) > at:
+            pick[name] = cols[at]
     out = df.select(
         F.col(pick.get("sno", cols[0])).cast("string").alias("sno"),
         F.col(pick.get("cno", cols[1])).cast("string").alias("cno"),
@@ -75,31 +80,35 @@ def _typed_scores(df: DataFrame) -> DataFrame:
 def read_features(spark: SparkSession, path: str | None = None, *, key: str = "cno",
                   features: list[str] | None = None, fmt: str = "parquet",
                   jdbc_url: str | None = None, table: str | None = None,
-                  properties: dict | None = None, header: bool = True) -> DataFrame:
+                  properties: dict | None = None, header: bool = True,
+                  predicates: list[str] | None = None) -> DataFrame:
     """Feature table ``(key, f1..fn)`` (course profiles for k-means).
 
     Text input may be whitespace-padded and tab separated; blank fields are
     skipped and every remaining field must parse as a double.
     """
     if jdbc_url is not None:
-        df = spark.read.jdbc(jdbc_url, table, properties=dict(properties or {}))
+        # string keys have no numeric bounds: one query per predicate
+        df = spark.read.jdbc(jdbc_url, table, predicates=predicates, properties=dict(properties or {}))
     elif fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "text":
         # n doubles per line, tab separated, blanks dropped, header line skipped.
         lines = spark.read.text(path)
-        if header:
-            lines = lines.where(~F.col("value").contains("ID"))
+        # A header line does not parse as doubles and is dropped with that.
         parts = F.filter(F.transform(F.split("value", "\t"), lambda s: F.trim(s)), lambda s: s != "")
         vals = F.transform(parts, lambda s: s.try_cast("double"))
         arr = lines.select(vals.alias("v")).where(~F.exists("v", lambda x: x.isNull()) & (F.size("v") > 0))
-        n = features or [f"f{i + 1}" for i in range(4)]
+        if features is None:
+            width = arr.agg(F.max(F.size("v"))).first()[0] or 0
+            features = [f"f{i + 1}" for i in range(width)]
+        n = features
         return arr.select(*[F.get("v", i).alias(c) for i, c in enumerate(n)])
     else:
         df = spark.read.csv(path, sep="\t", header=header, inferSchema=False,
                             ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     cols = df.columns
-    feats = features or cols[1:5]
+    feats = features or [c for i, c in enumerate(cols) if c != key and (key in cols or i > 0)]
     out = df.select(F.col(key if key in cols else cols[0]).cast("string").alias(key),
                     *[F.col(c).try_cast("double").alias(c) for c in feats])
     cond = F.lit(True)

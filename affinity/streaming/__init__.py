@@ -5,16 +5,17 @@ is grades arriving over time while the similarity table stays fixed. A
 user's scores depend on all of that user's grades (top-N over the user's
 rows), so each micro-batch
 
-1. appends its rows to a history table in the shared folder, partitioned by
-   a hash bucket of the user,
+1. writes its rows to its own partition of a history table in the shared
+   folder, split by a hash bucket of the user,
 2. re-runs :func:`affinity.plans.jobs.predict` for the users the batch
    touched, reading their full history (a left-semi join on the user),
-3. appends the new scores tagged with the batch id.
+3. writes the new scores to the batch's own partition of the output, with one
+   row without item for every user touched.
 
 :func:`latest_predictions` keeps, per user, the rows of that user's last
-batch. The result therefore equals the batch job over all grades seen so far;
-there is no new semantics and no state beyond the history table. The
-checkpoint location makes restarts exactly-once per batch id.
+batch; a user left without scores there has none. The result equals the batch
+job over all grades seen so far. A replayed batch overwrites its own two
+partitions, so a restart neither doubles rows nor changes scores.
 """
 
 from __future__ import annotations
@@ -41,12 +42,18 @@ def _batch_writer(sim: DataFrame, history_path: str, out_path: str, user: str, p
         # History is partitioned by a hash bucket of the user: a batch reads
         # only the buckets of the users it touched (dynamic partition pruning).
         keyed = batch.select("*", _bucket(user))
-        keyed.write.mode("append").partitionBy("_bucket").parquet(history_path)
+        keyed.write.mode("overwrite").partitionBy("_bucket").parquet(f"{history_path}/batch_id={batch_id}")
         touched = batch.select(user, _bucket(user)).distinct()
-        rows = (spark.read.schema(keyed.schema).parquet(history_path)
-                .join(touched, [user, "_bucket"], "left_semi").drop("_bucket"))
+        schema = keyed.schema.add("batch_id", "long")
+        rows = (spark.read.schema(schema).option("basePath", history_path).parquet(history_path)
+                .where(F.col("batch_id") <= batch_id)
+                .join(touched, [user, "_bucket"], "left_semi").drop("_bucket", "batch_id"))
         pred = jobs.predict(rows, sim, user=user, **predict_kw)
-        pred.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
+        marks = touched.select(user)
+        for c in pred.columns:
+            if c != user:
+                marks = marks.withColumn(c, F.lit(None).cast(pred.schema[c].dataType))
+        pred.unionByName(marks).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     return run
 
@@ -62,8 +69,9 @@ def start_scoring(grades: DataFrame, sim: DataFrame, history_path: str, out_path
     return writer.start()
 
 
-def latest_predictions(spark: SparkSession, out_path: str, user: str = "sno") -> DataFrame:
+def latest_predictions(spark: SparkSession, out_path: str, user: str = "sno", score: str = "pre_score") -> DataFrame:
     """Scores of every user from that user's most recent batch."""
     allp = spark.read.parquet(out_path)
     last = allp.groupBy(user).agg(F.max("batch_id").alias("batch_id"))
-    return allp.join(last, [user, "batch_id"], "left_semi").drop("batch_id")
+    item = next(c for c in allp.columns if c not in (user, "batch_id", score))
+    return allp.join(last, [user, "batch_id"], "left_semi").where(F.col(item).isNotNull()).drop("batch_id")

@@ -32,7 +32,12 @@ def test_wide_shapes(mined):
     wide = {tuple(r)[:4] for r in baskets.itemsets_wide(fi).collect()}
     assert ("a", "b", None, None) in wide
     rw = {tuple(r) for r in baskets.rules_wide(rules).collect()}
-    assert ("b", None, None, None, "a", 1.0) in rw
+    assert ("b", None, None, None, "a", 1.0, "b") in rw
+
+
+def test_wide_shapes_keep_long_sets_apart(spark):
+    sets = spark.createDataFrame([(list("abcde"), 2), (list("abcdf"), 3)], "items array<string>, freq long")
+    assert {r["items"] for r in baskets.itemsets_wide(sets).collect()} == {"a,b,c,d,e", "a,b,c,d,f"}
 
 
 def test_duplicate_items_removed_before_fit(spark):
@@ -97,4 +102,4 @@ def test_rules_and_itemsets_jobs(spark, grades):
     assert "b\t\t\t\ta\t1.0" in lines
     got = {tuple(r["items"]): r.freq for r in jobs.itemsets_job(pairs, 0.5).collect()}
     assert got[("a", "b")] == 2.0
-    assert jobs.itemsets_job(pairs, 0.5, wide=True).columns == ["item1", "item2", "item3", "item4"]
+    assert jobs.itemsets_job(pairs, 0.5, wide=True).columns == ["item1", "item2", "item3", "item4", "items"]

@@ -164,3 +164,23 @@ def test_nearest_index_forms_agree(spark):
     df = spark.createDataFrame(rows, "v double, c array<double>")
     got = df.select(nearest_index("v", "c").alias("a"), nearest_index_k("v", "c", 3).alias("b")).collect()
     assert all(r.a == r.b for r in got)
+
+
+def test_microaggregation_uses_the_largest_feasible_k(spark):
+    rows = [(str(i), "x", v) for i, v in enumerate([60.0] * 3 + [61.0] * 3 + [69.0] * 3)]
+    got = anonymize.microaggregate(spark.createDataFrame(rows, "id string, attr string, value double")).collect()
+    assert {r.k for r in got} == {3} and {r.center for r in got} == {60.0, 61.0, 69.0}
+
+
+def test_microaggregation_rounds_centres_only(spark):
+    rows = [(str(i), "x", v) for i, v in enumerate([70.0004, 70.0004, 70.0014])]
+    got = anonymize.microaggregate(spark.createDataFrame(rows, "id string, attr string, value double")).collect()
+    assert {round(r.center, 3) for r in got} == {70.001} and {r.value for r in got} == {70.0004, 70.0014}
+
+
+def test_lloyd_refuses_a_wrong_start_and_unfinished_work(spark):
+    hist = clustering.histogram(spark.createDataFrame([(float(i * i),) for i in range(30)], "v double"), "v")
+    with pytest.raises(ValueError):
+        clustering.lloyd_1d(hist, 3, init=[1.0, 2.0])
+    with pytest.raises(RuntimeError):
+        clustering.lloyd_1d(hist, 3, max_iter=1, epsilon=0.0)

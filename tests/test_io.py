@@ -61,3 +61,18 @@ def test_cohort_partitioned_scores_prune(spark, grades):
     plan = pv._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(cohort" in plan and "2016级" in plan
     assert sorted((r.sno, r.cno) for r in pv.collect()) == [("p1", "a"), ("p2", "b"), ("p2", "c")]
+
+
+def test_score_columns_by_position(spark):
+    base = scratch_path(spark, "positional")
+    spark.createDataFrame([("s", "c", 50.0, "T1", "2015")], "a string, b string, c double, d string, e string").write.parquet(base)
+    assert tuple(read_scores(spark, base).first()) == ("s", "c", 50.0, "T1", "2015")
+
+
+def test_features_keep_every_column_and_line(spark):
+    base = scratch_path(spark, "features")
+    cols = ", ".join(f"f{i} double" for i in range(6))
+    spark.createDataFrame([("c1", *map(float, range(6)))], f"cno string, {cols}").write.parquet(f"{base}/p")
+    assert read_features(spark, f"{base}/p").columns == ["cno", *[f"f{i}" for i in range(6)]]
+    spark.createDataFrame([("ID\tA\tB",), ("1.0\t 2.0\t3.0\t4.0\t5.0",)], "value string").write.text(f"{base}/t")
+    assert [tuple(r) for r in read_features(spark, f"{base}/t", fmt="text").collect()] == [(1.0, 2.0, 3.0, 4.0, 5.0)]

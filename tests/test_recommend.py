@@ -107,3 +107,23 @@ def test_predict_matches_brute_force(spark, perf_rows, n, rnd):
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v, rel=1e-12)
+
+
+def test_many_ties_equal_the_plain_rule(spark):
+    """Few distinct weights and similarities: the cuts before the join stay exact."""
+    import itertools
+    import random
+
+    rng = random.Random(5)
+    items = [f"i{k}" for k in range(12)]
+    sim = [(a, b, rng.choice([0.1, 0.5, 0.5, 0.9])) for a, b in itertools.permutations(items, 2) if rng.random() < 0.8]
+    perf = [(f"u{u}", rng.choice(items), float(rng.choice([1, 2]))) for u in range(6) for _ in range(15)]
+    got = {(r.sno, r.cno): r.pre_score for r in recommend.predict(
+        spark.createDataFrame(sim, "item1 string, item2 string, sim double"),
+        spark.createDataFrame(perf, "sno string, cno string, weight double"), n=5, threshold=None).collect()}
+    want = {}
+    for u in {p[0] for p in perf}:
+        rows = sorted((-w, -s, a, b) for x, b, w in perf if x == u for a, c, s in sim if c == b)[:5]
+        for w, s, a, _ in rows:
+            want[u, a] = want.get((u, a), 0) + w * s / len(rows)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
