@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 DIMENSIONS = 8  # even: the chi-square law then has a closed form
 CONFIDENCE = 0.98
@@ -176,6 +176,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     (vec_id, v as ``usable`` gives them) among the rows of ``table`` other than itself."""
     spark = table.sparkSession
     schema = "query_id bigint, rank int, vec_id bigint, score double"
+    ship(spark)
     rows = usable(table, id_col, vector_col)
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if common is None:

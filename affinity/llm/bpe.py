@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 CUT_BITS = 10  # a cut every 1024 bytes on average, beyond MIN_CHUNK
 MIN_CHUNK = 256
@@ -283,6 +283,7 @@ def _joined(segments: DataFrame, path: str, finish: Callable, fields: str) -> Da
 def code(docs: DataFrame, path: str, finish: Callable = digest, fields: str = DIGEST) -> DataFrame:
     """One row per document: doc_id and the columns of ``finish`` (by default
     n_tokens, ids_sha256, decoded_sha256; ``whole``: ids and decoded text)."""
+    ship(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     source = source.select("doc_id", F.unhex(F.md5("text")).alias("version"), "text")
     names = [f.split()[0] for f in fields.split(",")]

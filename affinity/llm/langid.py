@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 ORDER = 3
 TRAIN_BYTES = 4_000_000
@@ -106,6 +106,7 @@ def _counts(texts: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model | None:
     """Count the sample and lay the trees out as tables. What reaches the driver is
     bounded by the sample: at most ORDER + 1 grams for each training byte."""
+    ship(docs.sparkSession)
     texts = stored(training_texts(docs, train_bytes).repartition(16), "langid-sample")
     t = _counts(texts).toPandas()
     if t.empty:
@@ -201,6 +202,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                        F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
     if model is None:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_CELLS
     id_type = docs.schema["doc_id"].dataType.simpleString()
 

@@ -116,7 +116,8 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame) -> Model:
     spark = docs.sparkSession
-    positives = spark.createDataFrame(_variants(), "family string, line string").select("family", words(F.col("line")).alias("w"))
+    notices = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("line")) for f, t in _variants()])
+    positives = spark.range(1).select(F.inline(notices)).select("family", words(F.col("line")).alias("w"))
     sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(NEGATIVE_DOCS)
     ordinary = stored(paragraphs(sample).select("w").withColumn("like", _likeness(grams(F.col("w"), (2,)))), "license-negatives")
     ordinary = ordinary.filter(F.size("w") > 0)

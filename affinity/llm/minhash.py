@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 from .components import components
 
 SIMILARITY = 80  # per cent
@@ -218,6 +218,7 @@ def _open_links(reps: DataFrame, sets: DataFrame, groups: DataFrame, comps: Data
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id
     reachable over links), kept (doc_id = component_id)."""
+    ship(docs.sparkSession)
     sig = stored(signed(docs, shingle), "signed")
     full = sig.filter("content IS NOT NULL")
     reps = stored(full.groupBy("content").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "sig")).alias("r")).select(

@@ -96,6 +96,11 @@ def test_toxicity_held_out(spark):
     assert hits / sum(r["predicted"] for r in rows) > 0.95
 
 
+def test_index_without_terms_or_examples():
+    assert toxicity.build([(1, 0, [], [])], np.zeros(0)).most.shape == (0, 1)
+    assert toxicity.build([], np.ones(3)).most.shape == (3, 0)
+
+
 def test_toxicity_awkward(spark, weird, nothing):
     labels = spark.createDataFrame([(4, 1, 1), (4, 1, 0), (6, 0, None), (None, 1, 1), (30, 1, 0)], "doc_id bigint, quality int, toxic int")
     rows = toxicity.score(weird, labels).collect()
