@@ -9,13 +9,14 @@ The work is three joins of exploded n-grams with count tables, partitioned by
 hash. Rows are packed: all pairs that a batch of documents sends to one partition
 are one compressed row, so that a pair costs a few bytes in the shuffle.
 
-1. Word counts over the corpus; words above 1 / (4 * partitions) of all words (so at
-   most 4 * partitions of them) are known to every task.
-2. Pairs go to the partition of their first word, where both the pair's and the first word's
-   count are complete; pairs of a frequent first word are spread by the whole pair.
-   Hits are summed per document, misses go on.
-3. Misses join the word counts in the partition of their second word.
-4. Partial sums meet per batch of documents.
+1. Word counts over the corpus. The words above 1 / ``HOT_WORDS`` of all words (so at
+   most that many) are known to every task.
+2. Pairs go to the partition of their second word, where the counts of the pair and of
+   the second word are complete; pairs of a hot second word are spread by the whole pair.
+   Pairs without another document back off there. The others are divided by the count of
+   their first word, if that is hot; else they go on.
+3. What goes on joins the word counts in the partition of the first word.
+4. Partial sums (single precision) meet per batch of documents.
 
 Words are compared by 64-bit hashes. Defined results: NULL, empty and blank texts
 have no words, log_score 0 and a NULL mean; they count nowhere. Repeated rows are
@@ -35,26 +36,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from .common import stored
+from .common import ship, stored
 from .minhash import WordHashes, mixed
 
 BACKOFF = 0.4
-BATCH_TOKENS = 1 << 21
+HOT_WORDS = 1 << 16
+BATCH_TOKENS = 3 << 19
+PART_TOKENS = 3 << 18  # pairs in a partition, about
 START, END = np.uint64(1), np.uint64(2)
 _C = np.uint64(0x9E3779B97F4A7C15)
 
-PAIRS, DOCS, MISSES, SUMS = range(4)
+PAIRS, DOCS, OPEN, SUMS = range(4)
 _ROW = "kind int, part int, batch string, blob binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays in their smallest unsigned types (floats as they are), compressed."""
+    """Arrays in their smallest unsigned types (floats as they are), byte by byte, compressed."""
     head, body = [len(arrays)], []
     for a in arrays:
         if a.dtype.kind != "f":
             a = a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
         head += [len(a), a.dtype.itemsize, a.dtype.kind == "f"]
-        body.append(a.tobytes())
+        body.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes())
     return zstandard.compress(np.array(head, np.int64).tobytes() + b"".join(body), 3)
 
 
@@ -64,11 +67,17 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     head = np.frombuffer(raw, np.int64, 1 + 3 * n)[1:].reshape(n, 3)
     out, at = [], 8 * (1 + 3 * n)
     for count, size, real in head.tolist():
-        out.append(np.frombuffer(raw, np.dtype(f"{'f' if real else 'u'}{size}"), count, at))
+        planes = np.frombuffer(raw, np.uint8, count * size, at).reshape(size, count)
+        out.append(np.ascontiguousarray(planes.T).view(np.dtype(f"{'f' if real else 'u'}{size}")).reshape(count))
         at += count * size
     return out
 
 
+def steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending hashes; ``np.cumsum`` gives the hashes back."""
+    return np.diff(ascending, prepend=np.uint64(0))
+
+
 def part_of(h: np.ndarray, parts: int) -> np.ndarray:
     """Partition of a hash; increases with the hash."""
     return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -96,7 +105,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 if len(h):
                     held += [h, np.array([END])]
                     size += len(h) + 1
-                if size >= 4 * BATCH_TOKENS:
+                if size >= 2 * BATCH_TOKENS:
                     yield flush()
                     held, size = [], 0
         if held:
@@ -139,15 +148,15 @@ def _exploded(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
                 own1 = np.empty_like(own)
                 own1[1:] = own[:-1]
                 own1[begins] = 1
-                spread = np.isin(first, hot)
-                part = part_of(np.where(spread, mixed(first * _C + second), first), parts)
-                by = np.lexsort((first, part))
+                spread = np.isin(second, hot)
+                part = part_of(np.where(spread, mixed(first * _C + second), second), parts)
+                by = np.lexsort((second, part))
                 edges = np.flatnonzero(np.diff(part[by], prepend=-1))
                 for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by)], strict=True):
                     at = by[a:b]
-                    w1, n1 = np.unique(first[at], return_counts=True)
-                    w2, at2 = np.unique(second[at], return_inverse=True)
-                    rows.append((PAIRS, int(part[at[0]]), name, pack(w1, n1, w2, at2, doc[at], own1[at], own[at])))
+                    w2, n2 = np.unique(second[at], return_counts=True)
+                    w1, at1 = np.unique(first[at], return_inverse=True)
+                    rows.append((PAIRS, int(part[at[0]]), name, pack(steps(w2), n2, steps(w1), at1, doc[at], own1[at], own[at])))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.binary()), strict=True)], names=["kind", "part", "batch", "blob"])
 
@@ -187,7 +196,7 @@ def _by_document(batch: np.ndarray, doc: np.ndarray, value: np.ndarray, misses:
     b, d = b[at], d[at]
     edges = np.flatnonzero(np.diff(b, prepend=-1))
     for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(b)], strict=True):
-        out.append((SUMS, -1, names[int(b[lo])], pack(d[lo:hi], v[lo:hi], m[lo:hi])))
+        out.append((SUMS, -1, names[int(b[lo])], pack(d[lo:hi], v[lo:hi].astype(np.float32), m[lo:hi])))
     return out
 
 
@@ -196,7 +205,14 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 def _paired(packed: DataFrame, parts: int, hot: np.ndarray, hot_n: np.ndarray) -> DataFrame:
-    """Join of the pairs with their counts: SUMS of the hits, MISSES, and DOCS as they came."""
+    """Join of the pairs with their counts: SUMS, OPEN pairs that want their first
+    word's count, and DOCS as they came."""
+
+    def counts_of(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts with those of hot words put in, and which are hot."""
+        slot = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
+        known = hot[slot] == words
+        return np.where(known, hot_n[slot], n), known
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = list(rows[rows["kind"] == DOCS].itertuples(index=False, name=None))
@@ -204,22 +220,14 @@ def _paired(packed: DataFrame, parts: int, hot: np.ndarray, hot_n: np.ndarray) -
         if rows.empty:
             return _frame(out)
         names = rows["batch"].tolist()
-        cols = [[] for _ in range(6)]
+        cols = [[] for _ in range(5)]
         for i, blob in enumerate(rows["blob"]):
-            w1, n1, w2, at2, doc, own1, own2 = unpack(blob)
-            for c, a in zip(cols, (np.repeat(w1.astype(np.uint64), n1), w2.astype(np.uint64)[at2], np.full(len(doc), i, np.int64),
-                                   doc.astype(np.int64), own1.astype(np.int64), own2.astype(np.int64)), strict=True):
+            w2, n2, w1, at1, doc, own1, own2 = unpack(blob)
+            for c, a in zip(cols, (np.cumsum(w1, dtype=np.uint64)[at1], np.repeat(np.cumsum(w2, dtype=np.uint64), n2),
+                                   np.int64(i) << 32 | doc.astype(np.int64), own1.astype(np.int32), own2.astype(np.int32)), strict=True):
                 c.append(a)
-        first, second, batch, doc, own1, own2 = (np.concatenate(c) for c in cols)
-        # all occurrences of first words that are complete here
-        words, at, n = np.unique(first, return_inverse=True, return_counts=True)
-        slot = np.minimum(np.searchsorted(hot, words), max(0, len(hot) - 1))
-        frequent = hot[slot] == words if len(hot) else np.zeros(len(words), bool)
-        if frequent.any():
-            n = np.where(frequent, hot_n[slot], n)
-        c1 = n[at]
+        second, first, place, own1, own2 = (np.concatenate(cols.pop(k)) for k in (1, 0, 0, 0, 0))
         pair = mixed(first * _C + second)
-        place = batch << 32 | doc
         by = np.lexsort((place, pair))
         p, d = pair[by], place[by]
         new_pair = np.ones(len(by), bool)
@@ -228,30 +236,39 @@ def _paired(packed: DataFrame, parts: int, hot: np.ndarray, hot_n: np.ndarray) -
         new[1:] |= d[1:] != d[:-1]
         at = np.flatnonzero(new)
         own = np.diff(np.append(at, len(by)))
-        starts = np.flatnonzero(new_pair)
-        total = np.diff(np.append(starts, len(by)))
+        total = np.diff(np.append(np.flatnonzero(new_pair), len(by)))
         others = total[np.cumsum(new_pair)[at] - 1] - own
         row = by[at]
+        del pair, p, d, by, new, new_pair, at
+        words, index, n = np.unique(second, return_inverse=True, return_counts=True)
+        second_n = counts_of(words, n)[0][index[row]]
+        first_n, ready = counts_of(first[row], np.zeros(len(row), np.int64))
         hit = others > 0
-        h = row[hit]
-        value = own[hit] * (np.log(others[hit]) - np.log(c1[h] - own1[h]))
-        out += _by_document(batch[h], doc[h], value, np.zeros(len(h), np.int64), names)
-        m, count = row[~hit], own[~hit]
-        dest = part_of(second[m], parts)
-        by = np.lexsort((second[m], dest))
-        edges = np.flatnonzero(np.diff(dest[by], prepend=-1)) if len(by) else np.empty(0, np.int64)
+        rest = second_n - own2[row]
+        value = own * np.where(hit, np.log(np.maximum(others, 1)),
+                               np.where(rest > 0, np.log(np.maximum(rest, 1)), np.log(BACKOFF)))
+        value -= np.where(hit & ready, own * np.log(np.maximum(first_n - own1[row], 1)), 0)
+        doc, batch = place & 0xFFFFFFFF, place >> 32
+        out += _by_document(batch[row], doc[row], value, np.where(hit, 0, own), names)
+        wait = hit & ~ready
+        m, count = row[wait], own[wait]
+        dest = part_of(first[m], parts)
+        by = np.lexsort((first[m], dest))
+        if not len(by):
+            return _frame(out)
+        edges = np.flatnonzero(np.diff(dest[by], prepend=-1))
         listed = "\n".join(names)
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by)], strict=True):
             r = m[by[a:b]]
-            w2, n2 = np.unique(second[r], return_counts=True)
-            out.append((MISSES, int(dest[by[a]]), listed, pack(w2, n2, batch[r], doc[r], own2[r], count[by[a:b]])))
+            w1, n1 = np.unique(first[r], return_counts=True)
+            out.append((OPEN, int(dest[by[a]]), listed, pack(steps(w1), n1, batch[r], doc[r], own1[r], count[by[a:b]])))
         return _frame(out)
 
     return packed.groupBy("part").applyInPandas(run, _ROW)
 
 
-def _backed_off(misses: DataFrame, counts: DataFrame, parts: int) -> DataFrame:
-    """Join of the misses with the word counts: SUMS."""
+def _divided(waiting: DataFrame, counts: DataFrame, parts: int) -> DataFrame:
+    """Join of the OPEN pairs with the counts of their first words: SUMS."""
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,32 +281,32 @@ def _backed_off(misses: DataFrame, counts: DataFrame, parts: int) -> DataFrame:
         words, n = words[by], n[by]
         out = []
         for names, blob in zip(rows["batch"], rows["blob"], strict=True):
-            w2, n2, batch, doc, own, count = unpack(blob)
-            others = np.repeat(n[np.searchsorted(words, w2.astype(np.uint64))], n2) - own.astype(np.int64)
-            count = count.astype(np.int64)
-            value = count * np.where(others > 0, np.log(np.maximum(others, 1)), np.log(BACKOFF))
-            out += _by_document(batch.astype(np.int64), doc.astype(np.int64), value, count, names.split("\n"))
+            w1, n1, batch, doc, own, count = unpack(blob)
+            others = np.repeat(n[np.searchsorted(words, np.cumsum(w1, dtype=np.uint64))], n1) - own.astype(np.int64)
+            out += _by_document(batch.astype(np.int64), doc.astype(np.int64), -np.log(others) * count.astype(np.int64),
+                                np.zeros(len(doc), np.int64), names.split("\n"))
         return _frame(out)
 
     table = counts.mapInArrow(placed, "part int, word bigint, n bigint")
-    return misses.groupBy("part").cogroup(table.groupBy("part")).applyInPandas(run, _ROW)
+    return waiting.groupBy("part").cogroup(table.groupBy("part")).applyInPandas(run, _ROW)
 
 
 def score(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, log_score (natural logarithm, the end
     symbol included), mean_log_score (per scored symbol)."""
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ship(spark)
     counts = stored(word_counts(docs), "word-counts")
     total, n_docs = counts.agg(F.sum("n"), F.max(F.when(F.col("word") == int(END), F.col("n")))).first()
     total, n_docs = total or 0, n_docs or 0
-    frequent = counts.filter(F.col("n") * (4 * parts) >= total).collect() if total else []  # at most 4 * parts rows
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_TOKENS))
+    frequent = counts.filter(F.col("n") * HOT_WORDS >= total).collect() if total else []  # at most HOT_WORDS rows
     table = {int(START): n_docs} | {r["word"] & ((1 << 64) - 1): r["n"] for r in frequent}
     hot = np.array(sorted(table), np.uint64)
     hot_n = np.array([table[int(w)] for w in hot], np.int64)
     paired = stored(_paired(_exploded(docs, parts, hot), parts, hot, hot_n), "lm-pairs")
-    backed = _backed_off(paired.filter(F.col("kind") == MISSES), counts, parts)
-    sums = paired.filter(F.col("kind").isin(DOCS, SUMS)).union(backed)
+    divided = _divided(paired.filter(F.col("kind") == OPEN), counts, parts)
+    sums = paired.filter(F.col("kind").isin(DOCS, SUMS)).union(divided)
 
     def finish(rows: pd.DataFrame) -> pd.DataFrame:
         number, known, lens = unpack(rows.loc[rows["kind"] == DOCS, "blob"].iloc[0])
