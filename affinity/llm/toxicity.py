@@ -4,7 +4,7 @@ Examples: labelled rows outside the held-out remainder, at most ``MAX_EXAMPLES``
 hash order (a documented bound; everything else covers all documents). Terms are
 lower-cased letter runs, their prefixes of 4 to 7 letters, and for those found twice
 or more in a text levels of their count and of their share of the words. The vocabulary
-keeps the terms whose presence among the examples' toxic texts is too frequent to be chance
+keeps the terms most of whose examples are toxic, too often to be chance
 (Chernoff bound, corrected for the number of terms). Every text becomes one
 sparse vector (1 + ln tf) * idf over that vocabulary, idf counted over all documents.
 
@@ -34,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 from .langid import held_out
 
 MAX_EXAMPLES = 10_000
 MAX_TERMS = 512
+LEAST_SHARE = 0.5  # of a term's examples that are toxic
 CHANCE_TERMS = 0.5  # expected number of terms kept by chance
 NEIGHBOURS = 15
 BLOCK = 64
@@ -47,6 +48,7 @@ PREFIXES = (4, 5, 6, 7)
 COUNTS = (2, 4, 8)
 SHARES = (8, 7, 6, 5, 4)
 CACHE_WORDS = 1 << 18
+CACHE_VECTORS = 1 << 15
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -66,13 +68,15 @@ def levels_of(term: str, tf: int, n_words: int) -> list[str]:
 
 @dataclass
 class Index:
-    """Block-max inverted index of unit vectors; examples sorted by doc_id."""
+    """Block-max inverted index of unit vectors: ``weights[t]`` is the posting list of
+    term t over the examples, laid out in blocks of 64, and ``most[t]`` the largest
+    weight in each block. Examples with the same strongest term stand together."""
 
     ids: np.ndarray
     toxic: np.ndarray
     idf: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]  # per term: example numbers, weights
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # per term: block, first posting (and end), largest weight
+    weights: np.ndarray  # term x example (filled up to whole blocks)
+    most: np.ndarray  # term x block
     levels: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))  # calibration: vote, score
 
     def unit(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -81,31 +85,20 @@ class Index:
 
     def nearest(self, terms: np.ndarray, tf: np.ndarray, k: int, but: int | None) -> list[tuple[float, int]]:
         """The k examples of the largest cosine above 0, as (cosine, number), ties to
-        the smaller number; the example with doc_id ``but`` takes no part."""
+        the smaller doc_id; the example with doc_id ``but`` takes no part."""
         q = self.unit(terms, tf)
-        n_blocks = -(-len(self.ids) // BLOCK)
-        bound = np.zeros(n_blocks)
-        for t, w in zip(terms.tolist(), q.tolist(), strict=True):
-            block, _, most = self.blocks[t]
-            bound[block] += w * most
-        best: list[tuple[float, int]] = []
+        bound = q @ self.most[terms]
+        best: list[tuple[float, int, int]] = []
         for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] - 1e-12):
+            if bound[b] <= 0 or (len(best) == k and bound[b] < -best[-1][0] - 1e-12):
                 break
-            cosine = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), q.tolist(), strict=True):
-                block, first, _ = self.blocks[t]
-                at = int(np.searchsorted(block, b))
-                if at < len(block) and block[at] == b:
-                    rows, weights = self.postings[t]
-                    part = slice(first[at], first[at + 1])
-                    cosine[rows[part] - b * BLOCK] += w * weights[part]
-            for i in np.flatnonzero(cosine).tolist():
-                number = b * BLOCK + i
-                if but is None or self.ids[number] != but:
-                    best.append((float(cosine[i]), number))
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+            cosine = q @ self.weights[terms, b * BLOCK:(b + 1) * BLOCK]
+            least = -best[-1][0] - 1e-12 if len(best) == k else 0
+            near = np.flatnonzero((cosine > 0) & (cosine >= least))
+            best += [(-float(round(cosine[i], 12)), int(self.ids[b * BLOCK + i]), b * BLOCK + i) for i in near.tolist()
+                     if self.ids[b * BLOCK + i] != but]
+            best = sorted(best)[:k]
+        return [(-c, number) for c, _, number in best]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         total = sum(c for c, _ in near)
@@ -119,18 +112,15 @@ class Index:
 
 def build(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> Index:
     """Index of (doc_id, toxic, terms, tf) rows."""
-    rows = sorted(rows)
-    index = Index(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int8), idf, [], [])
-    lists: list[list[tuple[int, float]]] = [[] for _ in idf]
-    for number, (_, _, terms, tf) in enumerate(rows):
-        for t, w in zip(terms, index.unit(np.array(terms, np.int64), np.array(tf, float)).tolist(), strict=True):
-            lists[t].append((number, w))
-    for found in lists:
-        numbers, weights = np.array([x[0] for x in found], np.int64), np.array([x[1] for x in found])
-        block, first = np.unique(numbers // BLOCK, return_index=True)
-        most = np.maximum.reduceat(weights, first) if len(first) else weights
-        index.postings.append((numbers, weights))
-        index.blocks.append((block, np.append(first, len(numbers)), most))
+    n = -(-len(rows) // BLOCK) * BLOCK
+    index = Index(np.zeros(0, np.int64), np.zeros(0, np.int8), idf, np.zeros((len(idf), n)), np.zeros((len(idf), n // BLOCK)))
+    units = [(index.unit(np.array(t, np.int64), np.array(tf, float)), t, doc, toxic) for doc, toxic, t, tf in rows]
+    units.sort(key=lambda u: (u[1][int(u[0].argmax())] if u[1] else -1, u[2]))
+    for number, (w, t, _, _) in enumerate(units):
+        index.weights[t, number] = w
+    index.most = index.weights.reshape(len(idf), n // BLOCK, BLOCK).max(axis=2)
+    index.ids = np.array([u[2] for u in units], np.int64)
+    index.toxic = np.array([u[3] for u in units], np.int8)
     return index
 
 
@@ -191,7 +181,7 @@ def vocabulary(texts: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
     least = math.log(max(1, counts.count()) / CHANCE_TERMS)
     share = F.col("bad") / F.col("n")
     kl = share * F.log(share / rate) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-    strong = counts.filter(share > rate).withColumn("strength", F.col("n") * kl).filter(F.col("strength") >= least)
+    strong = counts.filter((share > rate) & (share >= LEAST_SHARE)).withColumn("strength", F.col("n") * kl).filter(F.col("strength") >= least)
     return [r["term"] for r in strong.orderBy(F.desc("strength"), "term").limit(max_terms).collect()]
 
 
@@ -227,18 +217,27 @@ def vectors(docs: DataFrame, vocab: list[str]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, terms array<int>, tf array<int>")
 
 
-def _voted(rows: DataFrame, index: Index, leave_out: bool) -> DataFrame:
-    """rows (doc_id, terms, tf) with vote, score, nearest, cosine."""
+def _voted(rows: DataFrame, index: Index) -> DataFrame:
+    """rows (doc_id, terms, tf) with vote, score, nearest, cosine; an example doesn't vote on itself."""
     shared = rows.sparkSession.sparkContext.broadcast(index)  # bounded by MAX_EXAMPLES and MAX_TERMS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
+        own = set(ix.ids.tolist())
+        known: dict[tuple, tuple] = {}
         for batch in batches:
             out = []
             for doc, terms, tf in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                near = ix.nearest(np.array(terms, np.int64), np.array(tf, float), NEIGHBOURS, doc if leave_out else None) if terms else []
-                vote = ix.vote(near)
-                out.append((vote, ix.score(vote), int(ix.ids[near[0][1]]) if near else None, near[0][0] if near else None))
+                but = doc if doc in own else None
+                key = (tuple(terms), tuple(tf), but)
+                found = known.get(key)
+                if found is None:
+                    near = ix.nearest(np.array(terms, np.int64), np.array(tf, float), NEIGHBOURS, but) if terms else []
+                    vote = ix.vote(near)
+                    if len(known) >= CACHE_VECTORS:
+                        known.clear()
+                    found = known[key] = (vote, ix.score(vote), int(ix.ids[near[0][1]]) if near else None, near[0][0] if near else None)
+                out.append(found)
             vote, score, nearest, cosine = zip(*out, strict=True) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(vote, pa.float64()), pa.array(score, pa.float64()), pa.array(nearest, pa.int64()),
@@ -250,6 +249,7 @@ def _voted(rows: DataFrame, index: Index, leave_out: bool) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, and as evidence the
     nearest example and its cosine."""
+    ship(docs.sparkSession)
     sample = stored(examples(labels, max_examples), "examples")  # at most max_examples rows, so it may be broadcast
     texts = stored(docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text"), "example-texts")
     vocab = vocabulary(texts)
@@ -262,8 +262,8 @@ def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES)
     own = rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
     index = build([(r["doc_id"], r["toxic"], r["terms"], r["tf"]) for r in own.collect()], idf)
     if len(index.ids):
-        votes = {r["doc_id"]: r["vote"] for r in _voted(own, index, True).select("doc_id", "vote").collect()}
+        votes = {r["doc_id"]: r["vote"] for r in _voted(own, index).select("doc_id", "vote").collect()}
         index.levels = calibration(np.array([votes[i] for i in index.ids.tolist()]), index.toxic)
-    out = _voted(rows, index, True)
+    out = _voted(rows, index)
     return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
                       (F.col("score") >= TOXIC).cast("int").alias("predicted"), "nearest", "cosine")
