@@ -229,7 +229,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = SIMILAR
         F.count("*").alias("bands")), "stars")
     groups = components(stars)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
-        groups.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        groups.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").withColumn(
+        "version", F.xxhash64("text")).dropDuplicates(["doc_id", "version"])
     sets = stored(shingle_sets(texts, shingle), "sets")
     first = stars.groupBy("b").agg(F.max_by("a", F.struct("bands", -F.col("a"))).alias("a")).select("a", "b")
     links = stored(_confirmed(first, sets, similarity), "links")
