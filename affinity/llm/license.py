@@ -118,7 +118,8 @@ def fit(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     notices = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("line")) for f, t in _variants()])
     positives = spark.range(1).select(F.inline(notices)).select("family", words(F.col("line")).alias("w"))
-    sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(NEGATIVE_DOCS)
+    chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(NEGATIVE_DOCS)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # at most NEGATIVE_DOCS ids
     ordinary = stored(paragraphs(sample).select("w").withColumn("like", _likeness(grams(F.col("w"), (2,)))), "license-negatives")
     ordinary = ordinary.filter(F.size("w") > 0)
     ordinary = ordinary.filter("like < 0.5").select(F.lit(NONE).alias("family"), "w")
