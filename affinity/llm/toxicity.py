@@ -3,15 +3,16 @@
 Examples: labelled rows outside the held-out remainder, at most ``MAX_EXAMPLES`` in
 hash order (a documented bound; everything else covers all documents). Terms are
 lower-cased letter runs, their prefixes of 4 to 7 letters, and for those found twice
-or more in a text levels of their count and of their share of the words. The vocabulary
-keeps the terms most of whose examples are toxic, too often to be chance
-(Chernoff bound, corrected for the number of terms). Every text becomes one
-sparse vector (1 + ln tf) * idf over that vocabulary, idf counted over all documents.
-
-The index holds the examples' unit vectors as posting lists in blocks of 64
-examples with the largest weight per term and block. A query takes blocks in order
-of their upper bounds and stops when the next bound is below its k-th cosine,
-so neighbours are exact. Their cosine-weighted votes are calibrated by
+or more in a text levels of their count and of their share of the words. Every text
+becomes one sparse vector of all its terms, (1 + ln tf) * idf, idf counted over all
+documents; terms held by toxic examples too often to be chance (Chernoff bound, corrected
+for the number of terms) weigh more. A term that no example holds adds nothing to any
+product; it counts in the text's length with the idf of df 0. Terms are known by
+64-bit hashes.
+
+The index, in blocks of examples, holds their unit vectors over all their terms, as dense rows for
+frequent terms and posting lists for the others. The cosines of a text with
+all examples are taken, so neighbours are exact. Their cosine-weighted votes are calibrated by
 isotonic regression on the examples' own leave-one-out votes.
 
 Defined results: NULL, empty and termless texts have a zero vector, no
@@ -27,10 +28,12 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +41,11 @@ from .common import ship, stored
 from .langid import held_out
 
 MAX_EXAMPLES = 10_000
-MAX_TERMS = 512
-LEAST_SHARE = 0.5  # of a term's examples that are toxic
-CHANCE_TERMS = 0.5  # expected number of terms kept by chance
+CHANCE_TERMS = 0.5  # expected number of terms taken for markers by chance
+MARKED = 3.0  # by leave-one-out on the examples
+FREQUENT = 8  # a term that one in so many examples holds has a dense row
+SLAB = 256
+EXAMPLES_AT_ONCE = 2048
 NEIGHBOURS = 15
 BLOCK = 64
 TOXIC = 0.7
@@ -57,52 +62,113 @@ def terms_of(word: str) -> list[str]:
     return [word, *("^" + word[:k] for k in PREFIXES if len(word) >= k)]
 
 
-def levels_of(term: str, tf: int, n_words: int) -> list[str]:
-    """Further terms of one found ``tf`` times among ``n_words`` words."""
-    if tf < 2:
-        return []
-    return [f"{term}#{k}" for k in COUNTS if tf >= k] + [f"{term}@{k}" for k in SHARES if tf << k >= n_words]
+def _id(term: str) -> int:
+    return int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _level_ids(ids: np.ndarray, level: int) -> np.ndarray:
+    """Ids of the further terms for level number ``level`` of the terms ``ids``."""
+    x = ids.view(np.uint64) + np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
+def terms_in(text: str | None, known: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids ascending, tf) of all terms of a whole text; ``known`` keeps the ids of words.
+    A term found twice or more has further terms for the levels of its count and share."""
+    found = Counter(_WORD.findall((text or "").lower()))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    parts = []
+    for word in found:
+        at = known.get(word)
+        if at is None:
+            if len(known) >= CACHE_WORDS:
+                known.clear()
+            at = known[word] = np.array([_id(t) for t in terms_of(word)], np.int64)
+        parts.append(at)
+    times = np.fromiter(found.values(), np.int64, len(found))
+    ids, at = np.unique(np.concatenate(parts), return_inverse=True)
+    tf = np.bincount(at, np.repeat(times, [len(p) for p in parts])).astype(np.int64)
+    n_words, often = int(times.sum()), tf >= 2
+    base, n = ids[often], tf[often]
+    more = [_level_ids(base[n >= k], i) for i, k in enumerate(COUNTS)]
+    more += [_level_ids(base[n << k >= n_words], len(COUNTS) + i) for i, k in enumerate(SHARES)]
+    tf = np.concatenate([tf, np.ones(sum(map(len, more)), np.int64)])
+    ids = np.concatenate([ids, *more])
+    order = np.argsort(ids, kind="stable")
+    return ids[order], tf[order]
 
 
 # --- index -------------------------------------------------------------------
 
+@dataclass
+class Postings:
+    """Sparse term x example weights, read by rows of terms: ``postings[terms]`` is dense."""
+
+    shape: tuple[int, int]
+    starts: np.ndarray  # term -> its first posting
+    who: np.ndarray
+    weight: np.ndarray
+
+    def rows(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``terms``, place) of every posting of the terms."""
+        n = self.starts[terms + 1] - self.starts[terms]
+        row = np.repeat(np.arange(len(terms)), n)
+        return row, np.arange(len(row)) + np.repeat(self.starts[terms] - (np.cumsum(n) - n), n)
+
+    def __getitem__(self, terms) -> np.ndarray:
+        out = np.zeros((len(terms), self.shape[1]))
+        row, at = self.rows(np.asarray(terms, np.int64))
+        out[row, self.who[at]] = self.weight[at]
+        return out
+
+
 @dataclass
 class Index:
-    """Block-max inverted index of unit vectors: ``weights[t]`` is the posting list of
-    term t over the examples, laid out in blocks of 64, and ``most[t]`` the largest
-    weight in each block. Examples with the same strongest term stand together."""
+    """Inverted index of unit vectors over all terms of the examples. The terms that
+    one in ``FREQUENT`` examples or more hold have dense rows, the others postings."""
 
     ids: np.ndarray
     toxic: np.ndarray
-    idf: np.ndarray
-    weights: np.ndarray  # term x example (filled up to whole blocks)
-    most: np.ndarray  # term x block
+    idf: np.ndarray  # with the term's marker weight
+    weights: Postings
+    dense: np.ndarray  # term -> row of ``rows``, -1: postings only
+    rows: np.ndarray
     levels: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))  # calibration: vote, score
 
-    def unit(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
+    @property
+    def most(self) -> np.ndarray:
+        """Largest weight per term and block of 64 examples."""
+        w = self.weights
+        out = np.zeros((w.shape[0], w.shape[1] // BLOCK))
+        np.maximum.at(out, (np.repeat(np.arange(w.shape[0]), np.diff(w.starts)), w.who // BLOCK), w.weight)
+        return out
+
+    def unit(self, terms: np.ndarray, tf: np.ndarray, rest: float = 0.0) -> np.ndarray:
+        """The unit vector's weights; ``rest`` is the squared length of terms no example holds."""
         w = (1 + np.log(tf)) * self.idf[terms]
-        return w / math.sqrt(float(w @ w)) if len(w) else w
+        return w / math.sqrt(float(w @ w) + rest) if len(w) else w
 
-    def nearest(self, terms: np.ndarray, tf: np.ndarray, k: int, but: int | None) -> list[tuple[float, int]]:
+    def nearest(self, terms: np.ndarray, tf: np.ndarray, k: int, but: int | None, rest: float = 0.0) -> list[tuple[float, int]]:
         """The k examples of the largest cosine above 0, as (cosine, number), ties to
         the smaller doc_id; the example with doc_id ``but`` takes no part."""
-        q = self.unit(terms, tf)
-        bound = q @ self.most[terms]
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < -best[-1][0] - 1e-12):
-                break
-            cosine = q @ self.weights[terms, b * BLOCK:(b + 1) * BLOCK]
-            least = -best[-1][0] - 1e-12 if len(best) == k else 0
-            near = np.flatnonzero((cosine > 0) & (cosine >= least))
-            best += [(-float(round(cosine[i], 12)), int(self.ids[b * BLOCK + i]), b * BLOCK + i) for i in near.tolist()
-                     if self.ids[b * BLOCK + i] != but]
-            best = sorted(best)[:k]
-        return [(-c, number) for c, _, number in best]
-
-    def vote(self, near: list[tuple[float, int]]) -> float:
-        total = sum(c for c, _ in near)
-        return sum(c * int(self.toxic[n]) for c, n in near) / total if total else 0.0
+        if not len(self.ids):
+            return []
+        q = self.unit(terms, tf, rest)
+        at = self.dense[terms]
+        many = at >= 0
+        cosine = q[many] @ self.rows[at[many]]
+        row, place = self.weights.rows(terms[~many])
+        cosine += np.bincount(self.weights.who[place], q[~many][row] * self.weights.weight[place], minlength=len(cosine))
+        cosine = np.round(cosine[:len(self.ids)], 12)
+        if but is not None:
+            cosine[self.ids == but] = 0
+        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0
+        near = np.flatnonzero((cosine > 0) & (cosine >= least))
+        near = near[np.lexsort((self.ids[near], -cosine[near]))][:k]
+        return [(float(cosine[i]), int(i)) for i in near]
 
     def score(self, vote: float) -> float:
         if not len(self.levels):
@@ -112,18 +178,34 @@ class Index:
 
 def build(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> Index:
     """Index of (doc_id, toxic, terms, tf) rows."""
-    n = -(-len(rows) // BLOCK) * BLOCK
-    index = Index(np.zeros(0, np.int64), np.zeros(0, np.int8), idf, np.zeros((len(idf), n)), np.zeros((len(idf), n // BLOCK)))
-    units = [(index.unit(np.array(t, np.int64), np.array(tf, float)), t, doc, toxic) for doc, toxic, t, tf in rows]
-    units.sort(key=lambda u: (u[1][int(u[0].argmax())] if u[1] else -1, u[2]))
-    for number, (w, t, _, _) in enumerate(units):
-        index.weights[t, number] = w
-    index.most = index.weights.reshape(len(idf), n // BLOCK, BLOCK).max(axis=2)
-    index.ids = np.array([u[2] for u in units], np.int64)
-    index.toxic = np.array([u[3] for u in units], np.int8)
+    n, n_terms = -(-len(rows) // BLOCK) * BLOCK, len(idf)
+    index = Index(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int8), idf,
+                  Postings((n_terms, n), np.zeros(n_terms + 1, np.int64), np.zeros(0, np.int32), np.zeros(0)),
+                  np.full(n_terms, -1, np.int32), np.zeros((0, n)))
+    if not rows or not n_terms:
+        return index
+    terms = np.concatenate([np.asarray(t, np.int32) for _, _, t, _ in rows])
+    who = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for _, _, t, _ in rows])
+    weight = np.concatenate([index.unit(np.asarray(t, np.int64), np.asarray(tf, float)) for _, _, t, tf in rows])
+    order = np.argsort(terms, kind="stable")
+    df = np.bincount(terms, minlength=n_terms)
+    index.weights.starts[1:] = np.cumsum(df)
+    index.weights.who, index.weights.weight = who[order], weight[order]
+    frequent = np.flatnonzero(df * FREQUENT >= len(rows))
+    frequent = frequent[df[frequent] >= BLOCK]
+    index.rows = index.weights[frequent]
+    index.dense[frequent] = np.arange(len(frequent))
     return index
 
 
+def nearest_vote(indexes: list[Index], terms: np.ndarray, tf: np.ndarray, but: int | None, rest: float) -> tuple[float, tuple]:
+    """Vote of the nearest examples of all the indexes, and (doc_id, cosine) of the nearest."""
+    near = [(-c, int(ix.ids[i]), int(ix.toxic[i])) for ix in indexes for c, i in ix.nearest(terms, tf, NEIGHBOURS, but, rest)] if len(terms) else []
+    near = sorted(near)[:NEIGHBOURS]
+    total = -sum(c for c, _, _ in near)
+    return (-sum(c * toxic for c, _, toxic in near) / total if near else 0.0), ((near[0][1], -near[0][0]) if near else (None, None))
+
+
 def calibration(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Isotonic levels (vote, share of toxic examples, one good and one bad pseudo-example
     for each level), ascending in both."""
@@ -146,104 +228,123 @@ def examples(labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
 
 
-def _term_counts(texts: DataFrame) -> DataFrame:
-    """(term, n, bad) over (toxic, text) rows: texts and toxic texts that hold a term."""
+def _held(ids: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place in ``ids`` (ascending) of each of ``mine``, and whether it stands there."""
+    at = np.searchsorted(ids, mine)
+    held = at < len(ids)
+    held[held] = ids[at[held]] == mine[held]
+    return at, held
+
+
+def example_terms(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids ascending, examples, toxic examples) of all terms of the (toxic, text) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for at in range(0, len(batch), SLAB):
+                part = batch.slice(at, SLAB)
+                found = [terms_in(text, known)[0] for text in part.column(1).to_pylist()]
+                ids, place = np.unique(np.concatenate(found), return_inverse=True)
+                bad = np.repeat(np.array(part.column(0).to_pylist(), float), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.array(np.bincount(place, minlength=len(ids)), pa.int64()),
+                     pa.array(np.bincount(place, bad, minlength=len(ids)).astype(np.int64))], names=["id", "n", "bad"])
+
+    counts = texts.select("toxic", "text").mapInArrow(run, "id bigint, n bigint, bad bigint")
+    counts = counts.groupBy("id").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).toArrow()  # a row per term of the sample
+    ids, n, bad = (counts.column(c).to_numpy() for c in ("id", "n", "bad"))
+    order = np.argsort(ids)
+    return ids[order], n[order], bad[order]
+
+
+def _blocks(texts: DataFrame, idf: np.ndarray, known_ids: Broadcast, n_blocks: int) -> Iterator[Index]:
+    """Indexes of the example texts, at most about EXAMPLES_AT_ONCE examples each, so
+    that the driver never holds all postings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter[str] = Counter()
-        bad: Counter[str] = Counter()
+        words: dict[str, np.ndarray] = {}
         for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = _WORD.findall((text or "").lower())
-                tf: Counter[str] = Counter()
-                for word, k in Counter(words).items():
-                    for t in terms_of(word):
-                        tf[t] += k
-                found = [*tf, *(x for t, k in tf.items() if k > 1 for x in levels_of(t, k, len(words)))]
-                n.update(found)
-                if toxic:
-                    bad.update(found)
-        terms = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([n[t] for t in terms], pa.int64()),
-                                          pa.array([bad[t] for t in terms], pa.int64())], names=["term", "n", "bad"])
-
-    counts = texts.mapInArrow(run, "term string, n bigint, bad bigint")
-    return counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-
-
-def vocabulary(texts: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
-    """Terms that mark toxic examples, strongest first: at most ``max_terms``."""
-    total, bad = texts.agg(F.count("*"), F.sum("toxic")).first()
-    if not bad or bad == total:
-        return []
-    rate = bad / total
-    counts = stored(_term_counts(texts), "term-counts")
-    least = math.log(max(1, counts.count()) / CHANCE_TERMS)
-    share = F.col("bad") / F.col("n")
-    kl = share * F.log(share / rate) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-    strong = counts.filter((share > rate) & (share >= LEAST_SHARE)).withColumn("strength", F.col("n") * kl).filter(F.col("strength") >= least)
-    return [r["term"] for r in strong.orderBy(F.desc("strength"), "term").limit(max_terms).collect()]
-
-
-def vectors(docs: DataFrame, vocab: list[str]) -> DataFrame:
-    """(doc_id, terms, tf) of every row: the vocabulary's terms in its whole text."""
-    number = {t: i for i, t in enumerate(vocab)}
-    bases = {re.sub(r"[#@]\d+$", "", t) for t in vocab}
+            for at in range(0, len(batch), SLAB):
+                part = batch.slice(at, SLAB)
+                found = [terms_in(text, words) for text in part.column(2).to_pylist()]
+                terms = pa.array([_held(known_ids.value, ids)[0] for ids, _ in found], pa.list_(pa.int32()))
+                tf = pa.array([tf for _, tf in found], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), terms, tf], names=["doc_id", "toxic", "terms", "tf"])
+
+    for block in range(n_blocks):
+        mine = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)) == block).select("doc_id", "toxic", "text")
+        own = mine.mapInArrow(run, "doc_id bigint, toxic int, terms array<int>, tf array<int>").toArrow()
+        yield build([(doc, toxic, t.values.to_numpy(), f.values.to_numpy()) for doc, toxic, t, f in zip(
+            own.column("doc_id").to_pylist(), own.column("toxic").to_pylist(), own.column("terms"), own.column("tf"), strict=True)], idf)
+
+
+def marker_weights(n: np.ndarray, bad: np.ndarray, total: int, total_bad: int) -> np.ndarray:
+    """Weight of each term, held by ``n`` examples of which ``bad`` are toxic: 1, and for
+    terms toxic too often to be chance more, by the information they give."""
+    out = np.ones(len(n))
+    if not total_bad or total_bad == total or not len(n):
+        return out
+    rate, share = total_bad / total, bad / np.maximum(n, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        kl = share * np.log(share / rate) + np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - rate)), 0.0)
+    marks = (share > rate) & (n * kl >= math.log(max(1, len(n)) / CHANCE_TERMS))
+    out[marks] += MARKED * kl[marks] ** 2
+    return out
+
+
+def document_counts(docs: DataFrame, known_ids: Broadcast) -> tuple[int, np.ndarray]:
+    """Number of all documents, and of those that hold each of the terms (ids ascending)."""
+    n_terms = len(known_ids.value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[str, ...]] = {}
+        all_ids, known, rows = known_ids.value, {}, 0
+        df = np.zeros(len(all_ids) + 1, np.int64)
         for batch in batches:
-            terms, tfs = [], []
-            for text in batch.column(1).to_pylist():
-                words = _WORD.findall((text or "").lower())
-                tf: Counter[str] = Counter()
-                for word in words:
-                    at = known.get(word)
-                    if at is None:
-                        if len(known) >= CACHE_WORDS:
-                            known.clear()
-                        at = known[word] = tuple(t for t in terms_of(word) if t in bases)
-                    if at:
-                        tf.update(at)
-                found = {number[t]: k for t, k in tf.items() if t in number}
-                for t, k in tf.items():
-                    found.update((number[x], 1) for x in levels_of(t, k, len(words)) if x in number)
-                order = sorted(found)
-                terms.append(order)
-                tfs.append([found[t] for t in order])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32()))],
-                                             names=["doc_id", "terms", "tf"])
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, terms array<int>, tf array<int>")
-
-
-def _voted(rows: DataFrame, index: Index) -> DataFrame:
-    """rows (doc_id, terms, tf) with vote, score, nearest, cosine; an example doesn't vote on itself."""
-    shared = rows.sparkSession.sparkContext.broadcast(index)  # bounded by MAX_EXAMPLES and MAX_TERMS
+            rows += len(batch)
+            for text in batch.column(0).to_pylist():
+                at, held = _held(all_ids, terms_in(text, known)[0])
+                df[at[held]] += 1
+        df[-1] = rows
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], names=["t", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row per term
+    df = np.zeros(n_terms + 1, np.int64)
+    df[counts.column("t").to_numpy()] = counts.column("n").to_numpy()
+    return int(df[-1]), df[:-1]
+
+
+def _voted(docs: DataFrame, blocks: list[Broadcast], known_ids: Broadcast, idf: Broadcast, levels: np.ndarray, unknown: float) -> DataFrame:
+    """docs (doc_id, text) with vote, score, nearest, cosine; an example doesn't vote on itself.
+    ``unknown`` is the idf of terms no example holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = shared.value
-        own = set(ix.ids.tolist())
+        indexes = [replace(b.value, idf=idf.value, levels=levels) for b in blocks]  # bounded by the MAX_EXAMPLES texts
+        own = set().union(*(ix.ids.tolist() for ix in indexes))
+        words: dict[str, np.ndarray] = {}
         known: dict[tuple, tuple] = {}
         for batch in batches:
             out = []
-            for doc, terms, tf in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 but = doc if doc in own else None
-                key = (tuple(terms), tuple(tf), but)
+                key = (blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest(), but)
                 found = known.get(key)
                 if found is None:
-                    near = ix.nearest(np.array(terms, np.int64), np.array(tf, float), NEIGHBOURS, but) if terms else []
-                    vote = ix.vote(near)
+                    mine, tf = terms_in(text, words)
+                    at, held = _held(known_ids.value, mine)
+                    rest = float((((1 + np.log(tf[~held])) * unknown) ** 2).sum())
+                    vote, first = nearest_vote(indexes, at[held], tf[held].astype(float), but, rest)
                     if len(known) >= CACHE_VECTORS:
                         known.clear()
-                    found = known[key] = (vote, ix.score(vote), int(ix.ids[near[0][1]]) if near else None, near[0][0] if near else None)
+                    found = known[key] = (vote, indexes[0].score(vote) if indexes else 0.0, *first)
                 out.append(found)
             vote, score, nearest, cosine = zip(*out, strict=True) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(vote, pa.float64()), pa.array(score, pa.float64()), pa.array(nearest, pa.int64()),
                  pa.array(cosine, pa.float64())], names=["doc_id", "vote", "score", "nearest", "cosine"])
 
-    return rows.select("doc_id", "terms", "tf").mapInArrow(run, "doc_id bigint, vote double, score double, nearest bigint, cosine double")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, vote double, score double, nearest bigint, cosine double")
 
 
 def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
@@ -251,19 +352,23 @@ def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES)
     nearest example and its cosine."""
     ship(docs.sparkSession)
     sample = stored(examples(labels, max_examples), "examples")  # at most max_examples rows, so it may be broadcast
-    texts = stored(docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text"), "example-texts")
-    vocab = vocabulary(texts)
-    rows = stored(vectors(docs, vocab), "vectors")
-    n_docs = rows.count()
-    df = np.zeros(len(vocab))
-    for r in rows.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # one row per term
-        df[r["t"]] = r["count"]
-    idf = np.log((n_docs + 1) / (df + 1)) + 1
-    own = rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    index = build([(r["doc_id"], r["toxic"], r["terms"], r["tf"]) for r in own.collect()], idf)
-    if len(index.ids):
-        votes = {r["doc_id"]: r["vote"] for r in _voted(own, index).select("doc_id", "vote").collect()}
-        index.levels = calibration(np.array([votes[i] for i in index.ids.tolist()]), index.toxic)
-    out = _voted(rows, index)
+    texts = docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    texts = stored(texts.select(F.col("doc_id").cast("bigint"), "toxic", "text"), "example-texts")
+    total, total_bad = texts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    share = docs.sparkSession.sparkContext.broadcast
+    ids, n, bad = example_terms(texts)
+    known_ids = share(ids)
+    n_docs, df = document_counts(docs, known_ids) if total else (0, np.zeros(0))
+    idf = (np.log((n_docs + 1) / (df + 1)) + 1) * marker_weights(n, bad, total, total_bad)
+    unknown = math.log(n_docs + 1) + 1
+    blocks, labelled = [], {}
+    for index in _blocks(texts, idf, known_ids, -(-total // EXAMPLES_AT_ONCE)):
+        labelled.update(zip(index.ids.tolist(), index.toxic.tolist(), strict=True))
+        blocks.append(share(replace(index, idf=np.zeros(0))))
+    shared_idf, levels = share(idf), np.zeros((0, 2))
+    if labelled:
+        votes = {r["doc_id"]: r["vote"] for r in _voted(texts, blocks, known_ids, shared_idf, levels, unknown).select("doc_id", "vote").collect()}
+        levels = calibration(np.array([votes[i] for i in labelled]), np.array(list(labelled.values())))
+    out = _voted(docs, blocks, known_ids, shared_idf, levels, unknown)
     return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
                       (F.col("score") >= TOXIC).cast("int").alias("predicted"), "nearest", "cosine")

@@ -96,6 +96,28 @@ def test_toxicity_held_out(spark):
     assert hits / sum(r["predicted"] for r in rows) > 0.95
 
 
+def test_copy_of_toxic_example_without_markers(spark):
+    """A text's neighbours come from all its terms: a copy of a labelled toxic text finds it."""
+    words = [f"{a}{b}{c}" for a in "bdfgkl" for b in "aeiou" for c in ("mun", "tor", "vis", "pel")]
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(rng.choice(words, 30)) for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1}
+    toxic = {i: int(n % 9 == 0) for n, i in enumerate(texts)}
+    held = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 3 == 1]
+    copied = dict(zip(held, texts, strict=False))
+    rows = list(texts.items()) + [(h, texts[i] + " unheard words") for h, i in copied.items()]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, labels).collect() if r["held_out"]}
+    assert got.keys() == copied.keys() and len(copied) > 50
+    assert all(got[h]["nearest"] == i and 0.5 < got[h]["cosine"] < 1 for h, i in copied.items())
+
+
+def test_all_terms_are_weighed():
+    n, bad = np.array([100, 100, 10, 1] + [1] * 50), np.array([10, 90, 10, 1] + [0] * 50)
+    weight = toxicity.marker_weights(n, bad, 1000, 100)
+    assert weight[0] == weight[3] == 1 and weight[2] > weight[1] > 1
+
+
 def test_index_without_terms_or_examples():
     assert toxicity.build([(1, 0, [], [])], np.zeros(0)).most.shape == (0, 1)
     assert toxicity.build([], np.ones(3)).most.shape == (3, 0)
