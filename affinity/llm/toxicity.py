@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
@@ -52,49 +53,51 @@ TOXIC = 0.7
 PREFIXES = (4, 5, 6, 7)
 COUNTS = (2, 4, 8)
 SHARES = (8, 7, 6, 5, 4)
-CACHE_WORDS = 1 << 18
+LONG = 32
 CACHE_VECTORS = 1 << 15
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(word: str) -> list[str]:
-    return [word, *("^" + word[:k] for k in PREFIXES if len(word) >= k)]
-
-
-def _id(term: str) -> int:
-    return int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-
-
-def _level_ids(ids: np.ndarray, level: int) -> np.ndarray:
-    """Ids of the further terms for level number ``level`` of the terms ``ids``."""
-    x = ids.view(np.uint64) + np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    x = x + np.uint64((salt + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def terms_in(text: str | None, known: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids ascending, tf) of all terms of a whole text; ``known`` keeps the ids of words.
-    A term found twice or more has further terms for the levels of its count and share."""
+def word_terms(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of the word) of the terms of the words: each word and its prefixes."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    chars = np.array([w[:LONG] for w in words]).view(np.uint32).reshape(len(words), -1).T.astype(np.uint64)
+    h = np.zeros(len(words), np.uint64)
+    ids, at = [], []
+    for k, c in enumerate(chars):
+        x = (h ^ c) * np.uint64(0xD6E8FEB86659FD93)
+        h = np.where(c > 0, x ^ (x >> np.uint64(32)), h)
+        if k + 1 in PREFIXES:
+            at.append(np.flatnonzero(size > k))
+            ids.append(_mixed(h[at[-1]], 1))
+    whole = _mixed(h, 0)
+    for i in np.flatnonzero(size > LONG).tolist():
+        whole[i] = int.from_bytes(blake2b(words[i].encode(), digest_size=8).digest(), "little", signed=True)
+    return np.concatenate([whole, *ids]), np.concatenate([np.arange(len(words)), *at])
+
+
+def terms_in(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids ascending, tf) of all terms of a whole text. A term found twice or more has
+    further terms for the levels of its count and share."""
     found = Counter(_WORD.findall((text or "").lower()))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    parts = []
-    for word in found:
-        at = known.get(word)
-        if at is None:
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-            at = known[word] = np.array([_id(t) for t in terms_of(word)], np.int64)
-        parts.append(at)
     times = np.fromiter(found.values(), np.int64, len(found))
-    ids, at = np.unique(np.concatenate(parts), return_inverse=True)
-    tf = np.bincount(at, np.repeat(times, [len(p) for p in parts])).astype(np.int64)
+    ids, word = word_terms(list(found))
+    ids, at = np.unique(ids, return_inverse=True)
+    tf = np.bincount(at, times[word]).astype(np.int64)
     n_words, often = int(times.sum()), tf >= 2
     base, n = ids[often], tf[often]
-    more = [_level_ids(base[n >= k], i) for i, k in enumerate(COUNTS)]
-    more += [_level_ids(base[n << k >= n_words], len(COUNTS) + i) for i, k in enumerate(SHARES)]
+    more = [_mixed(base[n >= k].view(np.uint64), 2 + i) for i, k in enumerate(COUNTS)]
+    more += [_mixed(base[n << k >= n_words].view(np.uint64), 2 + len(COUNTS) + i) for i, k in enumerate(SHARES)]
     tf = np.concatenate([tf, np.ones(sum(map(len, more)), np.int64)])
     ids = np.concatenate([ids, *more])
     order = np.argsort(ids, kind="stable")
@@ -240,11 +243,10 @@ def example_terms(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """(ids ascending, examples, toxic examples) of all terms of the (toxic, text) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
         for batch in batches:
             for at in range(0, len(batch), SLAB):
                 part = batch.slice(at, SLAB)
-                found = [terms_in(text, known)[0] for text in part.column(1).to_pylist()]
+                found = [terms_in(text)[0] for text in part.column(1).to_pylist()]
                 ids, place = np.unique(np.concatenate(found), return_inverse=True)
                 bad = np.repeat(np.array(part.column(0).to_pylist(), float), [len(f) for f in found])
                 yield pa.RecordBatch.from_arrays(
@@ -258,25 +260,45 @@ def example_terms(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return ids[order], n[order], bad[order]
 
 
-def _blocks(texts: DataFrame, idf: np.ndarray, known_ids: Broadcast, n_blocks: int) -> Iterator[Index]:
-    """Indexes of the example texts, at most about EXAMPLES_AT_ONCE examples each, so
-    that the driver never holds all postings."""
+@dataclass
+class Block:
+    """Example vectors in little space, as they are sent; a worker builds their index once."""
+
+    ids: list[int]
+    toxic: list[int]
+    sizes: np.ndarray
+    terms: bytes  # of each example: the first, then differences
+    tf: bytes
+    built: Index | None = None
+
+    def index(self, idf: np.ndarray) -> Index:
+        if self.built is None:
+            cuts = np.cumsum(self.sizes)[:-1]
+            terms, tf = (np.split(np.frombuffer(zlib.decompress(x), np.int32), cuts) for x in (self.terms, self.tf))
+            self.built = build([(i, y, np.cumsum(t), f) for i, y, t, f in zip(self.ids, self.toxic, terms, tf, strict=True)], idf)
+        return self.built
+
+
+def _blocks(texts: DataFrame, known_ids: Broadcast, n_blocks: int) -> Iterator[Block]:
+    """The example texts' vectors, about EXAMPLES_AT_ONCE at a time, so that the driver
+    never holds all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, np.ndarray] = {}
         for batch in batches:
             for at in range(0, len(batch), SLAB):
                 part = batch.slice(at, SLAB)
-                found = [terms_in(text, words) for text in part.column(2).to_pylist()]
-                terms = pa.array([_held(known_ids.value, ids)[0] for ids, _ in found], pa.list_(pa.int32()))
+                found = [terms_in(text) for text in part.column(2).to_pylist()]
+                terms = pa.array([np.diff(_held(known_ids.value, ids)[0], prepend=0) for ids, _ in found], pa.list_(pa.int32()))
                 tf = pa.array([tf for _, tf in found], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), terms, tf], names=["doc_id", "toxic", "terms", "tf"])
 
     for block in range(n_blocks):
         mine = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)) == block).select("doc_id", "toxic", "text")
         own = mine.mapInArrow(run, "doc_id bigint, toxic int, terms array<int>, tf array<int>").toArrow()
-        yield build([(doc, toxic, t.values.to_numpy(), f.values.to_numpy()) for doc, toxic, t, f in zip(
-            own.column("doc_id").to_pylist(), own.column("toxic").to_pylist(), own.column("terms"), own.column("tf"), strict=True)], idf)
+        if len(own):
+            terms, tf = (own.column(c).combine_chunks() for c in ("terms", "tf"))
+            yield Block(own.column("doc_id").to_pylist(), own.column("toxic").to_pylist(), terms.value_lengths().to_numpy(),
+                        zlib.compress(terms.flatten().to_numpy(), 1), zlib.compress(tf.flatten().to_numpy(), 1))
 
 
 def marker_weights(n: np.ndarray, bad: np.ndarray, total: int, total_bad: int) -> np.ndarray:
@@ -298,12 +320,12 @@ def document_counts(docs: DataFrame, known_ids: Broadcast) -> tuple[int, np.ndar
     n_terms = len(known_ids.value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_ids, known, rows = known_ids.value, {}, 0
+        all_ids, rows = known_ids.value, 0
         df = np.zeros(len(all_ids) + 1, np.int64)
         for batch in batches:
             rows += len(batch)
             for text in batch.column(0).to_pylist():
-                at, held = _held(all_ids, terms_in(text, known)[0])
+                at, held = _held(all_ids, terms_in(text)[0])
                 df[at[held]] += 1
         df[-1] = rows
         at = np.flatnonzero(df)
@@ -320,9 +342,8 @@ def _voted(docs: DataFrame, blocks: list[Broadcast], known_ids: Broadcast, idf:
     ``unknown`` is the idf of terms no example holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indexes = [replace(b.value, idf=idf.value, levels=levels) for b in blocks]  # bounded by the MAX_EXAMPLES texts
+        indexes = [replace(b.value.index(idf.value), levels=levels) for b in blocks]  # bounded by the MAX_EXAMPLES texts
         own = set().union(*(ix.ids.tolist() for ix in indexes))
-        words: dict[str, np.ndarray] = {}
         known: dict[tuple, tuple] = {}
         for batch in batches:
             out = []
@@ -331,7 +352,7 @@ def _voted(docs: DataFrame, blocks: list[Broadcast], known_ids: Broadcast, idf:
                 key = (blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest(), but)
                 found = known.get(key)
                 if found is None:
-                    mine, tf = terms_in(text, words)
+                    mine, tf = terms_in(text)
                     at, held = _held(known_ids.value, mine)
                     rest = float((((1 + np.log(tf[~held])) * unknown) ** 2).sum())
                     vote, first = nearest_vote(indexes, at[held], tf[held].astype(float), but, rest)
@@ -362,9 +383,9 @@ def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES)
     idf = (np.log((n_docs + 1) / (df + 1)) + 1) * marker_weights(n, bad, total, total_bad)
     unknown = math.log(n_docs + 1) + 1
     blocks, labelled = [], {}
-    for index in _blocks(texts, idf, known_ids, -(-total // EXAMPLES_AT_ONCE)):
-        labelled.update(zip(index.ids.tolist(), index.toxic.tolist(), strict=True))
-        blocks.append(share(replace(index, idf=np.zeros(0))))
+    for block in _blocks(texts, known_ids, -(-total // EXAMPLES_AT_ONCE)):
+        labelled.update(zip(block.ids, block.toxic, strict=True))
+        blocks.append(share(block))
     shared_idf, levels = share(idf), np.zeros((0, 2))
     if labelled:
         votes = {r["doc_id"]: r["vote"] for r in _voted(texts, blocks, known_ids, shared_idf, levels, unknown).select("doc_id", "vote").collect()}
