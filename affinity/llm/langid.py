@@ -10,10 +10,9 @@ the shortest code wins, and ``score`` is its posterior under equal priors.
 
 Training texts are a sample bounded by ``TRAIN_BYTES`` for each language: rows in
 hash order, taken while their UTF-8 bytes fit in whole (a documented parameter; every
-row is scored, whole). For scoring, trees become one table: a dense index finds the
-longest context any tree knows, a row per context has the code lengths of all
-languages. The table has at most ``MAX_CELLS`` cells; contexts beyond are the rarest,
-and fall back to shorter ones.
+row is scored, whole). For scoring, each language's tree is kept whole as sorted arrays
+of its grams and contexts with their codes, so its size is bounded by the training
+bytes alone.
 
 Defined results: ``und`` with score 0 for NULL texts, texts without letters, and
 when nothing can be learnt; equal code lengths go to the first language in code
@@ -35,7 +34,6 @@ from .common import ship, stored
 
 ORDER = 3
 TRAIN_BYTES = 4_000_000
-MAX_CELLS = 24_000_000
 SLAB = 1 << 20
 
 
@@ -44,14 +42,39 @@ def held_out(doc_id: Column, modulus: int = 4, remainder: int = 2) -> Column:
 
 
 @dataclass(frozen=True)
-class Model:
-    """``classes``: byte -> class; ``index``: three classes -> row; ``bits``: row x class x language."""
+class Tree:
+    """One language's frozen context tree. ``grams[k]``: byte strings of length k + 1 seen,
+    ascending, ``hits[k]``: bits of their last byte after the others; ``contexts[k]``:
+    contexts of length k, ascending, ``escapes[k]``: bits to leave them."""
+
+    grams: list[np.ndarray]
+    hits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    def bits(self, asked: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each string of ORDER + 1 bytes."""
+        out, left = np.zeros(len(asked)), np.arange(len(asked))
+        for k in range(ORDER, -1, -1):
+            key = asked[left] & np.uint32((1 << 8 * (k + 1)) - 1)
+            at, seen = _places(self.grams[k], key)
+            out[left[seen]] += self.hits[k][at[seen]]
+            left, key = left[~seen], key[~seen] >> np.uint32(8)
+            at, known = _places(self.contexts[k], key)
+            out[left[known]] += self.escapes[k][at[known]]
+        out[left] += 8
+        return out
+
+
+def _places(names: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+    return at, (names[at] == asked if len(names) else np.zeros(len(asked), bool))
+
 
+@dataclass(frozen=True)
+class Model:
     languages: list[str]
-    classes: np.ndarray
-    n_classes: int
-    index: np.ndarray
-    bits: np.ndarray
+    trees: list[Tree]
 
 
 def training_texts(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
@@ -104,96 +127,75 @@ def _counts(texts: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model | None:
-    """Count the sample and lay the trees out as tables. What reaches the driver is
-    bounded by the sample: at most ORDER + 1 grams for each training byte."""
+    """Count the sample and lay out one language's tree after the other. What reaches the driver
+    for a language is bounded by its sample: at most ORDER + 1 grams for each training byte."""
     ship(docs.sparkSession)
     texts = stored(training_texts(docs, train_bytes).repartition(16), "langid-sample")
-    t = _counts(texts).toPandas()
-    if t.empty:
-        return None
-    languages = sorted(t["lang"].unique())
-    lang = np.searchsorted(np.array(languages), t["lang"].to_numpy().astype(str))
-    gram, n = t["gram"].to_numpy(), t["n"].to_numpy().astype(float)
-    n_lang = len(languages)
-    single = (gram >> 8) == 1
-    seen = np.unique(gram[single] & 255)
-    classes = np.full(256, len(seen), np.int64)  # the last class: bytes never seen
-    classes[seen] = np.arange(len(seen))
-    width = len(seen) + 1
-    size = np.ones(len(gram), np.int64)
-    for k in range(2, ORDER + 2):
-        size[gram >> (8 * k) == 1] = k
-    # contexts, the most frequent first, as many as the table holds; shorter ones always stay before longer
-    context = gram >> 8
-    names, at = np.unique(context, return_inverse=True)
-    weight = np.bincount(at, n)
-    length = np.zeros(len(names), np.int64)
-    for k in range(1, ORDER + 1):
-        length[names >> (8 * k) == 1] = k
-    room = max(1, MAX_CELLS // (width * n_lang))
-    order = np.lexsort((names, -weight, length > 2))[:room]
-    names, length = names[order], length[order]
-    row_of = {c: i for i, c in enumerate(names.tolist())}
-    bits = np.empty((len(names), width, n_lang), np.float32)
-    # per language and context: counts of bytes, then codes by escape to the context without its first byte
-    by_context = np.argsort(at, kind="stable")
-    starts = np.searchsorted(at[by_context], np.arange(len(weight) + 1))
-    inverse = order
-    for i in np.argsort(length, kind="stable").tolist():
-        c, k = int(names[i]), int(length[i])
-        if k == 0:
-            below = np.full((width, n_lang), 8.0)
-        else:
-            shorter = (1 << (8 * (k - 1))) | (c & ((1 << (8 * (k - 1))) - 1))
-            while shorter not in row_of:  # rarest contexts may be missing
-                k -= 1
-                shorter = (1 << (8 * (k - 1))) | (c & ((1 << (8 * (k - 1))) - 1))
-            below = bits[row_of[shorter]]
-        here = by_context[starts[inverse[i]]:starts[inverse[i] + 1]]
-        count = np.zeros((width, n_lang))
-        count[classes[gram[here] & 255], lang[here]] = n[here]
-        total, kinds = count.sum(axis=0), (count > 0).sum(axis=0)
-        known = total > 0
-        whole = np.where(known, total + kinds, 1.0)
-        with np.errstate(divide="ignore"):
-            hit = -np.log2(count / whole)
-            escape = np.where(known, -np.log2(np.where(known, kinds, 1) / whole), 0.0)
-        bits[i] = np.where(count > 0, hit, below + escape)
-    index = _index(names, length, classes, width)
-    return Model(languages, classes, width, index, bits)
-
-
-def _index(names: np.ndarray, length: np.ndarray, classes: np.ndarray, width: int) -> np.ndarray:
-    """Row of the longest known context for every three preceding classes."""
-    root = int(np.flatnonzero(length == 0)[0])
-    index = np.full((width,) * ORDER, root, np.int32)
-    for k in range(1, ORDER + 1):
-        rows = np.flatnonzero(length == k)
-        suffix = [classes[(names[rows] >> (8 * j)) & 255] for j in range(k - 1, -1, -1)]
-        if k < ORDER:
-            for r, *key in zip(rows.tolist(), *suffix, strict=True):
-                index[(Ellipsis, *key)] = r
-        else:
-            index[tuple(suffix)] = rows
-    return index.reshape(-1)
+    counts = stored(_counts(texts), "langid-counts")
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    trees = []
+    for lang in languages:
+        t = counts.filter(F.col("lang") == lang).select("gram", "n").toArrow()
+        trees.append(tree(t.column("gram").to_numpy(), t.column("n").to_numpy()))
+    return Model(languages, trees) if languages else None
+
+
+def tree(gram: np.ndarray, n: np.ndarray) -> Tree:
+    """The tree of the packed grams of one language and their counts."""
+    order = np.argsort(gram)
+    gram, n = gram[order], n[order].astype(float)
+    out = Tree([], [], [], [])
+    for k in range(ORDER + 1):
+        mine = gram >> (8 * (k + 1)) == 1
+        names, count = (gram[mine] & ((1 << 8 * (k + 1)) - 1)).astype(np.uint32), n[mine]
+        contexts, at, kinds = np.unique(names >> np.uint32(8), return_inverse=True, return_counts=True)
+        whole = np.bincount(at, count, minlength=len(contexts)) + kinds
+        out.grams.append(names)
+        out.hits.append(-np.log2(count / whole[at]).astype(np.float32))
+        out.contexts.append(contexts)
+        out.escapes.append(-np.log2(kinds / whole).astype(np.float32))
+    return out
+
+
+def _slabs(texts: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+    """(number of the text, ORDER bytes before the part and the part), about SLAB bytes together."""
+    parts, size = [], 0
+    for i, text in enumerate(texts):
+        padded = b" " * ORDER + text  # what stands before the text: spaces
+        for at in range(0, len(text), SLAB):
+            parts.append((i, padded[at:at + SLAB + ORDER]))
+            size += len(parts[-1][1])
+            if size >= SLAB:
+                yield parts
+                parts, size = [], 0
+    if parts:
+        yield parts
+
+
+def all_code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
+    """Bits of the whole texts (rows) under every language."""
+    out = np.zeros((len(texts), len(model.languages)))
+    for parts in _slabs(texts):
+        raw = np.frombuffer(b"".join(p for _, p in parts), np.uint8).astype(np.uint32)
+        gram = np.zeros(len(raw) - ORDER, np.uint32)
+        for j in range(ORDER + 1):
+            gram = gram << np.uint32(8) | raw[j:len(raw) - ORDER + j]
+        size = np.array([len(p) for _, p in parts])
+        ends = np.cumsum(size)
+        inside = np.ones(len(raw), bool)  # no string reaches into the next part
+        for j in range(1, ORDER + 1):
+            inside[ends - j] = False
+        asked, at = np.unique(gram[inside[:len(gram)]], return_inverse=True)
+        starts = np.cumsum(size - ORDER) - (size - ORDER)
+        number = [i for i, _ in parts]
+        for l, t in enumerate(model.trees):
+            np.add.at(out[:, l], number, np.add.reduceat(t.bits(asked)[at], starts))
+    return out
 
 
 def code_lengths(model: Model, text: bytes) -> np.ndarray:
     """Bits of the whole text under every language."""
-    c = model.classes[np.frombuffer(text, np.uint8)]
-    w = model.n_classes
-    out = np.zeros(len(model.languages))
-    known = model.classes[0x20]  # what stands before the text: spaces
-    lead = np.full(ORDER, known, c.dtype)
-    for at in range(0, len(c), SLAB):
-        part = np.concatenate([lead, c[at:at + SLAB]])
-        key = part[:-ORDER]
-        for j in range(1, ORDER):
-            key = key * w + part[j:len(part) - ORDER + j]
-        rows = model.index[key] * np.int64(w) + part[ORDER:]
-        out += model.bits.reshape(-1, len(out))[rows].sum(axis=0, dtype=np.float64)
-        lead = part[-ORDER:]
-    return out
+    return all_code_lengths(model, [text])[0]
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -203,22 +205,19 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_CELLS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by TRAIN_BYTES for each language
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(2).cast(pa.large_binary()).to_pylist():
-                if text is None:
-                    langs.append("und")
-                    scores.append(0.0)
-                    continue
-                bits = code_lengths(m, text)
+            texts = batch.column(2).cast(pa.large_binary()).to_pylist()
+            langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+            usable = [i for i, text in enumerate(texts) if text is not None]
+            for i, bits in zip(usable, all_code_lengths(m, [texts[i] for i in usable]), strict=True):
                 best = int(bits.argmin())
-                langs.append(m.languages[best])
-                scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()))
+                langs[i] = m.languages[best]
+                scores[i] = float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs), pa.array(scores)],
                                              names=["doc_id", "held_out", "lang_pred", "score"])
 

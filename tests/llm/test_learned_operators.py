@@ -59,6 +59,37 @@ def test_language_code_lengths(spark):
         assert np.allclose(langid.code_lengths(model, text), [bits("x", text), bits("y", text)], rtol=1e-5)
 
 
+def test_language_trees_are_whole(spark):
+    """Many languages and byte values take nothing from a language's tree."""
+    rng = np.random.default_rng(1)
+    letters = [chr(c) for c in range(0x41, 0x800) if chr(c).isalpha()]
+    rows = [(i, "".join(rng.choice(letters, 150)), f"l{i:03d}") for i in range(160)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    learnt = {lang: text.encode() for i, text, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert model.languages == sorted(learnt)
+    asked = rows[0][1].encode()[:60] + rows[1][1].encode()[:60]
+    for lang, bits in list(zip(model.languages, langid.code_lengths(model, asked), strict=True))[:12]:
+        t, padded, want = learnt[lang], b" " * langid.ORDER + asked, 0.0
+        for i in range(langid.ORDER, len(padded)):
+            cost = 8.0
+            for k in range(langid.ORDER + 1):
+                after = [t[j + k] for j in range(len(t) - k) if t[j:j + k] == padded[i - k:i]]
+                if after:
+                    n, d, c = len(after), len(set(after)), after.count(padded[i])
+                    cost = -np.log2(c / (n + d)) if c else cost - np.log2(d / (n + d))
+            want += cost
+        assert np.isclose(bits, want, rtol=1e-5)
+
+
+def test_language_code_lengths_over_slabs(monkeypatch):
+    gram, n = np.unique([1 << 8 | c for c in b"abcab"] + [1 << 16 | a << 8 | b for a, b in zip(b"abca", b"bcab", strict=True)], return_counts=True)
+    model = langid.Model(["x"], [langid.tree(gram, n)])
+    texts = [b"abcabcabc", b"zz", b"", b"a" * 50]
+    whole = langid.all_code_lengths(model, texts)
+    monkeypatch.setattr(langid, "SLAB", 4)
+    assert np.allclose(langid.all_code_lengths(model, texts), whole) and whole[2, 0] == 0
+
+
 def test_language_awkward(weird, nothing):
     rows = langid.identify(weird).collect()
     assert len(rows) == weird.count()
