@@ -2,7 +2,7 @@
 with Spark ML for the fit).
 
 Paragraphs are lines. Features are word n-grams (1 to 3 words, lower-cased runs of
-a-z and 0-9) of the notices that hold a word rare in ordinary paragraphs. A
+a-z and 0-9) of the notices, whatever the corpus holds. A
 multinomial logistic regression with L1 penalty learns the families from the
 notices and their shortened variants, against ordinary paragraphs of at most
 ``NEGATIVE_DOCS`` documents in hash order (a documented bound). A prediction is
@@ -10,7 +10,7 @@ confirmed when enough word pairs of one of the family's notices stand in the
 paragraph; licence-like paragraphs that are not confirmed, or whose probability is below the
 level that no held-out ordinary paragraph reaches, are of the class ``unknown``.
 
-Every paragraph of every whole text is judged: one without any rare word has no
+Every paragraph of every whole text is judged: one without any word of a notice has no
 feature, so its class is ``none`` by the intercepts alone.
 
 Defined results: NULL, empty and blank texts have no notices; repeated rows each
@@ -59,8 +59,6 @@ NOTICES: dict[str, list[str]] = {
 }
 
 NEGATIVE_DOCS = 400
-MAX_FEATURES = 1000
-COMMON = 0.005  # a word in more ordinary paragraphs than this share is not rare
 CONFIRM = 0.6
 NONE = "none"
 
@@ -102,7 +100,6 @@ def _variants() -> list[tuple[str, str]]:
 @dataclass(frozen=True)
 class Model:
     classes: list[str]  # the first is "none"
-    rare: list[str]
     features: list[str]
     weights: list[list[float]]  # class x feature
     intercepts: list[float]
@@ -123,18 +120,7 @@ def fit(docs: DataFrame) -> Model:
     ordinary = stored(paragraphs(sample).select("w").withColumn("like", _likeness(grams(F.col("w"), (2,)))), "license-negatives")
     ordinary = ordinary.filter(F.size("w") > 0)
     ordinary = ordinary.filter("like < 0.5").select(F.lit(NONE).alias("family"), "w")
-    n = max(1, ordinary.count())
-    share = {r["x"]: r["n"] / n for r in ordinary.select(F.explode(F.array_distinct("w")).alias("x")).filter(
-        F.col("x").isin(sorted({w for t in NOTICES.values() for x in t for w in _words(x)}))).groupBy("x").agg(
-        F.count("*").alias("n")).collect()}  # at most one row per word of the notices
-    rare = {w for t in NOTICES.values() for x in t for w in _words(x) if share.get(w, 0) <= COMMON}
-    counted: dict[str, int] = {}
-    for _, text in _variants():
-        for g in _grams(text.split()):
-            if rare & set(g.split()):
-                counted[g] = counted.get(g, 0) + 1
-    features = sorted(sorted(counted), key=lambda g: -counted[g])[:MAX_FEATURES]
-    rare = sorted({w for g in features for w in g.split()} & rare)
+    features = sorted({g for texts in NOTICES.values() for t in texts for g in _grams(_words(t))})
     classes = [NONE, *sorted(NOTICES)]
     place = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
     held = F.pmod(F.xxhash64("w"), F.lit(4)) == 0
@@ -149,7 +135,7 @@ def fit(docs: DataFrame) -> Model:
     worst = model.transform(rows.filter(F.col("held") & (F.col("label") == 0))).select((1 - F.element_at(vector_to_array(F.col("probability")), 1)).alias("p")).agg(F.max("p")).first()[0]
     matrix = model.coefficientMatrix.toArray().tolist()
     found = len(matrix)  # classes without a row in the sample come last and have no weights
-    return Model(classes[:found], rare, features, matrix, model.interceptVector.toArray().tolist(), min(0.95, max(0.5, worst or 0.0)))
+    return Model(classes[:found], features, matrix, model.interceptVector.toArray().tolist(), min(0.95, max(0.5, worst or 0.0)))
 
 
 def _templates(family: str | None = None) -> list[list[str]]:
@@ -166,7 +152,7 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per licence notice: doc_id, paragraph (line number from 0), family
     (or ``unknown``), probability, similarity, n_words."""
     m = model or fit(docs)
-    rows = paragraphs(docs).filter(F.arrays_overlap("w", F.array(*map(F.lit, m.rare))))
+    rows = paragraphs(docs).filter(F.arrays_overlap("w", F.array(*[F.lit(g) for g in m.features if " " not in g])))
     known = F.array(*map(F.lit, m.features))
     rows = rows.select("doc_id", "paragraph", "w", F.array_intersect(grams(F.col("w")), known).alias("f"))
     rows = rows.withColumn("at", F.transform("f", lambda g: F.array_position(known, g).cast("int")))

@@ -274,3 +274,15 @@ def test_licences_are_found(spark, smoke, nothing):
     assert {k: got.get(k) for k in want} == want
     assert not [k for k, f in got.items() if f != "unknown" and k not in want]
     assert license.scan(nothing, model).count() == 0
+
+
+def test_licences_in_legal_prose(spark):
+    """Words of the notices that are common in the corpus don't hide a notice."""
+    prose = ["The rights of the heirs are reserved to all members.", "All heirs reserved the rights they had.", "The license of the pub was sold.",
+             "A public library is open to all.", "Version two of the work was lost.", "Trees grow slowly here.", "He said nothing at all about it."]
+    rows = [(i, "\n".join(prose[(i + k) % 7] for k in range(4))) for i in range(60)]
+    rows += [(1000, "All rights reserved."), (1001, "Nothing here.\nReleased under the MIT License.")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["paragraph"]): r["family"] for r in license.scan(docs).collect()}
+    assert got.get((1000, 0)) == "all-rights-reserved" and got.get((1001, 1)) == "mit"
+    assert {k for k, f in got.items() if f != "unknown"} == {(1000, 0), (1001, 1)}
