@@ -1,7 +1,8 @@
 """Licence notices by a trained paragraph classifier (DataFrame and SQL functions,
 with Spark ML for the fit).
 
-Paragraphs are lines. Features are word n-grams (1 to 3 words, lower-cased runs of
+Paragraphs are lines; notices wrapped over lines of a block (up to a line without
+words) are found by comparing the templates with each line and the words after it. Features are word n-grams (1 to 3 words, lower-cased runs of
 a-z and 0-9) of the notices, whatever the corpus holds. A
 multinomial logistic regression with L1 penalty learns the families from the
 notices and their shortened variants, against ordinary paragraphs of at most
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lines_of, stored
@@ -60,6 +61,9 @@ NOTICES: dict[str, list[str]] = {
 
 NEGATIVE_DOCS = 400
 CONFIRM = 0.6
+LONGEST = 2 * max(len(re.findall(r"[a-z0-9]+", t.lower())) for texts in NOTICES.values() for t in texts)
+# words too plain to look for: no notice has CONFIRM of its word pairs from these alone
+PLAIN = frozenset("a all and any be following for from free in is it may not of or other person that the this to under use with without you".split())
 NONE = "none"
 
 
@@ -107,8 +111,18 @@ class Model:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    lines = docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("paragraph", "line"))
-    return lines.withColumn("w", words(F.col("line"))).drop("line")
+    """Lines as word arrays ``w`` (comment marks are no words), each with ``tail``, the
+    words that follow it in its block, as many as a notice can have. Blocks end at lines
+    without words. ``row`` tells repeated rows apart."""
+    lines = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.transform(lines_of(F.col("text")), words).alias("ws"))
+
+    def following(i: Column) -> Column:
+        after = F.slice("ws", i + 1, LONGEST)  # lines of a block have a word or more
+        end = F.array_position(F.transform(after, F.size), 0)
+        return F.slice(F.flatten(F.when(end > 0, F.slice(after, F.lit(1), end.cast("int") - 1)).otherwise(after)), 1, LONGEST)
+
+    at = F.transform(F.sequence(F.lit(1), F.size("ws")), lambda i: F.struct(F.element_at("ws", i).alias("w"), following(i).alias("tail")))
+    return lines.select("row", "doc_id", F.posexplode(at).alias("paragraph", "at")).select("row", "doc_id", "paragraph", "at.w", "at.tail")
 
 
 def fit(docs: DataFrame) -> Model:
@@ -148,23 +162,54 @@ def _likeness(pairs: Column, family: str | None = None) -> Column:
         F.size(F.array_intersect(pairs, F.array(*map(F.lit, t)))) / F.lit(len(t)) for t in _templates(family)])
 
 
-def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """One row per licence notice: doc_id, paragraph (line number from 0), family
-    (or ``unknown``), probability, similarity, n_words."""
-    m = model or fit(docs)
-    rows = paragraphs(docs).filter(F.arrays_overlap("w", F.array(*[F.lit(g) for g in m.features if " " not in g])))
+def _margins(w: Column, m: Model) -> tuple[Column, Column]:
+    """Features ``at`` of a paragraph of the words ``w``, and the classes' margins from column ``at``."""
     known = F.array(*map(F.lit, m.features))
-    rows = rows.select("doc_id", "paragraph", "w", F.array_intersect(grams(F.col("w")), known).alias("f"))
-    rows = rows.withColumn("at", F.transform("f", lambda g: F.array_position(known, g).cast("int")))
+    at = F.transform(F.array_intersect(grams(w), known), lambda g: F.array_position(known, g).cast("int"))
 
     def margin(weights: list[float], intercept: float) -> Column:
         return F.aggregate("at", F.lit(intercept), lambda a, i: a + F.element_at(F.array(*map(F.lit, weights)), i))
 
-    margins = F.array(*[margin(w, b) for w, b in zip(m.weights, m.intercepts, strict=True)])
-    # written: the filter below would otherwise repeat the n-grams for every margin
-    rows = stored(rows.select("doc_id", "paragraph", "w", margins.alias("m")), "license-margins").withColumn("e", F.transform("m", lambda x: F.exp(x - F.array_max("m"))))
+    return at, F.array(*[margin(w, b) for w, b in zip(m.weights, m.intercepts, strict=True)])
+
+
+def _probabilities(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("e", F.transform("m", lambda x: F.exp(x - F.array_max("m"))))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    rows = rows.withColumn("p", F.transform("e", lambda x: x / total)).filter(F.col("p")[0] < 0.5)
+    return rows.withColumn("p", F.transform("e", lambda x: x / total))
+
+
+def _wrapped(rows: DataFrame, m: Model) -> DataFrame:
+    """Notices that only stand in several lines together: rows for each of their lines but the last."""
+    rows = rows.filter(F.size("tail") > 0).withColumn("pairs", grams(F.concat("w", "tail"), (2,)))
+    both = F.array(*[_likeness(F.col("pairs"), c) for c in m.classes[1:]])
+    rows = stored(rows.withColumn("both", both).filter(F.array_max("both") >= CONFIRM).drop("pairs"), "license-windows")
+    for name, w in (("alone", "w"), ("after", "tail")):
+        rows = rows.withColumn("pairs", grams(F.col(w), (2,))).withColumn(name, F.array(*[_likeness(F.col("pairs"), c) for c in m.classes[1:]]))
+    # a family counts when the line alone is no notice of it and adds to what follows
+    fits = F.transform("both", lambda x, i: F.when((x >= CONFIRM) & (F.col("alone")[i] < CONFIRM) & (F.col("after")[i] < x), x).otherwise(0.0))
+    rows = rows.withColumn("similarity", F.array_max(fits)).withColumn("place", F.array_position(fits, F.array_max(fits)).cast("int"))
+    rows = rows.filter(F.col("similarity") > 0).withColumn("w", F.concat("w", "tail"))
+    rows = stored(rows.select("row", "doc_id", "paragraph", "w", "similarity", "place"), "license-wrapped")
+    at, margins = _margins(F.col("w"), m)
+    rows = _probabilities(rows.withColumn("at", at).withColumn("m", margins))
+    return rows.select("row", "doc_id", "paragraph", F.element_at(F.array(*map(F.lit, m.classes[1:])), F.col("place")).alias("family"),
+                       F.element_at("p", F.col("place") + 1).alias("probability"), "similarity", F.size("w").alias("n_words"))
+
+
+def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """One row per licence notice: doc_id, paragraph (its first line's number from 0), family
+    (or ``unknown``), probability, similarity, n_words (of a wrapped notice: its first
+    line's and those after it that were compared)."""
+    m = model or fit(docs)
+    singles = [F.lit(g) for g in m.features if " " not in g]
+    anchors = F.array(*[F.lit(g) for g in m.features if " " not in g and g not in PLAIN])
+    tail = F.when((F.size("w") > 0) & (F.arrays_overlap("w", anchors) | F.arrays_overlap("tail", anchors)), F.col("tail"))
+    rows = paragraphs(docs).withColumn("tail", tail).filter(F.arrays_overlap("w", F.array(*singles)) | (F.size("tail") > 0))
+    at, margins = _margins(F.col("w"), m)
+    # written: the filter below would otherwise repeat the n-grams for every margin
+    stored_rows = stored(rows.withColumn("at", at).select("row", "doc_id", "paragraph", "w", "tail", margins.alias("m")), "license-margins")
+    rows = _probabilities(stored_rows).filter(F.col("p")[0] < 0.5)
     families = F.slice("p", 2, len(m.classes) - 1)
     rows = rows.withColumn("probability", F.array_max(families))
     best = F.element_at(F.array(*map(F.lit, m.classes[1:])), F.array_position(families, F.col("probability")).cast("int"))
@@ -174,6 +219,15 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
         similarity = F.when(F.col("family") == c, _likeness(F.col("pairs"), c)).otherwise(similarity)
     rows = rows.withColumn("similarity", similarity)
     sure = (F.col("probability") >= m.level) & (F.col("similarity") >= CONFIRM)
-    return rows.select("doc_id", "paragraph", F.when(sure, F.col("family")).otherwise("unknown").alias("family"),
-                       F.round("probability", 6).alias("probability"), F.round("similarity", 6).alias("similarity"),
-                       F.size("w").cast("long").alias("n_words"))
+    rows = rows.select("row", "doc_id", "paragraph", F.when(sure, F.col("family")).otherwise("unknown").alias("family"), "probability",
+                       "similarity", F.size("w").alias("n_words"), F.lit(False).alias("wrapped"))
+    rows = rows.unionByName(_wrapped(stored_rows, m).withColumn("wrapped", F.lit(True)))
+    before = Window.partitionBy("row").orderBy("paragraph").rangeBetween(-1, -1)
+    here = Window.partitionBy("row", "paragraph")
+    last = F.max(F.when(F.col("wrapped"), F.col("family"))).over(before)
+    rows = rows.withColumn("last", last).withColumn("starts", F.max("wrapped").over(here))
+    # the first line stands for a wrapped notice; its lines are no unknown ones besides
+    rows = rows.filter(F.when(F.col("wrapped"), F.coalesce(F.col("last") != F.col("family"), F.lit(True))).otherwise(
+        (F.col("family") != "unknown") | (F.col("last").isNull() & ~F.col("starts"))))
+    return rows.select("doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"),
+                       F.round("similarity", 6).alias("similarity"), F.col("n_words").cast("long").alias("n_words"))

@@ -276,6 +276,24 @@ def test_licences_are_found(spark, smoke, nothing):
     assert license.scan(nothing, model).count() == 0
 
 
+def test_wrapped_licences(spark, smoke):
+    bsd = ["// Redistribution and use in source and binary forms, with or without", "// modification, are permitted provided that the following conditions are met:"]
+    gpl = [" * This program is free software: you can redistribute it and/or modify", " * it under the terms of the GNU General Public License as published by",
+           " * the Free Software Foundation, either version 3 of the License, or", " * (at your option) any later version."]
+    extra = [(10_000, "\n".join(["int x;", "", *bsd, "", "int y;"])), (10_001, "\n".join(["/*", *gpl, " */"])),
+             (10_002, "\n".join([*bsd, *gpl])), (10_003, f"{bsd[0]}\n\n{bsd[1]}"), (10_004, "Words before it. All\nrights\nreserved. Words after it.")]
+    docs = smoke.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id bigint, text string"))
+    got = [(r["doc_id"], r["paragraph"], r["family"]) for r in license.scan(docs).filter("doc_id >= 10000").collect()]
+    assert sorted(g for g in got if g[0] != 10_003) == [(10_000, 2, "bsd"), (10_001, 1, "gpl-3.0"), (10_002, 0, "bsd"), (10_002, 2, "gpl-3.0"),
+                                                        (10_004, 0, "all-rights-reserved")]
+    assert {g[2] for g in got if g[0] == 10_003} <= {"unknown"}  # a blank line parts them
+
+
+def test_no_notice_confirmed_by_plain_words():
+    for pairs in license._templates():
+        assert sum(set(p.split()) <= license.PLAIN for p in pairs) / len(pairs) < license.CONFIRM
+
+
 def test_licences_in_legal_prose(spark):
     """Words of the notices that are common in the corpus don't hide a notice."""
     prose = ["The rights of the heirs are reserved to all members.", "All heirs reserved the rights they had.", "The license of the pub was sold.",
