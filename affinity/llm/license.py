@@ -181,7 +181,10 @@ def _probabilities(rows: DataFrame) -> DataFrame:
 
 def _wrapped(rows: DataFrame, m: Model) -> DataFrame:
     """Notices that only stand in several lines together: rows for each of their lines but the last."""
-    rows = rows.filter(F.size("tail") > 0).withColumn("pairs", grams(F.concat("w", "tail"), (2,)))
+    # at CONFIRM a window has a pair that isn't of plain words
+    telling = sorted({p for t in _templates() for p in t if not set(p.split()) <= PLAIN})
+    rows = rows.filter(F.size("tail") > 0).filter(F.arrays_overlap(grams(F.concat("w", "tail"), (2,)), F.array(*map(F.lit, telling))))
+    rows = stored(rows.drop("m"), "license-near").withColumn("pairs", grams(F.concat("w", "tail"), (2,)))
     both = F.array(*[_likeness(F.col("pairs"), c) for c in m.classes[1:]])
     rows = stored(rows.withColumn("both", both).filter(F.array_max("both") >= CONFIRM).drop("pairs"), "license-windows")
     for name, w in (("alone", "w"), ("after", "tail")):
