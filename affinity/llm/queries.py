@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, langid, license, linededup, lm, minhash, mixing, quality, toxicity
+from . import ann, bpe, bytebpe, langid, license, linededup, lm, minhash, mixing, quality, toxicity
 from .common import table
 
 
@@ -52,6 +52,13 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bytebpe.code(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                        public_tokenizers.PATTERN)
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -64,4 +71,5 @@ def queries():
         "op8_toxicity": op8_toxicity,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
+        "op11_byte_bpe": op11_byte_bpe,
     }
