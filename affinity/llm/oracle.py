@@ -108,5 +108,43 @@ SELECT doc_id, size, source_size, target,
 FROM ordered JOIN rests ON ordered.source IS NOT DISTINCT FROM rests.source"""
 
 
+_FILTER_AUDIT = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^{SP}]+') AS w FROM documents),
+f AS (
+  SELECT doc_id, part,
+         (CASE WHEN len(w) < 50 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS failed
+  FROM d),
+g AS (
+  SELECT f.*, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+  FROM f LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) l USING (doc_id)),
+c AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM g GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT o, s::INTEGER AS s, o[s] AS own, '[' || o[1:s - 1] || ' ]' AS before, '[' || o[1:s] || ']' AS through FROM orders, range(1, 6) r(s)),
+told AS (
+  SELECT part, o, s, own,
+    sum(CASE WHEN NOT regexp_matches(failed, through) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(failed, own) AND NOT regexp_matches(failed, before) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(failed, own) AND regexp_matches(failed, before) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(failed, own) AND NOT regexp_matches(failed, before) THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(failed, own) AND NOT regexp_matches(failed, before) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, steps GROUP BY part, o, s, own)
+SELECT part, o AS filter_order, s AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM told"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _quality(), "op5_mixing": _MIXING, "op9_line_dedup": _LINE_DEDUP}
+    return {"op1_quality_rules": _quality(), "op5_mixing": _MIXING, "op9_line_dedup": _LINE_DEDUP,
+            "op13_filter_audit": _FILTER_AUDIT}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, bytebpe, langid, license, linededup, lm, minhash, mixing, quality, toxicity
+from . import ann, audit, bpe, bytebpe, langid, license, linededup, lm, minhash, mixing, quality, resample, toxicity
 from .common import table
 
 
@@ -59,6 +59,14 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.PATTERN)
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries():
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -72,4 +80,6 @@ def queries():
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash": op10_minhash,
         "op11_byte_bpe": op11_byte_bpe,
+        "op12_resampling": op12_resampling,
+        "op13_filter_audit": op13_filter_audit,
     }
