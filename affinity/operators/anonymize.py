@@ -1,8 +1,8 @@
 """Band-wise microaggregation: replace each value by its cluster centre.
 
 Per attribute and grade band the values are clustered in one dimension with
-``k`` tried from 3 down: the largest ``k`` whose clusters all have at least
-``min_size`` members wins (k = 1, the band mean, always qualifies, even for a
+``k`` tried from 3 down: the largest ``k`` whose clusters (those with the least squared
+error) all have at least ``min_size`` members wins (k = 1, the band mean, always qualifies, even for a
 single value — that value is then released as is, with ``cluster_size`` 1).
 
 Fixed values (from the reference): bands ``<60, [60,70), [70,80), [80,90),
@@ -11,21 +11,20 @@ is assigned there (when a top band has no training value its own values
 train it); ``min_size`` 2; output precision 3 decimals.
 
 Plan: bands and clusters are taken from the raw values; only a released centre
-is rounded, by the caller. Lloyd starts from distinct values of equally spaced
-ranks. One histogram ``(attr, band, q, n)`` is built
-with a partial aggregation; Lloyd runs for all (attr, band, k) groups at once
-(:func:`affinity.operators.clustering.lloyd_1d`); the chosen centres — at most
-``attrs × 5`` rows of 3 numbers — are joined back to the cells, by whatever join
+is rounded, by the caller. One histogram ``(attr, band, q, n)`` is built
+with a partial aggregation; :func:`affinity.operators.clustering.exact_split` gives the
+split of every (attr, band) and k with the least squared error; the chosen centres — at
+most ``attrs × 5`` rows of 3 numbers — are joined back to the cells, by whatever join
 their measured size allows. No group of rows is ever collected.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions import fixed, nearest_index_k
-from affinity.operators.clustering import lloyd_1d
+from affinity.operators.clustering import exact_split
 from affinity.session import checkpoint_dir
 
 BAND_CUTS = (60.0, 70.0, 80.0, 90.0)
@@ -92,21 +91,12 @@ def microaggregate(cells: DataFrame, id_col: str = "id", attr: str = "attr", val
     has = hist_all.groupBy("attr", "band").agg(F.max(eligible.cast("int")).alias("_has"))
     hist = (hist_all.join(has, ["attr", "band"])
             .where(eligible | (F.col("_has") == 0))
-            .select("attr", "band", F.col("q").cast("double").alias("v"), "n")
-            .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(kmax)))))
-    cent = lloyd_1d(hist, "k", kmax=kmax, group_cols=["attr", "band", "k"], epsilon=1e-9, start="rank")
-    # Cluster sizes of the training values under the final centres.
-    sized = (hist.join(cent, ["attr", "band", "k"])
-             .withColumn("_idx", nearest_index_k("v", "centres", kmax))
-             .groupBy("attr", "band", "k", "_idx").agg(F.sum("n").alias("_cnt"))
-             .groupBy("attr", "band", "k")
-             .agg(F.min("_cnt").alias("_min"), F.count(F.lit(1)).alias("_used")))
-    ok = (F.col("k") == 1) | ((F.col("_min") >= min_size) & (F.col("_used") == F.col("k")))
-    pick = Window.partitionBy("attr", "band").orderBy(ok.cast("int").desc(), F.col("k").desc())
-    # Chosen centres: one row per (attr, band), i.e. at most attributes × 5 rows.
-    chosen = (sized.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") == 1)
-              .join(cent, ["attr", "band", "k"]).select("attr", "band", "k", "centres")
-              .checkpoint(eager=True))
+            .select("attr", "band", F.col("q").cast("double").alias("v"), "n"))
+    splits = exact_split(hist, kmax, ["attr", "band"])
+    ok = (F.col("k") == 1) | (F.array_min("sizes") >= min_size)
+    # Chosen centres: one row per (attr, band).
+    chosen = (splits.where(ok).groupBy("attr", "band").agg(F.max(F.struct("k", "centres")).alias("b"))
+              .select("attr", "band", "b.k", "b.centres").checkpoint(eager=True))
     cluster = nearest_index_k(F.col("q").cast("double"), "centres", kmax)
     # Cluster sizes over all cells: at most attributes × 5 × kmax rows.
     sizes = (hist_all.join(chosen, ["attr", "band"])

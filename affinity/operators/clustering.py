@@ -1,14 +1,21 @@
-"""Clustering: MLlib k-means on profiles, and 1-D Lloyd iterations.
+"""Clustering: MLlib k-means on profiles, exact 1-D splits, and 1-D Lloyd iterations.
 
-``lloyd_1d`` works on a value histogram ``(group.., value, n)`` so its cost
-depends on distinct values, not rows. All groups iterate in the same Spark
-job; each iteration is one aggregation. The current centres travel as a
-small table with one row per *group* (``k`` numbers each) — the same
-driver-held model MLlib k-means keeps — and are broadcast to the scan; the
-caller bounds the number of groups (tiers: one group; microaggregation:
-attributes × 5 bands × 3 values of k).
+All 1-D work runs on a value histogram ``(group.., v, n)``, so its cost depends on
+distinct values, not rows, and on running sums of n, n·v, n·v², from which the mean and
+the squared error of any interval of values follow. Nothing of a group passes through
+the driver.
 
-Rules (fixed, from the reference):
+``exact_split`` finds the intervals with the least squared error. It fills the table
+"best split of the first j values into q intervals" layer by layer. The best last cut
+moves right with j, so the cuts of a few j's bound those between them: each level
+tries ``fan`` times the distinct values, not all pairs.
+
+``lloyd_1d`` keeps a group's values (at most GROUP_VALUES) as one sorted array with its
+running sums. A round finds the border between neighbouring centres by bisection and
+takes the new means from the sums; rounds run inside one expression. Larger groups
+(there are at most rows / GROUP_VALUES of them) iterate as Spark aggregates.
+
+Lloyd's rules (fixed, from the reference):
 * start: explicit ``init`` list, else equal-width ``lo + (hi-lo)(2i+1)/(2k)``, or
   with ``start="rank"`` the distinct values of rank ``floor((2i+1)m / (2k))`` of m,
   so no cluster is empty at the start when there are k distinct values;
@@ -20,6 +27,8 @@ Rules (fixed, from the reference):
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -28,7 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinity.functions import nearest_index, nearest_index_k
-from affinity.session import checkpoint_dir
+from affinity.operators.ordering import running_sums
+from affinity.session import checkpoint_dir, scratch_path
 
 # Fixed tier names from the reference (lowest average first).
 TIER_NAMES = {
@@ -92,9 +102,10 @@ def cluster_sizes(assigned: DataFrame, label: str = "label") -> DataFrame:
 
 # ------------------------------------------------------------- 1-D Lloyd
 
-HIST_ROWS_PER_PART = 500_000
-MAX_GROUPS = 100_000  # bound on groups whose centres the loop holds (k numbers each)
-CASE_MIN_ROWS = 200_000  # single-group histograms above this use the compiled CASE chain
+GROUP_VALUES = 50_000  # distinct values of a group that one row holds; beyond, rounds are Spark aggregates
+ROUNDS = 64  # Lloyd rounds in one expression
+FAN = 16  # positions tried between two known ones
+
 
 def histogram(points: DataFrame, value: str, group_cols: list[str] | tuple = (),
               weight: str | None = None) -> DataFrame:
@@ -104,102 +115,219 @@ def histogram(points: DataFrame, value: str, group_cols: list[str] | tuple = (),
             .agg(F.sum(w).cast("long").alias("n")))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exact_split(hist: DataFrame, kmax: int, group_cols: list[str], fan: int = FAN) -> DataFrame:
+    """``(group.., k, error, sizes, centres)`` for k = 1 .. kmax (at most the group's distinct
+    values): the split of the group's values into k intervals with the least squared error,
+    its intervals' row counts and means, ascending.
+
+    ``hist`` is ``(group.., v, n)``, one row per group and value. Ties: the last cut is the
+    smallest value whose error (per row, to 9 places) is least, and so on to the left.
+    """
+    low = hist.groupBy(*group_cols).agg(F.min("v").alias("_low"))
+    own = hist.select(*group_cols, "v", F.col("n").cast("double").alias("n"))
+    shifted = own.join(low, group_cols).withColumn("x", F.col("v") - F.col("_low"))  # small numbers, small rounding
+    sums = running_sums(shifted, group_cols, "v", {"cum_n": F.col("n"), "cum_s": F.col("n") * F.col("x"),
+                                                   "cum_q": F.col("n") * F.col("x") * F.col("x")})
+    sums = _written(sums.select(*group_cols, "pos", "_low", "cum_n", "cum_s", "cum_q"), "split-sums")
+    last = sums.groupBy(*group_cols).agg(F.max("pos").alias("m"))
+    values = _written(sums.join(last, group_cols), "split-values")
+    m_max = values.agg(F.max("m")).first()[0] or 0
+    top = 1  # levels: the coarsest step covers the largest group
+    while fan ** top < m_max:
+        top += 1
+
+    def mean(n, s):
+        return s / n + F.col("_low")
+
+    layer = values.select(*group_cols, "pos", "m", "_low", "cum_n", "cum_s", "cum_q", (F.col("cum_q") - F.col("cum_s") * F.col("cum_s") / F.col("cum_n")).alias("error"),
+                          F.array("cum_n").alias("sizes"), F.array(mean(F.col("cum_n"), F.col("cum_s"))).alias("centres"))
+    out = [_whole(layer, group_cols, 1)]
+    for q in range(2, kmax + 1):
+        known = _best_last_cut(values.where((F.col("pos") == F.col("m")) & (F.col("m") >= q)), layer, group_cols, F.lit(q - 1), F.col("pos") - 1)
+        for level in range(1, top + 1) if q < kmax else ():
+            step, wide = fan ** (top - level), fan ** (top - level + 1)
+            j = F.col("pos")
+            here = values.where((j % step == 0) & (j % wide != 0) & (j < F.col("m")) & (j >= q))
+            here = here.withColumn("_left", j - j % wide).withColumn("_right", F.least(F.col("_left") + wide, F.col("m")))
+            for side in ("left", "right"):
+                cut = known.select(*group_cols, F.col("pos").alias(f"_{side}"), F.col("cut").alias(f"_{side}_cut"))
+                here = here.join(cut, [*group_cols, f"_{side}"], "left")
+            found = _best_last_cut(here, layer, group_cols, F.coalesce("_left_cut", F.lit(q - 1)), F.least(j - 1, F.col("_right_cut")))
+            known = known.unionByName(found)
+        layer = known.drop("cut")
+        out.append(_whole(layer, group_cols, q))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _whole(layer: DataFrame, group_cols: list[str], q: int) -> DataFrame:
+    return layer.where(F.col("pos") == F.col("m")).select(
+        *group_cols, F.lit(q).alias("k"), "error", F.transform("sizes", lambda x: x.cast("long")).alias("sizes"), "centres")
+
+
+def _best_last_cut(ends: DataFrame, layer: DataFrame, group_cols: list[str], lo, hi) -> DataFrame:
+    """For every end (group.., pos) the best position in lo..hi after which the last interval
+    starts, with the split of ``layer`` before it."""
+    cols = ["pos", "m", "_low", "cum_n", "cum_s", "cum_q"]
+    tried = ends.select(*group_cols, *cols, lo.cast("long").alias("_lo"), hi.cast("long").alias("_hi")).where("_lo <= _hi") \
+        .withColumn("cut", F.explode(F.sequence("_lo", "_hi")))
+    before = layer.select(*group_cols, F.col("pos").alias("cut"), F.col("cum_n").alias("_n"), F.col("cum_s").alias("_s"), F.col("cum_q").alias("_q"),
+                          F.col("error").alias("_e"), F.col("sizes").alias("_sizes"), F.col("centres").alias("_centres"))
+    n, s, q = F.col("cum_n") - F.col("_n"), F.col("cum_s") - F.col("_s"), F.col("cum_q") - F.col("_q")
+    error = F.col("_e") + q - s * s / n
+    pick = F.struct(F.round(error / F.col("cum_n"), 9).alias("r"), "cut", error.alias("error"),
+                    F.concat("_sizes", F.array(n)).alias("sizes"), F.concat("_centres", F.array(s / n + F.col("_low"))).alias("centres"))
+    best = tried.join(before, [*group_cols, "cut"]).groupBy(*group_cols, *cols).agg(F.min(pick).alias("b"))
+    return _written(best.select(*group_cols, *cols, "b.error", "b.sizes", "b.centres", "b.cut"), "split-layer")
+
+
 def lloyd_1d(hist: DataFrame, k: int | str, kmax: int | None = None, group_cols: list[str] | tuple = (),
              init: list[float] | None = None, epsilon: float = 0.001, max_iter: int = 10_000,
-             start: str = "width") -> DataFrame:
+             start: str = "width", group_values: int = GROUP_VALUES) -> DataFrame:
     """Converged centres ``(group.., centres array<double>)`` per group.
 
     ``hist`` is ``(group.., v, n)`` (see :func:`histogram`); ``k`` is a
     number or the name of a per-group column holding it (then ``kmax`` bounds
     it). Missing clusters (``i >= k``) are NULL in the array.
     """
-    spark = hist.sparkSession
-    group_cols = list(group_cols)
+    groups = list(group_cols)
     if kmax is None:
         if not isinstance(k, int):
             raise ValueError("kmax is required when k is a column")
         kmax = k
+    if init is not None and isinstance(k, int) and len(init) != k:
+        raise ValueError(f"init has {len(init)} centres for k = {k}")
     k_col = F.lit(k) if isinstance(k, int) else F.col(k)
-    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # One row per group; the collect itself is bounded by MAX_GROUPS.
-        rng = (hist.groupBy(*group_cols)
-               .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.max(k_col).alias("_k"),
-                    F.count(F.lit(1)).alias("_m"))
-               .limit(MAX_GROUPS + 1).collect())
-        if len(rng) > MAX_GROUPS:
-            raise ValueError(f"lloyd_1d keeps k centres per group on the driver; more than "
-                             f"MAX_GROUPS={MAX_GROUPS} groups")
-        # Iterations re-scan the histogram: keep about HIST_ROWS_PER_PART rows per
-        # partition (the histogram size grows with distinct values, not rows).
-        m = sum(int(r["_m"] or 0) for r in rng)
-        parts = max(1, -(-m // HIST_ROWS_PER_PART))
-        if parts < hist.rdd.getNumPartitions():
-            small = hist.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
-            hist.unpersist()
-            hist = small
-        state = {}
-        for r in rng:
-            if not r["_m"]:
-                continue  # a global aggregate over no values still returns one row
-            key = tuple(r[c] for c in group_cols)
-            kk = int(r["_k"])
-            if init is not None and len(init) != kk:
-                raise ValueError(f"init has {len(init)} centres for k = {kk}")
-            if init is not None:
-                cs = [float(init[i]) if i < min(kk, len(init)) else None for i in range(kmax)]
-            else:
-                lo, hi = float(r["lo"]), float(r["hi"])
-                cs = [lo + (hi - lo) * (2 * i + 1) / float(2 * kk) if i < kk else None for i in range(kmax)]
-            state[key] = cs
-        if start == "rank" and init is None:
-            part = Window.partitionBy(*group_cols)
-            ranked = hist.select(*group_cols, "v", k_col.alias("_k"),
-                                 (F.row_number().over(part.orderBy("v")) - 1).alias("_rn"),
-                                 F.count(F.lit(1)).over(part).alias("_m"))
-            at = F.sequence(F.lit(0), F.col("_k") - 1)
-            picked = ranked.withColumn("_i", F.explode(at)).where(
-                F.col("_rn") == F.floor((2 * F.col("_i") + 1) * F.col("_m") / (2 * F.col("_k"))))
-            for r in picked.collect():  # k rows per group
-                state[tuple(r[c] for c in group_cols)][r["_i"]] = float(r["v"])
-        active = set(state)
-        gschema = [f for f in hist.schema.fields if f.name in group_cols]
-        cschema = T.StructType(gschema + [T.StructField("_c", T.ArrayType(T.DoubleType()))])
-        it = 0
-        while active and it < max_iter:
-            it += 1
-            if group_cols:
-                cur = spark.createDataFrame([(*key, state[key]) for key in active], cschema)
-                a = hist.join(F.broadcast(cur), group_cols)
-            else:
-                a = hist.withColumn("_c", _literal_array(state[()]))
-            # Compiled CASE chain when the centres are a column (grouped) or the
-            # histogram is large enough to repay a recompile of new literals.
-            use_case = bool(group_cols) or m > CASE_MIN_ROWS
-            idx = nearest_index_k("v", "_c", kmax) if use_case else nearest_index("v", "_c")
-            upd = (a.withColumn("_idx", idx)
-                   .groupBy(*group_cols, "_idx")
-                   .agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("_new"))
-                   .collect())
-            moved = {key: False for key in active}
-            new_state = {key: list(state[key]) for key in active}
-            for r in upd:
-                key = tuple(r[c] for c in group_cols)
-                i = int(r["_idx"])
-                old = state[key][i]
-                new_state[key][i] = float(r["_new"])
-                if abs(float(r["_new"]) - old) > epsilon:
-                    moved[key] = True
-            for key in list(active):
-                state[key] = new_state[key]
-                if not moved[key]:
-                    active.discard(key)
-        if active:
-            raise RuntimeError(f"lloyd_1d: {len(active)} groups still move after {max_iter} iterations")
-        rows = [(*key, cs) for key, cs in state.items()]
-        return spark.createDataFrame(rows, cschema).withColumnRenamed("_c", "centres")
-    finally:
-        hist.unpersist()
+    keys = groups or ["_all"]
+    rows = hist.where(F.col("v").isNotNull())
+    rows = rows.select(*(groups or [F.lit(0).alias("_all")]), "v", "n", k_col.cast("int").alias("_k"))
+    rows = _written(rows, "lloyd-histogram")
+    # sizes of the groups: one row per group, never collected
+    sized = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+    large = sized.where(F.col("_m") > group_values).select(*keys)
+    has_large = not large.isEmpty()
+    small = rows.join(large, keys, "left_anti") if has_large else rows
+    out = _lloyd_arrays(small, keys, kmax, init, epsilon, max_iter, start, group_values)
+    if has_large:
+        out = out.unionByName(_lloyd_rounds(rows.join(large, keys, "left_semi"), keys, kmax, init, epsilon, max_iter, start))
+    return out.select(*groups, "centres")
+
+
+def _start(kmax: int, init: list[float] | None, start: str, lo, hi, at_rank):
+    """Array of kmax start centres (NULL from k on)."""
+    def centre(i: int):
+        if init is not None:
+            return F.lit(float(init[i])) if i < len(init) else F.lit(None).cast("double")
+        if start == "rank":
+            return at_rank(i)
+        return lo + (hi - lo) * F.lit(2 * i + 1) / (2 * F.col("_k")).cast("double")
+
+    return F.array(*[F.when(F.col("_k") > i, centre(i)) for i in range(kmax)])
+
+
+def _moving(epsilon: float):
+    return lambda old, new: F.exists(F.zip_with(old, new, lambda a, b: F.abs(a - b) > epsilon), lambda x: F.coalesce(x, F.lit(False)))
+
+
+def _let(value, use):
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _lloyd_arrays(rows: DataFrame, keys: list[str], kmax: int, init, epsilon: float, max_iter: int, start: str,
+                  group_values: int) -> DataFrame:
+    """Groups of at most ``group_values`` values: one row each, rounds inside an expression."""
+    so_far = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    sums = rows.select(*keys, "_k", "v", F.sum(F.col("n").cast("double")).over(so_far).alias("cum_n"), F.sum(F.col("n") * F.col("v")).over(so_far).alias("cum_s"))
+    one = sums.groupBy(*keys).agg(F.max("_k").alias("_k"), F.array_sort(F.collect_list(F.struct("v", "cum_n", "cum_s"))).alias("h"))
+    one = one.select(*keys, "_k", F.col("h.v").alias("v"), F.concat(F.array(F.lit(0.0)), "h.cum_n").alias("cum_n"),
+                     F.concat(F.array(F.lit(0.0)), "h.cum_s").alias("cum_s"))
+    v, m = F.col("v"), F.size("v")
+    first = _start(kmax, init, start, F.get(v, 0), F.get(v, m - 1),
+                   lambda i: F.get(v, F.floor(F.lit(2 * i + 1) * m / (2 * F.col("_k"))).cast("int")))
+    state = _written(one.withColumn("c", first).withColumn("moved", F.lit(True)), "lloyd")
+    bits = F.sequence(F.lit(1), F.lit(max(1, group_values.bit_length())))
+
+    def border(a, b):
+        """Values before the first one that goes to the right one of two neighbouring centres."""
+        def goes_right(x):
+            left, right = F.abs(x - a["c"]), F.abs(x - b["c"])
+            return (left > right) | ((left == right) & (b["i"] > a["i"]))
+
+        def halve(s, _):
+            mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+            right = goes_right(F.get(v, mid))
+            return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(
+                F.when(right, s["lo"]).otherwise(mid + 1).alias("lo"), F.when(right, mid).otherwise(s["hi"]).alias("hi")))
+
+        return F.aggregate(bits, F.struct(F.lit(0).alias("lo"), m.alias("hi")), halve, lambda s: s["lo"])
+
+    def round_(c):
+        every = F.array_sort(F.filter(F.transform(c, lambda x, i: F.struct(x.alias("c"), i.alias("i"))), lambda x: x["c"].isNotNull()))
+
+        def of(order):
+            last = F.size(order) - 1
+            borders = F.concat(F.array(F.lit(0)), F.transform(F.slice(order, 2, F.greatest(last, F.lit(0))),
+                                                              lambda b, p: border(F.get(order, p), b)), F.array(m))
+
+            def means(at):
+                new = F.transform(order, lambda x, p: F.struct(
+                    x["i"].alias("i"),
+                    F.try_divide(F.get(F.col("cum_s"), F.get(at, p + 1)) - F.get(F.col("cum_s"), F.get(at, p)),
+                                 F.get(F.col("cum_n"), F.get(at, p + 1)) - F.get(F.col("cum_n"), F.get(at, p))).alias("mean")))
+                return _let(new, lambda ms: F.transform(c, lambda old, i: F.coalesce(
+                    F.get(F.filter(ms, lambda y: y["i"] == i), 0)["mean"], old)))
+
+            return _let(borders, means)
+
+        # of equal centres the last one takes the values
+        return _let(every, lambda e: _let(F.filter(e, lambda x, p: (p == F.size(e) - 1) | (F.get(e, p + 1)["c"] != x["c"])), of))
+
+    moving = _moving(epsilon)
+    advance = F.aggregate(F.sequence(F.lit(1), F.lit(min(ROUNDS, max_iter))), F.struct("c", "moved"), lambda s, _: F.when(
+        s["moved"], _let(round_(s["c"]), lambda new: F.struct(new.alias("c"), moving(s["c"], new).alias("moved")))).otherwise(s))
+    done = []
+    for _ in range(-(-max_iter // ROUNDS)):
+        state = _written(state.withColumn("s", advance).select(*keys, "_k", "v", "cum_n", "cum_s", "s.c", "s.moved"), "lloyd")
+        done.append(state.where(~F.col("moved")).select(*keys, F.col("c").alias("centres")))
+        state = state.where("moved")
+        if state.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+    raise RuntimeError(f"lloyd_1d: groups still move after {max_iter} iterations")
+
+
+def _lloyd_rounds(rows: DataFrame, keys: list[str], kmax: int, init, epsilon: float, max_iter: int, start: str) -> DataFrame:
+    """Groups of many values: every round one aggregate with map-side sums."""
+    rows = _written(rows, "lloyd-large")
+    if start == "rank" and init is None:
+        placed = running_sums(rows, keys, "v", {})
+        size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+        at = placed.join(size, keys)
+        ranked = at.groupBy(*keys).agg(F.max("_k").alias("_k"), *[
+            F.max(F.when(F.col("pos") - 1 == F.floor(F.lit(2 * i + 1) * F.col("_m") / (2 * F.col("_k"))), F.col("v"))).alias(f"_s{i}")
+            for i in range(kmax)])
+        begin = ranked.select(*keys, _start(kmax, init, start, None, None, lambda i: F.col(f"_s{i}")).alias("c"))
+    else:
+        ends = rows.groupBy(*keys).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"), F.max("_k").alias("_k"))
+        begin = ends.select(*keys, _start(kmax, init, start, F.col("_lo"), F.col("_hi"), None).alias("c"))
+    state, done, moving = _written(begin, "lloyd-centres"), [], _moving(epsilon)
+    for _ in range(max_iter):
+        near = rows.join(state, keys).withColumn("_i", nearest_index_k("v", "c", kmax))
+        means = near.groupBy(*keys, "_i").agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("_mean"))
+        by_group = means.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_mean"))).alias("_means"))
+        new = state.join(by_group, keys).withColumn("_new", F.transform("c", lambda x, i: F.coalesce(F.try_element_at("_means", i), x)))
+        state = _written(new.select(*keys, F.col("_new").alias("c"), moving(F.col("c"), F.col("_new")).alias("_moved")), "lloyd-centres")
+        done.append(state.where(~F.col("_moved")).select(*keys, F.col("c").alias("centres")))
+        state = state.where("_moved").drop("_moved")
+        if state.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+    raise RuntimeError(f"lloyd_1d: groups still move after {max_iter} iterations")
 
 
 def _literal_array(values: list[float | None]):
@@ -210,12 +338,11 @@ def assign_nearest(df: DataFrame, value: str, centres: DataFrame, group_cols: li
                    out_index: str = "cluster", out_center: str = "center", kmax: int | None = None) -> DataFrame:
     """Attach the nearest centre (and its index) to every row.
 
-    ``centres`` has one row per group, so it is broadcast (its size is bounded
-    by the group count, not by the data).
+    ``centres`` has one row per group; how it is joined is left to its measured size.
     """
     group_cols = list(group_cols)
     if group_cols:
-        j = df.join(F.broadcast(centres), group_cols)
+        j = df.join(centres, group_cols)
     else:
         # One group: k numbers, inlined as a literal array (no join at all).
         row = centres.select("centres").first()

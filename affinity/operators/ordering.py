@@ -1,9 +1,13 @@
-"""Global order as a distributed operation: rows with their position.
+"""Global order as a distributed operation: rows with their position, running sums.
 
 ``with_positions`` range-partitions the rows by the order, sorts each partition, writes
 the rows once with (partition, place inside it), counts the partitions and adds up the
 counts before each: position = offset + place. No task sees more than its range, and only
 one row per partition (its count) is prefix-summed.
+
+``running_sums`` does the same per group: rows are range-partitioned by (group, order), so a
+group larger than a range spans several; each range sums its own rows, and the sums of a
+group's earlier ranges (one row per range and group) are added.
 """
 
 from __future__ import annotations
@@ -51,3 +55,28 @@ def _free(name: str, taken: list[str]) -> str:
     while name in taken:
         name += "_"
     return name
+
+
+def running_sums(df: DataFrame, group_cols: list[str], order: str, sums: dict[str, Column],
+                 position: str = "pos", partitions: int | None = None) -> DataFrame:
+    """``df`` with ``position`` (1, 2, ... inside its group by ``order``) and, for every name
+    of ``sums``, the sum of that column expression over the group's rows so far.
+
+    ``order`` must tell the rows of a group apart.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = _free("_part", df.columns)
+    path = scratch_path(spark, "running")
+    (df.select("*", *[c.alias(name) for name, c in sums.items()]).repartitionByRange(n, *group_cols, order)
+     .withColumn(part, F.spark_partition_id()).write.parquet(path))
+    rows = spark.read.parquet(path)
+    inside = Window.partitionBy(part, *group_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.select(*df.columns, part, F.row_number().over(Window.partitionBy(part, *group_cols).orderBy(order)).alias(position),
+                        *[F.sum(name).over(inside).alias(name) for name in sums])
+    before = Window.partitionBy(*group_cols).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(part, *group_cols).agg(F.count(F.lit(1)).alias(position), *[F.sum(name).alias(name) for name in sums])
+    earlier = totals.select(F.col(part).alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)],
+                            *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_b{i}") for i, c in enumerate([position, *sums])])
+    on = [local[part] == earlier["_p"], *[local[g].eqNullSafe(earlier[f"_g{i}"]) for i, g in enumerate(group_cols)]]
+    return local.join(earlier, on).select(*df.columns, *[(F.col(c) + F.col(f"_b{i}")).alias(c) for i, c in enumerate([position, *sums])])

@@ -272,7 +272,7 @@ def _nearest_sql(kmax: int, v: str, tbl: str) -> str:
     return expr
 
 
-def _lloyd_sql(hist_sql: str, k_expr: str, kmax: int, group_cols: list[str], epsilon: float, by_rank: bool = False) -> str:
+def _lloyd_sql(hist_sql: str, k_expr: str, kmax: int, group_cols: list[str], epsilon: float) -> str:
     """Recursive Lloyd iterations per group over ``hist(g.., v, n)``.
 
     Equal-width start ``lo + (hi - lo) * (2i + 1) / (2k)``; nearest centre
@@ -289,12 +289,6 @@ def _lloyd_sql(hist_sql: str, k_expr: str, kmax: int, group_cols: list[str], eps
         f"CASE WHEN {i} < {k_expr} THEN lo + (hi - lo) * (2 * {i} + 1) / CAST(2 * {k_expr} AS DOUBLE) END AS c{i}"
         for i in range(kmax))
     rng = f"SELECT {keys}min(v) AS lo, max(v) AS hi FROM hist"
-    if by_rank:  # distinct values of ranks floor((2i + 1) m / (2k))
-        init = ", ".join(f"c{i}" for i in range(kmax))
-        starts = ", ".join(f"max(CASE WHEN {i} < {k_expr} AND rn = (2 * {i} + 1) * m // (2 * {k_expr}) THEN v END) AS c{i}"
-                           for i in range(kmax))
-        rng = (f"SELECT {keys}{starts} FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY v) - 1 AS rn, "
-               f"count(*) OVER (PARTITION BY {g}) AS m FROM hist) d")
     new_c = ", ".join(
         f"coalesce(sum(CASE WHEN a.idx = {i} THEN a.n * a.v END) / sum(CASE WHEN a.idx = {i} THEN a.n END), "
         f"a.c{i}) AS c{i}" for i in range(kmax))
@@ -349,15 +343,7 @@ def _micro_common() -> str:
     kmax = KMAX_MICRO
     cuts = [60, 70, 80, 90]
     band = "CASE " + " ".join(f"WHEN v < {c} THEN {i}" for i, c in enumerate(cuts)) + " ELSE 4 END"
-    hist = f"""
-      SELECT t.attr, t.band, ks.k, CAST(t.q AS DOUBLE) AS v, t.n FROM (
-        SELECT c.attr, c.band, c.q, count(*) AS n FROM cells c
-        JOIN trainable tr ON tr.attr = c.attr AND tr.band = c.band
-        WHERE c.band < 4 OR c.in_range OR NOT tr.has_train
-        GROUP BY c.attr, c.band, c.q) t,
-      (SELECT unnest(range(1, {kmax + 1})) AS k) ks"""
-    ctes = _lloyd_sql(hist, "k", kmax, ["attr", "band", "k"], 1e-9, by_rank=True)
-    fc = ", ".join(f"f.c{i}" for i in range(kmax))
+    cs = ", ".join(f"c{i}" for i in range(3))
     return f"""
     cells AS (
       SELECT id, attr, v AS q, {band} AS band, v < {TOP_VALUE} AS in_range
@@ -365,20 +351,35 @@ def _micro_common() -> str:
             FROM ({_scores('brand')}) s GROUP BY sno, cno) c0),
     trainable AS (SELECT attr, band, bool_or(band < 4 OR in_range) AS has_train
                   FROM cells GROUP BY attr, band),
-    {ctes.strip()},
-    sized AS (
-      SELECT f.attr, f.band, f.kk, min(s.cnt) AS min_size, count(*) AS used
-      FROM fin f JOIN (
-        SELECT h.attr, h.band, h.k, {_nearest_sql(kmax, "h.v", "f")} AS idx, sum(h.n) AS cnt
-        FROM hist h JOIN fin f ON f.attr = h.attr AND f.band = h.band AND f.k = h.k
-        GROUP BY 1, 2, 3, 4) s
-      ON s.attr = f.attr AND s.band = f.band AND s.k = f.k
-      GROUP BY f.attr, f.band, f.kk),
+    hist AS (
+      SELECT c.attr, c.band, c.q AS v, CAST(count(*) AS DOUBLE) AS n FROM cells c
+      JOIN trainable tr ON tr.attr = c.attr AND tr.band = c.band
+      WHERE c.band < 4 OR c.in_range OR NOT tr.has_train GROUP BY c.attr, c.band, c.q),
+    low AS (SELECT *, v - min(v) OVER (PARTITION BY attr, band) AS x, min(v) OVER (PARTITION BY attr, band) AS lo FROM hist),
+    pre AS (
+      SELECT attr, band, lo, count(*) OVER (PARTITION BY attr, band) AS m, row_number() OVER w AS pos,
+             sum(n) OVER w AS n, sum(n * x) OVER w AS s, sum(n * x * x) OVER w AS q
+      FROM low WINDOW w AS (PARTITION BY attr, band ORDER BY v)),
+    -- every pair of cuts is tried
+    two AS (
+      SELECT a.attr, a.band, b.pos, a.q - a.s * a.s / a.n + b.q - a.q - (b.s - a.s) * (b.s - a.s) / (b.n - a.n) AS err,
+             a.n AS n0, b.n - a.n AS n1, a.s / a.n + a.lo AS c0, (b.s - a.s) / (b.n - a.n) + a.lo AS c1
+      FROM pre a JOIN pre b ON a.attr = b.attr AND a.band = b.band AND a.pos < b.pos
+      QUALIFY row_number() OVER (PARTITION BY a.attr, a.band, b.pos ORDER BY round(err / b.n, 9), a.pos) = 1),
+    three AS (
+      SELECT t.attr, t.band, t.n0, t.n1, e.n - a.n AS n2, t.c0, t.c1, (e.s - a.s) / (e.n - a.n) + a.lo AS c2
+      FROM two t JOIN pre a ON a.attr = t.attr AND a.band = t.band AND a.pos = t.pos
+      JOIN pre e ON e.attr = a.attr AND e.band = a.band AND e.pos = e.m AND a.pos < e.pos
+      QUALIFY row_number() OVER (PARTITION BY t.attr, t.band
+                                 ORDER BY round((t.err + e.q - a.q - (e.s - a.s) * (e.s - a.s) / (e.n - a.n)) / e.n, 9), a.pos) = 1),
+    splits AS (
+      SELECT attr, band, 3 AS kk, least(n0, n1, n2) AS smallest, {cs} FROM three
+      UNION ALL SELECT t.attr, t.band, 2, least(n0, n1), c0, c1, NULL FROM two t JOIN pre e
+        ON e.attr = t.attr AND e.band = t.band AND e.pos = e.m AND e.m = t.pos
+      UNION ALL SELECT attr, band, 1, 2, s / n + lo, NULL, NULL FROM pre WHERE pos = m),
     chosen AS (
-      SELECT f.attr, f.band, f.kk, {fc} FROM fin f JOIN (
-        SELECT attr, band, kk, row_number() OVER (PARTITION BY attr, band ORDER BY
-               CASE WHEN kk = 1 OR (min_size >= 2 AND used = kk) THEN 0 ELSE 1 END, kk DESC) AS pick
-        FROM sized) p ON p.attr = f.attr AND p.band = f.band AND p.kk = f.kk AND p.pick = 1),
+      SELECT attr, band, kk, {cs} FROM splits WHERE smallest >= 2
+      QUALIFY row_number() OVER (PARTITION BY attr, band ORDER BY kk DESC) = 1),
     centred AS (
       SELECT c.id, c.attr, c.q, c.band, ch.kk,
              {_nearest_sql(kmax, "CAST(c.q AS DOUBLE)", "ch")} AS idx,
@@ -388,7 +389,7 @@ def _micro_common() -> str:
 
 
 def _microaggregate_detail() -> str:
-    return f"""WITH RECURSIVE {_micro_common().strip()}
+    return f"""WITH {_micro_common().strip()}
     SELECT c.id, c.attr, round(c.q, 6) AS value, CAST(c.band AS INTEGER) AS band,
            CAST(c.kk AS INTEGER) AS k, CAST(c.idx AS INTEGER) AS cluster,
            round(c.center, 6) AS center,
@@ -397,7 +398,7 @@ def _microaggregate_detail() -> str:
 
 
 def _microaggregate() -> str:
-    return f"""WITH RECURSIVE {_micro_common().strip()}
+    return f"""WITH {_micro_common().strip()}
     SELECT id, attr, round(round(center, 9), 3) AS value FROM centred"""
 
 
@@ -405,7 +406,7 @@ def _microaggregate_wide() -> str:
     # the 25 brands of the part table
     names = [f"Brand#{i}" for i in range(1, 26)]
     cols = ", ".join(f"max(CASE WHEN attr = '{x}' THEN value END) AS \"{x}\"" for x in names)
-    return f"""WITH RECURSIVE {_micro_common().strip()},
+    return f"""WITH {_micro_common().strip()},
     long AS (SELECT id, attr, round(round(center, 9), 3) AS value FROM centred)
     SELECT id, {cols} FROM long GROUP BY id"""
 

@@ -149,11 +149,124 @@ def test_band_uses_raw_value(spark):
     assert got == {"1": 0, "2": 1}
 
 
-def test_lloyd_group_bound(spark, monkeypatch):
-    monkeypatch.setattr(clustering, "MAX_GROUPS", 2)
-    pts = spark.createDataFrame([(g, float(v)) for g in "abc" for v in (1, 2)], "g string, avg double")
-    with pytest.raises(ValueError, match="MAX_GROUPS"):
-        clustering.lloyd_1d(clustering.histogram(pts, "avg", ["g"]), 2, group_cols=["g"])
+def test_lloyd_takes_any_number_of_groups(spark):
+    """120,000 groups: centres stay in the table, none in the driver."""
+    from pyspark.sql import functions as F
+
+    pts = spark.range(120_000).select(F.col("id").alias("g"), F.explode(F.array(*[F.lit(x) for x in (0.0, 1.0, 9.0, 10.0)])).alias("v"))
+    cent = clustering.lloyd_1d(clustering.histogram(pts, "v", ["g"]), 2, group_cols=["g"])
+    assert cent.count() == 120_000
+    assert [tuple(r.centres) for r in cent.select("centres").distinct().collect()] == [(0.5, 9.5)]
+
+
+def plain_lloyd(hist, k, epsilon, init=None, start="width"):
+    """Lloyd's rules over (v, n) rows in plain Python."""
+    hist = sorted(hist)
+    lo, hi, m = hist[0][0], hist[-1][0], len(hist)
+    c = init or [lo + (hi - lo) * (2 * i + 1) / (2 * k) if start == "width" else hist[(2 * i + 1) * m // (2 * k)][0] for i in range(k)]
+    while True:
+        sums = [[0.0, 0] for _ in c]
+        for v, n in hist:
+            i = max(range(k), key=lambda i: (-abs(v - c[i]), i))
+            sums[i][0] += n * v
+            sums[i][1] += n
+        new = [s / n if n else old for (s, n), old in zip(sums, c)]
+        if all(abs(a - b) <= epsilon for a, b in zip(new, c)):
+            return new
+        c = new
+
+
+@pytest.mark.parametrize("group_values", [50_000, 10])
+@pytest.mark.parametrize("start,init", [("width", None), ("rank", None), ("width", [30.0, 30.0, 5.0])])
+def test_lloyd_equals_plain_python(spark, group_values, start, init):
+    """Groups held in one row and groups in Spark rounds follow the same rules."""
+    import random
+
+    rnd = random.Random(4)
+    rows = [(g, float(rnd.choice([rnd.randint(0, 12), rnd.randint(0, 90)])), rnd.randint(1, 4)) for g in "abcd" for _ in range({"a": 3, "b": 9}.get(g, 60))]
+    hist = {}
+    for g, v, n in rows:
+        hist.setdefault(g, {}).setdefault(v, 0)
+        hist[g][v] += n
+    df = clustering.histogram(spark.createDataFrame(rows, "g string, v double, n int"), "v", ["g"], weight="n")
+    got = {r.g: r.centres for r in clustering.lloyd_1d(df, 3, group_cols=["g"], start=start, init=init, group_values=group_values).collect()}
+    assert got.keys() == hist.keys()
+    for g, h in hist.items():
+        assert got[g] == pytest.approx(plain_lloyd(list(h.items()), 3, 0.001, init, start), abs=1e-9), g
+
+
+def test_lloyd_k_per_group(spark):
+    from pyspark.sql import functions as F
+
+    pts = spark.createDataFrame([(v, 1) for v in (0.0, 2.0, 10.0, 12.0)], "v double, n int").withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    got = {r.k: r.centres for r in clustering.lloyd_1d(pts, "k", kmax=3, group_cols=["k"]).collect()}
+    assert got == {1: [6.0, None, None], 2: [1.0, 11.0, None]}
+
+
+def best_split(values, k):
+    """Least squared error over all ways to cut the sorted distinct values."""
+    from itertools import combinations
+
+    hist = sorted(values.items())
+    best = None
+    for cuts in combinations(range(1, len(hist)), k - 1):
+        parts = [hist[a:b] for a, b in zip((0, *cuts), (*cuts, len(hist)))]
+        means = [sum(v * n for v, n in p) / sum(n for _, n in p) for p in parts]
+        error = sum(n * (v - c) ** 2 for p, c in zip(parts, means) for v, n in p)
+        if best is None or error < best[0] - 1e-9:
+            best = error, [sum(n for _, n in p) for p in parts], means
+    return best
+
+
+@pytest.mark.parametrize("fan", [2, 3, 16])
+def test_exact_split_equals_all_cuts(spark, fan):
+    import random
+
+    rnd = random.Random(fan)
+    rows = [(g, round(rnd.gauss(70, 8) if g < "c" else rnd.choice([1, 2, 40, 41, 90]) + rnd.random(), 2), rnd.randint(1, 5))
+            for g in "abcde" for _ in range({"a": 2, "b": 1, "c": 17}.get(g, 40))]
+    hist = {}
+    for g, v, n in rows:
+        hist.setdefault(g, {}).setdefault(v, 0)
+        hist[g][v] += n
+    df = clustering.histogram(spark.createDataFrame(rows, "g string, v double, n int"), "v", ["g"], weight="n")
+    got = {(r.g, r.k): r for r in clustering.exact_split(df, 4, ["g"], fan=fan).collect()}
+    assert set(got) == {(g, k) for g, h in hist.items() for k in range(1, min(4, len(h)) + 1)}
+    for (g, k), r in got.items():
+        error, sizes, means = best_split(hist[g], k)
+        assert r.error == pytest.approx(error, abs=1e-6)
+        assert r.sizes == sizes and r.centres == pytest.approx(means)
+
+
+def test_exact_split_beats_lloyd(spark):
+    """Lloyd from ranks stays in a worse split here; the exact one does not."""
+    values = [0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 30.0, 50.0]
+    df = clustering.histogram(spark.createDataFrame([("g", v) for v in values], "g string, v double"), "v", ["g"])
+
+    def error(centres):
+        return sum(min((v - c) ** 2 for c in centres) for v in values)
+
+    lloyd = clustering.lloyd_1d(df, 3, group_cols=["g"], start="rank", epsilon=1e-9).first().centres
+    exact = clustering.exact_split(df, 3, ["g"]).where("k = 3").first().centres
+    assert error(exact) == pytest.approx(best_split({v: 1 for v in values}, 3)[0])
+    assert error(exact) < error(lloyd) - 1
+
+
+def test_exact_split_of_nothing(spark):
+    none = spark.createDataFrame([], "g string, v double, n long")
+    assert clustering.exact_split(none, 3, ["g"]).collect() == []
+
+
+def test_running_sums_across_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from affinity.operators.ordering import running_sums
+
+    rows = [(g, i, i % 5) for g in ("hot", "b", None) for i in range(300 if g == "hot" else 7)]
+    df = spark.createDataFrame(rows, "g string, v int, n int").repartition(4)
+    got = running_sums(df, ["g"], "v", {"total": F.col("n")}, partitions=9)
+    want = sorted(((g, v, n, v + 1, sum(x % 5 for x in range(v + 1))) for g, v, n in rows), key=repr)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
 
 
 def test_nearest_index_forms_agree(spark):
