@@ -4,8 +4,8 @@ A task splits its texts by the tokenizer's pattern and gives the distinct pieces
 not met yet to an in-process DuckDB as rows (piece, position, token), one per byte. A
 recursive query joins neighbouring tokens to the merge table and contracts, in every
 round, each piece's minimum-rank pair from the left; pieces without a known pair leave.
-Ordered aggregation over the last rows gives the decoded bytes of every piece. A text's
-ids and bytes are those of its pieces in order.
+Ordered aggregation of the last rows' token bytes decodes the pieces, which are then cut
+apart by their tokens' lengths. A text's ids and bytes are those of its pieces in order.
 
 One round contracts all places of the minimum-rank pair that do not overlap, counted from
 the left. That equals one place a round where a contraction never opens a pair of lower
@@ -44,9 +44,9 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-PART = 1 << 17  # pieces handled at once
-ROUND_BYTES = 1 << 19  # bytes of new pieces that one recursive query contracts (a longer piece alone)
-KNOWN = 400_000  # pieces a task remembers
+PART = 1 << 19  # pieces handled at once
+ROUND_BYTES = 1 << 20  # bytes of new pieces that one recursive query contracts (a longer piece alone)
+KNOWN = 1_000_000  # pieces a task remembers
 
 _ENCODE = """
 WITH RECURSIVE s AS (
@@ -60,11 +60,10 @@ WITH RECURSIVE s AS (
     place AS MATERIALIZED ({place})
     SELECT step + 1, p.w, p.g, coalesce(x.r, p.tok)
     FROM p JOIN best USING (w) LEFT JOIN place x ON x.n = p.n LEFT JOIN place y ON y.n = p.n - 1
-    WHERE y.n IS NULL)),
-last AS MATERIALIZED (SELECT w, g, tok FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step))
-SELECT w, list(tok ORDER BY g) AS ids, string_agg(v.hex, '' ORDER BY g) AS hex
-FROM last JOIN vocab v ON v.id = last.tok GROUP BY w ORDER BY w
+    WHERE y.n IS NULL))
+SELECT w, g, tok FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step)
 """
+_JOIN = "SELECT string_agg(v.hex, '' ORDER BY g) FROM contracted JOIN vocab v ON v.id = tok"
 # every second place of a run of overlapping ones, from the left
 _ALL = """
       WITH q AS MATERIALIZED (SELECT w, n, r, n - row_number() OVER (ORDER BY n) AS run FROM pair JOIN best USING (w, r))
@@ -117,7 +116,7 @@ class Codec:
         ranks = ranks_of(path)
         self.pattern, self.in_order, self.ranks = regex.compile(pattern), in_order, ranks
         self.repairs = class_repairs()
-        self.repaired = regex.compile("[" + "".join(map(chr, self.repairs)) + "]") if self.repairs else None
+        self.odd = frozenset(map(chr, self.repairs))
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
@@ -125,11 +124,13 @@ class Codec:
         a, b, r = (np.array(x, np.int32) for x in zip(*merges)) if merges else (np.empty(0, np.int32),) * 3
         self._table("merges", {"a": a, "b": b, "r": r})
         self._table("vocab", {"id": np.array(list(ranks.values()), np.int32), "hex": [t.hex() for t in ranks]})
+        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.lengths[list(ranks.values())] = [len(t) for t in ranks]
         self._forget()
 
     def split(self, text: str) -> Iterator[str]:
         """The pattern's matches as the library finds them."""
-        if text.isascii() or self.repaired is None or not self.repaired.search(text):
+        if text.isascii() or self.odd.isdisjoint(text):
             return iter(self.pattern.findall(text)) if len(text) <= PART else (m.group() for m in self.pattern.finditer(text))
         return (text[m.start():m.end()] for m in self.pattern.finditer(text.translate(self.repairs)))
 
@@ -142,8 +143,8 @@ class Codec:
         self.known: dict[str, int] = {}
         self.ids, self.sizes, self.decoded = np.empty(0, np.uint32), np.empty(0, np.int64), []
 
-    def _contract(self, pieces: list[bytes]) -> list[tuple]:
-        """(ids, decoded bytes) of each piece by the recursive query."""
+    def _contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Ids of all pieces by the recursive query, their number and decoded bytes by piece."""
         whole = [] if self.in_order else [self.ranks.get(p) for p in pieces]
         if self.in_order:
             raw = np.frombuffer(b"".join(pieces), np.uint8)
@@ -153,25 +154,26 @@ class Codec:
                     for r in ([known] if known is not None else self.bytes[np.frombuffer(p, np.uint8)].tolist())]
             w, tok = (np.array(x, np.int32) for x in zip(*rows))
         self._table("start", {"w": w, "g": np.arange(len(w), dtype=np.int32), "tok": tok})
-        found = self.con.execute(_ENCODE.format(place=_ALL if self.in_order else _ONE)).fetchall()
-        return [(ids, bytes.fromhex(h)) for _, ids, h in found]
+        self.con.execute("CREATE OR REPLACE TABLE contracted AS " + _ENCODE.format(place=_ALL if self.in_order else _ONE))
+        last = self.con.execute("SELECT w, tok FROM contracted ORDER BY g").fetchnumpy()
+        decoded = bytes.fromhex(self.con.execute(_JOIN).fetchall()[0][0])
+        w, ids = np.asarray(last["w"]), np.asarray(last["tok"])
+        ends = np.cumsum(np.bincount(w, self.lengths[ids], len(pieces)).astype(np.int64)).tolist()
+        return ids.astype(np.uint32), np.bincount(w, minlength=len(pieces)), [decoded[a:b] for a, b in zip([0, *ends], ends)]
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode the pieces not met yet, ROUND_BYTES at a time."""
         batch, size = [], 0
         new = [p for p in pieces if p not in self.known]
-        found = []
         for i, piece in enumerate(new):
             batch.append(piece.encode())
             size += len(batch[-1])
             if size >= ROUND_BYTES or i + 1 == len(new):
-                found += self._contract(batch)
+                ids, sizes, decoded = self._contract(batch)
+                self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+                self.decoded += decoded
                 batch, size = [], 0
-        if found:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.sizes = np.concatenate([self.sizes, [len(ids) for ids, _ in found]])
-            self.ids = np.concatenate([self.ids, np.concatenate([np.asarray(ids, np.uint32) for ids, _ in found])])
-            self.decoded += [b for _, b in found]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
 
     def encode(self, parts: list[list[str]]) -> list[tuple[np.ndarray, bytes]]:
         """(ids, decoded bytes) of lists of pieces."""
