@@ -2,7 +2,7 @@
 
 Examples: labelled rows outside the held-out remainder, at most ``MAX_EXAMPLES`` in
 hash order (a documented bound; everything else covers all documents). Terms are
-lower-cased letter runs, their prefixes of 4 to 7 letters, and for those found twice
+lower-cased letter runs, their prefixes of 5 letters, and for those found twice
 or more in a text levels of their count and of their share of the words. Every text
 becomes one sparse vector of all its terms, (1 + ln tf) * idf, idf counted over all
 documents; terms held by toxic examples too often to be chance (Chernoff bound, corrected
@@ -10,15 +10,22 @@ for the number of terms) weigh more. A term that no example holds adds nothing t
 product; it counts in the text's length with the idf of df 0. Terms are known by
 64-bit hashes.
 
-The index, in blocks of examples, holds their unit vectors over all their terms, as dense rows for
-frequent terms and posting lists for the others. The cosines of a text with
-all examples are taken, so neighbours are exact. Their cosine-weighted votes are calibrated by
-isotonic regression on the examples' own leave-one-out votes.
+The inverted index holds the examples' unit vectors: posting lists, and for terms that one in
+``FREQUENT`` examples holds dense rows cut into blocks of 64 examples, with each term's
+largest weight per block. Examples stand in the order of a clustering, so a block's are
+alike. For a text the posting lists are added up, then the blocks' largest weights bound what
+the dense rows can add; blocks are read by falling bound until no bound reaches the k-th
+cosine found. So blocks are skipped only where their bound proves it, and neighbours are
+exact. Their cosine-weighted votes are calibrated by isotonic regression on the examples'
+own leave-one-out votes.
+
+Every text's terms are taken once, packed (known terms as differences, with their
+frequencies) and stored; document frequencies and searches read the packed vectors.
 
 Defined results: NULL, empty and termless texts have a zero vector, no
 neighbours and the calibrated score of such examples; without examples every score is
 0; ties in cosine go to the smaller doc_id; labels of one doc_id that differ count
-as toxic; repeated rows each get a row; an empty table gives no rows; other columns
+as toxic; of several texts of one labelled doc_id the smallest is the example; repeated rows each get a row; an empty table gives no rows; other columns
 are ignored.
 """
 
@@ -40,21 +47,25 @@ from pyspark.sql import functions as F
 
 from .common import ship, stored
 from .langid import held_out
+from .lm import pack, unpack
 
 MAX_EXAMPLES = 10_000
 CHANCE_TERMS = 0.5  # expected number of terms taken for markers by chance
 MARKED = 3.0  # by leave-one-out on the examples
-FREQUENT = 8  # a term that one in so many examples holds has a dense row
+FREQUENT = 16  # a term that one in so many examples holds has a dense row
 SLAB = 256
 EXAMPLES_AT_ONCE = 2048
 NEIGHBOURS = 15
 BLOCK = 64
 TOXIC = 0.7
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (5,)
 COUNTS = (2, 4, 8)
 SHARES = (8, 7, 6, 5, 4)
 LONG = 32
 CACHE_VECTORS = 1 << 15
+CLUSTERS = 24  # of examples, for blocks of alike ones
+FIRST_BLOCKS = 4  # read before the others are bounded by their k-th cosine
+SLACK = 1e-5  # single precision sums of unit vectors are this close
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -130,48 +141,64 @@ class Postings:
 
 @dataclass
 class Index:
-    """Inverted index of unit vectors over all terms of the examples. The terms that
-    one in ``FREQUENT`` examples or more hold have dense rows, the others postings."""
+    """Block-max inverted index of unit vectors over all terms of the examples."""
 
     ids: np.ndarray
     toxic: np.ndarray
     idf: np.ndarray  # with the term's marker weight
     weights: Postings
-    dense: np.ndarray  # term -> row of ``rows``, -1: postings only
-    rows: np.ndarray
+    dense: np.ndarray  # term -> its row in ``blocks``, -1: postings only
+    blocks: np.ndarray  # block, term, example: weights of frequent terms
+    most: np.ndarray  # term, block: the largest of them
     levels: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))  # calibration: vote, score
 
-    @property
-    def most(self) -> np.ndarray:
-        """Largest weight per term and block of 64 examples."""
-        w = self.weights
-        out = np.zeros((w.shape[0], w.shape[1] // BLOCK))
-        np.maximum.at(out, (np.repeat(np.arange(w.shape[0]), np.diff(w.starts)), w.who // BLOCK), w.weight)
-        return out
-
     def unit(self, terms: np.ndarray, tf: np.ndarray, rest: float = 0.0) -> np.ndarray:
         """The unit vector's weights; ``rest`` is the squared length of terms no example holds."""
         w = (1 + np.log(tf)) * self.idf[terms]
         return w / math.sqrt(float(w @ w) + rest) if len(w) else w
 
-    def nearest(self, terms: np.ndarray, tf: np.ndarray, k: int, but: int | None, rest: float = 0.0) -> list[tuple[float, int]]:
-        """The k examples of the largest cosine above 0, as (cosine, number), ties to
-        the smaller doc_id; the example with doc_id ``but`` takes no part."""
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray, int | None, float]], k: int) -> list[list[tuple[float, int]]]:
+        """For each (terms, tf, but, rest) the k examples of the largest cosine above 0, as
+        (cosine, number), ties to the smaller doc_id; the example with doc_id ``but`` takes no part."""
         if not len(self.ids):
-            return []
-        q = self.unit(terms, tf, rest)
-        at = self.dense[terms]
-        many = at >= 0
-        cosine = q[many] @ self.rows[at[many]]
-        row, place = self.weights.rows(terms[~many])
-        cosine += np.bincount(self.weights.who[place], q[~many][row] * self.weights.weight[place], minlength=len(cosine))
-        cosine = np.round(cosine[:len(self.ids)], 12)
-        if but is not None:
-            cosine[self.ids == but] = 0
-        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0
-        near = np.flatnonzero((cosine > 0) & (cosine >= least))
-        near = near[np.lexsort((self.ids[near], -cosine[near]))][:k]
-        return [(float(cosine[i]), int(i)) for i in near]
+            return [[] for _ in queries]
+        rare = np.zeros((len(queries), self.weights.shape[1]))  # what the posting lists add
+        dense = np.zeros((len(queries), self.blocks.shape[1]), np.float32)
+        parts = []
+        for i, (terms, tf, _, rest) in enumerate(queries):
+            q, at = self.unit(terms, tf, rest), self.dense[terms]
+            many = at >= 0
+            row, place = self.weights.rows(terms[~many])
+            rare[i] = np.bincount(self.weights.who[place], q[~many][row] * self.weights.weight[place], minlength=rare.shape[1])
+            dense[i, at[many]] = q[many]
+            parts.append((at[many], q[many]))
+        by_block = rare.reshape(len(queries), -1, BLOCK)
+        bound = dense @ self.most + by_block.max(axis=2) + SLACK
+        found = np.full(by_block.shape, -1.0, np.float32)
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argpartition(-bound, min(FIRST_BLOCKS, bound.shape[1]) - 1, axis=1)[:, :FIRST_BLOCKS], True, axis=1)
+        least = np.zeros(len(queries))
+        for wanted in (first & (bound >= 2 * SLACK), ~first):
+            # the second time: the blocks whose bound reaches what the first ones gave
+            wanted &= bound >= np.maximum(least, 2 * SLACK)[:, None]
+            for block in np.flatnonzero(wanted.any(axis=0)).tolist():
+                some = np.flatnonzero(wanted[:, block])
+                found[some, block] = by_block[some, block] + dense[some] @ self.blocks[block]
+            flat = found.reshape(len(queries), -1)
+            if flat.shape[1] > k:  # one more, for ``but``
+                least = np.partition(flat, -k - 1, axis=1)[:, -k - 1] - SLACK
+        out = []
+        for i, (_, _, but, _) in enumerate(queries):
+            near = np.flatnonzero((flat[i] >= least[i]) & (flat[i] > 0))
+            near = near[near < len(self.ids)]
+            at, q = parts[i]
+            exact = rare[i, near] + self.blocks[(near // BLOCK)[:, None], at, (near % BLOCK)[:, None]].astype(np.float64) @ q
+            exact = np.round(exact, 12)
+            good = (exact > 0) & (self.ids[near] != but if but is not None else True)
+            near, exact = near[good], exact[good]
+            by = np.lexsort((self.ids[near], -exact))[:k]
+            out.append([(float(exact[j]), int(near[j])) for j in by])
+        return out
 
     def score(self, vote: float) -> float:
         if not len(self.levels):
@@ -179,34 +206,61 @@ class Index:
         return float(np.interp(vote, self.levels[:, 0], self.levels[:, 1]))
 
 
+def _alike(x: np.ndarray, rounds: int = 5) -> np.ndarray:
+    """Cluster number of unit vectors (rows), by cosine k-means from evenly spaced rows."""
+    centres = x[np.linspace(0, len(x) - 1, min(CLUSTERS, len(x))).astype(int)].copy()
+    for _ in range(rounds):
+        own = np.argmax(x @ centres.T, axis=1)
+        for c in range(len(centres)):
+            members = x[own == c]
+            if len(members):
+                mean = members.sum(axis=0)
+                centres[c] = mean / max(float(np.linalg.norm(mean)), 1e-9)
+    return own
+
+
 def build(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> Index:
     """Index of (doc_id, toxic, terms, tf) rows."""
     n, n_terms = -(-len(rows) // BLOCK) * BLOCK, len(idf)
-    index = Index(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int8), idf,
-                  Postings((n_terms, n), np.zeros(n_terms + 1, np.int64), np.zeros(0, np.int32), np.zeros(0)),
-                  np.full(n_terms, -1, np.int32), np.zeros((0, n)))
+    ids, toxic = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int8)
+    index = Index(ids, toxic, idf, Postings((n_terms, n), np.zeros(n_terms + 1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)),
+                  np.full(n_terms, -1, np.int32), np.zeros((n // BLOCK, 0, BLOCK), np.float32), np.zeros((0, n // BLOCK), np.float32))
     if not rows or not n_terms:
         return index
+    sizes = np.array([len(t) for _, _, t, _ in rows])
     terms = np.concatenate([np.asarray(t, np.int32) for _, _, t, _ in rows])
-    who = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for _, _, t, _ in rows])
-    weight = np.concatenate([index.unit(np.asarray(t, np.int64), np.asarray(tf, float)) for _, _, t, tf in rows])
-    order = np.argsort(terms, kind="stable")
+    weight = np.concatenate([index.unit(np.asarray(t, np.int64), np.asarray(tf, float)).astype(np.float32) for _, _, t, tf in rows])
     df = np.bincount(terms, minlength=n_terms)
-    index.weights.starts[1:] = np.cumsum(df)
-    index.weights.who, index.weights.weight = who[order], weight[order]
     frequent = np.flatnonzero(df * FREQUENT >= len(rows))
     frequent = frequent[df[frequent] >= BLOCK]
-    index.rows = index.weights[frequent]
     index.dense[frequent] = np.arange(len(frequent))
+    place = np.arange(len(rows), dtype=np.int32)
+    if len(frequent):
+        own = np.repeat(place, sizes)
+        often = index.dense[terms] >= 0
+        x = np.zeros((n, len(frequent)), np.float32)
+        x[own[often], index.dense[terms[often]]] = weight[often]
+        by = np.lexsort((ids, _alike(x[:len(rows)])))
+        place[by] = np.arange(len(rows))
+        index.ids, index.toxic = ids[by], toxic[by]
+        x[:len(rows)] = x[by]
+        index.blocks = np.ascontiguousarray(x.reshape(-1, BLOCK, len(frequent)).transpose(0, 2, 1))
+        index.most = np.ascontiguousarray(index.blocks.max(axis=2).T)
+    order = np.argsort(terms, kind="stable")
+    index.weights.starts[1:] = np.cumsum(df)
+    index.weights.who, index.weights.weight = np.repeat(place, sizes)[order], weight[order]
     return index
 
 
-def nearest_vote(indexes: list[Index], terms: np.ndarray, tf: np.ndarray, but: int | None, rest: float) -> tuple[float, tuple]:
-    """Vote of the nearest examples of all the indexes, and (doc_id, cosine) of the nearest."""
-    near = [(-c, int(ix.ids[i]), int(ix.toxic[i])) for ix in indexes for c, i in ix.nearest(terms, tf, NEIGHBOURS, but, rest)] if len(terms) else []
-    near = sorted(near)[:NEIGHBOURS]
-    total = -sum(c for c, _, _ in near)
-    return (-sum(c * toxic for c, _, toxic in near) / total if near else 0.0), ((near[0][1], -near[0][0]) if near else (None, None))
+def votes_of(index: Index, queries: list[tuple]) -> list[tuple[float, int | None, float | None]]:
+    """Vote of the nearest examples of each query, and doc_id and cosine of the nearest."""
+    out = []
+    for at in range(0, len(queries), SLAB):
+        for near in index.nearest(queries[at:at + SLAB], NEIGHBOURS):
+            total = sum(c for c, _ in near)
+            vote = sum(c * int(index.toxic[i]) for c, i in near) / total if near else 0.0
+            out.append((vote, int(index.ids[near[0][1]]) if near else None, near[0][0] if near else None))
+    return out
 
 
 def calibration(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -262,21 +316,29 @@ def example_terms(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 @dataclass
 class Block:
-    """Example vectors in little space, as they are sent; a worker builds their index once."""
+    """Example vectors in little space, as they are sent."""
 
     ids: list[int]
     toxic: list[int]
     sizes: np.ndarray
     terms: bytes  # of each example: the first, then differences
     tf: bytes
-    built: Index | None = None
+    built: Index | None = None  # of all blocks, kept by the worker with the first one
 
-    def index(self, idf: np.ndarray) -> Index:
-        if self.built is None:
-            cuts = np.cumsum(self.sizes)[:-1]
-            terms, tf = (np.split(np.frombuffer(zlib.decompress(x), np.int32), cuts) for x in (self.terms, self.tf))
-            self.built = build([(i, y, np.cumsum(t), f) for i, y, t, f in zip(self.ids, self.toxic, terms, tf, strict=True)], idf)
-        return self.built
+    def rows(self) -> list[tuple]:
+        cuts = np.cumsum(self.sizes)[:-1]
+        terms, tf = (np.split(np.frombuffer(zlib.decompress(x), np.int32), cuts) for x in (self.terms, self.tf))
+        return [(i, y, np.cumsum(t, dtype=np.int32), f) for i, y, t, f in zip(self.ids, self.toxic, terms, tf, strict=True)]
+
+
+def _index(blocks: list[Broadcast], idf: Broadcast) -> Index:
+    """One index of all blocks, built once a worker."""
+    if not blocks:
+        return build([], idf.value)
+    first = blocks[0].value
+    if first.built is None:
+        first.built = build([r for b in blocks for r in b.value.rows()], idf.value)
+    return first.built
 
 
 def _blocks(texts: DataFrame, known_ids: Broadcast, n_blocks: int) -> Iterator[Block]:
@@ -315,57 +377,75 @@ def marker_weights(n: np.ndarray, bad: np.ndarray, total: int, total_bad: int) -
     return out
 
 
-def document_counts(docs: DataFrame, known_ids: Broadcast) -> tuple[int, np.ndarray]:
-    """Number of all documents, and of those that hold each of the terms (ids ascending)."""
-    n_terms = len(known_ids.value)
+def vectors(docs: DataFrame, known_ids: Broadcast) -> DataFrame:
+    """(doc_id, content, vector, rest): hash of the text, its known terms and frequencies packed,
+    and the sum of (1 + ln tf)^2 over the terms no example holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content, packed, rest = [], [], []
+            for text in batch.column(1).to_pylist():
+                mine, tf = terms_in(text)
+                at, held = _held(known_ids.value, mine)
+                content.append(blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                packed.append(pack(np.diff(at[held], prepend=0), tf[held]))
+                rest.append(float(((1 + np.log(tf[~held])) ** 2).sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary()), pa.array(packed, pa.binary()),
+                                              pa.array(rest, pa.float64())], names=["doc_id", "content", "vector", "rest"])
+
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, content binary, vector binary, rest double")
+
+
+def unpacked(vector: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, tf = unpack(vector)
+    return np.cumsum(steps, dtype=np.int64), tf.astype(np.int64)
+
+
+def document_counts(rows: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
+    """Number of all documents, and of those that hold each of the known terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_ids, rows = known_ids.value, 0
-        df = np.zeros(len(all_ids) + 1, np.int64)
+        df = np.zeros(n_terms + 1, np.int64)
         for batch in batches:
-            rows += len(batch)
-            for text in batch.column(0).to_pylist():
-                at, held = _held(all_ids, terms_in(text)[0])
-                df[at[held]] += 1
-        df[-1] = rows
+            df[-1] += len(batch)
+            for vector in batch.column(0).to_pylist():
+                df[unpacked(vector)[0]] += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], names=["t", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row per term
+    counts = rows.select("vector").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row per term
     df = np.zeros(n_terms + 1, np.int64)
     df[counts.column("t").to_numpy()] = counts.column("n").to_numpy()
     return int(df[-1]), df[:-1]
 
 
-def _voted(docs: DataFrame, blocks: list[Broadcast], known_ids: Broadcast, idf: Broadcast, levels: np.ndarray, unknown: float) -> DataFrame:
-    """docs (doc_id, text) with vote, score, nearest, cosine; an example doesn't vote on itself.
+def _voted(rows: DataFrame, blocks: list[Broadcast], idf: Broadcast, levels: np.ndarray, unknown: float) -> DataFrame:
+    """Vectors with vote, score, nearest, cosine; an example doesn't vote on itself.
     ``unknown`` is the idf of terms no example holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indexes = [replace(b.value.index(idf.value), levels=levels) for b in blocks]  # bounded by the MAX_EXAMPLES texts
-        own = set().union(*(ix.ids.tolist() for ix in indexes))
+        index = replace(_index(blocks, idf), levels=levels)  # bounded by the MAX_EXAMPLES texts
+        own = set(index.ids.tolist())
         known: dict[tuple, tuple] = {}
         for batch in batches:
-            out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                but = doc if doc in own else None
-                key = (blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest(), but)
-                found = known.get(key)
-                if found is None:
-                    mine, tf = terms_in(text)
-                    at, held = _held(known_ids.value, mine)
-                    rest = float((((1 + np.log(tf[~held])) * unknown) ** 2).sum())
-                    vote, first = nearest_vote(indexes, at[held], tf[held].astype(float), but, rest)
-                    if len(known) >= CACHE_VECTORS:
-                        known.clear()
-                    found = known[key] = (vote, indexes[0].score(vote) if indexes else 0.0, *first)
-                out.append(found)
+            keys, asked = [], {}
+            if len(known) >= CACHE_VECTORS:
+                known.clear()
+            for doc, content, vector, rest in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                key = (content, doc if doc in own else None)
+                keys.append(key)
+                if key not in known and key not in asked:
+                    terms, tf = unpacked(vector)
+                    asked[key] = (terms, tf.astype(float), key[1], rest * unknown ** 2)
+            for key, (vote, nearest, cosine) in zip(asked, votes_of(index, list(asked.values())), strict=True):
+                known[key] = (vote, index.score(vote), nearest, cosine)
+            out = [known[key] for key in keys]
             vote, score, nearest, cosine = zip(*out, strict=True) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(vote, pa.float64()), pa.array(score, pa.float64()), pa.array(nearest, pa.int64()),
                  pa.array(cosine, pa.float64())], names=["doc_id", "vote", "score", "nearest", "cosine"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, vote double, score double, nearest bigint, cosine double")
+    return rows.mapInArrow(run, "doc_id bigint, vote double, score double, nearest bigint, cosine double")
 
 
 def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
@@ -373,13 +453,14 @@ def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES)
     nearest example and its cosine."""
     ship(docs.sparkSession)
     sample = stored(examples(labels, max_examples), "examples")  # at most max_examples rows, so it may be broadcast
-    texts = docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     texts = stored(texts.select(F.col("doc_id").cast("bigint"), "toxic", "text"), "example-texts")
     total, total_bad = texts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = docs.sparkSession.sparkContext.broadcast
     ids, n, bad = example_terms(texts)
     known_ids = share(ids)
-    n_docs, df = document_counts(docs, known_ids) if total else (0, np.zeros(0))
+    rows = stored(vectors(docs, known_ids), "vectors")
+    n_docs, df = document_counts(rows, len(ids)) if total else (0, np.zeros(0))
     idf = (np.log((n_docs + 1) / (df + 1)) + 1) * marker_weights(n, bad, total, total_bad)
     unknown = math.log(n_docs + 1) + 1
     blocks, labelled = [], {}
@@ -388,8 +469,9 @@ def score(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES)
         blocks.append(share(block))
     shared_idf, levels = share(idf), np.zeros((0, 2))
     if labelled:
-        votes = {r["doc_id"]: r["vote"] for r in _voted(texts, blocks, known_ids, shared_idf, levels, unknown).select("doc_id", "vote").collect()}
+        own = _voted(vectors(texts, known_ids), blocks, shared_idf, levels, unknown)
+        votes = {r["doc_id"]: r["vote"] for r in own.select("doc_id", "vote").collect()}  # at most MAX_EXAMPLES rows
         levels = calibration(np.array([votes[i] for i in labelled]), np.array(list(labelled.values())))
-    out = _voted(docs, blocks, known_ids, shared_idf, levels, unknown)
+    out = _voted(rows, blocks, shared_idf, levels, unknown)
     return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
                       (F.col("score") >= TOXIC).cast("int").alias("predicted"), "nearest", "cosine")

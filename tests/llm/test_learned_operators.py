@@ -1,9 +1,13 @@
 """Operators that learn: held-out accuracy, exactness of their searches, awkward tables."""
 
+import collections
+import math
+import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from affinity.llm import ann, langid, toxicity
 
@@ -112,7 +116,7 @@ def test_nearest_examples_are_exact():
             q = index.unit(np.array(t), np.array(tf, float))
             cosine = q @ index.weights[t][:, :len(rows)]
             want = sorted(((-round(float(c), 12), int(index.ids[n])) for n, c in enumerate(cosine) if c > 0 and n != at[i]))[:7]
-            got = [(-round(c, 12), int(index.ids[n])) for c, n in index.nearest(np.array(t), np.array(tf, float), 7, i)]
+            got = [(-round(c, 12), int(index.ids[n])) for c, n in index.nearest([(np.array(t), np.array(tf, float), i, 0.0)], 7)[0]]
             assert got == want
 
 
@@ -151,7 +155,100 @@ def test_all_terms_are_weighed():
 
 def test_index_without_terms_or_examples():
     assert toxicity.build([(1, 0, [], [])], np.zeros(0)).most.shape == (0, 1)
-    assert toxicity.build([], np.ones(3)).most.shape == (3, 0)
+    assert toxicity.build([], np.ones(3)).most.shape == (0, 0)
+
+
+def plain_terms(text):
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    tf = collections.Counter(("word", w) for w in words)
+    tf.update(("prefix", w[:5]) for w in words if len(w) >= 5)
+    for term, n in list(tf.items()):
+        if n >= 2:
+            tf.update({("count", term, k): 1 for k in (2, 4, 8) if n >= k})
+            tf.update({("share", term, k): 1 for k in (8, 7, 6, 5, 4) if n * 2 ** k >= len(words)})
+    return tf
+
+
+def plain_toxicity(docs, labels):
+    """Vectors, idf, marker weights, neighbours, votes and calibration in plain Python."""
+    toxic = {}
+    for d, y in labels:
+        if d is not None and y is not None and zlib.crc32(str(d).encode()) % 3 != 1:
+            toxic[d] = max(toxic.get(d, 0), int(y == 1))
+    texts = {}
+    for d, t in docs:
+        if d in toxic:
+            texts[d] = min((x for x in (texts.get(d), t) if x is not None), default=None)
+    vectors = {d: plain_terms(t) for d, t in texts.items()}
+    n, bad = collections.Counter(), collections.Counter()
+    for d, v in vectors.items():
+        n.update(v.keys())
+        bad.update(t for t in v if toxic[d])
+    df, total, total_bad = collections.Counter(), len(texts), sum(toxic[d] for d in texts)
+    for _, t in docs:
+        df.update(plain_terms(t).keys())
+    weight, unknown = {}, math.log(len(docs) + 1) + 1
+    for t in n:
+        weight[t] = math.log((len(docs) + 1) / (df[t] + 1)) + 1
+        rate, share = total_bad / total, bad[t] / n[t]
+        if 0 < rate < 1 and share > rate:
+            kl = share * math.log(share / rate) + ((1 - share) * math.log((1 - share) / (1 - rate)) if share < 1 else 0)
+            if n[t] * kl >= math.log(max(1, len(n)) / 0.5):
+                weight[t] *= 1 + 3 * kl ** 2
+
+    def unit(v):
+        w = {t: (1 + math.log(k)) * weight.get(t, unknown) for t, k in v.items()}
+        length = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / length for t, x in w.items() if t in weight}
+
+    units = {d: unit(v) for d, v in vectors.items()}
+
+    def vote(v, but):
+        q = unit(v)
+        near = sorted((-sum(x * u.get(t, 0) for t, x in q.items()), d) for d, u in units.items() if d != but)
+        near = [(-c, d) for c, d in near[:15] if -c > 1e-12]
+        return sum(c * toxic[d] for c, d in near) / sum(c for c, _ in near) if near else 0.0
+
+    levels = []
+    own = sorted((round(vote(vectors[d], d), 3), toxic[d]) for d in vectors)
+    for v in sorted({v for v, _ in own}):
+        ys = [y for w, y in own if w == v]
+        levels.append([v * len(ys), sum(ys), len(ys)])
+        while len(levels) > 1 and levels[-2][1] / levels[-2][2] >= levels[-1][1] / levels[-1][2]:
+            last = levels.pop()
+            levels[-1] = [a + b for a, b in zip(levels[-1], last)]
+    at, score = [v / k for v, _, k in levels], [(y + 1) / (k + 2) for _, y, k in levels]
+    return [(d, float(np.interp(vote(plain_terms(t), d if d in texts else None), at, score))) for d, t in docs]
+
+
+def test_scores_equal_plain_python(spark):
+    rng = np.random.default_rng(9)
+    words = [f"{a}{b}{c}" for a in ("mar", "tel", "vi", "ko") for b in ("na", "stor", "lu") for c in ("", "s", "ren")]
+    rows = []
+    for i in range(150):
+        text = " ".join(rng.choice(words, int(rng.integers(3, 40))))
+        rows.append((i, text + " vile vile vilest nasty" if i % 5 == 0 else text, int(i % 5 == 0)))
+    docs = [(i, t) for i, t, _ in rows] + [(500, None), (501, ""), (502, "123 !"), (503, "unheard of"), (3, "aaa"), (None, "vile nasty"), (None, "vile nasty")]
+    labels = [(i, y) for i, _, y in rows if i % 7] + [(10, 0), (503, None), (None, 1)]
+    got = toxicity.score(spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("score", F.lit("x")).withColumn("toxic", F.lit("y")),
+                         spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()
+    want = sorted(((repr(d), round(s, 5)) for d, s in plain_toxicity(docs, labels)))
+    assert sorted((repr(r["doc_id"]), round(r["score"], 5)) for r in got) == want
+    assert len({s for _, s in want}) > 2
+
+
+def test_blocks_are_skipped_only_below_their_bound(monkeypatch):
+    """Same neighbours whether the first blocks' cosines rule out the others or all are read."""
+    rng = np.random.default_rng(4)
+    idf = rng.uniform(1, 5, 300)
+    groups = [rng.choice(300, 40, replace=False) for _ in range(6)]
+    rows = [(i, 0, sorted(rng.choice(groups[i % 6], 20, replace=False).tolist()), [1] * 20) for i in range(900)]
+    index = toxicity.build(rows, idf)
+    assert index.blocks.shape[1] > 20 and len(index.most[0]) == 15
+    queries = [(np.array(t), np.ones(20), i, 0.5) for i, _, t, _ in rows[:60]]
+    few = index.nearest(queries, 7)
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", 15)
+    assert index.nearest(queries, 7) == few
 
 
 def test_toxicity_awkward(spark, weird, nothing):
