@@ -257,11 +257,12 @@ def _paired(packed: DataFrame, parts: int, hot: np.ndarray, hot_n: np.ndarray) -
         if not len(by):
             return _frame(out)
         edges = np.flatnonzero(np.diff(dest[by], prepend=-1))
-        listed = "\n".join(names)
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by)], strict=True):
             r = m[by[a:b]]
             w1, n1 = np.unique(first[r], return_counts=True)
-            out.append((OPEN, int(dest[by[a]]), listed, pack(steps(w1), n1, batch[r], doc[r], own1[r], count[by[a:b]])))
+            held, at = np.unique(batch[r], return_inverse=True)
+            out.append((OPEN, int(dest[by[a]]), "\n".join(names[k] for k in held.tolist()),
+                        pack(steps(w1), n1, at, doc[r], own1[r], count[by[a:b]])))
         return _frame(out)
 
     return packed.groupBy("part").applyInPandas(run, _ROW)
@@ -279,13 +280,19 @@ def _divided(waiting: DataFrame, counts: DataFrame, parts: int) -> DataFrame:
         words, n = known["word"].to_numpy().view(np.uint64), known["n"].to_numpy()
         by = np.argsort(words)
         words, n = words[by], n[by]
-        out = []
+        if rows.empty:
+            return _frame([])
+        # one SUMS row per batch for all pairs of the partition, whichever partition they came from
+        number: dict[str, int] = {}
+        cols = [[] for _ in range(3)]
         for names, blob in zip(rows["batch"], rows["blob"], strict=True):
-            w1, n1, batch, doc, own, count = unpack(blob)
+            w1, n1, at, doc, own, count = unpack(blob)
             others = np.repeat(n[np.searchsorted(words, np.cumsum(w1, dtype=np.uint64))], n1) - own.astype(np.int64)
-            out += _by_document(batch.astype(np.int64), doc.astype(np.int64), -np.log(others) * count.astype(np.int64),
-                                np.zeros(len(doc), np.int64), names.split("\n"))
-        return _frame(out)
+            local = np.array([number.setdefault(x, len(number)) for x in names.split("\n")], np.int32)
+            for c, a in zip(cols, (local[at], doc.astype(np.int32), (-np.log(others) * count).astype(np.float32)), strict=True):
+                c.append(a)
+        batch, doc, value = (np.concatenate(c) for c in cols)
+        return _frame(_by_document(batch, doc, value.astype(np.float64), np.zeros(len(doc), np.int64), list(number)))
 
     table = counts.mapInArrow(placed, "part int, word bigint, n bigint")
     return waiting.groupBy("part").cogroup(table.groupBy("part")).applyInPandas(run, _ROW)
