@@ -12,8 +12,8 @@
 An anchor is a single space between two visible ASCII characters. The split
 pattern of byte-level BPE always starts a new piece there, whatever stands
 before or behind, so ids on either side agree with those of the whole text; that an
-anchor is a boundary in the chunk's ids is checked, and a chunk without two
-anchors is encoded as part of its surroundings.
+anchor is a boundary in the chunk's ids is checked (a text where one isn't is encoded again as a whole),
+and a chunk without two anchors is encoded as part of its surroundings.
 
 Texts are handled by content, so exact copies are encoded once and a hot group
 of copies costs one text. Only hashes, compressed texts (once) and ids around
@@ -28,8 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,11 @@ WINDOW = 32  # bytes the rolling hash sees
 SLAB = 1 << 20
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed pattern of byte-level BPE
 
+RUN = 1 << 12  # white space of this length is split outside the pattern
+# fixed: the characters of \s in Unicode
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = re.compile(f"[{_WHITE}]{{{RUN},}}")
+
 _GEAR = np.random.default_rng(6).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 DONE, LITERAL, REFERENCE, SHARED = range(4)
@@ -77,7 +83,18 @@ def tokenizer(path: str) -> tiktoken.Encoding:
 
 
 def encode_text(tok: tiktoken.Encoding, text: str) -> np.ndarray:
-    return np.asarray(tok.encode(text, allowed_special="all"), dtype=np.uint32)
+    """Ids of a text. The split pattern looks back over a run of white space as deep as the run
+    is long, so long runs are cut out: all but a run's last character (the whole run at the
+    text's end) is one piece, as the pattern has it, and the text goes on with that character."""
+    ids: list[int] = []
+    done = 0
+    for run in LONG_RUN.finditer(text) if len(text) >= RUN else ():
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += tok.encode(text[done:run.start()], allowed_special="all")
+        ids += tok._encode_single_piece(text[run.start():end])
+        done = end
+    ids += tok.encode(text[done:], allowed_special="all")
+    return np.asarray(ids, dtype=np.uint32)
 
 
 def decode_ids(tok: tiktoken.Encoding, ids: np.ndarray) -> str:
@@ -241,20 +258,24 @@ def _encoded(texts: DataFrame, path: str, finish: Callable, fields: str) -> Data
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(),
+    kinds = {"boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(),
              "array<bigint>": pa.list_(pa.int64())}
     return pa.schema([(n, kinds[t]) for n, t in (x.split() for x in ddl.split(","))])
 
 
 def _joined(segments: DataFrame, path: str, finish: Callable, fields: str) -> DataFrame:
-    """Put the segments of each text together: rows sorted by (version, seq)."""
+    """Put the segments of each text together: rows sorted by (version, seq). Where a shared
+    chunk's ids have no boundary at an anchor the text is told apart (``agrees`` false)."""
+    schema = f"version binary, agrees boolean, {fields}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, lengths, target = tokenizer(path), _lengths(path), _arrow_schema(f"version binary, {fields}")
-        current, parts = None, []
+        tok, lengths, target = tokenizer(path), _lengths(path), _arrow_schema(schema)
+        current, parts, agrees = None, [], True
 
         def end():
-            return (current, *finish(tok, np.concatenate(parts)))
+            if not agrees:
+                return (current, False, *[None] * len(fields.split(",")))
+            return (current, True, *finish(tok, np.concatenate(parts)))
 
         for batch in batches:
             rows = []
@@ -262,13 +283,12 @@ def _joined(segments: DataFrame, path: str, finish: Callable, fields: str) -> Da
                 if version != current:
                     if current is not None:
                         rows.append(end())
-                    current, parts = version, []
+                    current, parts, agrees = version, [], True
                 ids = _unpacked(blob)
                 if take is not None:
                     at = np.concatenate([[0], np.cumsum(lengths[ids])])
                     first, last = np.searchsorted(at, (skip, skip + take)).tolist()
-                    if last >= len(at) or (at[first], at[last]) != (skip, skip + take):
-                        raise ValueError("an anchor is no boundary between ids")
+                    agrees = agrees and last < len(at) and (at[first], at[last]) == (skip, skip + take)
                     ids = ids[first:last]
                 parts.append(ids)
             if rows:
@@ -277,7 +297,21 @@ def _joined(segments: DataFrame, path: str, finish: Callable, fields: str) -> Da
         if current is not None:
             yield pa.RecordBatch.from_arrays([pa.array([c], t.type) for c, t in zip(end(), target, strict=True)], schema=target)
 
-    return segments.mapInArrow(run, f"version binary, {fields}")
+    return segments.mapInArrow(run, schema)
+
+
+def _again(texts: DataFrame, path: str, finish: Callable, fields: str) -> DataFrame:
+    """Whole texts (version, z) encoded afresh."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok, unpack, target = tokenizer(path), zstandard.ZstdDecompressor(), _arrow_schema(f"version binary, {fields}")
+        for batch in batches:
+            rows = [(version, *finish(tok, encode_text(tok, (unpack.decompress(z, max_output_size=1 << 31) if z else b"").decode())))
+                    for version, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
+
+    return texts.mapInArrow(run, f"version binary, {fields}")
 
 
 def code(docs: DataFrame, path: str, finish: Callable = digest, fields: str = DIGEST) -> DataFrame:
@@ -305,6 +339,11 @@ def code(docs: DataFrame, path: str, finish: Callable = digest, fields: str = DI
     refs = out.filter(F.col("kind") == REFERENCE).drop("packed").join(defs, "hash")
     cols = ["version", "seq", "skip", "take", "packed"]
     segments = out.filter(F.col("kind") == LITERAL).select(*cols).union(refs.select(*cols)).dropDuplicates(["version", "seq"])
-    rest = _joined(segments.repartition("version").sortWithinPartitions("version", "seq"), path, finish, fields)
-    by_text = stored(done.union(rest).dropDuplicates(["version"]), "coded")
+    rest = stored(_joined(segments.repartition("version").sortWithinPartitions("version", "seq"), path, finish, fields), "joined")
+    parts = [done, rest.filter("agrees").drop("agrees")]
+    open_ = rest.filter("NOT agrees").select("version")
+    if not open_.isEmpty():
+        whole_texts = squeezed.join(texts.select("version", "owner").join(open_, "version"), ["owner", "version"]).select("version", "z")
+        parts.append(_again(whole_texts.dropDuplicates(["version"]), path, finish, fields))
+    by_text = stored(reduce(DataFrame.union, parts).dropDuplicates(["version"]), "coded")
     return chunked.select("doc_id", "version").join(by_text, "version").select("doc_id", *names)

@@ -50,6 +50,14 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def own_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` has, for working columns beside its own."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: a result used
     more than once is computed once and survives lost executors."""

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import own_prefix, ship, stored
 from .components import components
 
 SIMILARITY = 80  # per cent
@@ -247,5 +247,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = SIMILAR
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: int = SIMILARITY) -> DataFrame:
     """The documents that stay, with their own columns: one doc_id of each group."""
-    gone = near_duplicates(docs, shingle, similarity).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    name = own_prefix(docs) + "gone"
+    gone = near_duplicates(docs, shingle, similarity).filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(name), "left_anti")

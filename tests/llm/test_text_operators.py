@@ -8,6 +8,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -97,6 +98,29 @@ def test_line_runs_admit_each_line_once(spark):
     assert {r["n_docs"] for r in runs.keys().collect()} == {1, 2}
 
 
+@pytest.mark.parametrize("batches,broadcast", [(1, 0), (3, 1_000_000), (7, 0)])
+def test_batches_and_joins_do_not_change_the_lines(spark, weird, batches, broadcast):
+    """Keys that come back in later batches, also in few documents a batch."""
+    text = "A line of more than forty characters that comes back."
+    rows = [(i, f"{text} {i % 6}\n{text} {i % 3}\n{text} {i}") for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").unionByName(weird.select("doc_id", "text"))
+    pairs = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = brute_lines(pairs)
+    got = linededup.drop_lines(docs, batches=batches, broadcast_keys=broadcast)
+    assert sorted(((r["doc_id"], r["text"] or "") for r in got.collect()), key=repr) == sorted(((d, t or "") for d, x in want.items() for *_, t in x), key=repr)
+
+
+def test_own_columns_may_have_any_name(spark, nothing):
+    """Working columns of the stages never meet the documents' own."""
+    rows = [(i, "A line of more than forty characters, in every text.", "d", "v", "l", "k", "g") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __d string, __v string, __l string, ___keep string, __gone string")
+    kept = linededup.drop_lines(docs)
+    assert kept.columns == docs.columns and sorted(r["text"] for r in kept.collect()) == [""] * 5 + [rows[0][1]]
+    one = minhash.keep_one(docs)
+    assert one.columns == docs.columns and [tuple(r) for r in one.collect()] == [rows[0]]
+    assert linededup.drop_lines(nothing).collect() == [] and minhash.keep_one(nothing).collect() == []
+
+
 # --- op 10 --------------------------------------------------------------------
 
 def brute_components(rows, shingle, similarity=80):
@@ -220,6 +244,32 @@ def test_shared_chunks_are_joined_exactly(spark, library):
         assert got[i]["ids"] == library.encode(t, add_special_tokens=False).ids and got[i]["decoded"] == t
 
 
+@pytest.mark.parametrize("text", ["\n" * 1_000_000, " " * 2_000_000, "a" + "\n" * 200_000 + "b", "x" + " " * 50_000 + "'s y", "\t\u3000" * 9_000 + "é",
+                                  "<|endoftext|>" + " \n" * 30_000 + "<|endoftext|> z" + " " * 5_000, " " * 4096, "a " + " " * 4096 + "1"])
+def test_long_white_space(library, text):
+    tok = bpe.tokenizer(PATH)
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert bpe.encode_text(tok, text).tolist() == ids
+    assert bpe.decode_ids(tok, np.array(ids, np.uint32)) == text
+
+
+def test_a_join_that_does_not_hold_is_repaired(spark, library):
+    """Ids of a chunk cut inside a token are told apart, and such a text is encoded as a whole."""
+    rng = np.random.default_rng(2)
+    passage = " ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(300))
+    tok, text = bpe.tokenizer(PATH), "opening " + passage + " end"
+    whole = bpe._packed(bpe.encode_text(tok, passage))
+    schema = "version binary, seq int, skip bigint, take bigint, packed binary"
+    at = bpe.anchors(passage.encode()).tolist()
+    fits = [(b"a", 0, None, None, bpe._packed(bpe.encode_text(tok, "opening"))), (b"a", 1, at[0], at[9] - at[0], whole)]
+    fails = [(b"b", 0, None, None, whole), (b"b", 1, at[0] + 1, 200, whole), (b"b", 2, 5, 10**6, whole)]
+    got = bpe._joined(spark.createDataFrame(fits + fails, schema).coalesce(1), PATH, bpe.whole, bpe.WHOLE).collect()
+    assert [(r["agrees"], r["decoded"]) for r in got] == [(True, "opening" + passage[at[0]:at[9]]), (False, None)]
+    texts = spark.createDataFrame([(b"b", zstandard.compress(text.encode()))], "version binary, z binary")
+    again = bpe._again(texts, PATH, bpe.whole, bpe.WHOLE).collect()
+    assert [(r["ids"], r["decoded"]) for r in again] == [(library.encode(text, add_special_tokens=False).ids, text)]
+
+
 # --- op 4 ---------------------------------------------------------------------
 
 def brute_scores(rows):
