@@ -82,8 +82,8 @@ def nearest_index_k(value, centres, kmax: int) -> Column:
 
 
 def fixed(x, digits: int = 3) -> Column:
-    """Fixed-point text, e.g. ``%1.3f`` in the score sheets."""
-    return F.format_string(f"%.{digits}f", col(x))
+    """Fixed-point text, e.g. ``%1.3f`` in the score sheets (NULL stays NULL)."""
+    return F.when(col(x).isNotNull(), F.format_string(f"%.{digits}f", col(x)))
 
 
 def squash(x, how: str | None) -> Column:

@@ -4,73 +4,100 @@ Mining uses Spark ML's parallel FP-Growth (``pyspark.ml.fpm.FPGrowth``); the
 support threshold is ``ceil(min_support · baskets)`` and confidence is
 ``>= min_confidence``. Baskets are item *sets*: duplicates are removed before
 fitting (FP-Growth rejects repeated items) and the arrays are sorted so every
-report is deterministic.
+report is deterministic. Items below the threshold leave the pairs before any
+basket is built, so a basket holds frequent items only; baskets that lose all
+their items stay, empty, and count in the threshold.
+
+The mined itemsets are written once to the shared folder. Rules come from that
+table by joins: an itemset less one item is another mined itemset.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.fpm import FPGrowth, FPGrowthModel
+import math
+from dataclasses import dataclass
+
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions import joined, slot
-from affinity.session import checkpoint_dir
+from affinity.session import checkpoint_dir, scratch_path
+
+_SEP = "\u0001"
+
 
+@dataclass(frozen=True)
+class Mined:
+    """Itemsets ``(items sorted array, freq)`` mined from ``n`` baskets."""
 
-def to_baskets(pairs: DataFrame, basket: str = "sno", item: str = "cno", items: str = "items") -> DataFrame:
+    itemsets: DataFrame
+    n: int
+    min_confidence: float
+
+
+def to_baskets(pairs: DataFrame, basket: str = "sno", item: str = "cno", items: str = "items",
+               min_support: float | None = None) -> DataFrame:
     """``(basket, items)``: the sorted distinct items of every basket.
 
-    ``collect_set`` de-duplicates map-side, so a basket's array is bounded by
-    the number of distinct items, not by its row count.
+    De-duplication is map-side, so a basket's array is bounded by the number of
+    distinct items, not by its row count; with ``min_support`` by the number of
+    items that ``ceil(min_support · baskets)`` baskets hold.
     """
-    return pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias(items))
+    if min_support is None:
+        return pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias(items))
+    # distinct pairs are read three times: baskets counted, items counted, baskets built
+    checkpoint_dir(pairs.sparkSession)
+    p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct().checkpoint(eager=True)
+    least = math.ceil(min_support * p.select("_b").distinct().count())
+    frequent = p.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select("_i", F.lit(True).alias("_keep"))
+    marked = p.join(frequent, "_i", "left").select("_b", F.when(F.col("_keep"), F.col("_i")).alias("_i"))
+    return marked.groupBy("_b").agg(F.array_sort(F.collect_list("_i")).alias(items)).withColumnRenamed("_b", basket)
 
 
 def mine(baskets: DataFrame, min_support: float, min_confidence: float = 0.0, items: str = "items",
-         num_partitions: int | None = None) -> FPGrowthModel:
-    """Fit FP-Growth.
-
-    The baskets are checkpointed first: the fit, the lazily mined itemsets and
-    the rules each read them, and the source join must not run three times.
-    The model's itemsets (bounded by the support threshold) are persisted so
-    rules and reports reuse one mining pass; :func:`release` frees them.
-    ``num_partitions`` (FP-tree groups) defaults to the input's partitions,
-    which AQE sizes from the data volume; more groups duplicate conditional
-    transactions, which on dense baskets costs more than it parallelises.
+         num_partitions: int | None = None) -> Mined:
+    """Fit FP-Growth and write its itemsets.
+
+    The baskets are checkpointed first: the fit reads them more than once, and the
+    source must not run as often. ``num_partitions`` (FP-tree groups) defaults to
+    the input's partitions, which AQE sizes from the data volume; more groups
+    duplicate conditional transactions, which on dense baskets costs more than it
+    parallelises.
     """
-    checkpoint_dir(baskets.sparkSession)
+    spark = baskets.sparkSession
+    checkpoint_dir(spark)
     data = baskets.select(items).checkpoint(eager=True)
     fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(data)
-    model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
-    return model
-
+    path = scratch_path(spark, "itemsets")
+    fp.fit(data).freqItemsets.select(F.array_sort("items").alias("items"), "freq").write.parquet(path)
+    return Mined(spark.read.parquet(path), data.count(), min_confidence)
 
-def release(model: FPGrowthModel) -> None:
-    """Drop the cached itemsets of a model returned by :func:`mine`."""
-    model.freqItemsets.unpersist()
 
+def frequent_itemsets(mined: Mined, size: int | None = None) -> DataFrame:
+    """``(items sorted array, freq long, size int)``, of one ``size`` only if given."""
+    out = mined.itemsets.select("items", "freq", F.size("items").alias("size"))
+    return out if size is None else out.where(F.col("size") == size)
 
-def frequent_itemsets(model: FPGrowthModel) -> DataFrame:
-    """``(items sorted array, freq long, size int)``."""
-    fi = model.freqItemsets
-    return fi.select(F.array_sort("items").alias("items"), F.col("freq"),
-                     F.size("items").alias("size"))
 
-
-def association_rules(model: FPGrowthModel) -> DataFrame:
+def association_rules(mined: Mined) -> DataFrame:
     """Rules with one consequent: ``(antecedent, consequent, confidence, lift, support)``.
 
     ``confidence = freq(A∪c)/freq(A)``, ``lift = confidence / (freq(c)/n)``,
     ``support = freq(A∪c)/n``.
     """
-    r = model.associationRules
-    return r.select(F.array_sort("antecedent").alias("antecedent"),
-                    F.get("consequent", 0).alias("consequent"),
-                    "confidence", "lift", "support")
+    fi, n = mined.itemsets, F.lit(float(max(mined.n, 1)))
+    union = fi.where(F.size("items") > 1).select("items", F.col("freq").alias("_fu"), F.posexplode("items").alias("_at", "consequent"))
+    union = union.withColumn("antecedent", F.filter("items", lambda x, i: i != F.col("_at")))
+    union = union.withColumn("_ak", F.array_join("antecedent", _SEP))
+    whole = fi.select(F.array_join("items", _SEP).alias("_ak"), F.col("freq").alias("_fa"))
+    single = fi.where(F.size("items") == 1).select(F.get("items", 0).alias("consequent"), F.col("freq").alias("_fc"))
+    confidence = F.col("_fu") / F.col("_fa").cast("double")
+    return (union.join(whole, "_ak").join(single, "consequent").where(confidence >= mined.min_confidence)
+            .select("antecedent", "consequent", confidence.alias("confidence"), (confidence / (F.col("_fc") / n)).alias("lift"),
+                    (F.col("_fu") / n).alias("support")))
 
 
 def itemsets_wide(itemsets: DataFrame, width: int = 4, keep_freq: bool = True) -> DataFrame:
@@ -96,6 +123,11 @@ def itemset_summary(itemsets: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_itemsets"), F.sum("freq").alias("total_freq")))
 
 
+def rule_summary(rules: DataFrame) -> DataFrame:
+    """Number of rules per antecedent size."""
+    return rules.groupBy(F.size("antecedent").alias("size")).agg(F.count(F.lit(1)).alias("n_rules"))
+
+
 def rule_text(rules: DataFrame, style: str = "brackets") -> DataFrame:
     """One-line rule text: ``[a,b]-->[c],conf`` or ``a,b-->c-->conf``."""
     ante = joined("antecedent")
@@ -107,23 +139,32 @@ def rule_text(rules: DataFrame, style: str = "brackets") -> DataFrame:
     return rules.select(txt.alias("value"))
 
 
+def rule_candidates(rules: DataFrame, pairs: DataFrame, basket: str = "sno", item: str = "cno") -> DataFrame:
+    """``(basket, antecedent, consequents)`` of the baskets that hold the antecedent's rarest
+    item (fewest baskets), each antecedent once. ``pairs`` has distinct (basket, item) rows."""
+    held = pairs.groupBy(F.col(item).alias("_i")).agg(F.count(F.lit(1)).alias("_n"))
+    by_antecedent = (rules.groupBy(joined("antecedent", _SEP).alias("_ak"))
+                     .agg(F.first("antecedent").alias("antecedent"), F.collect_set("consequent").alias("consequents")))
+    items = by_antecedent.select("_ak", F.explode("antecedent").alias("_i")).join(held, "_i", "left")
+    rarest = items.groupBy("_ak").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)), "_i")).alias("_r")).select("_ak", F.col("_r._i").alias("_i"))
+    keyed = by_antecedent.join(rarest, "_ak").select("_i", "antecedent", "consequents")
+    return pairs.select(F.col(basket), F.col(item).alias("_i")).join(keyed, "_i").drop("_i")
+
+
 def recommend_from_rules(rules: DataFrame, pairs: DataFrame, basket: str = "sno",
                          item: str = "cno") -> DataFrame:
     """Consequents of every rule whose antecedent lies inside a basket, minus
     items already in the basket, de-duplicated: ``(basket, item)``.
 
-    A rule fires for a basket when all ``|A|`` antecedent items match, found
-    with an equi-join on the item and a count per (basket, antecedent); no
-    basket array is ever compared against every rule.
+    A rule meets a basket only by its antecedent's rarest item; the rest of the
+    antecedent is verified on the basket's item set, which also tells the
+    consequents that are new.
     """
-    # The distinct pairs are read twice (rule matching, ownership test).
+    # The distinct pairs are read three times (item counts, rarest items, sets).
     checkpoint_dir(pairs.sparkSession)
     p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct().checkpoint(eager=True)
-    keyed = rules.select(joined("antecedent", "\u0001").alias("_ak"), "antecedent", "consequent")
-    ante = (keyed.select("_ak", F.size("antecedent").alias("_n"), "antecedent").distinct()
-            .select("_ak", "_n", F.explode("antecedent").alias("_i")))
-    hits = (p.join(ante, "_i").groupBy("_b", "_ak", "_n").agg(F.count(F.lit(1)).alias("_m"))
-            .where(F.col("_m") == F.col("_n")).select("_b", "_ak"))
-    cands = hits.join(keyed.select("_ak", F.col("consequent").alias("_i")), "_ak").select("_b", "_i")
-    return (cands.join(p, ["_b", "_i"], "left_anti").distinct()
-            .select(F.col("_b").alias(basket), F.col("_i").alias(item)))
+    sets = p.groupBy("_b").agg(F.collect_list("_i").alias("_items"))
+    met = rule_candidates(rules, p, "_b", "_i").join(sets, "_b")
+    met = met.where(F.size(F.array_except("antecedent", "_items")) == 0)
+    new = met.select("_b", F.explode(F.array_except("consequents", "_items")).alias("_i")).distinct()
+    return new.select(F.col("_b").alias(basket), F.col("_i").alias(item))

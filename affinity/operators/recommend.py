@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions import squash as squash_expr
+from affinity.operators.ordering import with_positions
 from affinity.session import checkpoint_dir
 
 # Fixed values of the reference scoring rule.
@@ -70,6 +71,13 @@ def predict(similarity: DataFrame, perf: DataFrame, n: int = TOP_N, threshold: f
     return res
 
 
+def ordered(pred: DataFrame, user: str = "sno", item: str = "cno", score: str = "pre_score",
+            partitions: int | None = None) -> DataFrame:
+    """Predictions with their ``position`` in the order (user, score, item), as range partitions
+    with prefix-summed counts: no task holds more than its range, a user may span several."""
+    return with_positions(pred, user, score, item, partitions=partitions)
+
+
 def seen_items(perf: DataFrame, item: str = "cno") -> DataFrame:
     """Distinct items present in the score rows."""
     return perf.select(item).distinct()

@@ -5,21 +5,22 @@ Plan (for ``cosine``; ``cooccurrence`` is the same with counts as weights):
 1. pre-aggregate ``a[u, i] = Σ weight`` per (user, item) — partial aggregation
    map-side, shuffle on (user, item), so a heavy user is spread by item — and
    checkpoint it (it feeds every later branch; the source runs once);
-2. norms ``n[i] = Σ_u a[u, i]²`` straight from ``a`` (no pair table needed);
+2. norms ``n[i] = Σ_u a[u, i]²`` straight from ``a``, attached to its rows;
 3. dot products ``d[i, j] = Σ_u a[u, i]·a[u, j]`` for ``i < j`` only (half of
-   the matrix, no diagonal) through a self-join on the user;
-4. ``sim = d / sqrt(n_i·n_j)`` via two joins with the norm table (one row per
-   item; AQE turns them into broadcast joins when the measured size is small);
+   the matrix, no diagonal) through a self-join on the user; the pair aggregate
+   keeps both items' norms by ``max``, so the pair table is exchanged once and
+   never joined;
+4. ``sim = d / sqrt(n_i·n_j)``;
 5. mirror each pair so both (i, j) and (j, i) are returned.
 
-Heavy users: a user with ``D`` items emits ``D²/2`` pairs. Users above
-``heavy_items`` distinct items have their rows split into ``blocks`` item
-blocks and the self-join runs on ``(user, block_x, block_y)``, so their pairs
-are produced by ``blocks²`` tasks instead of one. Light users keep one block
-(no replication). The heavy-user list is counted first: none → plain
-self-join; at most ``HEAVY_BROADCAST_LIMIT`` → broadcast; more → shuffle
-join. Salting changes only the task layout, never the result. AQE skew-join
-splitting remains on as a second line.
+Heavy users: a user with ``D`` items emits ``D²/2`` pairs. The items of users with
+more than ``heavy_items`` are dealt to ``ceil(D / heavy_items)`` blocks and the
+self-join runs on ``(user, block_x, block_y)``, so a task's share of one user is
+about ``heavy_items²`` pairs whatever the degree, at the price of sending each row
+once per block. Light users keep one block (no replication). The heavy-user list is
+counted first: none → plain self-join; at most ``HEAVY_BROADCAST_LIMIT`` → broadcast;
+more → shuffle join. Blocks change only the task layout, never the result. AQE
+skew-join splitting remains on as a second line.
 
 Duplicates of a (user, item) grade add up (retakes): with pre-aggregation the
 result equals the reference's self-join over raw rows, because
@@ -36,48 +37,45 @@ from affinity.functions import unordered_pairs
 from affinity.session import checkpoint_dir
 
 HEAVY_ITEMS = 2000
-BLOCKS = 8
 HEAVY_BROADCAST_LIMIT = 200_000  # heavy users broadcast only below this checked count
 
 
-def _pair_dots(a: DataFrame, user: str, blocks: int, heavy_items: int) -> DataFrame:
-    """``(item1 < item2, dot)`` from ``a(user, item, v)``, one row per (user, item)."""
+def pair_sides(a: DataFrame, user: str, heavy_items: int = HEAVY_ITEMS, blocks: int | None = None):
+    """The two sides of the self-join of ``a(user, item, v, n)`` and their keys.
+
+    ``blocks``: blocks of a heavy user; by default as many as its degree asks for, 1 for none.
+    """
     heavy = None
-    if blocks > 1:
+    if blocks != 1:
+        n_blocks = F.ceil(F.col("_deg") / F.lit(max(heavy_items, 1))) if blocks is None else F.lit(blocks)
         heavy = (a.groupBy(user).agg(F.count(F.lit(1)).alias("_deg"))
-                 .where(F.col("_deg") > heavy_items).select(user, F.lit(blocks).alias("_nb")))
+                 .where(F.col("_deg") > heavy_items).select(user, n_blocks.cast("int").alias("_nb")))
         n_heavy = heavy.count()  # bounded by |a| / heavy_items; checked before any broadcast
         if n_heavy == 0:
             heavy = None
         elif n_heavy <= HEAVY_BROADCAST_LIMIT:
             heavy = F.broadcast(heavy)
+    one = [F.col(user), F.col("item").alias("item1"), F.col("v").alias("v1"), F.col("n").alias("n1")]
+    two = [F.col(user), F.col("item").alias("item2"), F.col("v").alias("v2"), F.col("n").alias("n2")]
     if heavy is None:
-        x = a.select(F.col(user), F.col("item").alias("item1"), F.col("v").alias("v1"))
-        y = a.select(F.col(user), F.col("item").alias("item2"), F.col("v").alias("v2"))
-        pairs = x.join(y, user).where(F.col("item1") < F.col("item2"))
-    else:
-        a2 = a.join(heavy, user, "left")
-        nb = F.coalesce(F.col("_nb"), F.lit(1))
-        blk = F.pmod(F.xxhash64("item"), nb.cast("long")).cast("int")
-        fan = F.explode(F.sequence(F.lit(0), nb - 1))
-        x = a2.select(F.col(user), F.col("item").alias("item1"), F.col("v").alias("v1"),
-                      blk.alias("_bx"), fan.alias("_by"))
-        y = a2.select(F.col(user), F.col("item").alias("item2"), F.col("v").alias("v2"),
-                      blk.alias("_by"), fan.alias("_bx"))
-        pairs = x.join(y, [user, "_bx", "_by"]).where(F.col("item1") < F.col("item2"))
-    return pairs.groupBy("item1", "item2").agg(F.sum(F.col("v1") * F.col("v2")).alias("dot"))
-
-
-def _normalised(a: DataFrame, user: str, blocks: int, heavy_items: int) -> DataFrame:
-    # ``a`` feeds four branches (norms twice, both join sides, degrees); write
+        return a.select(*one), a.select(*two), [user]
+    a2 = a.join(heavy, user, "left")
+    nb = F.coalesce(F.col("_nb"), F.lit(1))
+    blk = F.pmod(F.xxhash64("item"), nb.cast("long")).cast("int")
+    fan = F.explode(F.sequence(F.lit(0), nb - 1))
+    return (a2.select(*one, blk.alias("_bx"), fan.alias("_by")), a2.select(*two, blk.alias("_by"), fan.alias("_bx")),
+            [user, "_bx", "_by"])
+
+
+def _normalised(a: DataFrame, user: str, blocks: int | None, heavy_items: int) -> DataFrame:
+    # ``a`` feeds the norms, both join sides and the degrees; write
     # it once to the shared checkpoint folder so the source is computed once.
     checkpoint_dir(a.sparkSession)
     a = a.checkpoint(eager=True)
     norms = a.groupBy("item").agg(F.sum(F.col("v") * F.col("v")).alias("n"))
-    dots = _pair_dots(a, user, blocks, heavy_items)
-    n1 = norms.select(F.col("item").alias("item1"), F.col("n").alias("n1"))
-    n2 = norms.select(F.col("item").alias("item2"), F.col("n").alias("n2"))
-    half = (dots.join(n1, "item1").join(n2, "item2")
+    x, y, keys = pair_sides(a.join(norms, "item"), user, heavy_items, blocks)
+    half = (x.join(y, keys).where(F.col("item1") < F.col("item2"))
+            .groupBy("item1", "item2").agg(F.sum(F.col("v1") * F.col("v2")).alias("dot"), F.max("n1").alias("n1"), F.max("n2").alias("n2"))
             .select("item1", "item2", cosine_expr("dot", "n1", "n2").alias("sim"))
             .where(F.col("sim").isNotNull()))
     both = F.explode(F.array(
@@ -89,7 +87,7 @@ def _normalised(a: DataFrame, user: str, blocks: int, heavy_items: int) -> DataF
 
 
 def cosine(df: DataFrame, user: str = "sno", item: str = "cno", weight: str = "weight",
-           blocks: int = BLOCKS, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
+           blocks: int | None = None, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
     """Cosine similarity ``Σ w_i w_j / sqrt(Σ w_i² Σ w_j²)`` over users.
 
     Returns ``(item1, item2, sim)`` for every co-rated pair in both orders,
@@ -101,7 +99,7 @@ def cosine(df: DataFrame, user: str = "sno", item: str = "cno", weight: str = "w
 
 
 def cooccurrence(df: DataFrame, user: str = "sno", item: str = "cno",
-                 blocks: int = BLOCKS, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
+                 blocks: int | None = None, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
     """Co-occurrence similarity ``n_ij / sqrt(n_i n_j)`` (ratings ignored).
 
     ``n_ij`` counts (row, row) matches per user, so a repeated (user, item)

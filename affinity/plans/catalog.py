@@ -33,12 +33,13 @@ from affinity.plans.params import (
     ORDER_MIN_SUPPORT,
     PREVIEW_CUT,
     SEED,
+    TERM,
     THRESHOLD,
     TOP_N,
     TRAIN_CUT,
 )
 from affinity.session import checkpoint_dir, scratch_path
-from affinity.sources import load_table, read_baskets, read_pairs, read_ratings, read_scores, read_wide_scores, scores_view
+from affinity.sources import item_scores, load_table, read_baskets, read_features, read_pairs, read_ratings, read_scores, read_wide_scores, scores_view
 from affinity.sinks import write_files, write_itemsets, write_labels, write_predictions, write_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,7 +204,7 @@ def q_pair_boost(spark, sf_dir):
 
 
 def _profile(spark, sf_dir, **cohort):
-    return profile.course_profile(scores_view(spark, sf_dir, "part", **cohort))
+    return profile.course_profile(scores_view(spark, sf_dir, "part", **cohort) if cohort else item_scores(spark, sf_dir))
 
 
 def q_course_profile(spark, sf_dir):
@@ -256,15 +257,31 @@ def q_microaggregate(spark, sf_dir):
     return m.select("id", "attr", F.round(F.round("center", 9), 3).alias("value"))
 
 
-def q_microaggregate_wide(spark, sf_dir):
-    """The anonymised sheet: one row per id, one column per attribute."""
-    m = _micro(spark, sf_dir).select("id", "attr", F.round(F.round("center", 9), 3).alias("value"))
-    # Attribute names become columns: bounded like any pivot (spark.sql.pivotMaxValues).
+def _names(spark, rows):
+    """Attribute names that become columns: bounded like any pivot (spark.sql.pivotMaxValues)."""
     limit = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
-    names = m.select("attr").distinct().limit(limit + 1).collect()
+    names = rows.select("attr").distinct().limit(limit + 1).collect()
     if len(names) > limit:
         raise ValueError(f"more than {limit} attributes for the wide sheet; use the long form")
-    return anonymize.to_wide(m, "id", sorted(r.attr for r in names))
+    return sorted(r.attr for r in names)
+
+
+def q_microaggregate_wide(spark, sf_dir):
+    """The anonymised sheet: one row per id, one column per attribute."""
+    m = _micro(spark, sf_dir).select("id", "attr", F.round(F.round("center", 9), 3).alias("value"))
+    return anonymize.to_wide(m, "id", _names(spark, m))
+
+
+def q_anonymised_sheet(spark, sf_dir):
+    """The anonymised sheet as fixed-point text lines, through the file sink."""
+    checkpoint_dir(spark)
+    m = _micro(spark, sf_dir).select("id", "attr", F.round(F.round("center", 9), 3).alias("value")).checkpoint(eager=True)
+    names = _names(spark, m)
+    lines = anonymize.format_sheet(anonymize.to_wide(m, "id", names), names)
+    path = f"{scratch_path(spark, 'sheet-text')}/data"
+    write_files(lines, path, fmt="text")
+    return spark.read.text(path).select(F.substring_index("value", "\t", 1).alias("id"),
+                                        F.expr("substring(value, instr(value, '\t') + 1)").alias("value"))
 
 
 def q_microaggregate_detail(spark, sf_dir):
@@ -316,11 +333,11 @@ def q_read_baskets(spark, sf_dir):
 
 
 def q_read_wide_scores(spark, sf_dir):
-    """Average grade per student and order year as a wide sheet with header, read back as cells."""
+    """Best grade per student and brand as a wide sheet with header, read back as cells."""
     def write(d, p):
         cells = d.groupBy(F.col("sno").alias("id"), F.col("cno").alias("attr")).agg(F.max("score").alias("value"))
-        names = [f"Brand#{i}" for i in range(1, 26)]
-        write_files(anonymize.to_wide(cells, "id", names), p, fmt="tsv", header=True)
+        cells = cells.checkpoint(eager=True)
+        write_files(anonymize.to_wide(cells, "id", _names(spark, cells)), p, fmt="tsv", header=True)
 
     return anonymize.to_long(_grades_back(spark, sf_dir, "sheet", write, lambda p: read_wide_scores(spark, p)))
 
@@ -364,7 +381,88 @@ def q_kmeans_check(spark, sf_dir):
                                         F.col("label").cast("int").between(0, KMEANS_K - 1).alias("in_range"))
 
 
+def q_ordered_scores(spark, sf_dir):
+    """Scores in the order (user, score, item) with their position."""
+    return recommend.ordered(q_recommend_scores(spark, sf_dir))
+
+
+def q_recommend_unseen_by_anyone(spark, sf_dir):
+    """Scores of the parts that no student of the preview has a grade in."""
+    pred = jobs.predict(_preview(spark, sf_dir, "part"), q_cosine(spark, sf_dir), PREVIEW_CUT, n=TOP_N, threshold=None,
+                        exclude_seen=True, seen_by="anyone")
+    return pred.select("sno", "cno", _r6("pre_score"))
+
+
+def q_recommend_atan(spark, sf_dir):
+    """Scores squashed by atan."""
+    pred = jobs.predict(_preview(spark, sf_dir), _brand_cosine(spark, sf_dir), PREVIEW_CUT, n=TOP_N, threshold=None, squash="atan")
+    return pred.select("sno", "cno", _r6("pre_score"))
+
+
+def q_train_scores_term(spark, sf_dir):
+    """Training grades of one term."""
+    return prep.train_scores(_train_view(spark, sf_dir), HOLDOUT, TRAIN_CUT, term=TERM)
+
+
+def q_itemset_pairs(spark, sf_dir):
+    """Frequent itemsets of two items."""
+    _, _, mined = _itemsets(spark, sf_dir, MIN_SUPPORT)
+    return baskets.frequent_itemsets(mined, size=2).select(joined("items").alias("items"), "size", "freq")
+
+
+def q_rule_summary(spark, sf_dir):
+    _, rules, _ = _itemsets(spark, sf_dir, MIN_SUPPORT)
+    return baskets.rule_summary(rules)
+
+
+def q_rule_text(spark, sf_dir):
+    """Rules as report lines, in both formats."""
+    _, rules, _ = _itemsets(spark, sf_dir, MIN_SUPPORT)
+    rules = rules.withColumn("confidence", F.format_string("%.6f", F.round("confidence", 6)))
+    return baskets.rule_text(rules).unionByName(baskets.rule_text(rules, "arrows"))
+
+
+def q_course_count(spark, sf_dir):
+    """Number of courses with a profile and of their grades."""
+    return _profile(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_courses"), F.sum("n").alias("n_scores"))
+
+
+def q_read_features(spark, sf_dir):
+    """Course profiles written as padded text with a header line, read back as features."""
+    p = _profile(spark, sf_dir).select("cno", *FEATURES)
+    path = f"{scratch_path(spark, 'features')}/data"
+    cells = [F.concat(F.lit("  "), F.col(c).cast("string"), F.lit(" ")) for c in p.columns]
+    head = spark.range(1).select(F.lit("\t".join(p.columns)).alias("value"))
+    write_files(head.union(p.select(F.concat_ws("\t\t", *cells).alias("value"))), path, fmt="text")
+    back = read_features(spark, path, key="cno", features=FEATURES, fmt="text", keyed=True)
+    return back.select("cno", *[_r6(c) for c in FEATURES])
+
+
+def q_kmeans_centres(spark, sf_dir):
+    """Is every centre the mean of its members, feature by feature?"""
+    checkpoint_dir(spark)
+    p = _profile(spark, sf_dir).checkpoint(eager=True)
+    model = clustering.fit_kmeans(p, FEATURES, k=KMEANS_K, max_iter=10 * KMEANS_ITER, seed=SEED)
+    centres = clustering.centres_frame(model, FEATURES).withColumnRenamed("cluster", "label")
+    labels = clustering.assign(model, p, "cno", FEATURES)
+    means = p.join(labels, "cno").groupBy(F.col("label").cast("int").alias("label")).agg(*[F.avg(c).alias(f"m_{c}") for c in FEATURES])
+    same = [F.abs(F.col(c) - F.col(f"m_{c}")) < 1e-3 for c in FEATURES]
+    # a centre moves by less than the fit's tolerance after its last assignment
+    return centres.join(means, "label", "left").select(F.col("label"), *[F.coalesce(s, F.lit(False)).alias(c) for s, c in zip(same, FEATURES, strict=True)])
+
+
 QUERIES: dict[str, Query] = {
+    "ordered_scores": q_ordered_scores,
+    "recommend_unseen_by_anyone": q_recommend_unseen_by_anyone,
+    "recommend_atan": q_recommend_atan,
+    "train_scores_term": q_train_scores_term,
+    "itemset_pairs": q_itemset_pairs,
+    "rule_summary": q_rule_summary,
+    "rule_text": q_rule_text,
+    "course_count": q_course_count,
+    "read_features": q_read_features,
+    "kmeans_centres": q_kmeans_centres,
+    "anonymised_sheet": q_anonymised_sheet,
     "recommend_low_threshold": q_recommend_low_threshold,
     "read_pairs": q_read_pairs,
     "read_scores_csv": q_read_scores_csv,

@@ -35,9 +35,10 @@ def train(train_rows: DataFrame, cut: float = prep.TRAIN_CUT, itemsets: DataFram
 
 def predict(preview_rows: DataFrame, sim: DataFrame, cut: float = prep.PREVIEW_CUT,
             n: int = recommend.TOP_N, threshold: float | None = recommend.THRESHOLD,
-            exclude_seen: bool = False, user: str = "sno", item: str = "cno",
+            exclude_seen: bool = False, seen_by: str = "user", user: str = "sno", item: str = "cno",
             score: str = "score", **kw) -> DataFrame:
-    """Scores ``(user, item, pre_score)`` for the preview grades."""
+    """Scores ``(user, item, pre_score)`` for the preview grades; ``exclude_seen`` drops items
+    known to the same user, or to anyone with ``seen_by="anyone"``."""
     if exclude_seen:
         # read twice (scores and exclusion): materialise once
         checkpoint_dir(preview_rows.sparkSession)
@@ -45,30 +46,32 @@ def predict(preview_rows: DataFrame, sim: DataFrame, cut: float = prep.PREVIEW_C
     perf = prep.with_deficit(preview_rows.select(user, item, score), cut, score=score)
     pred = recommend.predict(sim, perf, n=n, threshold=threshold, user=user, item=item, **kw)
     if exclude_seen:
-        pred = recommend.exclude_items(pred, preview_rows, per_user=True, user=user, item=item)
+        pred = recommend.exclude_items(pred, preview_rows, per_user=seen_by == "user", user=user, item=item)
     return pred
 
 
 def mine_rules(pairs: DataFrame, min_support: float, min_confidence: float, basket: str = "sno",
                item: str = "cno", num_partitions: int | None = None):
-    """``(itemsets, rules, model)`` from (basket, item) pairs."""
-    bk = B.to_baskets(pairs, basket=basket, item=item)
-    model = B.mine(bk, min_support, min_confidence, num_partitions=num_partitions)
-    return B.frequent_itemsets(model), B.association_rules(model), model
+    """``(itemsets, rules, mined)`` from (basket, item) pairs."""
+    bk = B.to_baskets(pairs, basket=basket, item=item, min_support=min_support)
+    mined = B.mine(bk, min_support, min_confidence, num_partitions=num_partitions)
+    return B.frequent_itemsets(mined), B.association_rules(mined), mined
 
 
 def rules_job(pairs: DataFrame, min_support: float, min_confidence: float, out_path: str | None = None,
-              basket: str = "sno", item: str = "cno", text: bool = True, single_file: bool = False) -> DataFrame:
+              basket: str = "sno", item: str = "cno", text: bool = True, single_file: bool = False,
+              whole: bool = False) -> DataFrame:
     """Rule-mining job: baskets → FP-Growth → wide rules
     ``(antecedent1..4, consequent, confidence, antecedent)``; optionally written as
-    tab-separated text (one file only with ``single_file``) or as parquet."""
+    tab-separated text (one file only with ``single_file``) or as parquet. The text has the
+    six fixed columns; ``whole`` adds the full antecedent, which parquet always has."""
     from affinity.sinks import RULE_COLS, write_files
 
     _, rules, _ = mine_rules(pairs, min_support, min_confidence, basket=basket, item=item)
     wide = B.rules_wide(rules)
     if out_path is not None:
         if text:
-            write_files(wide.select(*RULE_COLS), out_path, fmt="text", single_file=single_file)
+            write_files(wide.select(*(RULE_COLS if whole else RULE_COLS[:-1])), out_path, fmt="text", single_file=single_file)
         else:
             write_files(wide, out_path)
     return wide

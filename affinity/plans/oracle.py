@@ -24,6 +24,8 @@ from affinity.plans.params import (  # noqa: F401
     THRESHOLD,
     TRAIN_CUT,
     KMAX_MICRO,
+    KMEANS_K,
+    TERM,
 )
 
 MAX_LEVEL = 6  # itemset sizes enumerated by the SQL (the data has none above 4)
@@ -70,16 +72,16 @@ def _train_cosine(item: str = "brand") -> str:
     return _cosine_full(_train(item), f"({TRAIN_CUT} - @.score)")
 
 
-def _recommend(sim_sql: str, threshold: float | None = THRESHOLD) -> str:
+def _recommend(sim_sql: str, threshold: float | None = THRESHOLD, item: str = "brand", score: str = "s / len") -> str:
     where = f"WHERE s / len > {threshold} AND NOT isnan(s / len)" if threshold is not None else ""
     return f"""
     WITH sim AS ({sim_sql}),
-    perf AS (SELECT sno, cno AS item2, {PREVIEW_CUT} - score AS w FROM ({_preview()}) p),
+    perf AS (SELECT sno, cno AS item2, {PREVIEW_CUT} - score AS w FROM ({_preview(item)}) p),
     j AS (SELECT perf.sno, perf.item2, perf.w, sim.item1, sim.sim FROM perf JOIN sim ON sim.item2 = perf.item2),
     r AS (SELECT *, row_number() OVER (PARTITION BY sno ORDER BY w DESC, sim DESC, item1, item2) AS rn FROM j),
     k AS (SELECT *, count(*) OVER (PARTITION BY sno) AS len FROM r WHERE rn <= {TOP_N}),
     agg AS (SELECT sno, item1, sum(sim * w) AS s, max(len) AS len FROM k GROUP BY sno, item1)
-    SELECT sno, item1 AS cno, round(s / len, 6) AS pre_score FROM agg {where}"""
+    SELECT sno, item1 AS cno, round({score}, 6) AS pre_score FROM agg {where}"""
 
 
 # ----------------------------------------------------------------- itemsets
@@ -402,6 +404,24 @@ def _microaggregate() -> str:
     SELECT id, attr, round(round(center, 9), 3) AS value FROM centred"""
 
 
+def _anonymised_sheet() -> str:
+    names = sorted(f"Brand#{i}" for i in range(1, 26))
+    cells = " || ".join(f"coalesce(printf('%.3f', max(CASE WHEN attr = '{x}' THEN value END)), '') || chr(9)" for x in names)
+    return f"""WITH {_micro_common().strip()},
+    long AS (SELECT id, attr, round(round(center, 9), 3) AS value FROM centred)
+    SELECT id, {cells} AS value FROM long GROUP BY id"""
+
+
+def _rule_text(support: float, confidence: float) -> str:
+    ctes = _itemsets(_baskets_items(_train()), support)
+    return f"""WITH {ctes},
+    {_rules()},
+    r AS (SELECT ante_key AS a, consequent AS c, printf('%.6f', round(CAST(fu AS DOUBLE) / fa, 6)) AS p
+          FROM ru WHERE CAST(fu AS DOUBLE) / fa >= {confidence})
+    SELECT '[' || a || ']-->[' || c || '],' || p AS value FROM r
+    UNION ALL SELECT a || '-->' || c || '-->' || p FROM r"""
+
+
 def _microaggregate_wide() -> str:
     # the 25 brands of the part table
     names = [f"Brand#{i}" for i in range(1, 26)]
@@ -454,8 +474,23 @@ def oracle_sql() -> dict[str, str]:
         "read_wide_scores": f"SELECT sno AS id, cno AS attr, max(score) AS value FROM ({_train('brand')}) t GROUP BY sno, cno",
         "sink_labels": f"SELECT cno, tier AS label FROM ({_lloyd_tiers()}) t",
         "sink_predictions": _recommend(cos_brand, None),
-        "sink_rules": f"""SELECT antecedent1, antecedent2, antecedent3, antecedent4, consequent, confidence
-            FROM ({_rules_wide(MIN_SUPPORT, MIN_CONFIDENCE)}) t""",
-        "sink_itemsets": f"SELECT item1, item2, item3, item4 FROM ({_itemsets_wide(MIN_SUPPORT)}) t",
+        "sink_rules": _rules_wide(MIN_SUPPORT, MIN_CONFIDENCE),
+        "sink_itemsets": _itemsets_wide(MIN_SUPPORT),
+        "ordered_scores": f"SELECT *, row_number() OVER (ORDER BY sno, pre_score, cno) AS position FROM ({_recommend(cos_brand, None)}) t",
+        "recommend_unseen_by_anyone": f"""SELECT r.* FROM ({_recommend(_train_cosine("part"), None, "part")}) r
+            WHERE r.cno NOT IN (SELECT cno FROM ({_preview("part")}) p)""",
+        "recommend_atan": _recommend(cos_brand, None, score="atan(s / len)"),
+        "train_scores_term": f"""SELECT sno, cno, score FROM ({_scores("brand")}) s
+            WHERE score < {TRAIN_CUT} AND cohort <> '{HOLDOUT}' AND term = '{TERM}'""",
+        "itemset_pairs": f"SELECT * FROM ({_frequent_itemsets(MIN_SUPPORT)}) t WHERE size = 2",
+        "rule_summary": f"""SELECT CAST(len(string_split(antecedent, ',')) AS INTEGER) AS size, count(*) AS n_rules
+            FROM ({_rules_wide(MIN_SUPPORT, MIN_CONFIDENCE)}) t GROUP BY 1""",
+        "rule_text": _rule_text(MIN_SUPPORT, MIN_CONFIDENCE),
+        "course_count": f"SELECT count(*) AS n_courses, CAST(sum(n) AS BIGINT) AS n_scores FROM ({_profile()}) p",
+        "read_features": f"""SELECT cno, round(avg, 6) AS avg, round(pass, 6) AS pass, round(good, 6) AS good,
+            round(great, 6) AS great FROM ({_profile()}) p""",
+        "kmeans_centres": f"""SELECT CAST(unnest(range({KMEANS_K})) AS INTEGER) AS label, TRUE AS avg, TRUE AS pass,
+            TRUE AS good, TRUE AS great""",
+        "anonymised_sheet": _anonymised_sheet(),
         "kmeans_check": f"SELECT cno, TRUE AS is_nearest, TRUE AS in_range FROM ({_profile()}) p",
     }

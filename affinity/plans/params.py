@@ -30,3 +30,4 @@ KMAX_MICRO = 3
 KMEANS_K = 4
 KMEANS_ITER = 30
 SEED = 7
+TERM = "1999Q3"  # one term of the driver data

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PREDICTION_COLS = ["sno", "cno", "pre_score"]
-RULE_COLS = ["antecedent1", "antecedent2", "antecedent3", "antecedent4", "consequent", "confidence"]
-ITEMSET_COLS = ["item1", "item2", "item3", "item4"]
+RULE_COLS = ["antecedent1", "antecedent2", "antecedent3", "antecedent4", "consequent", "confidence", "antecedent"]
+ITEMSET_COLS = ["item1", "item2", "item3", "item4", "items", "freq"]
 LABEL_COLS = ["cno", "label"]
+_OPTIONAL = {"antecedent", "items", "freq"}  # written whenever the input has them
 
 
 def _write(df: DataFrame, cols: list[str], path: str | None, table: str | None, jdbc_url: str | None,
            properties: dict | None, mode: str, fmt: str, batch_size: int) -> None:
-    out = df.select(*cols)
+    out = df.select(*[c for c in cols if c in df.columns or c not in _OPTIONAL])
     if jdbc_url is not None:
         props = dict(properties or {})
         props.setdefault("batchsize", str(batch_size))
@@ -37,13 +38,13 @@ def write_predictions(df: DataFrame, path: str | None = None, *, table: str | No
 
 
 def write_rules(df: DataFrame, path: str | None = None, **kw) -> None:
-    """Wide rules ``(antecedent1..4, consequent, confidence)``."""
+    """Wide rules ``(antecedent1..4, consequent, confidence, antecedent)``: the four slots and the whole set."""
     _write(df, RULE_COLS, path, kw.pop("table", None), kw.pop("jdbc_url", None), kw.pop("properties", None),
            kw.pop("mode", "append"), kw.pop("fmt", "parquet"), kw.pop("batch_size", 10_000))
 
 
 def write_itemsets(df: DataFrame, path: str | None = None, **kw) -> None:
-    """Wide itemsets ``(item1..item4)``."""
+    """Wide itemsets ``(item1..item4, items, freq)``: the four slots, the whole set and its support."""
     _write(df, ITEMSET_COLS, path, kw.pop("table", None), kw.pop("jdbc_url", None), kw.pop("properties", None),
            kw.pop("mode", "append"), kw.pop("fmt", "parquet"), kw.pop("batch_size", 10_000))
 

@@ -2,6 +2,8 @@
 
 from affinity.sources.readers import (
     SCORE_SCHEMA,
+    key_bounds,
+    key_predicates,
     read_baskets,
     read_features,
     read_pairs,
@@ -9,7 +11,7 @@ from affinity.sources.readers import (
     read_scores,
     read_wide_scores,
 )
-from affinity.sources.tables import load_table, scores_view
+from affinity.sources.tables import item_scores, load_table, scores_view
 
 __all__ = [
     "SCORE_SCHEMA",
@@ -19,6 +21,9 @@ __all__ = [
     "read_ratings",
     "read_wide_scores",
     "read_baskets",
+    "key_predicates",
+    "key_bounds",
     "load_table",
+    "item_scores",
     "scores_view",
 ]

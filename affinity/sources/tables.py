@@ -60,6 +60,13 @@ def scores_view(spark: SparkSession, sf_dir: str, item: str = "brand", score_lt:
     )
 
 
+def item_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(cno, score)`` of every line item, by part: what per-item statistics over all cohorts need,
+    without the orders."""
+    li = load_table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity")
+    return li.select(F.col("l_partkey").cast("string").alias("cno"), (F.lit(50.0) + F.col("l_quantity")).alias("score"))
+
+
 def _year_range(year: str):
     y = int(year)
     lo = F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz")

@@ -103,3 +103,61 @@ def test_rules_and_itemsets_jobs(spark, grades):
     got = {tuple(r["items"]): r.freq for r in jobs.itemsets_job(pairs, 0.5).collect()}
     assert got[("a", "b")] == 2.0
     assert jobs.itemsets_job(pairs, 0.5, wide=True).columns == ["item1", "item2", "item3", "item4", "items"]
+
+
+def test_infrequent_items_leave_before_baskets_are_built(spark):
+    """Emptied baskets count in the threshold; the longest basket shrinks to the frequent items."""
+    rows = [(f"b{i}", "common") for i in range(6)] + [("b0", f"rare{j}") for j in range(200)] + [("b7", "rare1"), ("b8", "rare2"), ("b9", None)]
+    pairs = spark.createDataFrame(rows + rows[:3], "sno string, cno string")
+    whole = {r.sno: len(r["items"]) for r in baskets.to_baskets(pairs).collect()}
+    pruned = {r.sno: r["items"] for r in baskets.to_baskets(pairs, min_support=0.5).collect()}
+    assert max(whole.values()) == 201 and max(map(len, pruned.values())) == 1
+    assert pruned.keys() == whole.keys() and pruned["b7"] == []
+    fi, _, mined = jobs.mine_rules(pairs, 0.5, 0.5)
+    assert mined.n == 9  # b0..b5, b7, b8, b9
+    assert [(r["items"], r.freq) for r in fi.collect()] == [(["common"], 6)]
+    assert jobs.mine_rules(pairs, 0.7, 0.5)[0].collect() == []
+
+
+def test_rules_equal_the_library(spark):
+    """Rules joined from the written itemsets are those of FP-Growth itself."""
+    import random
+
+    from pyspark.ml.fpm import FPGrowth
+
+    rnd = random.Random(8)
+    rows = sorted({(f"b{i}", f"i{min(9, int(rnd.expovariate(0.35)))}") for i in range(60) for _ in range(6)})
+    pairs = spark.createDataFrame(rows, "sno string, cno string")
+    _, rules, mined = jobs.mine_rules(pairs, 0.1, 0.4)
+    model = FPGrowth(itemsCol="items", minSupport=0.1, minConfidence=0.4).fit(baskets.to_baskets(pairs))
+    want = {(tuple(sorted(r.antecedent)), r.consequent[0]): (r.confidence, r.lift, r.support) for r in model.associationRules.collect()}
+    got = {(tuple(r.antecedent), r.consequent): (r.confidence, r.lift, r.support) for r in rules.collect()}
+    assert len(want) > 20 and got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v)
+    assert baskets.frequent_itemsets(mined, size=2).where("size <> 2").count() == 0
+    assert {r.size: r.n_rules for r in baskets.rule_summary(rules).collect()} == {
+        n: sum(len(a) == n for a, _ in want) for n in {len(a) for a, _ in want}}
+
+
+def test_rules_meet_baskets_by_their_rarest_item(spark):
+    """Same suggestions from far fewer rows than one per basket item and rule."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(2)
+    rows = sorted({(f"b{i}", "all") for i in range(80)} | {(f"b{i}", f"i{rnd.randint(0, 11)}") for i in range(80) for _ in range(4)})
+    pairs = spark.createDataFrame(rows, "sno string, cno string")
+    names = ["all", *[f"i{j}" for j in range(12)], "nobody"]
+    rules = [(sorted(rnd.sample(names, rnd.randint(1, 3))), rnd.choice(names)) for _ in range(60)]
+    rules = [(a, c) for a, c in rules if c not in a]
+    df = spark.createDataFrame(rules, "antecedent array<string>, consequent string")
+    held = {}
+    for b, i in rows:
+        held.setdefault(b, set()).add(i)
+    want = {(b, c) for b, h in held.items() for a, c in rules if set(a) <= h and c not in h}
+    assert {tuple(r) for r in baskets.recommend_from_rules(df, pairs).collect()} == want
+    met = baskets.rule_candidates(df, pairs).count()
+    every = pairs.join(df.select(F.explode("antecedent").alias("cno")), "cno").count()
+    assert met < every / 2

@@ -104,6 +104,8 @@ def test_format_sheet(spark):
     wide = spark.createDataFrame([("1", 53.0, 71.5)], "id string, m1 double, `m#2` double")
     line = anonymize.format_sheet(wide, ["m1", "m#2"]).first().value
     assert line == "53.000\t71.500\t"
+    gap = spark.createDataFrame([("2", None, 60.0)], wide.schema)
+    assert anonymize.format_sheet(gap, ["m1", "m#2"]).first().value == "\t60.000\t"
 
 
 def test_empty_training_gives_null_clusters(spark):

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from affinity.session import scratch_path
 from affinity.sinks import write_files, write_predictions
 from affinity.sources import (
@@ -76,3 +78,59 @@ def test_features_keep_every_column_and_line(spark):
     assert read_features(spark, f"{base}/p").columns == ["cno", *[f"f{i}" for i in range(6)]]
     spark.createDataFrame([("ID\tA\tB",), ("1.0\t 2.0\t3.0\t4.0\t5.0",)], "value string").write.text(f"{base}/t")
     assert [tuple(r) for r in read_features(spark, f"{base}/t", fmt="text").collect()] == [(1.0, 2.0, 3.0, 4.0, 5.0)]
+
+
+def test_key_predicates_cover_every_row_once(spark):
+    """Run by a database: ranges and hash parts are disjoint and cover all keys, NULL included."""
+    import duckdb
+
+    from affinity.sources import key_bounds, key_predicates
+
+    keys = [None, "", "a", "b'c", "math 1", "数学", "z", "O''x", "m", "m", "~"] + [f"k{i}" for i in range(50)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INT, k VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(keys)))
+    cases = [key_predicates("k", bounds) for bounds in ([], ["b'c"], ["", "k3", "m", "数"])]
+    cases += [key_predicates("k", parts=n, hash_expr="CAST(hash({key}) % 1000000 AS INT)") for n in (1, 7)]
+    for predicates in cases:
+        parts = [[r[0] for r in con.execute(f"SELECT i FROM t WHERE {p}").fetchall()] for p in predicates]
+        assert sorted(i for p in parts for i in p) == list(range(len(keys)))
+    # the same texts by Spark's own crc32
+    spark.createDataFrame(list(enumerate(keys)), "i int, k string").createOrReplaceTempView("keyed")
+    rows = [r.i for p in key_predicates("k", parts=5) for r in spark.sql(f"SELECT i FROM keyed WHERE {p}").collect()]
+    assert sorted(rows) == list(range(len(keys)))
+    bounds = key_bounds(spark.table("keyed"), "k", 4)
+    assert len(bounds) == 3 and bounds == sorted(bounds)
+    sizes = [spark.sql(f"SELECT i FROM keyed WHERE {p}").count() for p in key_predicates("k", bounds)]
+    assert sum(sizes) == len(keys) and max(sizes) <= 2 * len(keys) / 4
+    assert key_bounds(spark.table("keyed").where("false"), "k", 4) == []
+
+
+def test_key_predicates_refuse_nonsense():
+    from affinity.sources import key_predicates
+
+    for wrong in ({}, {"bounds": ["a"], "parts": 2}, {"parts": 0}, {"bounds": ["b", "a"]}):
+        with pytest.raises(ValueError):
+            key_predicates("k", **wrong)
+
+
+def test_feature_text_with_key(spark):
+    path = scratch_path(spark, "features")
+    lines = ["cno\tavg\tpass", "  m1 \t 70.5\t\t0.5 ", "m2\t1\tx", "\t\t", "m3\t2\t3"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    got = {tuple(r) for r in read_features(spark, path, features=["avg", "pass"], fmt="text", keyed=True).collect()}
+    assert got == {("m1", 70.5, 0.5), ("m3", 2.0, 3.0)}
+
+
+def test_long_itemsets_survive_the_sink(spark):
+    from affinity.operators import baskets
+    from affinity.sinks import write_itemsets, write_rules
+
+    sets = spark.createDataFrame([(list("abcde"), 2), (list("abcdf"), 3)], "items array<string>, freq long")
+    path = scratch_path(spark, "sets")
+    write_itemsets(baskets.itemsets_wide(sets), path)
+    assert {(r["items"], r.freq) for r in spark.read.parquet(path).collect()} == {("a,b,c,d,e", 2), ("a,b,c,d,f", 3)}
+    rules = spark.createDataFrame([(list("abcde"), "z", 0.5), (list("abcdf"), "z", 0.5)], "antecedent array<string>, consequent string, confidence double")
+    path = scratch_path(spark, "rules")
+    write_rules(baskets.rules_wide(rules), path)
+    assert {r["antecedent"] for r in spark.read.parquet(path).collect()} == {"a,b,c,d,e", "a,b,c,d,f"}

@@ -112,3 +112,31 @@ def test_heavy_user_paths_agree(spark, monkeypatch):
     for k, v in plain.items():
         assert broadcast_heavy[k] == pytest.approx(v, rel=1e-12)
         assert shuffled_heavy[k] == pytest.approx(v, rel=1e-12)
+
+
+def test_blocks_follow_the_degree(spark):
+    """One user of 100 times heavy_items: equal results, and no task cell grows with the degree."""
+    from pyspark.sql import functions as F
+
+    heavy = 20
+    rows = [("hot", f"i{j}", float(1 + j % 5)) for j in range(100 * heavy)] + [(f"u{k}", f"i{k % 50}", 2.0) for k in range(200)]
+    df = spark.createDataFrame(rows, "sno string, cno string, weight double")
+    a = df.select("sno", F.col("cno").alias("item"), F.col("weight").alias("v"), F.lit(1.0).alias("n"))
+    x, y, keys = similarity.pair_sides(a, "sno", heavy)
+    assert keys == ["sno", "_bx", "_by"]
+    cells = x.groupBy(*keys).count().join(y.groupBy(*keys).agg(F.count("*").alias("c2")), keys).select((F.col("count") * F.col("c2")).alias("p"))
+    largest, total = cells.agg(F.max("p"), F.sum("p")).first()
+    assert largest <= 5 * heavy * heavy and total >= (100 * heavy) ** 2
+    # half the pairs as sums: the aggregate of blocked and plain joins agrees
+    def totals(**kw):
+        return similarity.cosine(df, **kw).agg(F.count("*"), F.round(F.sum("sim"), 3)).first()
+
+    assert totals(heavy_items=heavy) == totals(blocks=1)
+
+
+def test_the_pair_table_is_not_joined(spark, grades):
+    """Norms travel with the pairs: the only join is the self-join of the rows."""
+    w = prep.with_deficit(prep.train_scores(grades, HOLDOUT), 70.0)
+    plan = similarity.cosine(w)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Aggregate")]
+    assert "Join" not in above
