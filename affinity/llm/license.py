@@ -11,8 +11,12 @@ confirmed when enough word pairs of one of the family's notices stand in the
 paragraph; licence-like paragraphs that are not confirmed, or whose probability is below the
 level that no held-out ordinary paragraph reaches, are of the class ``unknown``.
 
-Every paragraph of every whole text is judged: one without any word of a notice has no
-feature, so its class is ``none`` by the intercepts alone.
+Every paragraph of every whole text is judged, most of them by two exact shortcuts. The
+words of a notice are split in weak and strong ones: even a paragraph with all weak words and
+every n-gram of them could not leave the class ``none``, by the sum of the weights that speak
+for each family. And a text that has CONFIRM of a notice's word pairs must have one of its
+telling pairs, since fewer than that share of the pairs are left out of them. Texts
+without a strong word and without a word of a telling pair have no notice.
 
 Defined results: NULL, empty and blank texts have no notices; repeated rows each
 give theirs; equal notices in one text are rows of their own; an empty table
@@ -21,6 +25,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -62,8 +67,8 @@ NOTICES: dict[str, list[str]] = {
 NEGATIVE_DOCS = 400
 CONFIRM = 0.6
 LONGEST = 2 * max(len(re.findall(r"[a-z0-9]+", t.lower())) for texts in NOTICES.values() for t in texts)
-# words too plain to look for: no notice has CONFIRM of its word pairs from these alone
-PLAIN = frozenset("a all and any be following for from free in is it may not of or other person that the this to under use with without you".split())
+# common words, which say little about a notice; only the choice of what to look for first depends on them
+PLAIN = frozenset("a all an and any are as at be by following for from free has have in is it its may no not of on or other person that the this to under use was with without you".split())
 NONE = "none"
 
 
@@ -75,6 +80,48 @@ def _grams(words: list[str], sizes: tuple[int, ...] = (1, 2, 3)) -> list[str]:
     return sorted({" ".join(words[i:i + n]) for n in sizes for i in range(len(words) - n + 1)})
 
 
+def _plain(word: str) -> bool:
+    return word in PLAIN
+
+
+def telling_pairs() -> list[str]:
+    """Of each notice the word pairs without its plainest ones, of which fewer are left out
+    than CONFIRM asks for: whatever is confirmed has one of the others."""
+    out = set()
+    for texts in NOTICES.values():
+        for text in texts:
+            pairs = sorted(_grams(_words(text), (2,)), key=lambda p: (-sum(map(_plain, p.split())), len(p), p))
+            out.update(pairs[math.ceil(CONFIRM * len(pairs) - 1e-9) - 1:])
+    return sorted(out)
+
+
+def telling_words() -> list[str]:
+    """Of each telling pair the less plain word."""
+    return sorted({min(p.split(), key=lambda w: (_plain(w), -len(w), w)) for p in telling_pairs()})
+
+
+def strong_words(m: Model) -> list[str]:
+    """Words of the features without a weak set: with all weak words and all n-grams of them
+    a paragraph's probability of ``none`` stays above one half."""
+    for_family = [[max(0.0, x - none) for x, none in zip(row, m.weights[0])] for row in m.weights[1:]]
+    by_word: dict[str, list[float]] = {}
+    for i, feature in enumerate(m.features):
+        # an n-gram's weights stand with its least plain word: without it there is no such n-gram
+        word = min(feature.split(), key=lambda w: (_plain(w), -len(w), w))
+        own = by_word.setdefault(word, [0.0] * len(for_family))
+        for c, gain in enumerate(for_family):
+            own[c] += gain[i]
+    margins = [b - m.intercepts[0] for b in m.intercepts[1:]]
+    strong = []
+    for word, gains in sorted(by_word.items(), key=lambda x: (not _plain(x[0]), max(x[1], default=0.0), x[0])):
+        more = [a + b for a, b in zip(margins, gains)]
+        if sum(math.exp(min(x, 50.0)) for x in more) < 0.99:
+            margins = more
+        else:
+            strong.append(word)
+    return sorted(strong)
+
+
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
 
@@ -181,9 +228,7 @@ def _probabilities(rows: DataFrame) -> DataFrame:
 
 def _wrapped(rows: DataFrame, m: Model) -> DataFrame:
     """Notices that only stand in several lines together: rows for each of their lines but the last."""
-    # at CONFIRM a window has a pair that isn't of plain words
-    telling = sorted({p for t in _templates() for p in t if not set(p.split()) <= PLAIN})
-    rows = rows.filter(F.size("tail") > 0).filter(F.arrays_overlap(grams(F.concat("w", "tail"), (2,)), F.array(*map(F.lit, telling))))
+    rows = rows.filter(F.size("tail") > 0).filter(F.arrays_overlap(grams(F.concat("w", "tail"), (2,)), F.array(*map(F.lit, telling_pairs()))))
     rows = stored(rows.drop("m"), "license-near").withColumn("pairs", grams(F.concat("w", "tail"), (2,)))
     both = F.array(*[_likeness(F.col("pairs"), c) for c in m.classes[1:]])
     rows = stored(rows.withColumn("both", both).filter(F.array_max("both") >= CONFIRM).drop("pairs"), "license-windows")
@@ -205,10 +250,13 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     (or ``unknown``), probability, similarity, n_words (of a wrapped notice: its first
     line's and those after it that were compared)."""
     m = model or fit(docs)
-    singles = [F.lit(g) for g in m.features if " " not in g]
-    anchors = F.array(*[F.lit(g) for g in m.features if " " not in g and g not in PLAIN])
+    strong, telling = strong_words(m), telling_words()
+    anchors = F.array(*map(F.lit, telling))
+    # a text without these words has no notice
+    near = docs.filter(F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, sorted({*strong, *telling})))))
     tail = F.when((F.size("w") > 0) & (F.arrays_overlap("w", anchors) | F.arrays_overlap("tail", anchors)), F.col("tail"))
-    rows = paragraphs(docs).withColumn("tail", tail).filter(F.arrays_overlap("w", F.array(*singles)) | (F.size("tail") > 0))
+    rows = paragraphs(near).withColumn("tail", tail).filter(
+        F.arrays_overlap("w", F.array(*map(F.lit, strong)).cast("array<string>")) | (F.size("tail") > 0))
     at, margins = _margins(F.col("w"), m)
     # written: the filter below would otherwise repeat the n-grams for every margin
     stored_rows = stored(rows.withColumn("at", at).select("row", "doc_id", "paragraph", "w", "tail", margins.alias("m")), "license-margins")
