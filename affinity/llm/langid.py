@@ -79,11 +79,13 @@ class Model:
 
 def training_texts(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
     """(lang, text) of the bounded sample: within a language, rows in hash order as
-    long as the bytes before them and their own fit (texts over an eighth of
-    ``train_bytes`` are not sampled). Only the share of the hash range that can
-    hold the sample is sorted."""
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
-                       & (F.octet_length("text") <= train_bytes // 8))
+    long as the bytes before them and their own fit (of texts over an eighth of
+    ``train_bytes`` a part of at most that size is in the sample, at a place drawn by the
+    hash). Only the share of the hash range that can hold the sample is sorted."""
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    part = train_bytes // 32  # characters, of four bytes at most
+    place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - part + 1, F.lit(1))).cast("int") + 1
+    rows = rows.withColumn("text", F.when(F.octet_length("text") > train_bytes // 8, F.substring("text", place, F.lit(part))).otherwise(F.col("text")))
     rows = rows.select("lang", "text", F.octet_length("text").cast("bigint").alias("n"), F.xxhash64("doc_id").alias("h"))
     per_lang = rows.groupBy("lang").agg(F.sum("n").alias("total"))
     # the share of the hash range that holds the bytes, a fifth more
