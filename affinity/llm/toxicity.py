@@ -52,8 +52,9 @@ from .lm import pack, unpack
 MAX_EXAMPLES = 10_000
 CHANCE_TERMS = 0.5  # expected number of terms taken for markers by chance
 MARKED = 3.0  # by leave-one-out on the examples
-FREQUENT = 16  # a term that one in so many examples holds has a dense row
+FREQUENT = 24  # a term that one in so many examples holds has a dense row
 SLAB = 256
+QUERIES = 128  # searched together
 EXAMPLES_AT_ONCE = 2048
 NEIGHBOURS = 15
 BLOCK = 64
@@ -63,7 +64,7 @@ COUNTS = (2, 4, 8)
 SHARES = (8, 7, 6, 5, 4)
 LONG = 32
 CACHE_VECTORS = 1 << 15
-CLUSTERS = 24  # of examples, for blocks of alike ones
+CLUSTERS, CLUSTER_TERMS = 24, 256  # of examples by their commonest terms, for blocks of alike ones
 FIRST_BLOCKS = 4  # read before the others are bounded by their k-th cosine
 SLACK = 1e-5  # single precision sums of unit vectors are this close
 
@@ -229,34 +230,45 @@ def build(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) ->
         return index
     sizes = np.array([len(t) for _, _, t, _ in rows])
     terms = np.concatenate([np.asarray(t, np.int32) for _, _, t, _ in rows])
-    weight = np.concatenate([index.unit(np.asarray(t, np.int64), np.asarray(tf, float)).astype(np.float32) for _, _, t, tf in rows])
+    weight = np.empty(len(terms), np.float32)
+    at = np.cumsum(sizes)
+    for (_, _, t, tf), end in zip(rows, at.tolist(), strict=True):
+        weight[end - len(t):end] = index.unit(np.asarray(t, np.int64), np.asarray(tf, float))
+    del rows
     df = np.bincount(terms, minlength=n_terms)
-    frequent = np.flatnonzero(df * FREQUENT >= len(rows))
+    frequent = np.flatnonzero(df * FREQUENT >= len(ids))
     frequent = frequent[df[frequent] >= BLOCK]
     index.dense[frequent] = np.arange(len(frequent))
-    place = np.arange(len(rows), dtype=np.int32)
+    place = np.arange(len(ids), dtype=np.int32)
     if len(frequent):
-        own = np.repeat(place, sizes)
-        often = index.dense[terms] >= 0
-        x = np.zeros((n, len(frequent)), np.float32)
-        x[own[often], index.dense[terms[often]]] = weight[often]
-        by = np.lexsort((ids, _alike(x[:len(rows)])))
-        place[by] = np.arange(len(rows))
+        often = np.flatnonzero(index.dense[terms] >= 0)
+        row, column = np.searchsorted(at, often, "right"), index.dense[terms[often]]
+        widest = np.argsort(-df[frequent], kind="stable")[:CLUSTER_TERMS]
+        x = np.zeros((len(ids), len(frequent)), np.float32)
+        x[row, column] = weight[often]
+        by = np.lexsort((ids, _alike(x[:, widest])))
+        del x
+        place[by] = np.arange(len(ids))
         index.ids, index.toxic = ids[by], toxic[by]
-        x[:len(rows)] = x[by]
-        index.blocks = np.ascontiguousarray(x.reshape(-1, BLOCK, len(frequent)).transpose(0, 2, 1))
+        index.blocks = np.zeros((n // BLOCK, len(frequent), BLOCK), np.float32)
+        index.blocks[place[row] // BLOCK, column, place[row] % BLOCK] = weight[often]
         index.most = np.ascontiguousarray(index.blocks.max(axis=2).T)
-    order = np.argsort(terms, kind="stable")
+        del often, row, column
+    # postings of the other terms
+    kept = np.flatnonzero(index.dense[terms] < 0)
+    order = kept[np.argsort(terms[kept], kind="stable")]
+    del kept
+    df[frequent] = 0
     index.weights.starts[1:] = np.cumsum(df)
-    index.weights.who, index.weights.weight = np.repeat(place, sizes)[order], weight[order]
+    index.weights.who, index.weights.weight = place[np.searchsorted(at, order, "right")], weight[order]
     return index
 
 
 def votes_of(index: Index, queries: list[tuple]) -> list[tuple[float, int | None, float | None]]:
     """Vote of the nearest examples of each query, and doc_id and cosine of the nearest."""
     out = []
-    for at in range(0, len(queries), SLAB):
-        for near in index.nearest(queries[at:at + SLAB], NEIGHBOURS):
+    for at in range(0, len(queries), QUERIES):
+        for near in index.nearest(queries[at:at + QUERIES], NEIGHBOURS):
             total = sum(c for c, _ in near)
             vote = sum(c * int(index.toxic[i]) for c, i in near) / total if near else 0.0
             out.append((vote, int(index.ids[near[0][1]]) if near else None, near[0][0] if near else None))
