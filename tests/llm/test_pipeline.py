@@ -5,6 +5,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -46,3 +47,18 @@ def test_stages(spark, smoke):
 
 def test_run_gives_the_last_stage(spark):
     assert P.run(spark, SMOKE).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_stages_on_awkward_and_empty_tables(spark, weird, nothing):
+    """Every stage over what its predecessor kept: NULLs, repeats, columns of any name, no rows."""
+    clashing = weird
+    for name in ("__gone", "__d", "__keep", "n", "share"):
+        clashing = clashing.withColumn(name, F.lit("x"))
+    for docs in (clashing, nothing):
+        first = docs
+        for name, stage in P.STAGES:
+            docs = stored(stage(spark, docs, SMOKE), "stage")
+            if name != P.STAGES[-1][0]:
+                assert docs.columns == first.columns
+        assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert docs.collect() == []
