@@ -9,16 +9,17 @@ query takes buckets in order of their projected distance and verifies all points
 in them on the original vectors, until chance says that it may stop: with d the k-th
 distance so far and r the next bucket's projected distance, it stops when
 P(chi-square <= r^2 / d^2) >= ``CONFIDENCE``. So a true neighbour is
-missed with probability 1 - CONFIDENCE at most. A query searches its own leaf first;
-the distance found there decides by the same test which other leaves it visits.
+missed with probability 1 - CONFIDENCE at most. A query searches its own leaf first, then
+the others by projected distance in rounds of 1, 2, 4, ... leaves; after each round its k-th
+distance so far decides by the same test whether it goes on.
 
 Equal vectors form one point that carries its smallest ids, as many as an answer can
 use, so a hot vector is one point however often it occurs.
 
 Defined results: NULL, empty and zero vectors, vectors holding NULL, NaN or infinite
 components, of another length than most, or with a NULL vec_id take no part; queries without other points have
-no rows; ties go to the smaller vec_id; rows repeating a vec_id with equal vectors count once; an
-empty table gives no rows; other columns are ignored.
+no rows; ties go to the smaller vec_id; of rows repeating a vec_id the smallest vector (by its
+components in order) counts, once; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -156,10 +157,15 @@ def usable(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.coalesce(fine, F.lit(False)) & F.exists("v", lambda x: x != 0))
 
 
+def _one_each(rows: DataFrame) -> DataFrame:
+    """(vec_id, v) with every vec_id once."""
+    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+
+
 def _points(rows: DataFrame, k: int, salts: int = 64) -> DataFrame:
     """(ids, v): distinct vectors with their k + 1 smallest ids; hot vectors are cut per salt first."""
     point = F.xxhash64("v")
-    cut = rows.dropDuplicates(["vec_id", "v"])
+    cut = rows
     for part in ([point, F.col("v"), F.pmod(F.col("vec_id"), F.lit(salts))], [point, F.col("v")]):
         w = Window.partitionBy(*part).orderBy("vec_id")
         cut = cut.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k + 1).drop("n")
@@ -182,8 +188,9 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     if common is None:
         return spark.createDataFrame([], schema)
     width = common["n"]
-    points = stored(_points(rows.filter(F.size("v") == width), k), "points")
-    asked = stored(queries.filter(F.size("v") == width).dropDuplicates(["vec_id"]), "ann-queries")
+    rows = stored(_one_each(rows.filter(F.size("v") == width)), "ann-rows")
+    points = stored(_points(rows, k), "points")
+    asked = stored(_one_each(queries.filter(F.size("v") == width)), "ann-queries")
     n = points.count()
     depth = max(0, math.ceil(math.log2(n / LEAF_POINTS)))
     sample = points.orderBy(F.xxhash64("v")).limit(SPLIT_SAMPLE).select("v").toArrow()
@@ -220,34 +227,50 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     def searched(asked: DataFrame) -> DataFrame:
         return asked.groupBy("leaf").cogroup(index.groupBy("leaf")).applyInPandas(search, found_schema)
 
-    first = stored(searched(unbounded), "ann-first")
-    known = first.groupBy("query_id").agg(F.count("*").alias("n"), F.max("away").alias("far"))
-    bounded = home.join(known, home["vec_id"] == known["query_id"], "left").select(
-        "leaf", "vec_id", "v", F.when(F.col("n") >= k, F.col("far")).otherwise(float("inf")).alias("bound"))
-
-    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = unit(_matrix(batch.column(2))) @ plane if batch.num_rows else np.zeros((0, DIMENSIONS))
-            at, leaves = [], []
-            for i, (own, bound) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                reach = box_distance(p[i], low, high)
-                open_ = reach <= 0 if bound <= 0 else np.ones(len(reach), bool) if bound == float("inf") else chi_square(reach / bound) < CONFIDENCE
-                open_[own] = False
-                found = np.flatnonzero(open_)
-                leaves.append(found)
-                at.append(np.full(len(found), i))
-            at = np.concatenate(at) if at else np.zeros(0, np.int64)
-            part = batch.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(leaves) if leaves else np.zeros(0, np.int64)), *part.columns[1:]], names=["leaf", "vec_id", "v", "bound"])
-
-    others = searched(bounded.mapInArrow(visits, "leaf bigint, vec_id bigint, v array<double>, bound double"))
     best = Window.partitionBy("query_id").orderBy("away", "vec_id")
-    near = first.union(others).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= 2 * k)
+
+    def nearer(found: DataFrame) -> DataFrame:
+        return stored(found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= 2 * k).drop("rank"), "ann-found")
+
+    def visits(taken: int, step: int):
+        """The next ``step`` leaves of each query by projected distance that its bound leaves open."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                p = unit(_matrix(batch.column(2))) @ plane if batch.num_rows else np.zeros((0, DIMENSIONS))
+                at, leaves = [], []
+                for i, (own, bound) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                    reach = box_distance(p[i], low, high)
+                    reach[own] = np.inf  # searched first
+                    next_ = np.argsort(reach, kind="stable")[:-1][taken:taken + step]
+                    reach = reach[next_]
+                    open_ = reach <= 0 if bound <= 0 else np.ones(len(reach), bool) if bound == float("inf") else chi_square(reach / bound) < CONFIDENCE
+                    leaves.append(next_[open_])
+                    at.append(np.full(len(leaves[-1]), i))
+                at = np.concatenate(at) if at else np.zeros(0, np.int64)
+                part = batch.take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(leaves) if leaves else np.zeros(0, np.int64), pa.int64()), *part.columns[1:]],
+                    names=["leaf", "vec_id", "v", "bound"])
+
+        return run
+
+    found = nearer(searched(unbounded))
+    taken, step = 0, 1
+    while taken < len(low) - 1:
+        far = F.when(F.count("*") >= k, F.get(F.sort_array(F.collect_list("away")), k - 1)).otherwise(float("inf"))  # 2 k rows a query
+        known = found.groupBy("query_id").agg(far.alias("far"))
+        bounded = home.join(known, home["vec_id"] == known["query_id"], "left").select(
+            "leaf", "vec_id", "v", F.coalesce("far", F.lit(float("inf"))).alias("bound"))
+        asking = stored(bounded.mapInArrow(visits(taken, step), "leaf bigint, vec_id bigint, v array<double>, bound double"), "ann-visits")
+        if asking.isEmpty():
+            break  # leaves come by distance: where one is closed the later ones are
+        found = nearer(found.unionByName(searched(asking)))
+        taken, step = taken + step, 2 * step
+    near = found
     # exact cosines of the few that are left, on the original vectors
-    originals = rows.filter(F.size("v") == width).dropDuplicates(["vec_id"])
     pairs = near.join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("a")), "query_id").join(
-        originals.select("vec_id", F.col("v").alias("b")), "vec_id")
+        rows.select("vec_id", F.col("v").alias("b")), "vec_id")
 
     def dot(x, y):
         return F.aggregate(F.zip_with(x, y, lambda s, t: s * t), F.lit(0.0), lambda acc, z: acc + z)

@@ -299,6 +299,20 @@ def test_neighbours_awkward(spark):
     assert ann.nearest(table.filter("false"), asked).count() == 0
 
 
+def test_repeated_ids_have_one_vector_in_any_order(spark):
+    """Of the vectors of one id the smallest counts, whatever order rows come in; extra columns do not matter."""
+    rows = [(0, [1.0, 0.1]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.2]), (2, [1.0, 0.3]), (50, [0.0, 1.0]), (50, [1.0, 0.0])]
+    answers = []
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, "vec_id bigint, embedding array<double>").coalesce(1)
+        for name in ("v", "ids", "leaf", "query_id", "rank", "away", "bound"):
+            table = table.withColumn(name, F.lit("x"))
+        asked = ann.usable(table, "vec_id", "embedding").filter("vec_id % 50 = 0")
+        answers.append(sorted(tuple(r) for r in ann.nearest(table, asked, k=2).collect()))
+    assert answers[0] == answers[1]
+    assert [(r[0], r[1], r[2]) for r in answers[0]] == [(0, 1, 2), (0, 2, 1), (50, 1, 1), (50, 2, 2)]
+
+
 def test_chi_square_closed_form():
     x = np.random.default_rng(3).chisquare(ann.DIMENSIONS, 200_000)
     for q in (2.0, 7.3, 15.5):
