@@ -68,12 +68,12 @@ def pair_sides(a: DataFrame, user: str, heavy_items: int = HEAVY_ITEMS, blocks:
 
 
 def _normalised(a: DataFrame, user: str, blocks: int | None, heavy_items: int) -> DataFrame:
-    # ``a`` feeds the norms, both join sides and the degrees; write
-    # it once to the shared checkpoint folder so the source is computed once.
+    # ``a`` feeds the norms, and with them both join sides and the degrees; each form is
+    # written once to the shared checkpoint folder so nothing below it is computed twice.
     checkpoint_dir(a.sparkSession)
     a = a.checkpoint(eager=True)
     norms = a.groupBy("item").agg(F.sum(F.col("v") * F.col("v")).alias("n"))
-    x, y, keys = pair_sides(a.join(norms, "item"), user, heavy_items, blocks)
+    x, y, keys = pair_sides(a.join(norms, "item").checkpoint(eager=True), user, heavy_items, blocks)
     half = (x.join(y, keys).where(F.col("item1") < F.col("item2"))
             .groupBy("item1", "item2").agg(F.sum(F.col("v1") * F.col("v2")).alias("dot"), F.max("n1").alias("n1"), F.max("n2").alias("n2"))
             .select("item1", "item2", cosine_expr("dot", "n1", "n2").alias("sim"))
