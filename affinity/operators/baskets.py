@@ -1,13 +1,16 @@
 """Frequent itemsets, association rules and rule-based suggestions.
 
-Mining uses Spark ML's parallel FP-Growth (``pyspark.ml.fpm.FPGrowth``); the
-support threshold is ``ceil(min_support · baskets)`` and confidence is
+The support threshold is ``ceil(min_support · baskets)`` and confidence is
 ``>= min_confidence``. Baskets are item *sets*: duplicates are removed before
-fitting (FP-Growth rejects repeated items) and the arrays are sorted so every
+mining (which rejects repeated items) and the arrays are sorted so every
 report is deterministic. Items below the threshold leave the pairs before any
 basket is built, so a basket holds frequent items only; baskets that lose all
 their items stay, empty, and count in the threshold.
 
+Mining is exact in two passes over equal parts of the baskets, each part held as
+one bit per basket for every item (see :func:`mine`), so its work is a bit
+intersection per itemset and part and never a tree of all baskets.
+
 The mined itemsets are written once to the shared folder. Rules come from that
 table by joins: an itemset less one item is another mined itemset.
 """
@@ -17,7 +20,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import FPGrowth
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +29,8 @@ from affinity.functions import joined, slot
 from affinity.session import checkpoint_dir, scratch_path
 
 _SEP = "\u0001"
+PART_BASKETS = 1 << 16  # baskets of a part: 8 KB of bits an item
+PART_ITEMS = 1 << 22  # items of a part's baskets together
 
 
 @dataclass(frozen=True)
@@ -55,25 +61,114 @@ def to_baskets(pairs: DataFrame, basket: str = "sno", item: str = "cno", items:
     return marked.groupBy("_b").agg(F.array_sort(F.collect_list("_i")).alias(items)).withColumnRenamed("_b", basket)
 
 
+def _item_bits(part: pa.Table) -> pa.Table:
+    """``(_p, _n, item, bits)``: of one part's baskets, the bit set of those that hold each item."""
+    lists = part.column("_items").combine_chunks()
+    codes = lists.flatten().dictionary_encode(null_encoding="encode")
+    sizes = lists.value_lengths().to_numpy()
+    basket, code = np.repeat(np.arange(len(sizes)), sizes), codes.indices.to_numpy()
+    order = np.lexsort((basket, code))
+    basket, code = basket[order], code[order]
+    if ((np.diff(code) == 0) & (np.diff(basket) == 0)).any():
+        raise ValueError("items in a basket must be unique")
+    bits, row = [], np.zeros(-(-len(sizes) // 64) * 64, bool)
+    for held in np.split(basket, np.flatnonzero(np.diff(code)) + 1) if len(code) else []:
+        row[held] = True
+        bits.append(np.packbits(row).tobytes())
+        row[held] = False
+    return pa.table({"_p": pa.array([part.column("_p")[0].as_py()] * len(bits), pa.int64()),
+                     "_n": pa.array([len(sizes)] * len(bits), pa.int64()),
+                     "item": codes.dictionary, "bits": pa.array(bits, pa.binary())})
+
+
+def _bit_rows(part: pa.Table) -> np.ndarray:
+    """The bit sets as rows of 64-bit words."""
+    return np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint64).reshape(len(part), -1)
+
+
+def _part_itemsets(part: pa.Table, least: int, n: int) -> pa.Table:
+    """``(items, freq, _p, _least)``: the itemsets that hold in the part's share of ``least``
+    of ``n`` baskets, by depth-first intersection of the items' bit sets."""
+    share = max(1, -(-least * part.column("_n")[0].as_py() // n))
+    codes, freq = [], []
+
+    def grow(prefix: list[int], items: np.ndarray, rows: np.ndarray) -> None:
+        held = np.bitwise_count(rows).sum(axis=1, dtype=np.int64)
+        kept = np.flatnonzero(held >= share)
+        items, rows = items[kept], rows[kept]
+        for i, (item, count) in enumerate(zip(items.tolist(), held[kept].tolist(), strict=True)):
+            codes.append([*prefix, item])
+            freq.append(count)
+            if i + 1 < len(items):
+                grow(codes[-1], items[i + 1:], rows[i + 1:] & rows[i])
+
+    grow([], np.arange(len(part)), _bit_rows(part))
+    ends = np.cumsum([0, *map(len, codes)])
+    flat = pa.array([c for items in codes for c in items], pa.int64())
+    items = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), part.column("item").combine_chunks().take(flat))
+    return pa.table({"items": items, "freq": pa.array(freq, pa.int64()),
+                     "_p": pa.array([part.column("_p")[0].as_py()] * len(freq), pa.int64()),
+                     "_least": pa.array([share] * len(freq), pa.int64())})
+
+
+def _counted(part: pa.Table, wanted: pa.Table) -> pa.Table:
+    """``(items, freq)``: in how many of the part's baskets each wanted itemset lies."""
+    sets = wanted.column("items").combine_chunks()
+    freq = np.zeros(len(sets), np.int64)
+    if len(part):
+        at = {item: i for i, item in enumerate(part.column("item").to_pylist())}
+        rows = _bit_rows(part)
+        for k, items in enumerate(sets.to_pylist()):
+            if all(i in at for i in items):
+                freq[k] = np.bitwise_count(np.bitwise_and.reduce(rows[[at[i] for i in items]], axis=0)).sum(dtype=np.int64)
+    return pa.table({"items": sets, "freq": pa.array(freq)})
+
+
 def mine(baskets: DataFrame, min_support: float, min_confidence: float = 0.0, items: str = "items",
          num_partitions: int | None = None) -> Mined:
-    """Fit FP-Growth and write its itemsets.
-
-    The baskets are checkpointed first: the fit reads them more than once, and the
-    source must not run as often. ``num_partitions`` (FP-tree groups) defaults to
-    the input's partitions, which AQE sizes from the data volume; more groups
-    duplicate conditional transactions, which on dense baskets costs more than it
-    parallelises.
+    """Mine the frequent itemsets and write them.
+
+    The baskets are checkpointed first, since they are read more than once and the
+    source must not run as often, and dealt evenly to parts of about
+    ``PART_BASKETS`` baskets or ``PART_ITEMS`` items (or ``num_partitions`` parts). An itemset in ``least`` of all
+    baskets is in the part's share of them in at least one part, so the parts' own
+    frequent itemsets are all candidates. Those that can still reach ``least``, were
+    every part that did not report them one short of its share, are counted in these parts.
     """
     spark = baskets.sparkSession
     checkpoint_dir(spark)
-    data = baskets.select(items).checkpoint(eager=True)
-    fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
-    path = scratch_path(spark, "itemsets")
-    fp.fit(data).freqItemsets.select(F.array_sort("items").alias("items"), "freq").write.parquet(path)
-    return Mined(spark.read.parquet(path), data.count(), min_confidence)
+    data = baskets.select(F.col(items).alias("_items")).checkpoint(eager=True)
+    whole = data.where(F.col("_items").isNotNull())
+    n_all, n, n_items = data.agg(F.count(F.lit(1)), F.count("_items"), F.coalesce(F.sum(F.array_size("_items").cast("long")), F.lit(0))).first()
+    least = math.ceil(min_support * n)
+    n_parts = min(max(n, 1), num_partitions or max(1, round(n / PART_BASKETS), round(n_items / PART_ITEMS)))
+    array_type = data.schema["_items"].dataType.simpleString()
+    item_type = data.schema["_items"].dataType.elementType.simpleString()
+    dealt = whole.select(F.pmod(F.monotonically_increasing_id(), F.lit(n_parts)).alias("_p"), "_items")
+    stored, path = scratch_path(spark, "item-bits"), scratch_path(spark, "itemsets")
+    dealt.groupBy("_p").applyInArrow(_item_bits, f"_p long, _n long, item {item_type}, bits binary").write.parquet(stored)
+    bits = spark.read.parquet(stored)
+    found = bits.groupBy("_p").applyInArrow(lambda part: _part_itemsets(part, least, n), f"items {array_type}, freq long, _p long, _least long")
+    found = found.withColumn("items", F.array_sort("items"))
+    if n_parts > 1:
+        found = _completed(found, bits, least, n, n_parts)
+    found.select("items", "freq").write.parquet(path)
+    return Mined(spark.read.parquet(path), n_all, min_confidence)
+
+
+def _completed(found: DataFrame, bits: DataFrame, least: int, n: int, n_parts: int) -> DataFrame:
+    """Itemsets in ``least`` baskets of all parts, from the parts' own ``found`` ones."""
+    # Read twice (sums, parts to count). No part's share exceeds the longest part's.
+    sums = found.groupBy("items").agg(F.sum("freq").alias("freq"), F.collect_set("_p").alias("_in")).checkpoint(eager=True)
+    longest = bits.agg(F.max("_n")).first()[0] or 0
+    short = max(1, -(-least * longest // n)) - 1
+    absent = F.array_except(F.sequence(F.lit(0).cast("long"), F.lit(n_parts - 1).cast("long")), F.col("_in"))
+    open_ = sums.where(F.col("freq") + (F.lit(n_parts) - F.size("_in")) * F.lit(short) >= least)
+    missing = open_.select("items", F.explode(absent).alias("_p"))
+    more = (bits.groupBy("_p").cogroup(missing.groupBy("_p"))
+            .applyInArrow(_counted, f"items {dict(sums.dtypes)['items']}, freq long"))
+    return (open_.select("items", "freq").unionByName(more).groupBy("items").agg(F.sum("freq").alias("freq"))
+            .where(F.col("freq") >= least))
 
 
 def frequent_itemsets(mined: Mined, size: int | None = None) -> DataFrame:

@@ -161,3 +161,34 @@ def test_rules_meet_baskets_by_their_rarest_item(spark):
     met = baskets.rule_candidates(df, pairs).count()
     every = pairs.join(df.select(F.explode("antecedent").alias("cno")), "cno").count()
     assert met < every / 2
+
+
+def test_parts_together_give_the_itemsets_of_all_baskets(spark, monkeypatch):
+    """Itemsets that only some parts report are counted in the others; parts may lack an item."""
+    import random
+    from itertools import combinations
+
+    from pyspark.errors import PythonException
+
+    monkeypatch.setattr(baskets, "PART_BASKETS", 16)
+    rnd = random.Random(5)
+    rows = [sorted({f"i{min(9, int(rnd.expovariate(0.3)))}" for _ in range(rnd.randint(1, 6))}) for _ in range(150)]
+    rows += [["z", "y", "x"]] * 30 + [[]] * 5 + [None] * 4  # the last stand together in few partitions
+    df = spark.createDataFrame([(r,) for r in rows], "items array<string>").coalesce(1)
+    least = 19  # ceil(0.1 * 185)
+    want = {}
+    for r in filter(None, rows):
+        for k in range(1, len(r) + 1):
+            for s in combinations(sorted(r), k):
+                want[s] = want.get(s, 0) + 1
+    want = {s: n for s, n in want.items() if n >= least}
+    mined = baskets.mine(df, 0.1)
+    got = [(tuple(r["items"]), r.freq) for r in mined.itemsets.collect()]
+    assert len(got) == len(want) and dict(got) == want and max(map(len, want)) == 3
+    assert mined.n == 189
+    assert {tuple(r["items"]): r.freq for r in baskets.mine(df, 0.1, num_partitions=3).itemsets.collect()} == want
+    numbers = spark.createDataFrame([([1, 2],), ([2],)], "items array<int>")
+    assert {tuple(r["items"]): r.freq for r in baskets.mine(numbers, 0.5).itemsets.collect()} == {(1,): 1, (2,): 2, (1, 2): 1}
+    assert baskets.mine(df.limit(0), 0.1).itemsets.collect() == []
+    with pytest.raises(PythonException):
+        baskets.mine(spark.createDataFrame([(["a", "a"],)], "items array<string>"), 0.1)
