@@ -19,8 +19,10 @@ self-join runs on ``(user, block_x, block_y)``, so a task's share of one user is
 about ``heavy_items²`` pairs whatever the degree, at the price of sending each row
 once per block. Light users keep one block (no replication). The heavy-user list is
 counted first: none → plain self-join; at most ``HEAVY_BROADCAST_LIMIT`` → broadcast;
-more → shuffle join. Blocks change only the task layout, never the result. AQE
-skew-join splitting remains on as a second line.
+more → shuffle join. Blocks change only the task layout, never the result.
+
+The self-join's tasks are as many as its pairs ask for (``PAIRS_A_TASK``): a task's pair
+table would otherwise be as large as the rows that AQE puts together times the degree.
 
 Duplicates of a (user, item) grade add up (retakes): with pre-aggregation the
 result equals the reference's self-join over raw rows, because
@@ -29,6 +31,8 @@ result equals the reference's self-join over raw rows, because
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,64 +42,75 @@ from affinity.session import checkpoint_dir
 
 HEAVY_ITEMS = 2000
 HEAVY_BROADCAST_LIMIT = 200_000  # heavy users broadcast only below this checked count
+PAIRS_A_TASK = 1_000_000
 
 
 def pair_sides(a: DataFrame, user: str, heavy_items: int = HEAVY_ITEMS, blocks: int | None = None):
-    """The two sides of the self-join of ``a(user, item, v, n)`` and their keys.
+    """The two sides of the self-join of ``a(user, item, v, n, ...)``, as ``item1, v1, ...`` and
+    ``item2, v2, ...``, and their keys.
 
     ``blocks``: blocks of a heavy user; by default as many as its degree asks for, 1 for none.
     """
+    degrees = a.groupBy(user).agg(F.count(F.lit(1)).alias("_deg"))
+    n_heavy, n_pairs = degrees.agg(F.count_if(F.col("_deg") > heavy_items),
+                                   F.coalesce(F.sum(F.col("_deg").cast("double") * (F.col("_deg") - 1) / 2), F.lit(0.0))).first()
+    tasks = max(1, math.ceil(n_pairs / PAIRS_A_TASK))
     heavy = None
-    if blocks != 1:
+    if blocks != 1 and n_heavy:  # bounded by |a| / heavy_items; checked before any broadcast
         n_blocks = F.ceil(F.col("_deg") / F.lit(max(heavy_items, 1))) if blocks is None else F.lit(blocks)
-        heavy = (a.groupBy(user).agg(F.count(F.lit(1)).alias("_deg"))
-                 .where(F.col("_deg") > heavy_items).select(user, n_blocks.cast("int").alias("_nb")))
-        n_heavy = heavy.count()  # bounded by |a| / heavy_items; checked before any broadcast
-        if n_heavy == 0:
-            heavy = None
-        elif n_heavy <= HEAVY_BROADCAST_LIMIT:
+        heavy = degrees.where(F.col("_deg") > heavy_items).select(user, n_blocks.cast("int").alias("_nb"))
+        if n_heavy <= HEAVY_BROADCAST_LIMIT:
             heavy = F.broadcast(heavy)
-    one = [F.col(user), F.col("item").alias("item1"), F.col("v").alias("v1"), F.col("n").alias("n1")]
-    two = [F.col(user), F.col("item").alias("item2"), F.col("v").alias("v2"), F.col("n").alias("n2")]
+    one, two = ([F.col(user), *[F.col(c).alias(f"{c}{k}") for c in a.columns if c != user]] for k in (1, 2))
     if heavy is None:
-        return a.select(*one), a.select(*two), [user]
+        dealt, keys = a.repartition(tasks, user), [user]
+        return dealt.select(*one), dealt.select(*two), keys
     a2 = a.join(heavy, user, "left")
     nb = F.coalesce(F.col("_nb"), F.lit(1))
     blk = F.pmod(F.xxhash64("item"), nb.cast("long")).cast("int")
     fan = F.explode(F.sequence(F.lit(0), nb - 1))
-    return (a2.select(*one, blk.alias("_bx"), fan.alias("_by")), a2.select(*two, blk.alias("_by"), fan.alias("_bx")),
-            [user, "_bx", "_by"])
+    keys = [user, "_bx", "_by"]
+    return (a2.select(*one, blk.alias("_bx"), fan.alias("_by")).repartition(tasks, *keys),
+            a2.select(*two, blk.alias("_by"), fan.alias("_bx")).repartition(tasks, *keys), keys)
 
 
-def _normalised(a: DataFrame, user: str, blocks: int | None, heavy_items: int) -> DataFrame:
+def _normalised(a: DataFrame, user: str, blocks: int | None, heavy_items: int, towards: DataFrame | None = None) -> DataFrame:
     # ``a`` feeds the norms, and with them both join sides and the degrees; each form is
     # written once to the shared checkpoint folder so nothing below it is computed twice.
     checkpoint_dir(a.sparkSession)
     a = a.checkpoint(eager=True)
     norms = a.groupBy("item").agg(F.sum(F.col("v") * F.col("v")).alias("n"))
+    if towards is not None:
+        wanted = towards.toDF("item").distinct().withColumn("to", F.lit(True))
+        norms = norms.join(wanted, "item", "left").withColumn("to", F.coalesce("to", F.lit(False)))
     x, y, keys = pair_sides(a.join(norms, "item").checkpoint(eager=True), user, heavy_items, blocks)
-    half = (x.join(y, keys).where(F.col("item1") < F.col("item2"))
-            .groupBy("item1", "item2").agg(F.sum(F.col("v1") * F.col("v2")).alias("dot"), F.max("n1").alias("n1"), F.max("n2").alias("n2"))
-            .select("item1", "item2", cosine_expr("dot", "n1", "n2").alias("sim"))
-            .where(F.col("sim").isNotNull()))
-    both = F.explode(F.array(
-        F.struct(F.col("item1").alias("i"), F.col("item2").alias("j")),
-        F.struct(F.col("item2").alias("i"), F.col("item1").alias("j")),
-    ))
-    return (half.select(both.alias("_p"), "sim")
-            .select(F.col("_p.i").alias("item1"), F.col("_p.j").alias("item2"), "sim"))
+    pairs = x.join(y, keys).where(F.col("item1") < F.col("item2"))
+    to = []
+    if towards is not None:
+        pairs = pairs.where(F.col("to1") | F.col("to2"))
+        to = [F.max("to1").alias("to1"), F.max("to2").alias("to2")]
+    half = (pairs.groupBy("item1", "item2")
+            .agg(F.sum(F.col("v1") * F.col("v2")).alias("dot"), F.max("n1").alias("n1"), F.max("n2").alias("n2"), *to)
+            .withColumn("sim", cosine_expr("dot", "n1", "n2")).where(F.col("sim").isNotNull()))
+    both = [F.struct(F.col("item1").alias("i"), F.col("item2").alias("j")),
+            F.struct(F.col("item2").alias("i"), F.col("item1").alias("j"))]
+    if towards is not None:
+        both = [F.when(F.col("to2"), both[0]), F.when(F.col("to1"), both[1])]
+    out = half.select(F.explode(F.array_compact(F.array(*both)) if to else F.array(*both)).alias("_p"), "sim")
+    return out.select(F.col("_p.i").alias("item1"), F.col("_p.j").alias("item2"), "sim")
 
 
 def cosine(df: DataFrame, user: str = "sno", item: str = "cno", weight: str = "weight",
-           blocks: int | None = None, heavy_items: int = HEAVY_ITEMS) -> DataFrame:
+           blocks: int | None = None, heavy_items: int = HEAVY_ITEMS, towards: DataFrame | None = None) -> DataFrame:
     """Cosine similarity ``Σ w_i w_j / sqrt(Σ w_i² Σ w_j²)`` over users.
 
     Returns ``(item1, item2, sim)`` for every co-rated pair in both orders,
-    without the diagonal. Items with a zero norm produce no rows.
+    without the diagonal. Items with a zero norm produce no rows. With ``towards``
+    (one column of items) only the rows whose ``item2`` is among them.
     """
     a = (df.groupBy(user, F.col(item).alias("item"))
          .agg(F.sum(F.col(weight).cast("double")).alias("v")))
-    return _normalised(a, user, blocks, heavy_items)
+    return _normalised(a, user, blocks, heavy_items, towards)
 
 
 def cooccurrence(df: DataFrame, user: str = "sno", item: str = "cno",

@@ -140,3 +140,29 @@ def test_the_pair_table_is_not_joined(spark, grades):
     plan = similarity.cosine(w)._jdf.queryExecution().optimizedPlan().toString()
     above = plan[:plan.index("Aggregate")]
     assert "Join" not in above
+
+
+def test_tasks_follow_the_pairs(spark, monkeypatch):
+    """The self-join has as many tasks as its pairs ask for, with and without blocks, and the same rows."""
+    from pyspark.sql import functions as F
+
+    rows = [(f"u{u}", f"i{i}", float(1 + (u * i) % 7)) for u in range(20) for i in range(u % 6, 12)]
+    df = spark.createDataFrame(rows, "sno string, cno string, weight double")
+    want = as_dict(similarity.cosine(df))
+    a = df.select("sno", F.col("cno").alias("item"), F.col("weight").alias("v"), F.lit(1.0).alias("n")).checkpoint()
+    monkeypatch.setattr(similarity, "PAIRS_A_TASK", 100)
+    n_pairs = sum(d * (d - 1) // 2 for d in (12 - u % 6 for u in range(20)))
+    for heavy in (2000, 10):
+        x, y, _ = similarity.pair_sides(a, "sno", heavy)
+        assert x.rdd.getNumPartitions() == y.rdd.getNumPartitions() == -(-n_pairs // 100) > 1
+    assert as_dict(similarity.cosine(df)) == as_dict(similarity.cosine(df, heavy_items=10)) == want
+
+
+def test_cosine_towards_some_items(spark):
+    rows = [(f"u{u}", f"i{i}", float(1 + (u * i) % 7)) for u in range(9) for i in range(u % 4, 8)]
+    df = spark.createDataFrame(rows, "sno string, cno string, weight double")
+    some = spark.createDataFrame([("i2",), ("i5",), ("i5",), ("other",), (None,)], "cno string")
+    want = {k: v for k, v in as_dict(similarity.cosine(df)).items() if k[1] in ("i2", "i5")}
+    got = similarity.cosine(df, towards=some)
+    assert got.count() == len(want) == 14 and as_dict(got) == want
+    assert similarity.cosine(df, towards=some.limit(0)).count() == 0
