@@ -37,10 +37,7 @@ def predict(similarity: DataFrame, perf: DataFrame, n: int = TOP_N, threshold: f
             order: bool = False) -> DataFrame:
     """``(user, item, out)`` predictions from ``similarity(item1, item2, sim)``
     and ``perf(user, item, weight)`` (raw rows: repeats count)."""
-    # The similarity table is read twice (neighbour test and join): materialise
-    # it once rather than recomputing the pair table.
-    checkpoint_dir(similarity.sparkSession)
-    s = similarity.select("item1", "item2", "sim").checkpoint(eager=True)
+    s = similarity.select("item1", "item2", "sim")
     p = perf.select(F.col(user).alias("_u"), F.col(item).alias("item2"),
                     F.col(weight).cast("double").alias("_w"))
     # Two exact cuts before the join leave at most n * n joined rows per user.
@@ -49,7 +46,10 @@ def predict(similarity: DataFrame, perf: DataFrame, n: int = TOP_N, threshold: f
     # joined row (weight desc, then the best neighbour's sim desc, item1,
     # item2): whatever follows n of them follows n joined rows.
     near = Window.partitionBy("item2").orderBy(F.col("sim").desc(), F.col("item1"))
-    s = s.withColumn("_rs", F.row_number().over(near)).where(F.col("_rs") <= n)
+    # The cut table is read twice (best neighbours and join): materialise it once rather
+    # than the whole similarity table, which is ordered and sent only for this cut.
+    checkpoint_dir(similarity.sparkSession)
+    s = s.withColumn("_rs", F.row_number().over(near)).where(F.col("_rs") <= n).checkpoint(eager=True)
     best = s.where(F.col("_rs") == 1).select("item2", F.col("sim").alias("_bs"), F.col("item1").alias("_bi"))
     by_best = Window.partitionBy("_u").orderBy(F.col("_w").desc(), F.col("_bs").desc(), F.col("_bi"), F.col("item2"))
     p = (p.join(best, "item2").withColumn("_rw", F.row_number().over(by_best)).where(F.col("_rw") <= n)

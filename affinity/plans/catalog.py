@@ -388,8 +388,12 @@ def q_ordered_scores(spark, sf_dir):
 
 def q_recommend_unseen_by_anyone(spark, sf_dir):
     """Scores of the parts that no student of the preview has a grade in."""
-    pred = jobs.predict(_preview(spark, sf_dir, "part"), q_cosine(spark, sf_dir), PREVIEW_CUT, n=TOP_N, threshold=None,
-                        exclude_seen=True, seen_by="anyone")
+    # read twice (rated parts, scores): materialise once
+    checkpoint_dir(spark)
+    preview = _preview(spark, sf_dir, "part").checkpoint(eager=True)
+    # a score reads only the similarities to parts with a grade
+    sim = jobs.train(_train(spark, sf_dir, "part"), TRAIN_CUT, towards=recommend.seen_items(preview))
+    pred = jobs.predict(preview, sim, PREVIEW_CUT, n=TOP_N, threshold=None, exclude_seen=True, seen_by="anyone")
     return pred.select("sno", "cno", _r6("pre_score"))
 
 

@@ -3,7 +3,7 @@
 * :func:`train`   grades → deficit weights (70) → cosine (optionally boosted by
   frequent itemsets or by explicit pairs)
 * :func:`predict` preview grades → deficit weights (65) → item-CF scores
-* :func:`mine_rules` grade pairs → baskets → FP-Growth → itemsets and rules
+* :func:`mine_rules` grade pairs → baskets → mining → itemsets and rules
 """
 
 from __future__ import annotations
@@ -17,11 +17,12 @@ from affinity.session import checkpoint_dir
 
 def train(train_rows: DataFrame, cut: float = prep.TRAIN_CUT, itemsets: DataFrame | None = None,
           boost_weight: float = 32.0, pairs: DataFrame | None = None, method: str = "cosine",
-          user: str = "sno", item: str = "cno", score: str = "score") -> DataFrame:
-    """Item-item similarity from training grades (``score < cut`` rows)."""
+          user: str = "sno", item: str = "cno", score: str = "score", towards: DataFrame | None = None) -> DataFrame:
+    """Item-item similarity from training grades (``score < cut`` rows); cosines with ``towards``
+    only to these items, as the scores of grades in them need."""
     if method == "cosine":
         w = prep.with_deficit(train_rows.select(user, item, score), cut, score=score)
-        sim = similarity.cosine(w, user=user, item=item, weight="weight")
+        sim = similarity.cosine(w, user=user, item=item, weight="weight", towards=towards)
     elif method == "cooccurrence":
         sim = similarity.cooccurrence(train_rows, user=user, item=item)
     else:
@@ -61,7 +62,7 @@ def mine_rules(pairs: DataFrame, min_support: float, min_confidence: float, bask
 def rules_job(pairs: DataFrame, min_support: float, min_confidence: float, out_path: str | None = None,
               basket: str = "sno", item: str = "cno", text: bool = True, single_file: bool = False,
               whole: bool = False) -> DataFrame:
-    """Rule-mining job: baskets → FP-Growth → wide rules
+    """Rule-mining job: baskets → mining → wide rules
     ``(antecedent1..4, consequent, confidence, antecedent)``; optionally written as
     tab-separated text (one file only with ``single_file``) or as parquet. The text has the
     six fixed columns; ``whole`` adds the full antecedent, which parquet always has."""

@@ -127,3 +127,16 @@ def test_many_ties_equal_the_plain_rule(spark):
         for w, s, a, _ in rows:
             want[u, a] = want.get((u, a), 0) + w * s / len(rows)
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_only_the_cut_neighbours_are_written(spark, monkeypatch):
+    """The similarity table is materialised after the cut to ``n`` neighbours an item."""
+    items = [f"i{k:02d}" for k in range(30)]
+    sdf = spark.createDataFrame([(a, b, 1.0 / (1 + abs(i - j))) for i, a in enumerate(items) for j, b in enumerate(items) if i != j],
+                                "item1 string, item2 string, sim double")
+    pdf = spark.createDataFrame([("u", "i03", 2.0), ("u", "i07", 1.0), ("v", "i09", 3.0)], "sno string, cno string, weight double")
+    written, kind = [], type(sdf)
+    checkpoint = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda self, *a, **k: (written.append(self.count()), checkpoint(self, *a, **k))[1])
+    assert recommend.predict(sdf, pdf, n=3, threshold=None).count() == 6
+    assert written == [3 * len(items)]
