@@ -10,7 +10,8 @@ hash. Rows are packed: all pairs that a batch of documents sends to one partitio
 are one compressed row, so that a pair costs a few bytes in the shuffle.
 
 1. Word counts over the corpus. The words above 1 / ``HOT_WORDS`` of all words (so at
-   most that many) are known to every task.
+   most that many) are known to every task, and packed rows name them by their number:
+   the more partitions, the fewer pairs share a row and its list of 8-byte hashes.
 2. Pairs go to the partition of their second word, where the counts of the pair and of
    the second word are complete; pairs of a hot second word are spread by the whole pair.
    Pairs without another document back off there. The others are divided by the count of
@@ -44,6 +45,7 @@ HOT_WORDS = 1 << 16
 BATCH_TOKENS = 3 << 19
 PART_TOKENS = 3 << 18  # pairs in a partition, about
 START, END = np.uint64(1), np.uint64(2)
+LEAST_HASH = np.uint64(HOT_WORDS + 2)  # of a word: above the numbers of hot words, START and END
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 PAIRS, DOCS, OPEN, SUMS = range(4)
@@ -86,7 +88,20 @@ def part_of(h: np.ndarray, parts: int) -> np.ndarray:
 def _hashed(text: bytes | None, hashes: WordHashes) -> np.ndarray:
     words = text.split() if text else []
     h = mixed(np.fromiter((hashes[w] for w in words), np.uint64, len(words)))
-    return np.maximum(h, np.uint64(3))
+    return np.maximum(h, LEAST_HASH)
+
+
+def numbered(words: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with the hot ones (``hot`` ascending) replaced by their numbers, and which are hot."""
+    slot = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
+    known = hot[slot] == words
+    return np.where(known, slot.astype(np.uint64), words), known
+
+
+def named(numbers: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The words back from :func:`numbered`."""
+    known = numbers < np.uint64(len(hot))
+    return np.where(known, hot[np.where(known, numbers, 0).astype(np.int64)], numbers)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -148,8 +163,9 @@ def _exploded(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
                 own1 = np.empty_like(own)
                 own1[1:] = own[:-1]
                 own1[begins] = 1
-                spread = np.isin(second, hot)
+                second_no, spread = numbered(second, hot)
                 part = part_of(np.where(spread, mixed(first * _C + second), second), parts)
+                first, second = numbered(first, hot)[0], second_no
                 by = np.lexsort((second, part))
                 edges = np.flatnonzero(np.diff(part[by], prepend=-1))
                 for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by)], strict=True):
@@ -223,7 +239,7 @@ def _paired(packed: DataFrame, parts: int, hot: np.ndarray, hot_n: np.ndarray) -
         cols = [[] for _ in range(5)]
         for i, blob in enumerate(rows["blob"]):
             w2, n2, w1, at1, doc, own1, own2 = unpack(blob)
-            for c, a in zip(cols, (np.cumsum(w1, dtype=np.uint64)[at1], np.repeat(np.cumsum(w2, dtype=np.uint64), n2),
+            for c, a in zip(cols, (named(np.cumsum(w1, dtype=np.uint64), hot)[at1], np.repeat(named(np.cumsum(w2, dtype=np.uint64), hot), n2),
                                    np.int64(i) << 32 | doc.astype(np.int64), own1.astype(np.int32), own2.astype(np.int32)), strict=True):
                 c.append(a)
         second, first, place, own1, own2 = (np.concatenate(cols.pop(k)) for k in (1, 0, 0, 0, 0))
@@ -308,7 +324,7 @@ def score(docs: DataFrame, parts: int | None = None) -> DataFrame:
     total, n_docs = total or 0, n_docs or 0
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_TOKENS))
     frequent = counts.filter(F.col("n") * HOT_WORDS >= total).collect() if total else []  # at most HOT_WORDS rows
-    table = {int(START): n_docs} | {r["word"] & ((1 << 64) - 1): r["n"] for r in frequent}
+    table = {int(START): n_docs, int(END): n_docs} | {r["word"] & ((1 << 64) - 1): r["n"] for r in frequent}
     hot = np.array(sorted(table), np.uint64)
     hot_n = np.array([table[int(w)] for w in hot], np.int64)
     paired = stored(_paired(_exploded(docs, parts, hot), parts, hot, hot_n), "lm-pairs")

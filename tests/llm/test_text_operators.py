@@ -354,3 +354,16 @@ def test_licences_in_legal_prose(spark):
     got = {(r["doc_id"], r["paragraph"]): r["family"] for r in license.scan(docs).collect()}
     assert got.get((1000, 0)) == "all-rights-reserved" and got.get((1001, 1)) == "mit"
     assert {k for k, f in got.items() if f != "unknown"} == {(1000, 0), (1001, 1)}
+
+
+def test_language_model_rows_stay_small_in_many_partitions(spark):
+    # the more partitions, the fewer pairs share a row: its words must not cost 8 bytes each
+    draw = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[k] for k in draw.integers(0, 400, 200))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    hashes = lm.WordHashes()
+    hot = np.sort(np.concatenate([[lm.START, lm.END], lm._hashed(" ".join(words).encode(), hashes)]))
+    sizes = [sum(len(r["blob"]) for r in lm._exploded(docs, parts, hot).collect()) for parts in (1, 64)]
+    assert sizes[1] < 2 * sizes[0]
+    assert (lm.named(lm.numbered(hot, hot)[0], hot) == hot).all()
