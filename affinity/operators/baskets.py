@@ -31,6 +31,7 @@ from affinity.session import checkpoint_dir, scratch_path
 _SEP = "\u0001"
 PART_BASKETS = 1 << 16  # baskets of a part: 8 KB of bits an item
 PART_ITEMS = 1 << 22  # items of a part's baskets together
+ITEMS_BROADCAST_LIMIT = 200_000  # frequent items broadcast only below this checked count
 
 
 @dataclass(frozen=True)
@@ -43,20 +44,26 @@ class Mined:
 
 
 def to_baskets(pairs: DataFrame, basket: str = "sno", item: str = "cno", items: str = "items",
-               min_support: float | None = None) -> DataFrame:
+               min_support: float | None = None, distinct: bool = False) -> DataFrame:
     """``(basket, items)``: the sorted distinct items of every basket.
 
     De-duplication is map-side, so a basket's array is bounded by the number of
     distinct items, not by its row count; with ``min_support`` by the number of
-    items that ``ceil(min_support · baskets)`` baskets hold.
+    items that ``ceil(min_support · baskets)`` baskets hold. ``distinct``: the pairs are
+    distinct and stored already, so they are neither sent nor written again.
     """
     if min_support is None:
         return pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias(items))
     # distinct pairs are read three times: baskets counted, items counted, baskets built
     checkpoint_dir(pairs.sparkSession)
-    p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct().checkpoint(eager=True)
+    p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
+    if not distinct:
+        p = p.distinct().checkpoint(eager=True)
     least = math.ceil(min_support * p.select("_b").distinct().count())
-    frequent = p.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select("_i", F.lit(True).alias("_keep"))
+    # counted before the join, so that the pairs needn't be sent by their items, of which few may hold most
+    frequent = p.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select("_i", F.lit(True).alias("_keep")).checkpoint(eager=True)
+    if frequent.count() <= ITEMS_BROADCAST_LIMIT:
+        frequent = F.broadcast(frequent)
     marked = p.join(frequent, "_i", "left").select("_b", F.when(F.col("_keep"), F.col("_i")).alias("_i"))
     return marked.groupBy("_b").agg(F.array_sort(F.collect_list("_i")).alias(items)).withColumnRenamed("_b", basket)
 
@@ -247,17 +254,19 @@ def rule_candidates(rules: DataFrame, pairs: DataFrame, basket: str = "sno", ite
 
 
 def recommend_from_rules(rules: DataFrame, pairs: DataFrame, basket: str = "sno",
-                         item: str = "cno") -> DataFrame:
+                         item: str = "cno", distinct: bool = False) -> DataFrame:
     """Consequents of every rule whose antecedent lies inside a basket, minus
     items already in the basket, de-duplicated: ``(basket, item)``.
 
     A rule meets a basket only by its antecedent's rarest item; the rest of the
     antecedent is verified on the basket's item set, which also tells the
-    consequents that are new.
+    consequents that are new. ``distinct``: the pairs are distinct and stored already.
     """
     # The distinct pairs are read three times (item counts, rarest items, sets).
     checkpoint_dir(pairs.sparkSession)
-    p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct().checkpoint(eager=True)
+    p = pairs.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
+    if not distinct:
+        p = p.distinct().checkpoint(eager=True)
     sets = p.groupBy("_b").agg(F.collect_list("_i").alias("_items"))
     met = rule_candidates(rules, p, "_b", "_i").join(sets, "_b")
     met = met.where(F.size(F.array_except("antecedent", "_items")) == 0)

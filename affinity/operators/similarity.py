@@ -75,10 +75,8 @@ def pair_sides(a: DataFrame, user: str, heavy_items: int = HEAVY_ITEMS, blocks:
 
 
 def _normalised(a: DataFrame, user: str, blocks: int | None, heavy_items: int, towards: DataFrame | None = None) -> DataFrame:
-    # ``a`` feeds the norms, and with them both join sides and the degrees; each form is
-    # written once to the shared checkpoint folder so nothing below it is computed twice.
-    checkpoint_dir(a.sparkSession)
-    a = a.checkpoint(eager=True)
+    # The stored ``a`` feeds the norms, and with them both join sides and the degrees; that form
+    # too is written once to the shared checkpoint folder so nothing below it is computed twice.
     norms = a.groupBy("item").agg(F.sum(F.col("v") * F.col("v")).alias("n"))
     if towards is not None:
         wanted = towards.toDF("item").distinct().withColumn("to", F.lit(True))
@@ -100,16 +98,26 @@ def _normalised(a: DataFrame, user: str, blocks: int | None, heavy_items: int, t
     return out.select(F.col("_p.i").alias("item1"), F.col("_p.j").alias("item2"), "sim")
 
 
+def pair_weights(df: DataFrame, user: str, item: str, weight: str) -> DataFrame:
+    return df.groupBy(user, F.col(item).alias("item")).agg(F.sum(F.col(weight).cast("double")).alias("v"))
+
+
 def cosine(df: DataFrame, user: str = "sno", item: str = "cno", weight: str = "weight",
-           blocks: int | None = None, heavy_items: int = HEAVY_ITEMS, towards: DataFrame | None = None) -> DataFrame:
+           blocks: int | None = None, heavy_items: int = HEAVY_ITEMS, towards: DataFrame | None = None,
+           summed: bool = False) -> DataFrame:
     """Cosine similarity ``Σ w_i w_j / sqrt(Σ w_i² Σ w_j²)`` over users.
 
     Returns ``(item1, item2, sim)`` for every co-rated pair in both orders,
     without the diagonal. Items with a zero norm produce no rows. With ``towards``
-    (one column of items) only the rows whose ``item2`` is among them.
+    (one column of items) only the rows whose ``item2`` is among them. ``summed``: ``df`` has
+    one row for each (user, item) and is stored already.
     """
-    a = (df.groupBy(user, F.col(item).alias("item"))
-         .agg(F.sum(F.col(weight).cast("double")).alias("v")))
+    if summed:
+        a = df.select(user, F.col(item).alias("item"), F.col(weight).cast("double").alias("v"))
+    else:
+        # feeds the norms and the join sides: written once
+        checkpoint_dir(df.sparkSession)
+        a = pair_weights(df, user, item, weight).checkpoint(eager=True)
     return _normalised(a, user, blocks, heavy_items, towards)
 
 
@@ -120,8 +128,9 @@ def cooccurrence(df: DataFrame, user: str = "sno", item: str = "cno",
     ``n_ij`` counts (row, row) matches per user, so a repeated (user, item)
     row counts with its multiplicity, as in a self-join of the raw rows.
     """
+    checkpoint_dir(df.sparkSession)
     a = (df.groupBy(user, F.col(item).alias("item"))
-         .agg(F.count(F.lit(1)).cast("double").alias("v")))
+         .agg(F.count(F.lit(1)).cast("double").alias("v"))).checkpoint(eager=True)
     return _normalised(a, user, blocks, heavy_items)
 
 

@@ -64,16 +64,16 @@ def _brand_cosine(spark, sf_dir):
     return jobs.train(_train(spark, sf_dir), TRAIN_CUT)
 
 
-def _train_once(spark, sf_dir):
-    """Training grades materialised once, for queries that both mine baskets
-    and compute similarities (or match rules) from them."""
-    checkpoint_dir(spark)
-    return _train(spark, sf_dir).checkpoint(eager=True)
+def _weights_once(spark, sf_dir):
+    """Summed weights of the training grades, one stored row for each pair, for queries that
+    both mine baskets and compute similarities from them."""
+    return jobs.summed_weights(_train(spark, sf_dir), TRAIN_CUT)
 
 
-def _itemsets(spark, sf_dir, support, rows=None):
-    rows = rows if rows is not None else _train(spark, sf_dir)
-    return jobs.mine_rules(rows.select("sno", "cno"), support, MIN_CONFIDENCE)
+def _itemsets(spark, sf_dir, support, stored=None):
+    """Mined from the training grades, or from ``stored`` rows, one for each pair."""
+    rows = stored if stored is not None else _train(spark, sf_dir)
+    return jobs.mine_rules(rows.select("sno", "cno"), support, MIN_CONFIDENCE, distinct=stored is not None)
 
 
 def _r6(c):
@@ -152,9 +152,10 @@ def q_rules_wide(spark, sf_dir):
 
 
 def q_recommend_from_rules(spark, sf_dir):
-    rows = _train_once(spark, sf_dir)
-    _, rules, _ = _itemsets(spark, sf_dir, MIN_SUPPORT, rows)
-    return baskets.recommend_from_rules(rules, rows.select("sno", "cno"))
+    checkpoint_dir(spark)
+    pairs = _train(spark, sf_dir).select("sno", "cno").distinct().checkpoint(eager=True)
+    _, rules, _ = _itemsets(spark, sf_dir, MIN_SUPPORT, pairs)
+    return baskets.recommend_from_rules(rules, pairs, distinct=True)
 
 
 def _order_pairs(spark, sf_dir):
@@ -178,9 +179,9 @@ def q_order_rules(spark, sf_dir):
 
 
 def _boosted(spark, sf_dir):
-    rows = _train_once(spark, sf_dir)
+    rows = _weights_once(spark, sf_dir)
     fi, _, _ = _itemsets(spark, sf_dir, BOOST_SUPPORT, rows)
-    return jobs.train(rows, TRAIN_CUT, itemsets=fi, boost_weight=BOOST_WEIGHT)
+    return jobs.train(rows, TRAIN_CUT, itemsets=fi, boost_weight=BOOST_WEIGHT, summed=True)
 
 
 def q_cosine_boosted(spark, sf_dir):
@@ -196,11 +197,11 @@ def q_recommend_boosted_scores(spark, sf_dir):
 
 
 def q_pair_boost(spark, sf_dir):
-    rows = _train_once(spark, sf_dir)
+    rows = _weights_once(spark, sf_dir)
     fi, _, _ = _itemsets(spark, sf_dir, MIN_SUPPORT, rows)
     pairs = fi.where(F.col("size") == 2).select(F.get("items", 0).alias("a"), F.get("items", 1).alias("b"),
                                                F.col("freq").cast("double").alias("value"))
-    return jobs.train(rows, TRAIN_CUT, pairs=pairs)
+    return jobs.train(rows, TRAIN_CUT, pairs=pairs, summed=True)
 
 
 def _profile(spark, sf_dir, **cohort):

@@ -17,12 +17,14 @@ from affinity.session import checkpoint_dir
 
 def train(train_rows: DataFrame, cut: float = prep.TRAIN_CUT, itemsets: DataFrame | None = None,
           boost_weight: float = 32.0, pairs: DataFrame | None = None, method: str = "cosine",
-          user: str = "sno", item: str = "cno", score: str = "score", towards: DataFrame | None = None) -> DataFrame:
+          user: str = "sno", item: str = "cno", score: str = "score", towards: DataFrame | None = None,
+          summed: bool = False) -> DataFrame:
     """Item-item similarity from training grades (``score < cut`` rows); cosines with ``towards``
-    only to these items, as the scores of grades in them need."""
+    only to these items, as the scores of grades in them need. ``summed``: ``train_rows`` come
+    from :func:`summed_weights`."""
     if method == "cosine":
-        w = prep.with_deficit(train_rows.select(user, item, score), cut, score=score)
-        sim = similarity.cosine(w, user=user, item=item, weight="weight", towards=towards)
+        w = train_rows if summed else prep.with_deficit(train_rows.select(user, item, score), cut, score=score)
+        sim = similarity.cosine(w, user=user, item=item, weight="weight", towards=towards, summed=summed)
     elif method == "cooccurrence":
         sim = similarity.cooccurrence(train_rows, user=user, item=item)
     else:
@@ -34,6 +36,15 @@ def train(train_rows: DataFrame, cut: float = prep.TRAIN_CUT, itemsets: DataFram
     return sim
 
 
+def summed_weights(train_rows: DataFrame, cut: float = prep.TRAIN_CUT, user: str = "sno", item: str = "cno",
+                   score: str = "score") -> DataFrame:
+    """``(user, item, weight)``: the summed deficit weights of each pair, stored once for jobs that
+    both mine baskets (``distinct=True``) and train (``summed=True``)."""
+    checkpoint_dir(train_rows.sparkSession)
+    w = prep.with_deficit(train_rows.select(user, item, score), cut, score=score)
+    return similarity.pair_weights(w, user, item, "weight").withColumnsRenamed({"item": item, "v": "weight"}).checkpoint(eager=True)
+
+
 def predict(preview_rows: DataFrame, sim: DataFrame, cut: float = prep.PREVIEW_CUT,
             n: int = recommend.TOP_N, threshold: float | None = recommend.THRESHOLD,
             exclude_seen: bool = False, seen_by: str = "user", user: str = "sno", item: str = "cno",
@@ -52,9 +63,10 @@ def predict(preview_rows: DataFrame, sim: DataFrame, cut: float = prep.PREVIEW_C
 
 
 def mine_rules(pairs: DataFrame, min_support: float, min_confidence: float, basket: str = "sno",
-               item: str = "cno", num_partitions: int | None = None):
-    """``(itemsets, rules, mined)`` from (basket, item) pairs."""
-    bk = B.to_baskets(pairs, basket=basket, item=item, min_support=min_support)
+               item: str = "cno", num_partitions: int | None = None, distinct: bool = False):
+    """``(itemsets, rules, mined)`` from (basket, item) pairs; ``distinct``: they are distinct
+    and stored already."""
+    bk = B.to_baskets(pairs, basket=basket, item=item, min_support=min_support, distinct=distinct)
     mined = B.mine(bk, min_support, min_confidence, num_partitions=num_partitions)
     return B.frequent_itemsets(mined), B.association_rules(mined), mined
 

@@ -192,3 +192,30 @@ def test_parts_together_give_the_itemsets_of_all_baskets(spark, monkeypatch):
     assert baskets.mine(df.limit(0), 0.1).itemsets.collect() == []
     with pytest.raises(PythonException):
         baskets.mine(spark.createDataFrame([(["a", "a"],)], "items array<string>"), 0.1)
+
+
+def test_baskets_send_their_pairs_once(spark):
+    # a join by item would put all baskets' pairs of one item into one task
+    rows = [(f"u{i}", item) for i in range(40) for item in ("a", "b", f"r{i}") if item != "b" or i % 2]
+    pairs = spark.createDataFrame(rows, "sno string, cno string")
+    got = baskets.to_baskets(pairs, min_support=0.3)
+    assert {(r.sno, tuple(r["items"])) for r in got.collect()} == {(f"u{i}", ("a", "b") if i % 2 else ("a",)) for i in range(40)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_b" in plan and "hashpartitioning(_i" not in plan
+
+
+def test_stored_pairs_and_sums_give_what_raw_grades_give(spark):
+    rows = [(f"u{i % 7}" if i % 11 else None, f"i{i * i % 5}" if i % 13 else None, 50.0 + i % 15) for i in range(90)]
+    train = spark.createDataFrame([*rows, *rows[:9]], "sno string, cno string, score double")
+    weights = jobs.summed_weights(train)
+    assert weights.count() == weights.select("sno", "cno").distinct().count() < train.count()
+    pairs = weights.select("sno", "cno")
+    raw, _, _ = jobs.mine_rules(train.select("sno", "cno"), 0.3, 0.5)
+    stored, rules, _ = jobs.mine_rules(pairs, 0.3, 0.5, distinct=True)
+    assert sorted(map(str, raw.collect())) == sorted(map(str, stored.collect()))
+    assert as_dict(jobs.train(weights, itemsets=stored, summed=True)) == as_dict(jobs.train(train, itemsets=raw))
+    given = [sorted(map(str, baskets.recommend_from_rules(rules, p, distinct=d).collect())) for p, d in ((train, False), (pairs, True))]
+    assert given[0] == given[1]
+    # neither the baskets' pairs nor the sums are grouped again
+    plan = baskets.to_baskets(pairs, min_support=0.3, distinct=True)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_b" in plan and "hashpartitioning(_b#" in plan and plan.count("Exchange hashpartitioning") == 1
