@@ -10,14 +10,15 @@ for the number of terms) weigh more. A term that no example holds adds nothing t
 product; it counts in the text's length with the idf of df 0. Terms are known by
 64-bit hashes.
 
-The inverted index holds the examples' unit vectors: posting lists, and for terms that one in
-``FREQUENT`` examples holds dense rows cut into blocks of 64 examples, with each term's
-largest weight per block. Examples stand in the order of a clustering, so a block's are
-alike. For a text the posting lists are added up, then the blocks' largest weights bound what
-the dense rows can add; blocks are read by falling bound until no bound reaches the k-th
-cosine found. So blocks are skipped only where their bound proves it, and neighbours are
-exact. Their cosine-weighted votes are calibrated by isotonic regression on the examples'
-own leave-one-out votes.
+The inverted index holds the examples' unit vectors. They stand in the order of a clustering,
+so that neighbours in it are alike, in groups of 1024 and blocks of 64. What at least
+``FREQUENT`` examples of a group hold of a term is a dense row of that group, with the term's
+largest weight per block; the rest are posting lists. For some texts together the posting
+lists are added up, then the blocks' largest weights bound what the dense rows can add; first
+each text's blocks of the largest bounds are read, then those whose bound reaches the k-th
+cosine found, by products of many texts and blocks. So blocks are skipped only where their
+bound proves it, and neighbours are exact. Their cosine-weighted votes are calibrated by
+isotonic regression on the examples' own leave-one-out votes.
 
 Every text's terms are taken once, packed (known terms as differences, with their
 frequencies) and stored; document frequencies and searches read the packed vectors.
@@ -31,10 +32,11 @@ are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+import sys
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from hashlib import blake2b
@@ -52,17 +54,21 @@ from .lm import pack, unpack
 MAX_EXAMPLES = 10_000
 CHANCE_TERMS = 0.5  # expected number of terms taken for markers by chance
 MARKED = 3.0  # by leave-one-out on the examples
-FREQUENT = 24  # a term that one in so many examples holds has a dense row
 SLAB = 256
-QUERIES = 128  # searched together
+QUERIES = 256  # searched together
 EXAMPLES_AT_ONCE = 2048
 NEIGHBOURS = 15
 BLOCK = 64
+GROUP = 16 * BLOCK  # examples whose frequent terms have dense rows together
+FREQUENT = BLOCK  # a term that so many examples of a group hold has a dense row there
+CHUNK = 8  # postings read together
+RUN = 4  # blocks read together for the texts that need one of them
 TOXIC = 0.7
 PREFIXES = (5,)
 COUNTS = (2, 4, 8)
 SHARES = (8, 7, 6, 5, 4)
 LONG = 32
+WORDS_AT_ONCE = 1 << 15
 CACHE_VECTORS = 1 << 15
 CLUSTERS, CLUSTER_TERMS = 24, 256  # of examples by their commonest terms, for blocks of alike ones
 FIRST_BLOCKS = 4  # read before the others are bounded by their k-th cosine
@@ -71,47 +77,63 @@ SLACK = 1e-5  # single precision sums of unit vectors are this close
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
-    x = x + np.uint64((salt + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+def _mixed(x: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
+    x = x + np.asarray(salt + 1, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def word_terms(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, number of the word) of the terms of the words: each word and its prefixes."""
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    chars = np.array([w[:LONG] for w in words]).view(np.uint32).reshape(len(words), -1).T.astype(np.uint64)
-    h = np.zeros(len(words), np.uint64)
-    ids, at = [], []
-    for k, c in enumerate(chars):
-        x = (h ^ c) * np.uint64(0xD6E8FEB86659FD93)
-        h = np.where(c > 0, x ^ (x >> np.uint64(32)), h)
-        if k + 1 in PREFIXES:
-            at.append(np.flatnonzero(size > k))
-            ids.append(_mixed(h[at[-1]], 1))
-    whole = _mixed(h, 0)
-    for i in np.flatnonzero(size > LONG).tolist():
-        whole[i] = int.from_bytes(blake2b(words[i].encode(), digest_size=8).digest(), "little", signed=True)
-    return np.concatenate([whole, *ids]), np.concatenate([np.arange(len(words)), *at])
+_PLACES = _mixed(np.arange(LONG, dtype=np.uint64), 99).view(np.uint64) | np.uint64(1)
+_SALTS = np.arange(2, 2 + len(COUNTS) + len(SHARES))
+
+
+@functools.cache
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """Whether each code point is a letter of a word, and its hash."""
+    letter = np.zeros(sys.maxunicode + 1, bool)
+    for m in _WORD.finditer("".join(map(chr, range(len(letter))))):
+        letter[m.start():m.end()] = True
+    return letter, _mixed(np.arange(len(letter), dtype=np.uint64), 0).view(np.uint64)
+
+
+def word_terms(text: str) -> tuple[np.ndarray, int]:
+    """Ids of the terms of all words of a lower-cased text: the words and their prefixes,
+    with repeats; and the number of words."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter, hashes = _letters()
+    inside = np.zeros(len(codes) + 2, bool)
+    np.take(letter, codes, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, size = edges[::2], edges[1::2] - edges[::2]
+    out = []
+    for at in range(0, len(starts), WORDS_AT_ONCE):
+        start, n = starts[at:at + WORDS_AT_ONCE], np.minimum(size[at:at + WORDS_AT_ONCE], LONG)
+        first = np.cumsum(n) - n
+        place = np.arange(first[-1] + n[-1]) - np.repeat(first, n)
+        parts = hashes[codes[np.repeat(start, n) + place]] * _PLACES[place]
+        whole = _mixed(np.add.reduceat(parts, first), 0)
+        for i in np.flatnonzero(size[at:at + WORDS_AT_ONCE] > LONG).tolist():
+            word = text[starts[at + i]:starts[at + i] + size[at + i]]
+            whole[i] = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+        out.append(whole)
+        for k in PREFIXES:
+            long = first[n >= k]
+            out.append(_mixed(sum((parts[long + j] for j in range(1, k)), parts[long]), 1))
+    return (np.concatenate(out) if out else np.zeros(0, np.int64)), len(starts)
 
 
 def terms_in(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(ids ascending, tf) of all terms of a whole text. A term found twice or more has
     further terms for the levels of its count and share."""
-    found = Counter(_WORD.findall((text or "").lower()))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    times = np.fromiter(found.values(), np.int64, len(found))
-    ids, word = word_terms(list(found))
-    ids, at = np.unique(ids, return_inverse=True)
-    tf = np.bincount(at, times[word]).astype(np.int64)
-    n_words, often = int(times.sum()), tf >= 2
+    ids, n_words = word_terms((text or "").lower())
+    ids, tf = np.unique(ids, return_counts=True)
+    often = tf >= 2
     base, n = ids[often], tf[often]
-    more = [_mixed(base[n >= k].view(np.uint64), 2 + i) for i, k in enumerate(COUNTS)]
-    more += [_mixed(base[n << k >= n_words].view(np.uint64), 2 + len(COUNTS) + i) for i, k in enumerate(SHARES)]
-    tf = np.concatenate([tf, np.ones(sum(map(len, more)), np.int64)])
-    ids = np.concatenate([ids, *more])
+    level, which = np.nonzero(np.concatenate([n >= np.array(COUNTS)[:, None], n << np.array(SHARES)[:, None] >= n_words]))
+    more = _mixed(base[which].view(np.uint64), _SALTS[level])
+    tf = np.concatenate([tf, np.ones(len(more), np.int64)])
+    ids = np.concatenate([ids, more])
     order = np.argsort(ids, kind="stable")
     return ids[order], tf[order]
 
@@ -120,26 +142,65 @@ def terms_in(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Postings:
-    """Sparse term x example weights, read by rows of terms: ``postings[terms]`` is dense."""
+    """Sparse term x example weights, read by rows of terms: ``postings[terms]`` is dense.
+    A term's postings fill rows of CHUNK, the last one with weights of 0."""
 
     shape: tuple[int, int]
-    starts: np.ndarray  # term -> its first posting
-    who: np.ndarray
-    weight: np.ndarray
+    starts: np.ndarray  # term -> its first row
+    packed: np.ndarray  # example, and its weight in the lower half
 
-    def rows(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``terms``, place) of every posting of the terms."""
+    def read(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of rows of each term; example and weight by row and place."""
         n = self.starts[terms + 1] - self.starts[terms]
-        row = np.repeat(np.arange(len(terms)), n)
-        return row, np.arange(len(row)) + np.repeat(self.starts[terms] - (np.cumsum(n) - n), n)
+        ends = np.cumsum(n)
+        place = np.repeat(self.starts[terms] - ends + n, n)
+        place += np.arange(len(place))
+        found = self.packed[place]
+        return n, found >> 32, found.view(np.float32)[:, ::2]
+
+    def product(self, q: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """What the terms of weights ``q`` add to the product with each example."""
+        n, who, weight = self.read(terms)
+        return np.bincount(who.ravel(), (np.repeat(q, n)[:, None] * weight).ravel(), minlength=self.shape[1])
 
     def __getitem__(self, terms) -> np.ndarray:
         out = np.zeros((len(terms), self.shape[1]))
-        row, at = self.rows(np.asarray(terms, np.int64))
-        out[row, self.who[at]] = self.weight[at]
+        n, who, weight = self.read(np.asarray(terms, np.int64))
+        np.add.at(out, (np.repeat(np.arange(len(n)), n)[:, None], who), weight)
         return out
 
 
+def _postings(shape: tuple[int, int], n: np.ndarray) -> Postings:
+    """Empty lists for ``n`` postings of each term."""
+    starts = np.zeros(shape[0] + 1, np.int64)
+    np.cumsum(-(-n // CHUNK), out=starts[1:])
+    return Postings(shape, starts, np.zeros((int(starts[-1]), CHUNK), np.int64))
+
+
+@dataclass
+class Blocks:
+    """Dense weights of the terms that are frequent in a group of examples: for each group
+    rows of its terms and an empty one, in one array."""
+
+    shape: tuple[int, int, int]  # blocks, terms, examples of a block
+    terms: list[np.ndarray]  # of each group, ascending
+    row: np.ndarray  # group, term -> row of the group, the empty one if it has none
+    first: np.ndarray  # group -> its first weight
+    width: np.ndarray  # group -> examples
+    weights: np.ndarray
+
+    def group(self, g: int) -> np.ndarray:
+        """The group's weights, term x example."""
+        n, width = len(self.terms[g]), int(self.width[g])
+        return self.weights[self.first[g]:self.first[g] + n * width].reshape(n, width)
+
+    def of(self, who: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """Weights of some examples, example x term."""
+        groups, g = np.unique(who // GROUP, return_inverse=True)
+        starts = self.row[groups][:, terms] * self.width[groups, None] + self.first[groups, None]
+        return self.weights[starts[g] + (who % GROUP)[:, None]].astype(np.float64)
+
+
 @dataclass
 class Index:
     """Block-max inverted index of unit vectors over all terms of the examples."""
@@ -148,9 +209,9 @@ class Index:
     toxic: np.ndarray
     idf: np.ndarray  # with the term's marker weight
     weights: Postings
-    dense: np.ndarray  # term -> its row in ``blocks``, -1: postings only
-    blocks: np.ndarray  # block, term, example: weights of frequent terms
-    most: np.ndarray  # term, block: the largest of them
+    dense: np.ndarray  # term -> its number in ``blocks``, -1: postings only
+    blocks: Blocks
+    most: np.ndarray  # term, block: the largest weight
     levels: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))  # calibration: vote, score
 
     def unit(self, terms: np.ndarray, tf: np.ndarray, rest: float = 0.0) -> np.ndarray:
@@ -163,44 +224,59 @@ class Index:
         (cosine, number), ties to the smaller doc_id; the example with doc_id ``but`` takes no part."""
         if not len(self.ids):
             return [[] for _ in queries]
-        rare = np.zeros((len(queries), self.weights.shape[1]))  # what the posting lists add
+        rare = np.empty((len(queries), self.weights.shape[1]))  # what the posting lists add
         dense = np.zeros((len(queries), self.blocks.shape[1]), np.float32)
         parts = []
         for i, (terms, tf, _, rest) in enumerate(queries):
             q, at = self.unit(terms, tf, rest), self.dense[terms]
             many = at >= 0
-            row, place = self.weights.rows(terms[~many])
-            rare[i] = np.bincount(self.weights.who[place], q[~many][row] * self.weights.weight[place], minlength=rare.shape[1])
+            rare[i] = self.weights.product(q, terms)
             dense[i, at[many]] = q[many]
             parts.append((at[many], q[many]))
         by_block = rare.reshape(len(queries), -1, BLOCK)
         bound = dense @ self.most + by_block.max(axis=2) + SLACK
         found = np.full(by_block.shape, -1.0, np.float32)
+        lead = np.argpartition(-bound, min(FIRST_BLOCKS, bound.shape[1]) - 1, axis=1)[:, :FIRST_BLOCKS]
         first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, np.argpartition(-bound, min(FIRST_BLOCKS, bound.shape[1]) - 1, axis=1)[:, :FIRST_BLOCKS], True, axis=1)
+        np.put_along_axis(first, lead, True, axis=1)
+        self._read(first & (bound >= 2 * SLACK), dense, by_block, found, 1)
         least = np.zeros(len(queries))
-        for wanted in (first & (bound >= 2 * SLACK), ~first):
-            # the second time: the blocks whose bound reaches what the first ones gave
-            wanted &= bound >= np.maximum(least, 2 * SLACK)[:, None]
-            for block in np.flatnonzero(wanted.any(axis=0)).tolist():
-                some = np.flatnonzero(wanted[:, block])
-                found[some, block] = by_block[some, block] + dense[some] @ self.blocks[block]
-            flat = found.reshape(len(queries), -1)
-            if flat.shape[1] > k:  # one more, for ``but``
-                least = np.partition(flat, -k - 1, axis=1)[:, -k - 1] - SLACK
+        leading = np.take_along_axis(found, lead[:, :, None], axis=1).reshape(len(queries), -1)
+        if leading.shape[1] > k:  # one more, for ``but``
+            least = np.partition(leading, -k - 1, axis=1)[:, -k - 1] - SLACK
+        # the blocks whose bound reaches what the first ones gave
+        self._read(~first & (bound >= np.maximum(least, 2 * SLACK)[:, None]), dense, by_block, found, RUN)
         out = []
         for i, (_, _, but, _) in enumerate(queries):
-            near = np.flatnonzero((flat[i] >= least[i]) & (flat[i] > 0))
-            near = near[near < len(self.ids)]
+            flat = found[i].reshape(-1)
+            near = np.flatnonzero(flat >= max(least[i], 0.0))
+            near = near[(flat[near] > 0) & (near < len(self.ids))]
+            if len(near) > k + 1:
+                near = near[flat[near] >= np.partition(flat[near], -k - 1)[-k - 1] - SLACK]
             at, q = parts[i]
-            exact = rare[i, near] + self.blocks[(near // BLOCK)[:, None], at, (near % BLOCK)[:, None]].astype(np.float64) @ q
-            exact = np.round(exact, 12)
+            exact = np.round(rare[i, near] + self.blocks.of(near, at) @ q, 12)
             good = (exact > 0) & (self.ids[near] != but if but is not None else True)
             near, exact = near[good], exact[good]
             by = np.lexsort((self.ids[near], -exact))[:k]
             out.append([(float(exact[j]), int(near[j])) for j in by])
         return out
 
+    def _read(self, wanted: np.ndarray, dense: np.ndarray, by_block: np.ndarray, found: np.ndarray, run: int) -> None:
+        """Put the cosines of the wanted (query, block) into ``found``, by runs of blocks."""
+        for g, terms in enumerate(self.blocks.terms):
+            at = g * (GROUP // BLOCK)
+            here = wanted[:, at:at + GROUP // BLOCK]
+            rows = np.flatnonzero(here.any(axis=1))
+            if not len(rows):
+                continue
+            here, mine, weights = here[rows], dense[rows[:, None], terms], self.blocks.group(g)
+            for b in range(0, here.shape[1], run):
+                some = np.flatnonzero(here[:, b:b + run].any(axis=1))
+                if len(some):
+                    product = (mine if len(some) == len(rows) else mine[some]) @ weights[:, b * BLOCK:(b + run) * BLOCK]
+                    there = slice(at + b, at + min(b + run, here.shape[1]))
+                    found[rows[some], there] = by_block[rows[some], there] + product.reshape(len(some), there.stop - there.start, BLOCK)
+
     def score(self, vote: float) -> float:
         if not len(self.levels):
             return 0.0
@@ -224,44 +300,62 @@ def build(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) ->
     """Index of (doc_id, toxic, terms, tf) rows."""
     n, n_terms = -(-len(rows) // BLOCK) * BLOCK, len(idf)
     ids, toxic = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int8)
-    index = Index(ids, toxic, idf, Postings((n_terms, n), np.zeros(n_terms + 1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)),
-                  np.full(n_terms, -1, np.int32), np.zeros((n // BLOCK, 0, BLOCK), np.float32), np.zeros((0, n // BLOCK), np.float32))
     if not rows or not n_terms:
-        return index
-    sizes = np.array([len(t) for _, _, t, _ in rows])
-    terms = np.concatenate([np.asarray(t, np.int32) for _, _, t, _ in rows])
-    weight = np.empty(len(terms), np.float32)
-    at = np.cumsum(sizes)
-    for (_, _, t, tf), end in zip(rows, at.tolist(), strict=True):
-        weight[end - len(t):end] = index.unit(np.asarray(t, np.int64), np.asarray(tf, float))
-    del rows
-    df = np.bincount(terms, minlength=n_terms)
-    frequent = np.flatnonzero(df * FREQUENT >= len(ids))
-    frequent = frequent[df[frequent] >= BLOCK]
-    index.dense[frequent] = np.arange(len(frequent))
-    place = np.arange(len(ids), dtype=np.int32)
-    if len(frequent):
-        often = np.flatnonzero(index.dense[terms] >= 0)
-        row, column = np.searchsorted(at, often, "right"), index.dense[terms[often]]
-        widest = np.argsort(-df[frequent], kind="stable")[:CLUSTER_TERMS]
-        x = np.zeros((len(ids), len(frequent)), np.float32)
-        x[row, column] = weight[often]
-        by = np.lexsort((ids, _alike(x[:, widest])))
-        del x
-        place[by] = np.arange(len(ids))
-        index.ids, index.toxic = ids[by], toxic[by]
-        index.blocks = np.zeros((n // BLOCK, len(frequent), BLOCK), np.float32)
-        index.blocks[place[row] // BLOCK, column, place[row] % BLOCK] = weight[often]
-        index.most = np.ascontiguousarray(index.blocks.max(axis=2).T)
-        del often, row, column
-    # postings of the other terms
-    kept = np.flatnonzero(index.dense[terms] < 0)
-    order = kept[np.argsort(terms[kept], kind="stable")]
-    del kept
-    df[frequent] = 0
-    index.weights.starts[1:] = np.cumsum(df)
-    index.weights.who, index.weights.weight = place[np.searchsorted(at, order, "right")], weight[order]
-    return index
+        none, zero = np.zeros(0, np.float32), np.zeros(0, np.int64)
+        return Index(ids, toxic, idf, _postings((n_terms, n), np.zeros(n_terms, np.int64)), np.full(n_terms, -1, np.int32),
+                     Blocks((n // BLOCK, 0, BLOCK), [], np.zeros((0, 0), np.int32), zero, zero, none),
+                     np.zeros((0, n // BLOCK), np.float32))
+    df = np.zeros(n_terms, np.int64)
+    for _, _, t, _ in rows:
+        df[t] += 1
+    widest = np.argsort(-df, kind="stable")[:CLUSTER_TERMS]
+    column = np.full(n_terms, -1, np.int32)
+    column[widest] = np.arange(len(widest))
+    x = np.zeros((len(rows), len(widest)), np.float32)
+    unit = Index(ids, toxic, idf, None, None, None, None).unit
+    for i, (_, _, t, tf) in enumerate(rows):
+        at = column[t]
+        x[i, at[at >= 0]] = unit(np.asarray(t, np.int64), np.asarray(tf, float))[at >= 0]
+    by = np.lexsort((ids, _alike(x)))
+    del x, column
+    # the frequent terms of each group, then a group at a time its dense rows and postings
+    groups = [by[start:start + GROUP].tolist() for start in range(0, n, GROUP)]
+    held = []
+    for group in groups:
+        own = np.bincount(np.concatenate([np.asarray(rows[i][2], np.int32) for i in group]), minlength=n_terms)
+        held.append(np.flatnonzero(own >= FREQUENT))
+        df[held[-1]] -= own[held[-1]]
+    frequent = np.unique(np.concatenate(held))
+    dense = np.full(n_terms, -1, np.int32)
+    dense[frequent] = np.arange(len(frequent))
+    own = [dense[h].astype(np.int64) for h in held]
+    width = np.minimum(GROUP, n - GROUP * np.arange(len(groups)))
+    ends = np.cumsum([(len(h) + 1) * w for h, w in zip(held, width.tolist(), strict=True)])
+    blocks = Blocks((n // BLOCK, len(frequent), BLOCK), own, np.empty((len(groups), len(frequent)), np.int32),
+                    np.append(0, ends[:-1]), width, np.zeros(ends[-1], np.float32))
+    most, postings = np.zeros((len(frequent), n // BLOCK), np.float32), _postings((n_terms, n), df)
+    free, packed = postings.starts[:-1] * CHUNK, postings.packed.view(np.int32).reshape(-1, 2)
+    for g, (group, places) in enumerate(zip(groups, own, strict=True)):
+        terms = np.concatenate([np.asarray(rows[i][2], np.int32) for i in group])
+        weight = np.concatenate([unit(np.asarray(rows[i][2], np.int64), np.asarray(rows[i][3], float)).astype(np.float32) for i in group])
+        who = np.repeat(np.arange(len(group)), [len(rows[i][2]) for i in group])
+        blocks.row[g] = len(places)
+        blocks.row[g, places] = np.arange(len(places))
+        many = np.zeros(n_terms, bool)
+        many[held[g]] = True
+        many = many[terms]
+        of_group = blocks.group(g)
+        of_group[blocks.row[g, dense[terms[many]]], who[many]] = weight[many]
+        at = g * (GROUP // BLOCK)
+        n_blocks = of_group.shape[1] // BLOCK
+        most[places, at:at + n_blocks] = of_group.reshape(len(places), n_blocks, BLOCK).max(axis=2)
+        rest = np.flatnonzero(~many)
+        rest = rest[np.argsort(terms[rest], kind="stable")]
+        mine, start, count = np.unique(terms[rest], return_index=True, return_counts=True)
+        at = np.repeat(free[mine] - start, count) + np.arange(len(rest))
+        free[mine] += count
+        packed[at, 0], packed[at, 1] = weight[rest].view(np.int32), who[rest] + g * GROUP
+    return Index(ids[by], toxic[by], idf, postings, dense, blocks, most)
 
 
 def votes_of(index: Index, queries: list[tuple]) -> list[tuple[float, int | None, float | None]]:
@@ -338,9 +432,10 @@ class Block:
     built: Index | None = None  # of all blocks, kept by the worker with the first one
 
     def rows(self) -> list[tuple]:
-        cuts = np.cumsum(self.sizes)[:-1]
-        terms, tf = (np.split(np.frombuffer(zlib.decompress(x), np.int32), cuts) for x in (self.terms, self.tf))
-        return [(i, y, np.cumsum(t, dtype=np.int32), f) for i, y, t, f in zip(self.ids, self.toxic, terms, tf, strict=True)]
+        steps, tf = (np.frombuffer(zlib.decompress(x), np.int32) for x in (self.terms, self.tf))
+        ends, total = np.cumsum(self.sizes), np.append(0, np.cumsum(steps, dtype=np.int64))
+        terms = (total[1:] - np.repeat(total[ends - self.sizes], self.sizes)).astype(np.int32)
+        return list(zip(self.ids, self.toxic, np.split(terms, ends[:-1]), np.split(tf, ends[:-1]), strict=True))
 
 
 def _index(blocks: list[Broadcast], idf: Broadcast) -> Index:
@@ -394,16 +489,18 @@ def vectors(docs: DataFrame, known_ids: Broadcast) -> DataFrame:
     and the sum of (1 + ln tf)^2 over the terms no example holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            content, packed, rest = [], [], []
-            for text in batch.column(1).to_pylist():
-                mine, tf = terms_in(text)
-                at, held = _held(known_ids.value, mine)
-                content.append(blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest())
-                packed.append(pack(np.diff(at[held], prepend=0), tf[held]))
-                rest.append(float(((1 + np.log(tf[~held])) ** 2).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary()), pa.array(packed, pa.binary()),
-                                              pa.array(rest, pa.float64())], names=["doc_id", "content", "vector", "rest"])
+        for whole in batches:
+            for at in range(0, len(whole), SLAB):
+                batch = whole.slice(at, SLAB)
+                content, packed, rest = [], [], []
+                for text in batch.column(1).to_pylist():
+                    mine, tf = terms_in(text)
+                    place, held = _held(known_ids.value, mine)
+                    content.append(blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                    packed.append(pack(np.diff(place[held], prepend=0), tf[held]))
+                    rest.append(float(((1 + np.log(tf[~held])) ** 2).sum()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary()), pa.array(packed, pa.binary()),
+                                                  pa.array(rest, pa.float64())], names=["doc_id", "content", "vector", "rest"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, content binary, vector binary, rest double")
 
@@ -439,23 +536,24 @@ def _voted(rows: DataFrame, blocks: list[Broadcast], idf: Broadcast, levels: np.
         index = replace(_index(blocks, idf), levels=levels)  # bounded by the MAX_EXAMPLES texts
         own = set(index.ids.tolist())
         known: dict[tuple, tuple] = {}
-        for batch in batches:
-            keys, asked = [], {}
-            if len(known) >= CACHE_VECTORS:
-                known.clear()
-            for doc, content, vector, rest in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                key = (content, doc if doc in own else None)
-                keys.append(key)
-                if key not in known and key not in asked:
-                    terms, tf = unpacked(vector)
-                    asked[key] = (terms, tf.astype(float), key[1], rest * unknown ** 2)
-            for key, (vote, nearest, cosine) in zip(asked, votes_of(index, list(asked.values())), strict=True):
-                known[key] = (vote, index.score(vote), nearest, cosine)
-            out = [known[key] for key in keys]
-            vote, score, nearest, cosine = zip(*out, strict=True) if out else ((),) * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(vote, pa.float64()), pa.array(score, pa.float64()), pa.array(nearest, pa.int64()),
-                 pa.array(cosine, pa.float64())], names=["doc_id", "vote", "score", "nearest", "cosine"])
+        for whole in batches:
+            for start in range(0, len(whole), QUERIES):
+                batch = whole.slice(start, QUERIES)
+                keys, asked = [], {}
+                if len(known) >= CACHE_VECTORS:
+                    known.clear()
+                for doc, content, vector, rest in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                    key = (content, doc if doc in own else None)
+                    keys.append(key)
+                    if key not in known and key not in asked:
+                        terms, tf = unpacked(vector)
+                        asked[key] = (terms, tf.astype(float), key[1], rest * unknown ** 2)
+                for key, (vote, nearest, cosine) in zip(asked, votes_of(index, list(asked.values())), strict=True):
+                    known[key] = (vote, index.score(vote), nearest, cosine)
+                vote, score, nearest, cosine = zip(*(known[key] for key in keys), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(vote, pa.float64()), pa.array(score, pa.float64()), pa.array(nearest, pa.int64()),
+                     pa.array(cosine, pa.float64())], names=["doc_id", "vote", "score", "nearest", "cosine"])
 
     return rows.mapInArrow(run, "doc_id bigint, vote double, score double, nearest bigint, cosine double")
 

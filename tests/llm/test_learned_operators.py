@@ -251,6 +251,33 @@ def test_blocks_are_skipped_only_below_their_bound(monkeypatch):
     assert index.nearest(queries, 7) == few
 
 
+def test_index_holds_dense_rows_only_where_a_group_needs_them():
+    """A term's weights are dense in the groups of examples where it is frequent: the index
+    grows with the weights it holds, not with frequent terms times examples, and nothing is lost."""
+    rng = np.random.default_rng(8)
+    kinds, own = 8, 100  # kinds of texts with terms of their own
+    rows = [(i, 0, np.sort(i % kinds * own + rng.choice(own, 40, replace=False)), rng.integers(1, 4, 40)) for i in range(4096)]
+    idf = rng.uniform(1, 5, kinds * own)
+    index = toxicity.build(rows, idf)
+    size = lambda x: x.nbytes if isinstance(x, np.ndarray) else sum(map(size, vars(x).values())) if hasattr(x, "__dict__") else 0
+    assert index.blocks.shape[1] > 0.9 * kinds * own and size(index.blocks) + size(index.weights) < kinds * own * 4096 * 4 / 2
+    full = np.zeros((4096, kinds * own))
+    for i, _, t, tf in rows:
+        full[i, t] = index.unit(t, tf.astype(float)).astype(np.float32)
+    for i, _, t, tf in rows[::97]:
+        cosine = np.round(full[:, t] @ index.unit(t, tf.astype(float)), 12)
+        want = sorted((-float(c), n) for n, c in enumerate(cosine) if c > 0 and n != i)[:15]
+        got = [(-c, int(index.ids[n])) for c, n in index.nearest([(t, tf.astype(float), i, 0.0)], 15)[0]]
+        assert [n for _, n in got] == [n for _, n in want] and np.allclose([c for c, _ in got], [c for c, _ in want], atol=1e-11)
+
+
+def test_terms_of_long_and_foreign_words():
+    for text in (None, "", "123 _", "Été été ÉTÉ_été a1b² ßx", "x" * 31 + " " + "x" * 32 + " " + "x" * 33 + " " + "x" * 34, "\ud800word \U00010400\U0001f600 漢字漢字漢字"):
+        want = sorted(plain_terms(text).values())
+        ids, tf = toxicity.terms_in(text)
+        assert sorted(tf.tolist()) == want and len(set(ids.tolist())) == len(want) and (np.diff(ids) > 0).all()
+
+
 def test_toxicity_awkward(spark, weird, nothing):
     labels = spark.createDataFrame([(4, 1, 1), (4, 1, 0), (6, 0, None), (None, 1, 1), (30, 1, 0)], "doc_id bigint, quality int, toxic int")
     rows = toxicity.score(weird, labels).collect()
